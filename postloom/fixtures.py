@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
@@ -13,78 +12,68 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def user_action(spark: SparkSession, folder: str) -> DataFrame:
     events = _table(spark, folder, "events")
-    user = F.col("user_id")
-    k = F.regexp_extract("props", "[0-9]+", 0).cast("long")
-    active = F.col("event_type").isin("click", "purchase") & (user % 10 != 0)
-    cid = (
-        F.when(k >= 95, k + 9_000_000)
-        .when(active & (user % 10).between(1, 6), k % (user % 10) + 100 * (user % 3))
-        .otherwise(k + 100 * (user % 3))
-    )
-
-    def pick(codes: tuple[int, ...]) -> Column:
-        return F.element_at(F.array(*[F.lit(c) for c in codes]), (F.col("event_id") % 5 + 1).cast("int"))
-
-    code = (
-        F.when(active & (F.col("event_type") == "click"), pick((254, 248, 257, 249, 258)))
-        .when(active, pick((256, 262, 263, 264, 310)))
-        .when(F.col("event_id") % 41 != 0, F.lit(100))
-    )
-    row = F.col("event_id")
-    cid_text = cid.cast("string")
-    data = (
-        F.when(row % 101 == 0, F.lit("[1,2]"))
-        .when(row % 23 == 1, F.lit('{"x": 1}'))
-        .when(row % 101 == 2, F.lit('{"content_id": "n/a"}'))
-        .when(row % 23 == 3, F.concat(F.lit('{"content_id": "'), cid_text, F.lit('"}')))
-        .otherwise(F.concat(F.lit('{"content_id": '), cid_text, F.lit("}")))
-    )
     if isinstance(events.schema["ts"].dataType, T.TimestampNTZType):
-        seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
+        seconds = "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01', ts)"
     else:
-        seconds = F.unix_seconds("ts")
-    return events.select(
-        row.alias("id"),
-        "user_id",
-        code.cast("int").alias("event_id"),
-        data.alias("event_data"),
-        seconds.alias("created_at"),
+        seconds = "unix_seconds(ts)"
+    return (
+        events.selectExpr(
+            "*",
+            "bigint(regexp_extract(props, '[0-9]+', 0)) AS k",
+            "event_type IN ('click', 'purchase') AND user_id % 10 <> 0 AS p",
+        )
+        .selectExpr(
+            "*",
+            """CASE WHEN k >= 95 THEN 9000000 + k
+                    WHEN p AND user_id % 10 BETWEEN 1 AND 6 THEN k % (user_id % 10) + 100 * (user_id % 3)
+                    ELSE k + 100 * (user_id % 3) END AS cid""",
+        )
+        .selectExpr(
+            "event_id AS id",
+            "user_id",
+            """CASE WHEN p AND event_type = 'click' THEN array(254, 248, 257, 249, 258)[int(event_id % 5)]
+                    WHEN p THEN array(256, 262, 263, 264, 310)[int(event_id % 5)]
+                    WHEN event_id % 41 <> 0 THEN 100 END AS event_id""",
+            """CASE WHEN event_id % 101 = 0 THEN '[1,2]'
+                    WHEN event_id % 23 = 1 THEN '{"x": 1}'
+                    WHEN event_id % 101 = 2 THEN '{"content_id": "n/a"}'
+                    WHEN event_id % 23 = 3 THEN concat('{"content_id": "', cid, '"}')
+                    ELSE concat('{"content_id": ', cid, '}') END AS event_data""",
+            f"{seconds} AS created_at",
+        )
     )
 
 
 def posts(spark: SparkSession, folder: str) -> DataFrame:
-    doc, chars = F.col("doc_id"), F.col("n_chars")
-    return _table(spark, folder, "documents").select(
-        doc.alias("id"),
-        (doc % 150).alias("user_id"),
-        F.when(doc % 29 != 28, doc % 28).alias("subject_id"),
-        F.substring("text", 1, 40).alias("title"),
-        F.when(doc % 17 != 5, F.col("text")).alias("desc"),
-        (chars % 50).alias("praise_count"),
-        (chars % 7).alias("reply_count"),
-        (chars % 11).alias("forward_count"),
-        (chars % 5).alias("star_count"),
-        (chars % 3).alias("share_count"),
-        (doc + 1_700_000_000).alias("create_time"),
+    return _table(spark, folder, "documents").selectExpr(
+        "doc_id AS id",
+        "doc_id % 150 AS user_id",
+        "CASE WHEN doc_id % 29 <> 28 THEN doc_id % 28 END AS subject_id",
+        "substr(text, 1, 40) AS title",
+        "CASE WHEN doc_id % 17 <> 5 THEN text END AS desc",
+        "n_chars % 50 AS praise_count",
+        "n_chars % 7 AS reply_count",
+        "n_chars % 11 AS forward_count",
+        "n_chars % 5 AS star_count",
+        "n_chars % 3 AS share_count",
+        "1700000000 + doc_id AS create_time",
     )
 
 
 def topics(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = _table(spark, folder, "nation"), _table(spark, folder, "region")
-    key = F.col("n_nationkey").cast("long")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        key.alias("id"),
-        F.col("n_name").alias("title"),
-        F.concat("n_name", F.lit(" in \n"), "r_name").alias("introduction"),
-        F.col("n_regionkey").cast("long").alias("genre_id"),
-        F.when(key % 6 != 5, key + 1_600_000_000).alias("create_time"),
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "bigint(n_nationkey) AS id",
+        "n_name AS title",
+        "concat(n_name, ' in ', chr(10), r_name) AS introduction",
+        "bigint(n_regionkey) AS genre_id",
+        "CASE WHEN n_nationkey % 6 <> 5 THEN bigint(1600000000 + n_nationkey) END AS create_time",
     )
 
 
 def users(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return _table(spark, folder, "customer").select(
-        key.cast("string").alias("id"),
-        F.when(key % 7 != 6, (F.col("c_nationkey") % 3).cast("string")).alias("sex"),
-        F.when(key % 11 != 10, F.col("c_acctbal").cast("string")).alias("zan_count"),
+    return _table(spark, folder, "customer").selectExpr(
+        "string(c_custkey) AS id",
+        "CASE WHEN c_custkey % 7 <> 6 THEN string(c_nationkey % 3) END AS sex",
+        "CASE WHEN c_custkey % 11 <> 10 THEN string(c_acctbal) END AS zan_count",
     )

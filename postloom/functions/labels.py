@@ -17,27 +17,31 @@ FLAGS = ("comment", "forward", "thumb", "detail", "neg")
 MERGED_FLAGS = FLAGS[:4]
 
 
-def label(event_id: Column) -> Column:
-    out = F.lit("neg")
-    for name, codes in EVENT_LABELS.items():
-        out = F.when(event_id.isin(*codes), F.lit(name)).otherwise(out)
-    return out
+def _codes(codes: tuple[int, ...]) -> str:
+    return ", ".join(map(str, codes))
 
 
-def is_positive(event_id: Column) -> Column:
-    """The same split as `label(...) != 'neg'`, in a form a Parquet scan can use."""
-    return event_id.isin(*[code for codes in EVENT_LABELS.values() for code in codes])
+def label() -> Column:
+    """The label of `event_id`."""
+    cases = " ".join(f"WHEN event_id IN ({_codes(codes)}) THEN '{name}'" for name, codes in EVENT_LABELS.items())
+    return F.expr(f"CASE {cases} ELSE 'neg' END")
 
 
-def one_hot(follow: Column) -> list[Column]:
-    return [(follow == name).cast("int").alias(name) for name in FLAGS]
+def is_positive() -> Column:
+    """The same split as `label() != 'neg'`, in a form a Parquet scan can use."""
+    return F.expr(f"event_id IN ({', '.join(map(_codes, EVENT_LABELS.values()))})")
 
 
-def _whole_number(text: Column) -> Column:
-    """The integer a text stands for, or 0 when it stands for none."""
-    trimmed = F.regexp_replace(text, r"^\s+|\s+$", "")
-    digits = F.when(trimmed.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"), F.replace(trimmed, F.lit("_"), F.lit("")))
-    return F.coalesce(digits.try_cast("long"), F.lit(0).cast("long"))
+def one_hot() -> list[str]:
+    """One 0/1 column per label of `follow`."""
+    return [f"int(follow = '{name}') AS {name}" for name in FLAGS]
+
+
+# A text is a whole number with blanks around it and underscores between digits allowed; else 0.
+_WHOLE_NUMBER = r"""
+    coalesce(
+        CASE WHEN trimmed RLIKE '^[+-]?[0-9]+(_[0-9]+)*$' THEN try_cast(replace(trimmed, '_', '') AS BIGINT) END, 0L)
+"""
 
 
 def with_content_id(log: DataFrame, strict: bool = False) -> DataFrame:
@@ -47,35 +51,36 @@ def with_content_id(log: DataFrame, strict: bool = False) -> DataFrame:
     whole number give 0, fractions are cut off. Broken JSON and null, list or object values are
     `bad_json` with a null id; `strict` raises on them instead.
     """
-    parsed = F.from_json(
-        "event_data",
-        "content_id variant, broken string",
-        {"columnNameOfCorruptRecord": "broken", "allowSingleQuotes": "false"},
-    )
-    value = F.col("payload.content_id")
-    staged = log.withColumn("payload", parsed).withColumn("kind", F.schema_of_variant(value))
-    number = F.try_variant_get(value, "$", "long")
-    kind = F.col("kind")
-    is_object = F.col("event_data").rlike(r"^\s*\{")
-    content_id = (
-        F.when(~is_object, F.when(F.try_parse_json("event_data").isNotNull(), F.lit(0).cast("long")))
-        .when(kind == "STRING", _whole_number(F.try_variant_get(value, "$", "string")))
-        .when(kind == "DOUBLE", F.when(F.isnan(F.try_variant_get(value, "$", "double")), F.lit(0)).otherwise(number))
-        .otherwise(number)
+    value = "payload.content_id"
+    found = (
+        log.selectExpr(
+            "*",
+            "from_json(event_data, 'content_id variant, broken string',"
+            " map('columnNameOfCorruptRecord', 'broken', 'allowSingleQuotes', 'false')) AS payload",
+            r"event_data RLIKE r'^\s*\{' AS is_object",
+        )
+        .selectExpr(
+            "*",
+            f"schema_of_variant({value}) AS kind",
+            rf"regexp_replace(try_variant_get({value}, '$', 'string'), r'^\s+|\s+$', '') AS trimmed",
+        )
+        .selectExpr(
+            "*",
+            f"""CASE WHEN NOT is_object THEN CASE WHEN try_parse_json(event_data) IS NOT NULL THEN 0L END
+                     WHEN kind = 'STRING' THEN {_WHOLE_NUMBER}
+                     WHEN kind = 'DOUBLE' AND isnan(try_variant_get({value}, '$', 'double')) THEN 0L
+                     ELSE try_variant_get({value}, '$', 'bigint') END AS content_id""",
+        )
+        .selectExpr(
+            "*",
+            """content_id IS NULL
+               AND NOT coalesce(is_object AND kind IS NULL AND payload.broken IS NULL, false) AS bad_json""",
+        )
     )
-    missing_key = is_object & kind.isNull() & F.col("payload.broken").isNull()
-    staged = staged.withColumn("content_id", content_id)
-    bad = F.col("content_id").isNull() & ~F.coalesce(missing_key, F.lit(False))
     if strict:
-        message = F.concat(F.lit("no usable content_id in event_data: "), F.coalesce("event_data", F.lit("null")))
-        bad = F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(False))
-        # The check belongs to the id, so that reading the id alone runs it too.
-        staged = staged.withColumn("bad_json", bad).withColumn(
-            "content_id", F.when(~F.col("bad_json"), F.col("content_id"))
-        )
-    else:
-        staged = staged.withColumn("bad_json", bad)
-    return staged.drop("payload", "kind")
+        refuse = "raise_error(concat('no usable content_id in event_data: ', coalesce(event_data, 'null')))"
+        found = found.withColumn("content_id", F.expr(f"CASE WHEN bad_json THEN {refuse} ELSE content_id END"))
+    return found.drop("payload", "is_object", "kind", "trimmed")
 
 
 def labelled(log: DataFrame, missing: str, strict: bool = False) -> DataFrame:
@@ -84,13 +89,11 @@ def labelled(log: DataFrame, missing: str, strict: bool = False) -> DataFrame:
     `missing` says what a row without a content id means: "drop" leaves the row out, together with
     rows that lack a user, code or time; "zero" keeps the row under id 0.
     """
-    rows = with_content_id(log, strict).select(
-        "id", "user_id", "event_id", "content_id", label(F.col("event_id")).alias("follow"), "created_at"
-    )
+    rows = with_content_id(log, strict)
     if missing == "drop":
         rows = rows.na.drop("any", subset=["user_id", "event_id", "content_id", "created_at"])
     elif missing == "zero":
-        rows = rows.withColumn("content_id", F.coalesce("content_id", F.lit(0).cast("long")))
+        rows = rows.na.fill(0, subset=["content_id"])
     else:
         raise ValueError(f"missing must be 'drop' or 'zero', not {missing!r}")
-    return rows.drop("event_id")
+    return rows.select("id", "user_id", "content_id", label().alias("follow"), "created_at")

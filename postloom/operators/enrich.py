@@ -9,7 +9,7 @@ from postloom.functions.labels import one_hot
 from postloom.functions.text import clean, text_key
 
 
-def _look_up(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
+def look_up(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
     """Left join in which null keys match null keys."""
     side = side.withColumnRenamed(key, "side_key")
     return rows.join(side, F.col(key).eqNullSafe(F.col("side_key")), "left").drop("side_key")
@@ -18,8 +18,8 @@ def _look_up(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
 def _enriched(rows: DataFrame, posts: DataFrame, topics: DataFrame, text: Column) -> DataFrame:
     posts = posts.select(F.col("id").alias("content_id"), F.col("subject_id").alias("topic_id"), text)
     topics = topics.select(F.col("id").alias("topic_id"), "genre_id", "introduction")
-    joined = _look_up(_look_up(rows, posts, "content_id"), topics, "topic_id")
-    return joined.select("*", *one_hot(F.col("follow")))
+    joined = look_up(look_up(rows, posts, "content_id"), topics, "topic_id")
+    return joined.selectExpr("*", *one_hot())
 
 
 def enriched(rows: DataFrame, posts: DataFrame, topics: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postloom.session import store
@@ -40,24 +40,22 @@ def range_parts(df: DataFrame, order: list[str]) -> DataFrame:
     return df.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
 
 
-def running_totals(df: DataFrame, order: list[str], weights: dict[str, Column]) -> DataFrame:
-    """Add one column per weight: its sum over all rows that come earlier in `order`.
+def running_totals(df: DataFrame, order: list[str], weights: dict[str, str]) -> DataFrame:
+    """Add one column per weight, an SQL expression: its sum over all rows that come earlier in `order`.
 
     Parts in order are summed on their own; only the sums, one row per part, meet in one window.
     The parts are stored, so that both steps see the same ones.
     """
-    weighted = df.select("*", *[w.cast("long").alias(f"_{name}") for name, w in weights.items()])
-    parts = store(range_parts(weighted, order), "parts")
-    earlier_parts = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.groupBy("part").agg(*[F.sum(f"_{n}").alias(f"_{n}") for n in weights])
-    offsets = offsets.select("part", *[F.sum(f"_{n}").over(earlier_parts).alias(f"_{n}_offset") for n in weights])
-    earlier_rows = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("long")
-    return (
-        # One row per part: bounded by the number of shuffle partitions.
-        parts.join(F.broadcast(offsets), "part")
-        .withColumns(
-            {n: F.coalesce(f"_{n}_offset", zero) + F.coalesce(F.sum(f"_{n}").over(earlier_rows), zero) for n in weights}
-        )
-        .select(*df.columns, *weights)
+    parts = store(range_parts(df.selectExpr("*", *[f"bigint({w}) AS _{n}" for n, w in weights.items()]), order), "parts")
+    earlier = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    offsets = (
+        parts.groupBy("part")
+        .agg(*[F.sum(f"_{n}").alias(f"_{n}") for n in weights])
+        .selectExpr("part", *[f"sum(_{n}) OVER (ORDER BY part {earlier}) AS _{n}_offset" for n in weights])
+    )
+    in_part = f"PARTITION BY part ORDER BY {', '.join(f'`{c}`' for c in order)} {earlier}"
+    # One row per part: bounded by the number of shuffle partitions.
+    return parts.join(F.broadcast(offsets), "part").selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        *[f"coalesce(_{n}_offset, 0L) + coalesce(sum(_{n}) OVER ({in_part}), 0L) AS {n}" for n in weights],
     )

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postloom.operators.ordering import running_totals
@@ -23,7 +22,7 @@ ORDERS = {
 
 def tier(rows: DataFrame, k: int) -> DataFrame:
     """Rows of users with more than `k` distinct posts."""
-    return rows.where(F.col("content_num") > k)
+    return rows.where(f"content_num > {k}")
 
 
 class Cut(NamedTuple):
@@ -37,14 +36,13 @@ class Cut(NamedTuple):
         return self.group[-1]
 
 
-def _order_of(columns: list[str], group: tuple[int, ...], smaller: bool) -> Column:
-    """Column-by-column comparison of a row's group with a fixed one."""
+def _compared(columns: list[str], sign: str, group: tuple[int, ...]) -> str:
+    """SQL: a row's group compared with a fixed one, column by column."""
     choices = []
-    for i, c in enumerate(columns):
-        same = [F.col(o) == v for o, v in zip(columns[:i], group)]
-        step = F.col(c) < group[i] if smaller else F.col(c) > group[i]
-        choices.append(reduce(Column.__and__, [*same, step]))
-    return reduce(Column.__or__, choices)
+    for i, (c, value) in enumerate(zip(columns, group)):
+        same = [f"{o} = {v}" for o, v in zip(columns[:i], group)]
+        choices.append(" AND ".join([*same, f"{c} {sign} {value}"]))
+    return "(" + " OR ".join(f"({c})" for c in choices) + ")"
 
 
 class Splits:
@@ -61,65 +59,69 @@ class Splits:
         self.rows, self.tiers = rows, tiers
         self.by, self.inside = ORDERS[order]
         sizes = rows.groupBy(*self.by).agg(F.count("*").alias("n"), F.max("content_num").alias("content_num"))
-        weights = {f"before_{k}": F.when(F.col("content_num") > k, F.col("n")).otherwise(0) for k in tiers}
+        weights = {f"before_{k}": f"CASE WHEN content_num > {k} THEN n ELSE 0 END" for k in tiers}
         self.groups = store(running_totals(sizes, self.by, weights), "split-groups")
         self._find_cuts()
 
     def _find_cuts(self) -> None:
-        totals = self.rows.agg(*[F.count_if(F.col("content_num") > k).alias(f"n_{k}") for k in self.tiers]).first()
-        self.ends, self.cuts = {}, {}
-        wanted = []
+        totals = self.groups.agg(
+            *[F.expr(f"coalesce(sum(n) FILTER (WHERE content_num > {k}), 0)").alias(f"n_{k}") for k in self.tiers]
+        ).first()
+        self.ends, wanted = {}, []
         for k in self.tiers:
             n = totals[f"n_{k}"]
             train, dev = int(n * 0.8), int(n * 0.1)
             self.ends[k] = (train, train + dev, n)
-            # Three positions per tier at most, each inside one group.
-            for position in {train - 1, train, train + dev}:
-                before = F.col(f"before_{k}")
-                wanted.append(
-                    tier(self.groups, k)
-                    .where((before <= position) & (before + F.col("n") > position))
-                    .select(F.lit(k).alias("k"), F.lit(position).alias("position"), before.alias("before"), *self.by)
-                )
-        for row in reduce(DataFrame.unionByName, wanted).collect():
-            self.cuts[row["k"], row["position"]] = Cut(tuple(row[c] for c in self.by), row["before"])
-
-    def _none(self) -> Column:
-        return F.lit(False)
-
-    def _train_filter(self, k: int) -> Column:
-        last = self.cuts.get((k, self.ends[k][0] - 1))
-        if last is None:
-            return self._none()
-        return _order_of(self.by, last.group, smaller=True) & (F.col("user_id") != last.user)
+            wanted += [(k, position) for position in (train - 1, train, train + dev)]
+        # Three positions per tier, each inside one group: 15 rows at most.
+        hits = self.groups.where(
+            " OR ".join(
+                f"(content_num > {k} AND before_{k} <= {at} AND before_{k} + n > {at})" for k, at in wanted
+            )
+        ).collect()
+        self.cuts = {
+            (k, at): Cut(tuple(row[c] for c in self.by), row[f"before_{k}"])
+            for k, at in wanted
+            for row in hits
+            if row["content_num"] > k and row[f"before_{k}"] <= at < row[f"before_{k}"] + row["n"]
+        }
 
     def train(self, k: int) -> DataFrame:
-        return tier(self.rows, k).where(self._train_filter(k))
+        rows = tier(self.rows, k)
+        last = self.cuts.get((k, self.ends[k][0] - 1))
+        if last is None:
+            return rows.where("false")
+        return rows.where(f"{_compared(self.by, '<', last.group)} AND user_id <> {last.user}")
 
     def dev(self, k: int) -> DataFrame:
         start, end, _ = self.ends[k]
         first, after = self.cuts.get((k, start)), self.cuts.get((k, end))
         rows = tier(self.rows, k)
         if first is None or after is None or start == end:
-            return rows.where(self._none())
-        later = _order_of(self.by, first.group, smaller=False) & (F.col("user_id") != first.user)
-        whole = rows.where(later & _order_of(self.by, after.group, smaller=True))
+            return rows.where("false")
+        whole = rows.where(
+            f"{_compared(self.by, '>', first.group)} AND user_id <> {first.user}"
+            f" AND {_compared(self.by, '<', after.group)}"
+        )
         left = end - after.before
         if left == 0 or after.user == first.user:
             return whole
-        split_group = reduce(Column.__and__, [F.col(c) == v for c, v in zip(self.by, after.group)])
+        cut_group = rows.where(" AND ".join(f"{c} = {v}" for c, v in zip(self.by, after.group)))
         rest = [c for c in rows.columns if c not in (*self.by, *self.inside)]
-        ordered = running_totals(rows.where(split_group), [*self.inside, *rest], {"position": F.lit(1)})
-        return whole.unionByName(ordered.where(F.col("position") < left).drop("position"))
+        ordered = running_totals(cut_group, [*self.inside, *rest], {"position": "1"})
+        return whole.unionByName(ordered.where(f"position < {left}").drop("position"))
 
     def test_users(self, k: int) -> DataFrame:
         """The users of the test part, one row each."""
         start = self.cuts.get((k, self.ends[k][1]))
         users = tier(self.groups, k)
         if start is None:
-            return users.where(self._none()).select("user_id")
-        kept = _order_of(self.by, start.group, smaller=False) & (F.col("user_id") != start.user)
-        return users.where(kept).select("user_id").distinct()
+            return users.where("false").select("user_id")
+        return (
+            users.where(f"{_compared(self.by, '>', start.group)} AND user_id <> {start.user}")
+            .select("user_id")
+            .distinct()
+        )
 
     def test(self, k: int, lists: DataFrame) -> DataFrame:
         """The test part as ground truth: each user with the list of posts."""

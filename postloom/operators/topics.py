@@ -6,67 +6,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions.text import clean
+from postloom.operators.enrich import look_up
+from postloom.schemas import CONTENT_RAW
 from postloom.session import store
 
 COUNTED = ("praise", "reply", "forward")
+COUNTERS = tuple(f"topic_{c}_count" for c in COUNTED)
+TEXTS = ("desc", "introduction", "content_title", "topic_title")
 
 
-def named_posts(posts: DataFrame) -> DataFrame:
+def _named_posts(posts: DataFrame) -> DataFrame:
     return posts.withColumnsRenamed(
         {"id": "content_id", "subject_id": "topic_id", "title": "content_title", "create_time": "content_create_time"}
     )
 
 
-def named_topics(topics: DataFrame) -> DataFrame:
-    return topics.withColumnsRenamed(
-        {"id": "topic_id", "title": "topic_title", "create_time": "topic_create_time"}
-    )
-
-
-def _look_up(posts: DataFrame, side: DataFrame) -> DataFrame:
-    """Left join on the topic. Null topics match null topics, repeated topics repeat the post."""
-    side = side.withColumnRenamed("topic_id", "side_topic_id")
-    same = F.col("topic_id").eqNullSafe(F.col("side_topic_id"))
-    return posts.join(side, same, "left").drop("side_topic_id")
+def _topic_attributes(topics: DataFrame) -> DataFrame:
+    return topics.selectExpr("id AS topic_id", "title AS topic_title", "introduction", "create_time AS topic_create_time")
 
 
-def _cleaned(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {c: clean(F.col(c)) for c in ("desc", "introduction", "content_title", "topic_title")}
-        | {"topic_create_time": F.coalesce("topic_create_time", F.lit(0).cast("long"))}
+def _product(joined: DataFrame) -> DataFrame:
+    """The content columns there are, in file order, with clean texts and 0 for a missing topic time."""
+    columns = [c for c in CONTENT_RAW if c in joined.columns]
+    return joined.na.fill(0, subset=["topic_create_time"]).select(
+        *[clean(F.col(c)).alias(c) if c in TEXTS else c for c in columns]
     )
 
 
-BASE_COLUMNS = (
-    "content_id", "content_title", "desc", "user_id", "topic_id", "topic_title", "introduction",
-    "praise_count", "reply_count", "forward_count", "star_count", "share_count",
-    "content_create_time", "topic_create_time",
-)
-
-
 def with_topic(posts: DataFrame, topics: DataFrame) -> DataFrame:
     """Each post with title, introduction and time of its topic; texts cleaned."""
-    side = named_topics(topics).select("topic_id", "topic_title", "introduction", "topic_create_time")
-    return _cleaned(_look_up(named_posts(posts), side)).select(*BASE_COLUMNS)
+    return _product(look_up(_named_posts(posts), _topic_attributes(topics), "topic_id"))
 
 
 def topic_counters(posts: DataFrame, topics: DataFrame) -> DataFrame:
     """One row per topic of a post (null included): sums of its posts' counts, as they count after
     the topic join. A null topic counts nothing; null counts are left out."""
-    zero = F.lit(0).cast("long")
-    sums = (
-        posts.groupBy(F.col("subject_id").alias("topic_id"))
-        .agg(*[F.sum(f"{c}_count").alias(f"{c}_sum") for c in COUNTED])
+    sums = posts.groupBy(F.col("subject_id").alias("topic_id")).agg(
+        *[F.sum(f"{c}_count").alias(f"{c}_sum") for c in COUNTED]
     )
     copies = topics.groupBy(F.col("id").alias("topic_id")).agg(F.count("*").alias("copies"))
-    counted = _look_up(sums, copies)
-    repeats = F.coalesce("copies", F.lit(1).cast("long"))
-    return counted.select(
+    return look_up(sums, copies, "topic_id").selectExpr(
         "topic_id",
         *[
-            F.when(F.col("topic_id").isNull(), zero)
-            .otherwise(F.coalesce(F.col(f"{c}_sum") * repeats, zero))
-            .alias(f"topic_{c}_count")
+            f"CASE WHEN topic_id IS NULL THEN 0L ELSE coalesce({c}_sum * coalesce(copies, 1L), 0L) END"
+            f" AS topic_{c}_count"
             for c in COUNTED
         ],
     )
@@ -78,7 +61,5 @@ def content_raw(posts: DataFrame, topics: DataFrame) -> DataFrame:
     Counters and topic texts form one small stored table, a row per topic, so the posts with their
     long texts are joined once: by broadcast as long as that table is under Spark's size threshold.
     """
-    attributes = named_topics(topics).select("topic_id", "topic_title", "introduction", "topic_create_time")
-    side = store(_look_up(topic_counters(posts, topics), attributes), "topics")
-    joined = _look_up(named_posts(posts), side)
-    return _cleaned(joined).select(*BASE_COLUMNS, *[f"topic_{c}_count" for c in COUNTED])
+    side = store(look_up(topic_counters(posts, topics), _topic_attributes(topics), "topic_id"), "topics")
+    return _product(look_up(_named_posts(posts), side, "topic_id"))

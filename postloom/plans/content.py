@@ -13,7 +13,7 @@ from postloom.session import store
 
 def post_users(capped_log: DataFrame, strict: bool = False) -> DataFrame:
     """Each post with each user who engaged with it; rows without a post id count for id 0."""
-    positive = capped_log.where(is_positive(F.col("event_id")))
+    positive = capped_log.where(is_positive())
     return labelled(positive, missing="zero", strict=strict).select("content_id", "user_id").distinct()
 
 

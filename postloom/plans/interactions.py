@@ -40,7 +40,7 @@ def content_lists(engaged: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame
 
 def user_content_list(log: DataFrame, strict: bool = False, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """`content_lists` straight from the log; reads the rows of positive events only."""
-    positive = labelled(log.where(is_positive(F.col("event_id"))), missing="drop", strict=strict)
+    positive = labelled(log.where(is_positive()), missing="drop", strict=strict)
     return content_lists(engagements(positive), heavy_rows)
 
 
