@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # The label of each event code; every other code, and null, is "neg".
@@ -51,45 +51,49 @@ def with_content_id(log: DataFrame, strict: bool = False) -> DataFrame:
     whole number give 0, fractions are cut off. Broken JSON and null, list or object values are
     `bad_json` with a null id; `strict` raises on them instead.
     """
-    value = "payload.content_id"
     found = (
         log.selectExpr(
             "*",
-            "from_json(event_data, 'content_id variant, broken string',"
-            " map('columnNameOfCorruptRecord', 'broken', 'allowSingleQuotes', 'false')) AS payload",
-            r"event_data RLIKE r'^\s*\{' AS is_object",
+            # As a generator the parse runs once per row. As a plain column it would be copied into
+            # each later filter on the id, and run again for every use there.
+            "inline(array(from_json(event_data, 'content_id variant, broken string',"
+            " map('columnNameOfCorruptRecord', 'broken', 'allowSingleQuotes', 'false')))) AS (value, broken)",
         )
         .selectExpr(
             "*",
-            f"schema_of_variant({value}) AS kind",
-            rf"regexp_replace(try_variant_get({value}, '$', 'string'), r'^\s+|\s+$', '') AS trimmed",
-        )
-        .selectExpr(
-            "*",
-            f"""CASE WHEN NOT is_object THEN CASE WHEN try_parse_json(event_data) IS NOT NULL THEN 0L END
-                     WHEN kind = 'STRING' THEN {_WHOLE_NUMBER}
-                     WHEN kind = 'DOUBLE' AND isnan(try_variant_get({value}, '$', 'double')) THEN 0L
-                     ELSE try_variant_get({value}, '$', 'bigint') END AS content_id""",
+            r"event_data RLIKE r'^\s*\{' AS is_object",
+            "schema_of_variant(value) AS kind",
+            r"regexp_replace(try_variant_get(value, '$', 'string'), r'^\s+|\s+$', '') AS trimmed",
         )
         .selectExpr(
             "*",
-            """content_id IS NULL
-               AND NOT coalesce(is_object AND kind IS NULL AND payload.broken IS NULL, false) AS bad_json""",
+            f"""inline(array(struct(
+                    CASE WHEN NOT is_object THEN CASE WHEN try_parse_json(event_data) IS NOT NULL THEN 0L END
+                         WHEN kind = 'STRING' THEN {_WHOLE_NUMBER}
+                         WHEN kind = 'DOUBLE' AND isnan(try_variant_get(value, '$', 'double')) THEN 0L
+                         ELSE try_variant_get(value, '$', 'bigint') END,
+                    coalesce(is_object AND kind IS NULL AND broken IS NULL, false)))) AS (content_id, no_key)""",
         )
+        .withColumn("bad_json", F.expr("content_id IS NULL AND NOT no_key"))
     )
     if strict:
         refuse = "raise_error(concat('no usable content_id in event_data: ', coalesce(event_data, 'null')))"
         found = found.withColumn("content_id", F.expr(f"CASE WHEN bad_json THEN {refuse} ELSE content_id END"))
-    return found.drop("payload", "is_object", "kind", "trimmed")
+    return found.drop("value", "broken", "is_object", "kind", "trimmed", "no_key")
 
 
-def labelled(log: DataFrame, missing: str, strict: bool = False) -> DataFrame:
+def labelled(
+    log: DataFrame, missing: str, strict: bool = False, counts: Observation | None = None
+) -> DataFrame:
     """One row per usable log row: id, user_id, content_id, follow, created_at.
 
     `missing` says what a row without a content id means: "drop" leaves the row out, together with
-    rows that lack a user, code or time; "zero" keeps the row under id 0.
+    rows that lack a user, code or time; "zero" keeps the row under id 0. `counts` receives how many
+    rows there were and how many payloads were unusable, once the result is computed.
     """
     rows = with_content_id(log, strict)
+    if counts is not None:
+        rows = rows.observe(counts, F.count("*").alias("log_rows"), F.count_if("bad_json").alias("bad_json"))
     if missing == "drop":
         rows = rows.na.drop("any", subset=["user_id", "event_id", "content_id", "created_at"])
     elif missing == "zero":

@@ -43,4 +43,7 @@ def with_text(rows: DataFrame, posts: DataFrame) -> DataFrame:
         .select(F.col("id").alias("content_id"), text_key(F.col("desc")).alias("desc_key"), clean(F.col("desc")).alias("desc"))
         .dropDuplicates(["content_id", "desc_key"])
     )
-    return rows.join(texts, ["content_id", "desc_key"], "left").drop("desc_key")
+    texts = texts.withColumnsRenamed({"content_id": "side_id", "desc_key": "side_key"})
+    # Null-safe, so that no "key is not null" check runs the hash a second time on the posts.
+    same = F.expr("content_id <=> side_id AND desc_key <=> side_key")
+    return rows.join(texts, same, "left").drop("side_id", "side_key", "desc_key")

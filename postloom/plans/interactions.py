@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from postloom.functions.labels import is_positive, labelled
@@ -17,8 +17,8 @@ from postloom.schemas import INTERACTIONS, TIER
 from postloom.session import store
 
 
-def stored_engagements(log: DataFrame, strict: bool = False) -> DataFrame:
-    return store(engagements(labelled(log, missing="drop", strict=strict)), "engagements")
+def stored_engagements(log: DataFrame, strict: bool = False, counts: Observation | None = None) -> DataFrame:
+    return store(engagements(labelled(log, missing="drop", strict=strict, counts=counts)), "engagements")
 
 
 def first_engagements(engaged: DataFrame) -> DataFrame:
