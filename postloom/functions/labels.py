@@ -37,10 +37,17 @@ def one_hot() -> list[str]:
     return [f"int(follow = '{name}') AS {name}" for name in FLAGS]
 
 
-# A text is a whole number with blanks around it and underscores between digits allowed; else 0.
-_WHOLE_NUMBER = r"""
-    coalesce(
-        CASE WHEN trimmed RLIKE '^[+-]?[0-9]+(_[0-9]+)*$' THEN try_cast(replace(trimmed, '_', '') AS BIGINT) END, 0L)
+_NUMBER = "try_variant_get(value, '$', 'bigint')"
+_TEXT = r"regexp_replace(try_variant_get(value, '$', 'string'), r'^\s+|\s+$', '')"
+_IS_OBJECT = r"event_data RLIKE r'^\s*\{'"
+# Nearly all payloads end at the first branch; the others need the kind of the value.
+_CONTENT_ID = rf"""
+    CASE WHEN {_NUMBER} IS NOT NULL THEN {_NUMBER}
+         WHEN NOT {_IS_OBJECT} THEN CASE WHEN try_parse_json(event_data) IS NOT NULL THEN 0L END
+         WHEN schema_of_variant(value) = 'STRING' THEN CASE
+             WHEN {_TEXT} RLIKE '^[+-]?[0-9]+(_[0-9]+)*$'
+             THEN coalesce(try_cast(replace({_TEXT}, '_', '') AS BIGINT), 0L) ELSE 0L END
+         WHEN isnan(try_variant_get(value, '$', 'double')) THEN 0L END
 """
 
 
@@ -59,27 +66,16 @@ def with_content_id(log: DataFrame, strict: bool = False) -> DataFrame:
             "inline(array(from_json(event_data, 'content_id variant, broken string',"
             " map('columnNameOfCorruptRecord', 'broken', 'allowSingleQuotes', 'false')))) AS (value, broken)",
         )
-        .selectExpr(
-            "*",
-            r"event_data RLIKE r'^\s*\{' AS is_object",
-            "schema_of_variant(value) AS kind",
-            r"regexp_replace(try_variant_get(value, '$', 'string'), r'^\s+|\s+$', '') AS trimmed",
-        )
-        .selectExpr(
-            "*",
-            f"""inline(array(struct(
-                    CASE WHEN NOT is_object THEN CASE WHEN try_parse_json(event_data) IS NOT NULL THEN 0L END
-                         WHEN kind = 'STRING' THEN {_WHOLE_NUMBER}
-                         WHEN kind = 'DOUBLE' AND isnan(try_variant_get(value, '$', 'double')) THEN 0L
-                         ELSE try_variant_get(value, '$', 'bigint') END,
-                    coalesce(is_object AND kind IS NULL AND broken IS NULL, false)))) AS (content_id, no_key)""",
+        .selectExpr("*", f"explode(array({_CONTENT_ID})) AS content_id")
+        .withColumn(
+            "bad_json",
+            F.expr(f"content_id IS NULL AND NOT coalesce(value IS NULL AND broken IS NULL AND {_IS_OBJECT}, false)"),
         )
-        .withColumn("bad_json", F.expr("content_id IS NULL AND NOT no_key"))
     )
     if strict:
         refuse = "raise_error(concat('no usable content_id in event_data: ', coalesce(event_data, 'null')))"
         found = found.withColumn("content_id", F.expr(f"CASE WHEN bad_json THEN {refuse} ELSE content_id END"))
-    return found.drop("value", "broken", "is_object", "kind", "trimmed", "no_key")
+    return found.drop("value", "broken")
 
 
 def labelled(
