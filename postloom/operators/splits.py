@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postloom.operators.ordering import running_totals
+from postloom.operators.ordering import HEAVY_ROWS, running_totals
 from postloom.session import store
 
 TIERS = (1, 2, 3, 4, 5)
@@ -26,10 +26,11 @@ def tier(rows: DataFrame, k: int) -> DataFrame:
 
 
 class Cut(NamedTuple):
-    """The group a position falls in, and how many rows come before that group."""
+    """The group a position falls in, how many rows come before that group, and its size."""
 
     group: tuple[int, ...]
     before: int
+    size: int
 
     @property
     def user(self) -> int:
@@ -52,11 +53,14 @@ class Splits:
     train loses all rows of the user in its last row, dev and test all rows of the user in their
     first row. A position is found through running totals over one row per user, not over the rows;
     the parts are then plain filters on the stored table. Only dev can end inside a user, so only
-    that user's rows are put in order. An empty part stays empty.
+    that user's rows are put in order: in one task, or by running totals from `heavy_rows` rows on.
+    An empty part stays empty.
     """
 
-    def __init__(self, rows: DataFrame, order: str = "reference", tiers: tuple[int, ...] = TIERS):
-        self.rows, self.tiers = rows, tiers
+    def __init__(
+        self, rows: DataFrame, order: str = "reference", tiers: tuple[int, ...] = TIERS, heavy_rows: int = HEAVY_ROWS
+    ):
+        self.rows, self.tiers, self.heavy_rows = rows, tiers, heavy_rows
         self.by, self.inside = ORDERS[order]
         sizes = rows.groupBy(*self.by).agg(F.count("*").alias("n"), F.max("content_num").alias("content_num"))
         weights = {f"before_{k}": f"CASE WHEN content_num > {k} THEN n ELSE 0 END" for k in tiers}
@@ -80,7 +84,7 @@ class Splits:
             )
         ).collect()
         self.cuts = {
-            (k, at): Cut(tuple(row[c] for c in self.by), row[f"before_{k}"])
+            (k, at): Cut(tuple(row[c] for c in self.by), row[f"before_{k}"], row["n"])
             for k, at in wanted
             for row in hits
             if row["content_num"] > k and row[f"before_{k}"] <= at < row[f"before_{k}"] + row["n"]
@@ -108,7 +112,12 @@ class Splits:
             return whole
         cut_group = rows.where(" AND ".join(f"{c} = {v}" for c, v in zip(self.by, after.group)))
         rest = [c for c in rows.columns if c not in (*self.by, *self.inside)]
-        ordered = running_totals(cut_group, [*self.inside, *rest], {"position": "1"})
+        order = [*self.inside, *rest]
+        if after.size < self.heavy_rows:
+            over = f"PARTITION BY {', '.join(self.by)} ORDER BY {', '.join(f'`{c}`' for c in order)}"
+            ordered = cut_group.selectExpr("*", f"row_number() OVER ({over}) - 1 AS position")
+        else:
+            ordered = running_totals(cut_group, order, {"position": "1"})
         return whole.unionByName(ordered.where(f"position < {left}").drop("position"))
 
     def test_users(self, k: int) -> DataFrame:

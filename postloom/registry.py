@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom import fixtures
-from postloom.functions.labels import FLAGS, labelled
+from postloom.functions.labels import FLAGS, label, labelled
 from postloom.operators import enrich, repeats, sampling, topics
 from postloom.operators.splits import TIERS, Splits
 from postloom.plans import content, interactions, users
@@ -77,8 +77,7 @@ def _each_tier(make: Callable[[int], DataFrame]) -> DataFrame:
 
 
 def _label_distribution(i: _Inputs) -> DataFrame:
-    rows = labelled(i.log, missing="zero")
-    return rows.groupBy("follow").agg(F.count("*").alias("events"))
+    return i.log.groupBy(label().alias("follow")).agg(F.count("*").alias("events"))
 
 
 def _content_id_counts(i: _Inputs) -> DataFrame:

@@ -47,11 +47,12 @@ CASES = {
 
 @pytest.mark.parametrize("order", ["reference", "user"])
 @pytest.mark.parametrize("name", list(CASES))
-def test_split(spark, name, order):
+@pytest.mark.parametrize("heavy_rows", [1, 10**6])
+def test_split(spark, name, order, heavy_rows):
     rows = CASES[name]
     df = store(spark.createDataFrame(rows, ROWS).repartition(5), "rows")
     lists = spark.createDataFrame([(u, f"list {u}") for u in range(30)], "user_id long, content_list string")
-    splits = Splits(df, order, tiers=(1, 3))
+    splits = Splits(df, order, tiers=(1, 3), heavy_rows=heavy_rows)
     for k in (1, 3):
         train, dev, test = reference_split(rows, k, order)
         assert sorted((tuple(r) for r in splits.train(k).collect()), key=repr) == train
