@@ -48,8 +48,10 @@ def cohort(log: DataFrame, size: int = 5_000, cap: int = 10_000, seed: int = 0,
         .limit(size)
         .select("user_id")
     )
-    if strict and drawn.count() < size:
-        raise ValueError(f"fewer than {size} users are under the cap of {cap} events")
+    if strict:
+        drawn = store(drawn, "cohort")
+        if drawn.count() < size:
+            raise ValueError(f"fewer than {size} users are under the cap of {cap} events")
     return drawn
 
 
