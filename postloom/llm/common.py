@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 import postloom
 
-_shipped: set[str] = set()
+# The archives handed to each application's file server; they must last as long as the driver.
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -29,13 +30,13 @@ def ship_code(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     archive.write(full, os.path.join("postloom", os.path.relpath(full, root)))
-    # addPyFile copies the archive to the driver's file server, from which executors fetch it.
-    with tempfile.TemporaryDirectory() as folder:
-        path = os.path.join(folder, f"postloom-{app}.zip")
-        with open(path, "wb") as out:
-            out.write(packed.getvalue())
-        spark.sparkContext.addPyFile(path)
-    _shipped.add(app)
+    # The driver's file server hands the archive to the executors, whenever one starts.
+    folder = tempfile.TemporaryDirectory()
+    path = os.path.join(folder.name, f"postloom-{app}.zip")
+    with open(path, "wb") as out:
+        out.write(packed.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _shipped[app] = folder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
