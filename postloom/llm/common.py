@@ -53,15 +53,17 @@ def hash_sample(rows: DataFrame, stratum: str, identity: list[str], per_stratum:
     """At most `per_stratum` rows of each stratum, evenly spread and the same in every run.
 
     Rows fall into `per_stratum` hash bins of their stratum and each bin gives the row of the
-    smallest hash: one aggregate that combines before it shuffles, whatever the size of a stratum.
-    Repeated rows with the smallest hash are taken once.
+    smallest hash of `identity`: one aggregate that reads and combines those columns only, whatever
+    the size of a stratum. Among rows of one identity the smallest row is taken.
     """
+    columns = rows.columns
     hashed = rows.withColumn("_h", F.xxhash64(*identity, F.lit(71))).withColumn("_bin", F.pmod(F.xxhash64("_h"), F.lit(per_stratum)))
     least = hashed.groupBy(F.col(stratum).alias("_s"), F.col("_bin").alias("_b")).agg(F.min("_h").alias("_least"))
     found = hashed.join(
         least, hashed[stratum].eqNullSafe(least["_s"]) & (hashed["_bin"] == least["_b"]) & (hashed["_h"] == least["_least"]), "left_semi"
     )
-    return found.dropDuplicates([stratum, "_h"]).drop("_h", "_bin")
+    one = found.groupBy("_bin", "_h", F.col(stratum).alias("_s")).agg(F.min(F.struct(*columns)).alias("_row"))
+    return one.select("_row.*")
 
 
 _GOLDEN, _MUL_1, _MUL_2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))

@@ -5,17 +5,42 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from postloom.llm import tokens
+from postloom.llm import language, lines, mixing, tokens, urls
 from postloom.llm.common import table
 
 
+def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language.identify(docs, language.learn(docs))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(table(spark, folder, "documents"))
 
 
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.filter_urls(table(spark, folder, "pages"))
+
+
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document its text without repeats, the spans removed and their number of characters."""
+    cut = lines.deduplicate(table(spark, folder, "documents"))
+    length = F.expr("aggregate(removed, 0L, (sum, span) -> sum + (span.end - span.start))")
+    return cut.select("doc_id", "text", "removed", length.alias("removed_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_source_mix": op3_source_mix,
+    "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
+    "op6_url_filter": op6_url_filter,
+    "op8_line_dedup": op8_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
