@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import language, lines, mixing, tokens, urls
+from postloom.llm import html, language, lattice, lines, mixing, multi_index, tokens, urls
 from postloom.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.filter_urls(table(spark, folder, "pages"))
 
 
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Per document its text without repeats, the spans removed and their number of characters."""
     cut = lines.deduplicate(table(spark, folder, "documents"))
@@ -35,12 +39,24 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "text", "removed", length.alias("removed_chars"))
 
 
+def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.link(table(spark, folder, "embeddings"))
+
+
+def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest rows to every row whose id is divisible by 20."""
+    return multi_index.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_source_mix": op3_source_mix,
     "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
     "op6_url_filter": op6_url_filter,
+    "op7_html_text": op7_html_text,
     "op8_line_dedup": op8_line_dedup,
+    "op9_embedding_dedup": op9_embedding_dedup,
+    "op10_nearest": op10_nearest,
 }
 
 ORACLE_SQL: dict[str, str] = {}
