@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import html, language, lattice, lines, mixing, multi_index, tokens, urls
+from postloom.llm import html, language, lattice, lines, minhash, mixing, multi_index, tokens, urls
 from postloom.llm.common import table
 
 
+def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
@@ -49,6 +53,7 @@ def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op3_source_mix": op3_source_mix,
     "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
