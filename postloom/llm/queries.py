@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import html, language, lattice, lines, minhash, mixing, multi_index, tokens, urls
+from postloom.llm import html, language, lattice, lines, minhash, mixing, multi_index, pieces, tokens, urls
 from postloom.llm.common import table
 
 
@@ -15,6 +15,15 @@ def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document and sample its scores, the number and a digest of its ids, and the round trip."""
+    found = pieces.encode(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), F.hex(F.xxhash64("ids")).alias("ids_digest"),
+        "log_prob", "value", "log_inclusion", "round_trip",
+    )
+
+
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
@@ -54,6 +63,7 @@ def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_source_mix": op3_source_mix,
     "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
