@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import postloom
+from postloom.session import store
 
 # The archives handed to each application's file server; they must last as long as the driver.
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
@@ -58,7 +59,8 @@ def hash_sample(rows: DataFrame, stratum: str, identity: list[str], per_stratum:
     """
     columns = rows.columns
     hashed = rows.withColumn("_h", F.xxhash64(*identity, F.lit(71))).withColumn("_bin", F.pmod(F.xxhash64("_h"), F.lit(per_stratum)))
-    least = hashed.groupBy(F.col(stratum).alias("_s"), F.col("_bin").alias("_b")).agg(F.min("_h").alias("_least"))
+    # Stored, so that Spark knows how small it is and need not shuffle the rows to meet it.
+    least = store(hashed.groupBy(F.col(stratum).alias("_s"), F.col("_bin").alias("_b")).agg(F.min("_h").alias("_least")), "sample")
     found = hashed.join(
         least, hashed[stratum].eqNullSafe(least["_s"]) & (hashed["_bin"] == least["_b"]) & (hashed["_h"] == least["_least"]), "left_semi"
     )

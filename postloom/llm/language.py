@@ -1,10 +1,12 @@
 """Language identification by compression.
 
-Each language has a dictionary: raw text of a bounded sample of its documents. A text is lower-cased,
-runs of other characters than letters become one space, and it is compressed in blocks once with
-each dictionary. The language whose dictionary gives the fewest bytes over the whole text is
+Each language has dictionaries: raw text of a bounded sample of its documents. A text is lower-cased,
+runs of other characters than letters become one space, and it is compressed in blocks with the first
+dictionary of each language. The language that gives the fewest bytes over the whole text is
 predicted; ties go to the language with more sampled text, then by name. The margin is the share of
-bytes saved against the runner-up; a prediction with a margin under `narrow` is marked as rejected.
+bytes saved against the runner-up. Where it is under `narrow`, as for texts of a few words, the
+further dictionaries of all languages are added to the sums; a prediction whose margin is narrow
+even then is marked as rejected.
 
 Null texts and texts without any letter are `und` with score 0 and rejected. With no learned
 language every text is `und`. Repeated rows are scored alike; further columns do not matter.
@@ -23,9 +25,10 @@ from pyspark.sql import functions as F
 from postloom.llm.common import doc_fold, hash_sample
 
 # Bounds of what is learned: documents per language, characters of each, bytes of a dictionary.
-SAMPLED_DOCS = 96
+SAMPLED_DOCS = 256
 SAMPLED_CHARS = 1_500
 DICTIONARY_BYTES = 32_768
+DICTIONARIES = 4
 # Each block of a long text is compressed from the dictionary anew, so that it stays in force.
 BLOCK_BYTES = 4_096
 LEVEL = 6
@@ -35,7 +38,7 @@ UNKNOWN = "und"
 
 _OTHER = regex.compile(r"[\W\d_]+")
 
-Dictionaries = dict[str, bytes]
+Dictionaries = dict[str, list[bytes]]
 
 
 def normalise(text: str | None) -> bytes:
@@ -52,7 +55,7 @@ def has_letter(text: str | None) -> bool:
 def learn(
     docs: DataFrame, text: str = "text", language: str = "lang", key: str = "doc_id", sampled_docs: int = SAMPLED_DOCS
 ) -> Dictionaries:
-    """A dictionary per language, from at most `sampled_docs` documents of each.
+    """The dictionaries of each language, from at most `sampled_docs` documents of each.
 
     Only documents with a language, a text and a fold (see `doc_fold`) other than 1 are read.
     What comes to the driver is bounded by languages x sampled_docs x SAMPLED_CHARS.
@@ -68,43 +71,57 @@ def learn(
         gathered.setdefault(row["lang"], []).append((row["order"], normalise(row["text"])))
     found: Dictionaries = {}
     for lang, texts in gathered.items():
-        # An equal share of each document, so that the dictionary holds many of them.
-        share = max(1, DICTIONARY_BYTES // len(texts))
-        content = b" ".join(t[:share] for _, t in sorted(texts) if t)
-        if len(content) >= 8:  # a shorter content is no dictionary
-            found[lang] = content[:DICTIONARY_BYTES]
-    return dict(sorted(found.items(), key=lambda item: (-len(item[1]), item[0])))
+        contents = []
+        for i in range(DICTIONARIES):
+            part = [t for _, t in sorted(texts)[i::DICTIONARIES] if t]
+            # An equal share of each document, so that a dictionary holds many of them.
+            share = max(1, DICTIONARY_BYTES // max(len(part), 1))
+            contents.append(b" ".join(t[:share] for t in part)[:DICTIONARY_BYTES])
+        contents = [c for c in contents if len(c) >= 8]  # a shorter content is no dictionary
+        if contents:
+            found[lang] = contents
+    return dict(sorted(found.items(), key=lambda item: (-sum(map(len, item[1])), item[0])))
 
 
 class Classifier:
     def __init__(self, dictionaries: Dictionaries, narrow: float = NARROW):
         self.narrow = narrow
-        self.compress = {}
-        for lang, content in dictionaries.items():
-            dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            dictionary.precompute_compress(level=LEVEL)
-            self.compress[lang] = zstandard.ZstdCompressor(
-                level=LEVEL, dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False
-            ).compress
-
-    def sizes(self, text: str | None) -> dict[str, int]:
-        content = normalise(text)
-        blocks = [content[at : at + BLOCK_BYTES] for at in range(0, len(content), BLOCK_BYTES)]
-        return {lang: sum(len(compress(block)) for block in blocks) for lang, compress in self.compress.items()}
+        self.compress = {lang: [_compressor(content) for content in contents] for lang, contents in dictionaries.items()}
+        # Languages are compared over as many dictionaries as all of them have.
+        self.more = min(map(len, self.compress.values()), default=0)
+
+    def _sizes(self, blocks: list[bytes], first: int, last: int) -> dict[str, int]:
+        return {
+            lang: sum(len(compress(block)) for compress in each[first:last] for block in blocks) for lang, each in self.compress.items()
+        }
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """The language, a score from 0 to 1, and whether the prediction is rejected."""
         if not self.compress or not has_letter(text):
             return UNKNOWN, 0.0, True
-        sizes = self.sizes(text)
-        best, *others = sorted(sizes, key=sizes.get)
-        if not others:
-            return best, 1.0, False
-        margin = 1 - sizes[best] / max(sizes[others[0]], 1)
+        content = normalise(text)
+        blocks = [content[at : at + BLOCK_BYTES] for at in range(0, len(content), BLOCK_BYTES)]
+        best, margin = _best(self._sizes(blocks, 0, 1))
+        if margin < self.narrow and self.more > 1:
+            best, margin = _best(self._sizes(blocks, 0, self.more))
         # Half at no margin; 1 from a tenth of the bytes on.
         return best, min(1.0, 0.5 + 5 * margin), margin < self.narrow
 
 
+def _compressor(content: bytes) -> Callable[[bytes], bytes]:
+    dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    dictionary.precompute_compress(level=LEVEL)
+    return zstandard.ZstdCompressor(
+        level=LEVEL, dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False
+    ).compress
+
+
+def _best(sizes: dict[str, int]) -> tuple[str, float]:
+    """The language of the fewest bytes, and the share it saves against the next one."""
+    best, *others = sorted(sizes, key=sizes.get)
+    return best, 1 - sizes[best] / max(sizes[others[0]], 1) if others else 1.0
+
+
 def predict(dictionaries: Dictionaries, narrow: float = NARROW) -> Callable[[Column], Column]:
     """A function from a text column to a struct (lang, score, rejected)."""
     ready: list[Classifier] = []  # one per Python worker and query, made on first use
