@@ -1,0 +1,107 @@
+import itertools
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+import sentencepiece
+
+from postloom.llm import pieces
+from postloom.llm.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+TEXTS = ["", "a", " ", "Hello  world", "tab\there\nline ", "漢字 ﬁ 😀 x", "\x00 ▁ b", "ab " * 50, "q" * 3_000]
+
+
+@pytest.fixture(scope="module")
+def vocab():
+    return pieces.Vocabulary(pieces.DEFAULT_MODEL)
+
+
+def sample(vocab, texts, keys, k):
+    out = {}
+    for t, number, ids, *scores in pieces.sample_texts(vocab, texts, np.array(keys), k):
+        out.setdefault(t, []).append((ids.tolist(), *scores))
+    return out
+
+
+def segmentations(vocab, text):
+    """All segmentations of a short text, as ids, with their normalised probabilities."""
+    text = pieces.SPACE + text.replace(" ", pieces.SPACE)
+    known = {vocab.bytes_of[i].decode().replace(" ", pieces.SPACE): i for i in range(len(vocab.bytes_of)) if vocab.bytes_of[i] and i not in vocab.byte_ids}
+    found = {}
+
+    def go(at, ids, weight):
+        if at == len(text):
+            found[tuple(ids)] = weight
+        for end in range(at + 1, len(text) + 1):
+            if text[at:end] in known:
+                go(end, [*ids, known[text[at:end]]], weight + vocab.weight[known[text[at:end]]])
+
+    go(0, [], 0.0)
+    total = math.log(sum(math.exp(w) for w in found.values()))
+    return {ids: math.exp(w - total) for ids, w in found.items()}
+
+
+def test_samples_are_distinct_segmentations_that_decode(vocab):
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.DEFAULT_MODEL)
+    for t, found in sample(vocab, TEXTS, range(len(TEXTS)), 4).items():
+        assert len({tuple(ids) for ids, *_ in found}) == len(found)
+        for ids, log_prob, value, inclusion in found:
+            assert vocab.decode(ids) == library.decode(ids) == TEXTS[t].replace(pieces.SPACE, " ")
+            assert log_prob <= 0 and inclusion <= 0
+        values = [value for _, _, value, _ in found]
+        assert values == sorted(values, reverse=True)
+
+
+def test_texts_with_few_segmentations_give_them_all(vocab):
+    for text in ("the", "is a"):
+        every = segmentations(vocab, text)
+        found = sample(vocab, [text], [3], len(every) + 5)[0]
+        assert {tuple(ids) for ids, *_ in found} == set(every)
+        assert all(log_prob == pytest.approx(math.log(every[tuple(ids)])) for ids, log_prob, *_ in found)
+        assert all(inclusion == 0 for *_, inclusion in found)
+
+
+def test_samples_follow_the_distribution_without_replacement(vocab):
+    """First samples, and ordered pairs, as drawing one after the other without putting back."""
+    text, n = "ing", 6_000
+    every = segmentations(vocab, text)
+    found = sample(vocab, [text] * n, range(n), 2)
+    firsts = Counter(tuple(f[0][0]) for f in found.values())
+    pairs = Counter((tuple(f[0][0]), tuple(f[1][0])) for f in found.values())
+    for ids, p in every.items():
+        assert firsts[ids] / n == pytest.approx(p, abs=0.03)
+    for a, b in itertools.permutations(every, 2):
+        assert pairs[a, b] / n == pytest.approx(every[a] * every[b] / (1 - every[a]), abs=0.03)
+    # Sums over samples, each divided by its inclusion score, have the sum over all as their mean.
+    assert sum(math.exp(p - inclusion) for f in found.values() for _, p, _, inclusion in f) / n == pytest.approx(1, abs=0.02)
+    sizes = sum(len(ids) * math.exp(p - inclusion) for f in found.values() for ids, p, _, inclusion in f) / n
+    assert sizes == pytest.approx(sum(len(ids) * p for ids, p in every.items()), rel=0.03)
+
+
+def test_a_row_has_the_same_samples_in_any_batch(vocab, monkeypatch):
+    texts = [f"some words and numbers {i} in a text of its own" for i in range(30)]
+    together = sample(vocab, texts, range(30), 3)
+    monkeypatch.setattr(pieces, "CHUNK_CHARS", 50)
+    assert together == sample(vocab, texts, range(30), 3)
+    assert sample(vocab, texts[7:8], [7], 3)[0] == together[7]
+
+
+def test_whole_table(shipped):
+    docs = {r["doc_id"]: r["text"] for r in shipped.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    rows = QUERIES["op2_sentencepiece"](shipped, FOLDER).collect()
+    assert Counter(r["doc_id"] for r in rows) == {i: 2 for i in docs}
+    assert all(r["round_trip"] for r in rows)
+    ids = pieces.encode(shipped.read.parquet(f"{FOLDER}/documents.parquet")).select("doc_id", "sample", "ids")
+    decoded = ids.select("doc_id", pieces.decode()("ids").alias("text")).distinct().collect()
+    assert {(r["doc_id"], r["text"]) for r in decoded} == set(docs.items())
+
+
+def test_odd_rows(odd_documents, empty_documents):
+    rows = pieces.encode(odd_documents).collect()
+    counts = Counter(r["doc_id"] for r in rows)
+    assert counts[2] == 0 and counts[3] == 1 and counts[1] == 4 and counts[None] == 2
+    assert all(r["ids"] == [] for r in rows if r["doc_id"] == 3)
+    assert len({(tuple(r["ids"]), r["value"]) for r in rows if r["doc_id"] == 1}) == 2
+    assert pieces.encode(empty_documents).count() == 0
