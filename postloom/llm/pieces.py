@@ -202,20 +202,29 @@ class Lattice:
                 heads = np.flatnonzero(np.concatenate([[True], starts[1:] != starts[:-1]]))
                 mass[starts[heads]] = np.logaddexp.reduceat(weight[edges] + mass[self.b[edges]], heads)
         self.log_p = np.minimum(weight + mass[self.b] - mass[self.a], 0.0)
-        self.p = np.exp(self.log_p)
-        # Running sums per place in steps of 2 ** -_BITS, the last one whole. They are added up place by
-        # place, so that they do not depend on what else is in the batch.
-        self.cut = np.empty(size, dtype=np.int32)
+        p = np.exp(self.log_p)
+        # `cut` has the running sums per place in steps of 2 ** -_BITS, the last one whole, and `rest` the
+        # mass of an edge's siblings. Sums run place by place, and do not depend on the rest of the batch.
+        self.cut, self.rest = np.empty(size, dtype=np.int32), np.empty(size)
         heads = np.flatnonzero(self.first[1:] > self.first[:-1])
         edges, ends = self.first[heads], self.first[heads + 1]
         total = np.zeros(len(edges))
         while len(edges):
-            total += self.p[edges]
+            self.rest[edges] = total
+            total += p[edges]
             self.cut[edges] = np.rint(np.minimum(total, 1.0) * (1 << _BITS))
             edges = edges + 1
             on = edges < ends
             self.cut[edges[~on] - 1] = 1 << _BITS
             edges, ends, total = edges[on], ends[on], total[on]
+        edges, begins = self.first[heads + 1] - 1, self.first[heads]
+        total = np.zeros(len(edges))
+        while len(edges):
+            self.rest[edges] += total
+            total += p[edges]
+            edges = edges - 1
+            on = edges >= begins
+            edges, begins, total = edges[on], begins[on], total[on]
 
     def draw(self, places: np.ndarray, noise: np.ndarray) -> np.ndarray:
         """An edge of each place by its probability."""
@@ -309,10 +318,9 @@ class Sampler:
         while True:
             log_p = self.lattice.log_p[path.edges[fixed : fixed + look]]
             phi = before + np.cumsum(log_p)  # after each piece
-            rest = -np.expm1(log_p)
+            rest = self.lattice.rest[path.edges[fixed : fixed + look]]
             if excluded and len(rest):
-                rest[0] -= self.lattice.p[list(excluded)].sum()
-            rest[rest < 2.0**-_BITS] = 0
+                rest[0] = self._siblings(int(self.lattice.a[path.edges[fixed]]), (*excluded, int(path.edges[fixed])))[1].sum()
             with np.errstate(divide="ignore"):
                 mass = phi - log_p + np.log(rest)
             best = mass.max(initial=-np.inf)
@@ -363,14 +371,17 @@ class Sampler:
                 self._leave(t, draw, path, heaps[t], draw, at, excluded)
         return [[(path, -heap[0][0] if heap else -np.inf) for path in paths] for paths, heap in zip(found, heaps)]
 
+    def _siblings(self, place: int, excluded: tuple[int, ...]) -> tuple[list[int], np.ndarray]:
+        """The edges of a place without the excluded ones, and their probabilities."""
+        edges = [e for e in range(int(self.lattice.first[place]), int(self.lattice.first[place + 1])) if e not in excluded]
+        return edges, np.exp(self.lattice.log_p[edges])
+
     def _sibling(self, place: int, excluded: tuple[int, ...], noise: np.uint64) -> int:
         """An edge of a place by its probability, none of the excluded ones."""
-        low, high = int(self.lattice.first[place]), int(self.lattice.first[place + 1])
-        p = self.lattice.p[low:high].copy()
-        p[[e - low for e in excluded]] = 0
+        edges, p = self._siblings(place, excluded)
         total = np.cumsum(p)
         target = (int(noise) >> 11) * 2.0**-53 * total[-1]
-        return low + min(int(np.searchsorted(total, target, side="right")), int(np.flatnonzero(p)[-1]))
+        return edges[min(int(np.searchsorted(total, target, side="right")), len(edges) - 1)]
 
     def ids(self, path: Path) -> np.ndarray:
         """Piece ids, with spelled characters as byte pieces."""
