@@ -33,6 +33,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import sentencepiece
 from pyspark.sql import Column, DataFrame
@@ -43,8 +44,8 @@ from postloom.llm.common import mix64
 DEFAULT_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SAMPLES = 2
 SHARPNESS = 1.0
-# Characters of text whose lattices are built together.
-CHUNK_CHARS = 3_000_000
+# Bytes of text whose lattices are built together.
+CHUNK_BYTES = 1_000_000
 SPACE = "▁"
 _BITS = 30  # probabilities are drawn in steps of 2 ** -_BITS
 _REACH = 48.0
@@ -407,47 +408,11 @@ def log_inclusion(log_prob: float, threshold: float) -> float:
 
 def sample_texts(vocab: Vocabulary, texts: list[str], keys: np.ndarray, k: int) -> Iterator[tuple[int, int, np.ndarray, float, float, float]]:
     """(number of the text, sample, ids, log-probability, perturbed value, log inclusion probability)."""
-    begin = 0
-    while begin < len(texts):
-        end, chars = begin, 0
-        while end < len(texts) and (end == begin or chars + len(texts[end]) <= CHUNK_CHARS):
-            chars += len(texts[end])
-            end += 1
-        sampler = Sampler(vocab, texts[begin:end], keys[begin:end], k)
-        for t, samples in enumerate(sampler.run()):
-            for number, (path, threshold) in enumerate(samples, 1):
-                log_prob = float(sampler.lattice.log_p[path.edges].sum()) if len(path.edges) else 0.0
-                yield begin + t, number, sampler.ids(path), log_prob, path.value, log_inclusion(log_prob, threshold)
-        begin = end
-
-
-def samples(k: int = SAMPLES, path: str = DEFAULT_MODEL, sharpness: float = SHARPNESS) -> Callable[[Column, Column], Column]:
-    """A function from a text and a key (whole number) to an array of its samples; null for a null text."""
-    kind = "array<struct<ids: array<int>, log_prob: double, value: double, log_inclusion: double, round_trip: boolean>>"
-
-    @F.arrow_udf(kind)
-    def run(texts: pa.Array, keys: pa.Array) -> pa.Array:
-        vocab = vocabulary(path, sharpness)
-        some = [i for i, valid in enumerate(texts.is_valid().to_pylist()) if valid]
-        given = [texts[i].as_py() for i in some]
-        seeds = keys.take(pa.array(some, pa.int64())).fill_null(0).to_numpy(zero_copy_only=False)
-        counts = np.zeros(len(texts), dtype=np.int64)
-        ids, rows = [], []
-        for t, _, pieces, *scores in sample_texts(vocab, given, seeds, k):
-            counts[some[t]] += 1
-            ids.append(pieces)
-            rows.append((*scores, vocab.decode(pieces.tolist()) == given[t].replace(SPACE, " ")))
-        flat = pa.array(np.concatenate(ids).astype(np.int32) if ids else np.empty(0, dtype=np.int32))
-        ends = np.concatenate([[0], np.cumsum([len(p) for p in ids])]).astype(np.int32)
-        columns = list(zip(*rows)) or [(), (), (), ()]
-        structs = pa.StructArray.from_arrays(
-            [pa.ListArray.from_arrays(pa.array(ends), flat), *[pa.array(c, pa.float64()) for c in columns[:3]], pa.array(columns[3], pa.bool_())],
-            names=["ids", "log_prob", "value", "log_inclusion", "round_trip"],
-        )
-        bounds = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(bounds), structs, mask=pa.array(~np.asarray(texts.is_valid())))
-
-    return run
+    sampler = Sampler(vocab, texts, keys, k)
+    for t, samples in enumerate(sampler.run()):
+        for number, (path, threshold) in enumerate(samples, 1):
+            log_prob = float(sampler.lattice.log_p[path.edges].sum()) if len(path.edges) else 0.0
+            yield t, number, sampler.ids(path), log_prob, path.value, log_inclusion(log_prob, threshold)
 
 
 def decode(path: str = DEFAULT_MODEL) -> Callable[[Column], Column]:
@@ -461,8 +426,56 @@ def decode(path: str = DEFAULT_MODEL) -> Callable[[Column], Column]:
     return run
 
 
-def encode(docs: DataFrame, k: int = SAMPLES, path: str = DEFAULT_MODEL, text: str = "text", key: str = "doc_id") -> DataFrame:
+_ENCODED = "doc_id long, sample int, ids array<int>, log_prob double, value double, log_inclusion double, round_trip boolean"
+
+
+def _encoder(k: int, path: str, sharpness: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = vocabulary(path, sharpness)
+        for batch in batches:
+            batch = batch.filter(batch.column("text").is_valid())
+            keys = batch.column("doc_id")
+            seeds = keys.fill_null(0).to_numpy(zero_copy_only=False)
+            sizes = pc.binary_length(batch.column("text")).to_pylist()
+            begin = 0
+            while begin < batch.num_rows:
+                # As many texts as make a chunk, at least one.
+                end, size = begin, 0
+                while end < batch.num_rows and (end == begin or size + sizes[end] <= CHUNK_BYTES):
+                    size += sizes[end]
+                    end += 1
+                part = batch.slice(begin, end - begin)
+                yield _encoded(vocab, part.column("doc_id"), part.column("text").to_pylist(), seeds[begin:end], k)
+                begin = end
+
+    return run
+
+
+def _encoded(vocab: Vocabulary, keys: pa.Array, texts: list[str], seeds: np.ndarray, k: int) -> pa.RecordBatch:
+    of, numbers, ids, log_probs, values, inclusions, same = [], [], [], [], [], [], []
+    for t, number, pieces, log_prob, value, inclusion in sample_texts(vocab, texts, seeds, k):
+        of.append(t)
+        numbers.append(number)
+        ids.append(pieces)
+        log_probs.append(log_prob)
+        values.append(value)
+        inclusions.append(inclusion)
+        same.append(vocab.decode(pieces.tolist()) == texts[t].replace(SPACE, " "))
+    flat = pa.array(np.concatenate(ids).astype(np.int32) if ids else np.empty(0, dtype=np.int32))
+    ends = np.concatenate([[0], np.cumsum([len(p) for p in ids])]).astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [
+            keys.take(pa.array(of, pa.int64())), pa.array(numbers, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), flat),
+            pa.array(log_probs, pa.float64()), pa.array(values, pa.float64()), pa.array(inclusions, pa.float64()), pa.array(same, pa.bool_()),
+        ],
+        names=["doc_id", "sample", "ids", "log_prob", "value", "log_inclusion", "round_trip"],
+    )
+
+
+def encode(
+    docs: DataFrame, k: int = SAMPLES, path: str = DEFAULT_MODEL, text: str = "text", key: str = "doc_id", sharpness: float = SHARPNESS
+) -> DataFrame:
     """doc_id, sample (from 1), ids, log_prob, value, log_inclusion and round_trip: whether decoding the ids
     gives the text again."""
-    sampled = docs.select(F.col(key).alias("doc_id"), samples(k, path)(F.col(text), F.col(key).cast("long")).alias("found"))
-    return sampled.select("doc_id", F.posexplode("found").alias("sample", "one")).select("doc_id", (F.col("sample") + 1).alias("sample"), "one.*")
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(_encoder(k, path, sharpness), _ENCODED)
