@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.functions.text import known, to_long
@@ -10,6 +13,8 @@ from postloom.schemas import POSTS, TOPICS, USER_ACTION, USERS
 
 CSV_OPTIONS = {"header": "true", "sep": ",", "encoding": "UTF-8", "escape": '"'}
 _END = "\u0001"
+# Header lines that are looked up at a time.
+_LOOKUPS = 16
 
 
 def typed(df: DataFrame, contract: dict[str, str]) -> DataFrame:
@@ -22,51 +27,92 @@ def typed(df: DataFrame, contract: dict[str, str]) -> DataFrame:
     return df.select(*[column(name, kind) for name, kind in contract.items()])
 
 
-def _texts(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
-    return spark.read.options(**CSV_OPTIONS, multiLine=multiline).csv(path)
+def _files_by_header(spark: SparkSession, path: str, multiline: bool) -> dict[tuple[str, ...], list[str]]:
+    """The files of `path`, together where their header lines agree. One line of each file is read."""
+
+    def header(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.options(**CSV_OPTIONS, multiLine=multiline).csv(file).columns)
+
+    files = spark.read.options(**CSV_OPTIONS, multiLine=multiline).csv(path).inputFiles()
+    with ThreadPoolExecutor(_LOOKUPS) as lookups:
+        headers = list(lookups.map(header, files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for names, file in zip(headers, files):
+        if names:  # an empty file has none
+            groups.setdefault(names, []).append(file)
+    return groups
 
 
-def _checked(spark: SparkSession, path: str, multiline: bool, strict: bool) -> DataFrame:
-    """All columns as text. Short lines are filled with nulls; lines with too many fields raise
-    (`strict`) or are left out.
+def _checked(spark: SparkSession, files: list[str], names: tuple[str, ...], multiline: bool) -> DataFrame:
+    """All columns of files with one header as text, and `_too_long` for lines with too many fields.
 
-    Spark marks short and long lines alike, so a marked line is parsed again with one more column
-    and an end mark as its last field: the mark is lost exactly when the line is too long.
+    Spark fills short lines with nulls. It marks short and long lines alike, so a marked line is
+    parsed again with one more column and an end mark as its last field: the mark is lost exactly
+    when the line is too long.
     """
-    names = _texts(spark, path, multiline).columns
     schema = ", ".join(f"`{n}` string" for n in [*names, "_marked"])
     df = spark.read.options(
         **CSV_OPTIONS, multiLine=multiline, mode="PERMISSIVE", columnNameOfCorruptRecord="_marked"
-    ).schema(schema).csv(path)
+    ).schema(schema).csv(files)
     wider = ", ".join(f"f{i} string" for i in range(len(names) + 1))
     again = F.from_csv(F.concat("_marked", F.lit("," + _END)), F.lit(wider), {"escape": '"', "multiLine": "true"})
     fits = F.array_contains(F.array(*[again[f"f{i}"] for i in range(len(names) + 1)]), _END)
     too_long = F.col("_marked").isNotNull() & ~F.coalesce(fits, F.lit(False))
+    # The marks alone cannot be read: Spark refuses a query, such as a bare count, without any field.
+    reads_a_field = F.coalesce(F.length(f"`{names[0]}`"), F.lit(0)) >= 0
+    return df.where(reads_a_field).withColumn("_too_long", too_long)
+
+
+def read_export(
+    spark: SparkSession, path: str, contract: dict[str, str], strict: bool, multiline: bool = True, optional: bool = False,
+    counts: Observation | None = None,
+) -> DataFrame:
+    """The contract's columns of a CSV file, or of all files of a folder, each by its own header.
+
+    A line with too many fields raises if `strict`. Otherwise it is left out, and `counts` receives
+    how many lines there were (`lines`) and how many were left out (`lines_left_out`). A column that
+    a file lacks raises; an `optional` contract takes it as missing, or leaves it out if no file has it.
+    """
+    groups = _files_by_header(spark, path, multiline)
+    if not groups:
+        raise ValueError(f"no header line in {path}")
+    known_names = {n for names in groups for n in names}
+    wanted = {c: kind for c, kind in contract.items() if c in known_names} if optional else contract
+    parts = []
+    for names, files in groups.items():
+        rows = _checked(spark, files, names, multiline)
+        absent = [c for c in wanted if c not in names] if optional else []
+        rows = rows.withColumns({c: F.lit(None).cast("string") for c in absent}) if absent else rows
+        parts.append(rows.select(*[f"`{c}`" for c in wanted], "_too_long", F.col("_marked").alias("_line")))
+    lines = reduce(DataFrame.unionByName, parts)
     if strict:
-        refuse = F.raise_error(F.concat(F.lit("line with too many fields: "), "_marked")).cast("boolean")
-        kept = F.when(too_long, refuse).otherwise(F.lit(True))
+        refuse = F.raise_error(F.concat(F.lit("line with too many fields: "), "_line")).cast("boolean")
+        kept = lines.where(F.when(F.col("_too_long"), refuse).otherwise(F.lit(True)))
     else:
-        kept = ~too_long
-    # Always true. Spark refuses a query, such as a bare count, that reads the marks alone.
-    reads_a_field = F.coalesce(F.length(f"`{names[0]}`"), F.lit(0)) >= 0
-    return df.where(kept & reads_a_field).drop("_marked")
+        if counts is not None:
+            lines = lines.observe(counts, F.count("*").alias("lines"), F.count_if("_too_long").alias("lines_left_out"))
+        kept = lines.where(~F.col("_too_long"))
+    return typed(kept, wanted)
 
 
 def read_user_action(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """The event log. Set `multiline=False` when no cell holds a line break: Spark can then split
-    large files, which it cannot do otherwise."""
-    return typed(_texts(spark, path, multiline), USER_ACTION)
+    """The event log; a line with too many fields raises. Set `multiline=False` when no cell holds a
+    line break: Spark can then split large files, which it cannot do otherwise."""
+    return read_export(spark, path, USER_ACTION, True, multiline)
 
 
-def read_posts(spark: SparkSession, path: str, strict: bool = False, multiline: bool = True) -> DataFrame:
-    return typed(_checked(spark, path, multiline, strict), POSTS)
+def read_posts(
+    spark: SparkSession, path: str, strict: bool = False, multiline: bool = True, counts: Observation | None = None
+) -> DataFrame:
+    return read_export(spark, path, POSTS, strict, multiline, counts=counts)
 
 
-def read_topics(spark: SparkSession, path: str, strict: bool = False, multiline: bool = True) -> DataFrame:
-    return typed(_checked(spark, path, multiline, strict), TOPICS)
+def read_topics(
+    spark: SparkSession, path: str, strict: bool = False, multiline: bool = True, counts: Observation | None = None
+) -> DataFrame:
+    return read_export(spark, path, TOPICS, strict, multiline, counts=counts)
 
 
 def read_users(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """The users, as text; a column the file lacks is left out."""
-    texts = _texts(spark, path, multiline)
-    return typed(texts, {c: kind for c, kind in USERS.items() if c in texts.columns})
+    """The users, as text; a line with too many fields raises, a column that no file has is left out."""
+    return read_export(spark, path, USERS, True, multiline, optional=True)
