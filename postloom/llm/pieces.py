@@ -49,6 +49,7 @@ CHUNK_BYTES = 1_000_000
 SPACE = "▁"
 _BITS = 30  # probabilities are drawn in steps of 2 ** -_BITS
 _REACH = 48.0
+_LOOK = 256  # pieces of a path that are searched for places in reach at first
 _UNITS = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -97,6 +98,8 @@ class Vocabulary:
         self._child = np.zeros(1 << 20, dtype=np.int32)
         keys = np.fromiter(children, dtype=np.int64)
         nodes = np.fromiter(children.values(), dtype=np.int32)
+        self.roots = np.zeros(self.letters, dtype=np.int32)  # the children of the root, by letter
+        self.roots[keys[keys < self.letters]] = nodes[keys < self.letters]
         for key, node, slot in zip(keys.tolist(), nodes.tolist(), self._slot(keys).tolist()):
             while self._slots[slot] >= 0:
                 slot = (slot + 1) & 0xFFFFF
@@ -123,7 +126,7 @@ class Vocabulary:
 
     def decode(self, ids) -> str:
         """The text of a segmentation; the space put before every text is taken off again."""
-        text = b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")
+        text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -158,7 +161,7 @@ class Lattice:
         spelled = char_place
         # The letter of an end is 0, which no trie edge has, so walks stop within their unit.
         for length in range(1, vocab.longest + 1):
-            node = vocab.step(node, letter[at + length - 1])
+            node = vocab.step(node, letter[at + length - 1]) if length > 1 else vocab.roots[letter[at]]
             alive = np.flatnonzero(node)
             at, node = at[alive], node[alive]
             if not len(at):
@@ -207,25 +210,23 @@ class Lattice:
         # `cut` has the running sums per place in steps of 2 ** -_BITS, the last one whole, and `rest` the
         # mass of an edge's siblings. Sums run place by place, and do not depend on the rest of the batch.
         self.cut, self.rest = np.empty(size, dtype=np.int32), np.empty(size)
-        heads = np.flatnonzero(self.first[1:] > self.first[:-1])
-        edges, ends = self.first[heads], self.first[heads + 1]
-        total = np.zeros(len(edges))
-        while len(edges):
-            self.rest[edges] = total
-            total += p[edges]
-            self.cut[edges] = np.rint(np.minimum(total, 1.0) * (1 << _BITS))
-            edges = edges + 1
-            on = edges < ends
-            self.cut[edges[~on] - 1] = 1 << _BITS
-            edges, ends, total = edges[on], ends[on], total[on]
-        edges, begins = self.first[heads + 1] - 1, self.first[heads]
-        total = np.zeros(len(edges))
-        while len(edges):
-            self.rest[edges] += total
-            total += p[edges]
-            edges = edges - 1
-            on = edges >= begins
-            edges, begins, total = edges[on], begins[on], total[on]
+        counts = np.diff(self.first)
+        by_count = np.argsort(-counts.astype(np.int16), kind="stable")
+        heads, counts = self.first[by_count], counts[by_count]
+        # How many places have more than j edges, for each j: they come first.
+        longer = [int(n) for n in np.searchsorted(-counts, -np.arange(1, counts.max(initial=0) + 1), side="right")]
+        total = np.zeros(len(heads))
+        for j, n in enumerate(longer):
+            edges = heads[:n] + j
+            self.rest[edges] = total[:n]
+            total[:n] += p[edges]
+            self.cut[edges] = np.rint(np.minimum(total[:n], 1.0) * (1 << _BITS))
+        self.cut[(heads + counts - 1)[: longer[0] if longer else 0]] = 1 << _BITS
+        total[:] = 0
+        for j, n in reversed(list(enumerate(longer))):
+            edges = heads[:n] + j
+            self.rest[edges] += total[:n]
+            total[:n] += p[edges]
 
     def draw(self, places: np.ndarray, noise: np.ndarray) -> np.ndarray:
         """An edge of each place by its probability."""
@@ -311,33 +312,48 @@ class Sampler:
         bounds = np.concatenate([where, [len(edges)]])[offsets]
         return [(edges[s:e], of[s:e]) for s, e in zip(bounds[:-1], bounds[1:])]
 
-    def _leave(self, text: int, draw: int, path: Path, heap: list, number: int, fixed: int, excluded: tuple[int, ...]) -> None:
-        """Nodes for what a new path leaves: siblings at its pieces from `fixed` on; at the first of them
-        the pieces in `excluded` are out as well."""
-        before = float(self.lattice.log_p[path.edges[:fixed]].sum())
-        look = 256
-        while True:
-            log_p = self.lattice.log_p[path.edges[fixed : fixed + look]]
-            phi = before + np.cumsum(log_p)  # after each piece
-            rest = self.lattice.rest[path.edges[fixed : fixed + look]]
-            if excluded and len(rest):
-                rest[0] = self._siblings(int(self.lattice.a[path.edges[fixed]]), (*excluded, int(path.edges[fixed])))[1].sum()
+    def _leave(self, texts: list[int], draw: int, paths: list[Path], heaps: list[list], fixed: list[int], excluded: list[tuple[int, ...]]) -> None:
+        """Nodes for what new paths leave: siblings at a path's pieces from `fixed` on; at the first of
+        them the pieces in `excluded` are out as well."""
+        lattice, rows, look = self.lattice, list(range(len(texts))), _LOOK
+        before = np.array([lattice.log_p[p.edges[:f]].sum() for p, f in zip(paths, fixed)])
+        first_rest = {
+            r: self._siblings(int(lattice.a[paths[r].edges[fixed[r]]]), (*excluded[r], int(paths[r].edges[fixed[r]])))[1].sum()
+            for r in rows if excluded[r]
+        }
+        while rows:
+            # The next pieces of all paths side by side; an edge that is not there leaves nothing.
+            edges = np.full((len(rows), look), -1, dtype=np.int64)
+            for i, r in enumerate(rows):
+                part = paths[r].edges[fixed[r] : fixed[r] + look]
+                edges[i, : len(part)] = part
+            there = edges >= 0
+            log_p = np.where(there, lattice.log_p[edges], 0.0)
+            rest = np.where(there, lattice.rest[edges], 0.0)
+            for i, r in enumerate(rows):
+                if r in first_rest:
+                    rest[i, 0] = first_rest[r]
+            phi = before[rows][:, None] + np.cumsum(log_p, axis=1)  # after each piece
             with np.errstate(divide="ignore"):
                 mass = phi - log_p + np.log(rest)
-            best = mass.max(initial=-np.inf)
+            best = mass.max(axis=1)
             # Later siblings have less mass than the path has left here.
-            if fixed + look >= len(path.edges) or phi[-1] < best - _REACH:
-                break
-            look *= 2
-        if best == -np.inf:
-            return
-        near = np.flatnonzero(mass >= best - _REACH)
-        noise = _gumbel(mix64(self.noise[text, draw, 2] + near.astype(np.uint64)))
-        values = -np.logaddexp(-path.value, -(mass[near] + noise))
-        for i in np.argsort(-values, kind="stable")[: self.k].tolist():
-            at = int(near[i])
-            out = (*(excluded if at == 0 else ()), int(path.edges[fixed + at]))
-            heappush(heap, (-float(values[i]), number, fixed + at, out))
+            done = ~there[:, -1] | (phi[:, -1] < best - _REACH)
+            at_row, at = np.nonzero((mass >= (best - _REACH)[:, None]) & (mass > -np.inf) & done[:, None])
+            owner = np.array(rows, dtype=np.int64)[at_row]
+            seeds = self.noise[np.array(texts, dtype=np.int64)[owner], draw, 2]
+            noise = _gumbel(mix64(seeds + at.astype(np.uint64)))
+            limit = np.array([p.value for p in paths])[owner]
+            values = -np.logaddexp(-limit, -(mass[at_row, at] + noise))
+            order = np.lexsort((at, -values, at_row))
+            place = np.arange(len(order)) - np.searchsorted(at_row[order], at_row[order])
+            # More than k nodes of one path can never be popped.
+            for i in order[place < self.k].tolist():
+                r, piece = int(owner[i]), int(at[i])
+                out = (*(excluded[r] if piece == 0 else ()), int(edges[at_row[i], piece]))
+                heappush(heaps[texts[r]], (-float(values[i]), draw, fixed[r] + piece, out))
+            rows = [r for r, d in zip(rows, done) if not d]
+            look *= 4
 
     def run(self) -> list[list[tuple[Path, float]]]:
         """Per text its samples, best first, with the threshold of its search."""
@@ -349,9 +365,8 @@ class Sampler:
         texts = list(range(n))
         roots = _gumbel(self.noise[:, 0, 0]).tolist()
         for t, (edges, unit) in enumerate(self._extend(texts, 0, [0] * n, [-1] * n)):
-            path = Path(edges, unit, roots[t])
-            found[t].append(path)
-            self._leave(t, 0, path, heaps[t], 0, 0, ())
+            found[t].append(Path(edges, unit, roots[t]))
+        self._leave(texts, 0, [f[0] for f in found], heaps, [0] * n, [()] * n)
         for draw in range(1, self.k):
             texts = [t for t in range(n) if heaps[t]]
             picks, begin, place = [], [], []
@@ -365,11 +380,10 @@ class Sampler:
                 place.append(int(self.lattice.b[edge]))
             for t, (value, number, at, excluded, edge), (edges, unit) in zip(texts, picks, self._extend(texts, draw, begin, place) if texts else []):
                 parent = found[t][number]
-                path = Path(
-                    np.concatenate([parent.edges[:at], [edge], edges]), np.concatenate([parent.unit[:at], [parent.unit[at]], unit]), value
-                )
-                found[t].append(path)
-                self._leave(t, draw, path, heaps[t], draw, at, excluded)
+                units = np.concatenate([parent.unit[:at], [parent.unit[at]], unit])
+                found[t].append(Path(np.concatenate([parent.edges[:at], [edge], edges]), units, value))
+            new = [found[t][-1] for t in texts]
+            self._leave(texts, draw, new, heaps, [p[2] for p in picks], [p[3] for p in picks])
         return [[(path, -heap[0][0] if heap else -np.inf) for path in paths] for paths, heap in zip(found, heaps)]
 
     def _siblings(self, place: int, excluded: tuple[int, ...]) -> tuple[list[int], np.ndarray]:
