@@ -37,6 +37,9 @@ def user_action(spark: SparkSession, folder: str) -> DataFrame:
             """CASE WHEN event_id % 101 = 0 THEN '[1,2]'
                     WHEN event_id % 23 = 1 THEN '{"x": 1}'
                     WHEN event_id % 101 = 2 THEN '{"content_id": "n/a"}'
+                    WHEN event_id % 101 = 4 THEN concat('{"content_id": ', cid)
+                    WHEN event_id % 101 = 6 THEN '{"content_id": null}'
+                    WHEN event_id % 101 = 8 THEN '{"content_id": [1, 2]}'
                     WHEN event_id % 23 = 3 THEN concat('{"content_id": "', cid, '"}')
                     ELSE concat('{"content_id": ', cid, '}') END AS event_data""",
             f"{seconds} AS created_at",

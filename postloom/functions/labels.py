@@ -40,6 +40,9 @@ def one_hot() -> list[str]:
 _NUMBER = "try_variant_get(value, '$', 'bigint')"
 _TEXT = r"regexp_replace(try_variant_get(value, '$', 'string'), r'^\s+|\s+$', '')"
 _IS_OBJECT = r"event_data RLIKE r'^\s*\{'"
+# An object without inner braces ends at its one brace. Others are parsed once more, as the only entry of a list.
+_ENDS_THERE = r"""coalesce(event_data RLIKE r'^\s*\{[^{}]*\}\s*$'
+    OR size(from_json(concat('[', event_data, ']'), 'array<variant>', map('allowSingleQuotes', 'false'))) = 1, false)"""
 # Nearly all payloads end at the first branch; the others need the kind of the value.
 _CONTENT_ID = rf"""
     CASE WHEN {_NUMBER} IS NOT NULL THEN {_NUMBER}
@@ -56,7 +59,8 @@ def with_content_id(log: DataFrame, strict: bool = False) -> DataFrame:
 
     A payload that is no object gives 0, an object without the key gives null. Texts that are no
     whole number give 0, fractions are cut off. Broken JSON and null, list or object values are
-    `bad_json` with a null id; `strict` raises on them instead.
+    `bad_json` with a null id; `strict` raises on them instead, and on text after the object as well,
+    which is ignored otherwise.
     """
     found = (
         log.selectExpr(
@@ -73,6 +77,7 @@ def with_content_id(log: DataFrame, strict: bool = False) -> DataFrame:
         )
     )
     if strict:
+        found = found.withColumn("bad_json", F.expr(f"bad_json OR ({_IS_OBJECT} AND NOT {_ENDS_THERE})"))
         refuse = "raise_error(concat('no usable content_id in event_data: ', coalesce(event_data, 'null')))"
         found = found.withColumn("content_id", F.expr(f"CASE WHEN bad_json THEN {refuse} ELSE content_id END"))
     return found.drop("value", "broken")
@@ -83,13 +88,15 @@ def labelled(
 ) -> DataFrame:
     """One row per usable log row: id, user_id, content_id, follow, created_at.
 
-    `missing` says what a row without a content id means: "drop" leaves the row out, together with
-    rows that lack a user, code or time; "zero" keeps the row under id 0. `counts` receives how many
-    rows there were and how many payloads were unusable, once the result is computed.
+    Rows with an unusable payload (`bad_json`) are left out. `missing` says what a row without a
+    content id means: "drop" leaves the row out, together with rows that lack a user, code or time;
+    "zero" keeps the row under id 0. `counts` receives how many rows there were and how many payloads
+    were unusable, once the result is computed.
     """
     rows = with_content_id(log, strict)
     if counts is not None:
         rows = rows.observe(counts, F.count("*").alias("log_rows"), F.count_if("bad_json").alias("bad_json"))
+    rows = rows.where("NOT bad_json")
     if missing == "drop":
         rows = rows.na.drop("any", subset=["user_id", "event_id", "content_id", "created_at"])
     elif missing == "zero":

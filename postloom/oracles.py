@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from postloom.functions.labels import EVENT_LABELS, FLAGS
-from postloom.operators.splits import TIERS
-from postloom.schemas import INTERACTIONS, NA_TOKENS
+# Fixed values, written out here once more: the statements must not follow a mistake in the library.
+EVENT_LABELS = {"thumb": (254, 248), "comment": (257, 249), "forward": (258, 256), "detail": (262, 263, 264, 310)}
+FLAGS = ("comment", "forward", "thumb", "detail", "neg")
+TIERS = (1, 2, 3, 4, 5)
+INTERACTIONS = (
+    "user_id", "topic_id", "desc", "genre_id", "introduction", "comment", "forward", "thumb", "detail", "neg", "created_at",
+)
+NA_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 
 def _quoted(columns) -> str:
@@ -36,6 +44,9 @@ TABLES = {
                CASE WHEN event_id % 101 = 0 THEN '[1,2]'
                     WHEN event_id % 23 = 1 THEN '{"x": 1}'
                     WHEN event_id % 101 = 2 THEN '{"content_id": "n/a"}'
+                    WHEN event_id % 101 = 4 THEN '{"content_id": ' || cid
+                    WHEN event_id % 101 = 6 THEN '{"content_id": null}'
+                    WHEN event_id % 101 = 8 THEN '{"content_id": [1, 2]}'
                     WHEN event_id % 23 = 3 THEN '{"content_id": "' || cid || '"}'
                     ELSE '{"content_id": ' || cid || '}' END AS event_data,
                epoch_us(ts) // 1000000 AS created_at
@@ -57,14 +68,20 @@ TABLES = {
                CASE WHEN c_custkey % 7 <> 6 THEN CAST(c_nationkey % 3 AS VARCHAR) END AS sex,
                CASE WHEN c_custkey % 11 <> 10 THEN CAST(c_acctbal AS VARCHAR) END AS zan_count
         FROM customer""",
+    "payloads": """
+        SELECT *, CASE WHEN json_valid(event_data) THEN event_data END AS payload FROM user_action""",
+    "judged": """
+        SELECT *, payload IS NULL OR payload LIKE '{%'
+                  AND coalesce(json_type(json_extract(payload, '$.content_id')), '') IN ('NULL', 'ARRAY', 'OBJECT') AS bad_json
+        FROM payloads""",
     "parsed": f"""
         SELECT id, user_id, event_id, created_at,
                CASE {_LABEL_CASES} ELSE 'neg' END AS follow,
-               CASE WHEN event_data NOT LIKE '{{%' THEN 0
-                    WHEN json_extract(event_data, '$.content_id') IS NULL THEN NULL
-                    ELSE coalesce(TRY_CAST(json_extract_string(event_data, '$.content_id') AS BIGINT), 0)
+               CASE WHEN payload NOT LIKE '{{%' THEN 0
+                    WHEN json_extract(payload, '$.content_id') IS NULL THEN NULL
+                    ELSE coalesce(TRY_CAST(json_extract_string(payload, '$.content_id') AS BIGINT), 0)
                END AS content_id
-        FROM user_action""",
+        FROM judged WHERE NOT bad_json""",
     "usable": """
         SELECT * FROM parsed
         WHERE user_id IS NOT NULL AND event_id IS NOT NULL AND content_id IS NOT NULL AND created_at IS NOT NULL""",
@@ -203,7 +220,9 @@ _CONTENT_TEXTS = ("content_title", "desc", "topic_title", "introduction")
 
 def oracle_sql() -> dict[str, str]:
     finals = {
-        "label_distribution": "SELECT follow, count(*) AS events FROM parsed GROUP BY follow",
+        "label_distribution": f"""
+            SELECT CASE {_LABEL_CASES} ELSE 'neg' END AS follow, count(*) AS events FROM user_action GROUP BY 1""",
+        "payload_counts": "SELECT count(*) AS log_rows, count(*) FILTER (bad_json) AS bad_json FROM judged",
         "content_id_counts": """
             SELECT coalesce(content_id, 0) AS content_id, count(*) AS events FROM parsed GROUP BY 1""",
         "user_dim": """

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom import fixtures
-from postloom.functions.labels import FLAGS, label, labelled
+from postloom.functions.labels import FLAGS, label, labelled, with_content_id
 from postloom.operators import enrich, repeats, sampling, topics
 from postloom.operators.splits import TIERS, Splits
 from postloom.plans import content, interactions, users
@@ -80,6 +80,11 @@ def _label_distribution(i: _Inputs) -> DataFrame:
     return i.log.groupBy(label().alias("follow")).agg(F.count("*").alias("events"))
 
 
+def _payload_counts(i: _Inputs) -> DataFrame:
+    rows = with_content_id(i.log)
+    return rows.agg(F.count("*").alias("log_rows"), F.count_if("bad_json").alias("bad_json"))
+
+
 def _content_id_counts(i: _Inputs) -> DataFrame:
     rows = labelled(i.log, missing="zero")
     return rows.groupBy("content_id").agg(F.count("*").alias("events"))
@@ -155,6 +160,7 @@ def _lenient_csv(i: _Inputs) -> DataFrame:
 
 _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "label_distribution": _label_distribution,
+    "payload_counts": _payload_counts,
     "content_id_counts": _content_id_counts,
     "user_dim": lambda i: users.user_dim(i.users),
     "activity": lambda i: sampling.activity(i.log),

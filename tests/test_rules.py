@@ -68,7 +68,7 @@ def test_content_id_of_each_payload(spark):
     got = {r["id"]: (r["content_id"], r["bad_json"]) for r in with_content_id(df).collect()}
     assert got == {i: c[1:] for i, c in enumerate(JSON_CASES)}
     ids = labelled(df, "zero").select("id", "content_id").collect()
-    assert {r[0]: r[1] for r in ids} == {i: c[1] or 0 for i, c in enumerate(JSON_CASES)}
+    assert {r[0]: r[1] for r in ids} == {i: c[1] or 0 for i, c in enumerate(JSON_CASES) if not c[2]}
     dropped = labelled(df, "drop").select("id").collect()
     assert {r[0] for r in dropped} == {i for i, c in enumerate(JSON_CASES) if c[1] is not None}
 
@@ -82,6 +82,20 @@ def test_strict_raises_on_unusable_payload(spark, payload):
     assert with_content_id(usable, strict=True).select("content_id").collect()[0][0] is None
 
 
+@pytest.mark.parametrize("payload", ['{"content_id": 5}junk', '{"content_id": 5} {"x": 1}', '{"content_id": 5}, {"a": 1}', '{"a": {"b": 1}}}'])
+def test_strict_raises_on_text_after_the_object(spark, payload):
+    df = spark.createDataFrame([(1, 1, 254, payload, 1)], LOG)
+    assert with_content_id(df).select("content_id").collect()[0][0] in (5, None)
+    with pytest.raises(PySparkException):
+        with_content_id(df, strict=True).select("content_id").collect()
+
+
+@pytest.mark.parametrize("payload", ['{"content_id": 5, "a": {"b": "}"}} ', '{"content_id": 5, "a": "{"}', "[1]", '{"content_id": 5}'])
+def test_strict_takes_whole_objects(spark, payload):
+    df = spark.createDataFrame([(1, 1, 254, payload, 1)], LOG)
+    assert with_content_id(df, strict=True).select("content_id").collect()[0][0] in (5, 0)
+
+
 def test_labels_and_flags(spark):
     codes = [c for group in EVENT_LABELS.values() for c in group] + [100, 221, None]
     df = spark.createDataFrame([(c,) for c in codes], "event_id int").withColumn("follow", label())
