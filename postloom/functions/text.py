@@ -38,8 +38,3 @@ def to_long(text: Column) -> Column:
 
 def to_long_or_zero(text: Column) -> Column:
     return F.coalesce(to_long(text), F.lit(0).cast("long"))
-
-
-def list_length(joined: Column) -> Column:
-    """Number of entries of a comma-joined list; 0 when there is none."""
-    return F.coalesce(F.size(F.split(joined, ",")), F.lit(0)).cast("long")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postloom.operators.ordering import HEAVY_ROWS, heavy_keys, range_parts
+from postloom.operators.ordering import range_parts
 
 
 def _joined(df: DataFrame, keys: list[str], order: list[str], item: str) -> DataFrame:
@@ -18,32 +18,19 @@ def _joined(df: DataFrame, keys: list[str], order: list[str], item: str) -> Data
 
 
 def list_pieces(items: DataFrame, key: str, order: list[str], item: str) -> DataFrame:
-    """The lists in pieces of bounded size: key, part, list, num. Pieces of a key follow `part`.
+    """The lists in pieces: key, part, list, num. Pieces of a key follow `part`.
 
-    For keys whose list is too long for one cell this is the form to keep.
+    Rows are spread evenly over parts, so a piece has a part's rows at most, however long the list of
+    its key. This is the form without a bound on the length of a list.
     """
     parts = range_parts(items, list(dict.fromkeys([key, *order, item])))
     return _joined(parts, [key, "part"], order, item)
 
 
-def ordered_lists(
-    items: DataFrame, key: str, order: list[str], item: str, heavy_rows: int = HEAVY_ROWS
-) -> DataFrame:
+def ordered_lists(items: DataFrame, key: str, order: list[str], item: str) -> DataFrame:
     """Per key the items in `order`, comma-joined (`list`), and how many (`num`).
 
-    `items` is a stored table with one row per key and item. A key with many items is sorted and
-    joined piece by piece in many tasks; the task that owns the key only strings the pieces together.
+    `items` has one row per key and item. The list of a key is one cell, so one task has to make it
+    and 2 GB are its limit; `list_pieces` has neither.
     """
-    heavy = heavy_keys(items, key, heavy_rows)
-    if heavy is None:
-        return _joined(items, [key], order, item)
-    # At most MOST_HEAVY keys, see heavy_keys.
-    heavy = F.broadcast(heavy)
-    light = _joined(items.join(heavy, key, "left_anti"), [key], order, item)
-    pieces = list_pieces(items.join(heavy, key, "left_semi"), key, order, item)
-    whole = pieces.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("part", "list"))).alias("pieces"), F.sum("num").alias("num")
-    )
-    return light.unionByName(
-        whole.select(key, F.array_join(F.transform("pieces", lambda p: p["list"]), ",").alias("list"), "num")
-    )
+    return _joined(items, [key], order, item)

@@ -1,4 +1,4 @@
-"""Heavy keys, and positions in a total order, without one task ever holding a whole group."""
+"""Pieces of large groups, and positions in a total order, without one task ever holding a whole group."""
 
 from __future__ import annotations
 
@@ -7,29 +7,17 @@ from pyspark.sql import functions as F
 
 from postloom.session import store
 
-# A group of fewer rows than this is small work for one task.
-HEAVY_ROWS = 1_000_000
-# Bound on the heavy keys that are broadcast. Keys past it hold at most rows / MOST_HEAVY rows each.
-MOST_HEAVY = 100_000
+# Rows of a piece: what one task sorts or ranks at a time.
+ROWS_PER_PIECE = 1_000_000
 
 
-def heavy_keys(stored: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> DataFrame | None:
-    """The keys with `heavy_rows` rows or more, at most MOST_HEAVY of them; None when there are none.
+def pieces_per_key(rows: DataFrame, key: str, rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
+    """(key, pieces): rows / rows_per_piece rounded up, for the keys with more than one piece.
 
-    `stored` is read up to two times, so it should be a stored table.
+    The table is stored, so Spark knows its size when it picks the join with the rows.
     """
-    if stored.count() < heavy_rows:
-        return None
-    heavy = store(
-        stored.groupBy(key)
-        .agg(F.count("*").alias("rows"))
-        .where(F.col("rows") >= heavy_rows)
-        .orderBy(F.col("rows").desc(), key)
-        .limit(MOST_HEAVY)
-        .select(key),
-        "heavy",
-    )
-    return None if heavy.isEmpty() else heavy
+    counts = rows.groupBy(key).agg(F.ceil(F.count("*") / F.lit(rows_per_piece)).cast("int").alias("pieces"))
+    return store(counts.where("pieces > 1"), "pieces")
 
 
 def range_parts(df: DataFrame, order: list[str]) -> DataFrame:

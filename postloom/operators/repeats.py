@@ -39,7 +39,8 @@ def merge_flags(enriched: DataFrame) -> DataFrame:
     A positive repeats when its user has another positive with the same text, null texts included.
     Repeated rows get the OR of each flag over the text; a null text equals none, so its rows get 0.
     Sums per text are joined back rather than taken in a window: partial sums fold a hot text on
-    the map side, and adaptive execution can split a join but not a window.
+    the map side, and adaptive execution can split a join but not a window. `enriched` is read
+    twice, so it should be a stored table.
     """
     keyed = enriched.withColumn("desc_key", text_key(F.col("desc")))
     is_positive = F.col("follow") != "neg"
@@ -64,16 +65,17 @@ def merge_flags(enriched: DataFrame) -> DataFrame:
 
 
 # What the last row of a repeated text brings along; time and log id lead, so "last" means latest.
-LAST_COLUMNS = ("created_at", "id", "content_id", "topic_id", "genre_id", "introduction")
+LAST_COLUMNS = ("created_at", "id", "content_id", "topic_id")
 
 
 def last_per_text(positives: DataFrame) -> DataFrame:
     """Positives merged to one row per user and text: merged flags, all else from the last row.
 
     The same result as `merge_flags` followed by "keep the last row", in a single aggregation.
+    `copies` says how many rows a row stands for, which counts when repeats are told from single rows.
     """
     merged = positives.groupBy("user_id", "desc_key").agg(
-        F.count("*").alias("n"),
+        F.sum("copies").alias("n"),
         *[F.max(flag).alias(flag) for flag in MERGED_FLAGS],
         F.max(F.struct(*LAST_COLUMNS)).alias("last"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postloom.operators.ordering import HEAVY_ROWS, heavy_keys
+from postloom.operators.ordering import ROWS_PER_PIECE, pieces_per_key
 from postloom.session import store
 
 LOG_COLUMNS = ("user_id", "event_id", "event_data", "created_at")
@@ -23,43 +23,45 @@ def _typed_log(log: DataFrame) -> DataFrame:
     )
 
 
-def capped_log(log: DataFrame, cap: int = 10_000) -> DataFrame:
-    """Complete log rows of users with fewer than `cap` events.
+def capped_rows(log: DataFrame, events: DataFrame, cap: int = 10_000) -> DataFrame:
+    """Complete log rows of users with fewer than `cap` events, by their stored `activity`.
 
     Only the few users at or over the cap are stored and taken out. While that table is under
     Spark's broadcast threshold the log itself is not shuffled; beyond it, the join is a
     sort-merge join, whose skewed partitions adaptive execution splits.
     """
-    over = store(activity(log).where(F.col("events") >= cap).select("user_id"), "over-cap")
+    over = store(events.where(F.col("events") >= cap).select("user_id"), "over-cap")
     return _typed_log(log).join(over, "user_id", "left_anti")
 
 
+def capped_log(log: DataFrame, cap: int = 10_000) -> DataFrame:
+    return capped_rows(log, activity(log), cap)
+
+
 def seeded(seed: int, *columns: str) -> Column:
     """A reproducible random order: a pure function of the row, so retries cannot change it."""
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in columns]))
 
 
-def cohort(log: DataFrame, size: int = 5_000, cap: int = 10_000, seed: int = 0, strict: bool = False) -> DataFrame:
-    """`size` users under the cap, drawn without replacement. `strict` raises if there are fewer."""
+def drawn_users(events: DataFrame, size: int = 5_000, cap: int = 10_000, seed: int = 0, strict: bool = False) -> DataFrame:
+    """`size` users under the cap, drawn without replacement from an `activity`. `strict` raises if
+    there are fewer."""
     drawn = (
-        activity(log)
-        .where(F.col("events") < cap)
+        events.where(F.col("events") < cap)
         .orderBy(seeded(seed, "user_id"), "user_id")
         .limit(size)
         .select("user_id")
     )
-    if strict:
-        drawn = store(drawn, "cohort")
-        if drawn.count() < size:
-            raise ValueError(f"fewer than {size} users are under the cap of {cap} events")
+    # Stored, so that the users are drawn once and Spark knows how many they are.
+    drawn = store(drawn, "cohort")
+    if strict and drawn.count() < size:
+        raise ValueError(f"fewer than {size} users are under the cap of {cap} events")
     return drawn
 
 
 def cohort_log(log: DataFrame, size: int = 5_000, cap: int = 10_000, seed: int = 0, strict: bool = False) -> DataFrame:
     """Complete log rows of a cohort."""
-    users = cohort(log, size, cap, seed, strict)
-    # The cohort has `size` rows at most; a very large one is left to Spark's own choice of join.
-    users = F.broadcast(users) if size <= 1_000_000 else users
+    users = drawn_users(activity(log), size, cap, seed, strict)
     return _typed_log(log).join(users, "user_id", "left_semi")
 
 
@@ -103,29 +105,25 @@ def negative_quotas(engagements: DataFrame) -> DataFrame:
 
 
 def sample_negatives(
-    engagements: DataFrame, seed: int = 0, strict: bool = False, heavy_rows: int = HEAVY_ROWS
+    engagements: DataFrame, seed: int = 0, strict: bool = False, rows_per_piece: int = ROWS_PER_PIECE
 ) -> DataFrame:
     """Per user the quota of negatives, in seeded order. `engagements` is a stored table.
 
-    The rows of a user are cut into slices by the leading digits of the seeded order: one slice, or
-    4096 for a heavy user, so no task has to rank all rows of a user. Slice sizes tell which slices
-    the quota reaches and how many rows it takes from each.
-    A quota over the user's negatives takes them all; `strict` raises.
+    The rows of a user are cut into slices by the leading digits of the seeded order: as many digits
+    as bring a slice to about `rows_per_piece` rows, none for nearly all users, so no task has to
+    rank all rows of a user. Slice sizes tell which slices the quota reaches and how many rows it
+    takes from each. A quota over the user's negatives takes them all; `strict` raises.
     """
     digest = seeded(seed, "user_id", "content_id")
-    rows = negatives(engagements).withColumn("draw", digest)
-    heavy = heavy_keys(rows, "user_id", heavy_rows)
-    if heavy is None:
-        rows = rows.withColumn("slice", F.lit(""))
-    else:
-        # At most MOST_HEAVY users, see heavy_keys.
-        rows = rows.join(F.broadcast(heavy.withColumn("is_heavy", F.lit(True))), "user_id", "left").withColumn(
-            "slice", F.when(F.col("is_heavy"), F.substring("draw", 1, 3)).otherwise(F.lit(""))
-        )
+    digits = pieces_per_key(negatives(engagements), "user_id", rows_per_piece).select(
+        "user_id", F.ceil(F.log(16.0, F.col("pieces"))).cast("int").alias("digits")
+    )
+    rows = negatives(engagements).withColumn("draw", digest).join(digits, "user_id", "left")
+    rows = rows.withColumn("slice", F.expr("substring(draw, 1, coalesce(digits, 0))")).drop("digits")
     ratio = pos_neg_ratio(engagements).select("ratio").scalar()
     of_user = Window.partitionBy("user_id")
     earlier = of_user.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    # At most 4096 rows per user.
+    # One row per slice: about rows / rows_per_piece of them for a user.
     slices = (
         rows.groupBy("user_id", "slice")
         .agg(F.count("*").alias("n"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from functools import cached_property
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postloom.operators.ordering import HEAVY_ROWS, running_totals
+from postloom.operators.ordering import running_totals
 from postloom.session import store
 
 TIERS = (1, 2, 3, 4, 5)
@@ -25,6 +26,13 @@ def tier(rows: DataFrame, k: int) -> DataFrame:
     return rows.where(f"content_num > {k}")
 
 
+def clustered(rows: DataFrame, order: str = "reference") -> DataFrame:
+    """Rows range-partitioned and sorted in the order of a split: stored like this, a filter on groups
+    of rows skips most of the files and row groups."""
+    by, inside = ORDERS[order]
+    return rows.repartitionByRange(*by).sortWithinPartitions(*by, *inside)
+
+
 class Cut(NamedTuple):
     """The group a position falls in, how many rows come before that group, and its size."""
 
@@ -46,6 +54,11 @@ def _compared(columns: list[str], sign: str, group: tuple[int, ...]) -> str:
     return "(" + " OR ".join(f"({c})" for c in choices) + ")"
 
 
+def _group(columns: list[str], group: tuple[int, ...]) -> str:
+    """SQL: whether a row is of a group."""
+    return "(" + " AND ".join(f"{c} = {v}" for c, v in zip(columns, group)) + ")"
+
+
 class Splits:
     """Train, dev and test parts of each tier of `rows`, a stored table with `content_num`.
 
@@ -53,14 +66,11 @@ class Splits:
     train loses all rows of the user in its last row, dev and test all rows of the user in their
     first row. A position is found through running totals over one row per user, not over the rows;
     the parts are then plain filters on the stored table. Only dev can end inside a user, so only
-    that user's rows are put in order: in one task, or by running totals from `heavy_rows` rows on.
-    An empty part stays empty.
+    the rows of such users, one per tier, are put in order. An empty part stays empty.
     """
 
-    def __init__(
-        self, rows: DataFrame, order: str = "reference", tiers: tuple[int, ...] = TIERS, heavy_rows: int = HEAVY_ROWS
-    ):
-        self.rows, self.tiers, self.heavy_rows = rows, tiers, heavy_rows
+    def __init__(self, rows: DataFrame, order: str = "reference", tiers: tuple[int, ...] = TIERS):
+        self.rows, self.tiers = rows, tiers
         self.by, self.inside = ORDERS[order]
         sizes = rows.groupBy(*self.by).agg(F.count("*").alias("n"), F.max("content_num").alias("content_num"))
         weights = {f"before_{k}": f"CASE WHEN content_num > {k} THEN n ELSE 0 END" for k in tiers}
@@ -90,48 +100,82 @@ class Splits:
             if row["content_num"] > k and row[f"before_{k}"] <= at < row[f"before_{k}"] + row["n"]
         }
 
-    def train(self, k: int) -> DataFrame:
-        rows = tier(self.rows, k)
+    def _train(self, k: int) -> str:
+        """SQL: whether a row of tier `k` is in train."""
         last = self.cuts.get((k, self.ends[k][0] - 1))
-        if last is None:
-            return rows.where("false")
-        return rows.where(f"{_compared(self.by, '<', last.group)} AND user_id <> {last.user}")
+        return "false" if last is None else f"({_compared(self.by, '<', last.group)} AND user_id <> {last.user})"
 
-    def dev(self, k: int) -> DataFrame:
+    def _dev(self, k: int) -> tuple[str, Cut | None, int]:
+        """SQL: whether a row of tier `k` is in dev with its whole group; the group dev ends in, and how
+        many of its first rows are in dev."""
         start, end, _ = self.ends[k]
         first, after = self.cuts.get((k, start)), self.cuts.get((k, end))
-        rows = tier(self.rows, k)
         if first is None or after is None or start == end:
-            return rows.where("false")
-        whole = rows.where(
-            f"{_compared(self.by, '>', first.group)} AND user_id <> {first.user}"
-            f" AND {_compared(self.by, '<', after.group)}"
-        )
+            return "false", None, 0
+        whole = f"({_compared(self.by, '>', first.group)} AND user_id <> {first.user} AND {_compared(self.by, '<', after.group)})"
         left = end - after.before
-        if left == 0 or after.user == first.user:
-            return whole
-        cut_group = rows.where(" AND ".join(f"{c} = {v}" for c, v in zip(self.by, after.group)))
-        rest = [c for c in rows.columns if c not in (*self.by, *self.inside)]
-        order = [*self.inside, *rest]
-        if after.size < self.heavy_rows:
-            over = f"PARTITION BY {', '.join(self.by)} ORDER BY {', '.join(f'`{c}`' for c in order)}"
-            ordered = cut_group.selectExpr("*", f"row_number() OVER ({over}) - 1 AS position")
-        else:
-            ordered = running_totals(cut_group, order, {"position": "1"})
-        return whole.unionByName(ordered.where(f"position < {left}").drop("position"))
-
-    def test_users(self, k: int) -> DataFrame:
-        """The users of the test part, one row each."""
-        start = self.cuts.get((k, self.ends[k][1]))
-        users = tier(self.groups, k)
-        if start is None:
-            return users.where("false").select("user_id")
-        return (
-            users.where(f"{_compared(self.by, '>', start.group)} AND user_id <> {start.user}")
-            .select("user_id")
-            .distinct()
-        )
+        return whole, after if left and after.user != first.user else None, left
+
+    @cached_property
+    def _cut_rows(self) -> DataFrame | None:
+        """The rows of the groups that dev ends in, with their `position` in the group; None without any."""
+        groups = {after.group for _, after, _ in map(self._dev, self.tiers) if after}
+        if not groups:
+            return None
+        rows = self.rows.where(" OR ".join(_group(self.by, g) for g in sorted(groups)))
+        # Rows of one log id differ in what they were joined with: any fixed order of these will do.
+        rest = F.xxhash64(*[c for c in rows.columns if c not in (*self.by, *self.inside)])
+        order = [*self.by, *self.inside, "rest"]
+        placed = running_totals(rows.withColumn("rest", rest), order, {"place": "1"})
+        starts = placed.groupBy(*self.by).agg(F.min("place").alias("start"))
+        return store(placed.join(starts, self.by).selectExpr(*rows.columns, "place - start AS position"), "cut-rows")
+
+    def parts(self) -> DataFrame:
+        """Train and dev of all tiers: the rows with tier `k` and `part`, from one pass over the rows."""
+        choices, cuts = [], []
+        for k in self.tiers:
+            dev, after, left = self._dev(k)
+            choices.append(
+                f"CASE WHEN content_num > {k} AND {self._train(k)} THEN struct({k} AS k, 'train' AS part)"
+                f" WHEN content_num > {k} AND {dev} THEN struct({k} AS k, 'dev' AS part) END"
+            )
+            if after:
+                inside = f"content_num > {k} AND {_group(self.by, after.group)} AND position < {left}"
+                cuts.append(f"CASE WHEN {inside} THEN struct({k} AS k, 'dev' AS part) END")
+
+        def chosen(rows: DataFrame, cases: list[str]) -> DataFrame:
+            return rows.selectExpr(*self.rows.columns, f"inline(filter(array({', '.join(cases)}), x -> x IS NOT NULL))")
+
+        whole = chosen(self.rows, choices)
+        return whole.unionByName(chosen(self._cut_rows, cuts)) if cuts else whole
+
+    def train(self, k: int) -> DataFrame:
+        return tier(self.rows, k).where(self._train(k))
+
+    def dev(self, k: int) -> DataFrame:
+        whole, after, left = self._dev(k)
+        rows = tier(self.rows, k).where(whole)
+        if after is None:
+            return rows
+        cut = self._cut_rows.where(f"{_group(self.by, after.group)} AND content_num > {k} AND position < {left}")
+        return rows.unionByName(cut.drop("position"))
+
+    def test_users(self) -> DataFrame:
+        """The users of the test part of each tier: `k` and user_id, each once."""
+        choices = []
+        for k in self.tiers:
+            start = self.cuts.get((k, self.ends[k][1]))
+            if start is not None:
+                inside = f"content_num > {k} AND {_compared(self.by, '>', start.group)} AND user_id <> {start.user}"
+                choices.append(f"CASE WHEN {inside} THEN {k} END")
+        if not choices:
+            return self.groups.selectExpr("0 AS k", "user_id").where("false")
+        tiers = f"explode(filter(array({', '.join(choices)}), x -> x IS NOT NULL)) AS k"
+        return self.groups.selectExpr("user_id", tiers).select("k", "user_id").distinct()
+
+    def tests(self, lists: DataFrame) -> DataFrame:
+        """The test parts as ground truth: `k`, and each user with the list of posts."""
+        return self.test_users().join(lists.select("user_id", "content_list"), "user_id", "left")
 
     def test(self, k: int, lists: DataFrame) -> DataFrame:
-        """The test part as ground truth: each user with the list of posts."""
-        return self.test_users(k).join(lists.select("user_id", "content_list"), "user_id", "left")
+        return self.tests(lists).where(F.col("k") == k).drop("k")

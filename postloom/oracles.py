@@ -240,6 +240,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT DISTINCT topic_id, topic_praise_count, topic_reply_count, topic_forward_count FROM content_raw""",
         "content_raw": "SELECT * FROM content_raw",
         "inter_list": "SELECT * FROM inter_lists",
+        "inter_list_pieces": """
+            SELECT *, CAST(len(string_split(inter_list, ',')) AS BIGINT) AS num FROM inter_lists""",
         "content": "SELECT * FROM content",
         "content_author": """
             SELECT c.*, p.user_id AS author_user_id
@@ -260,7 +262,10 @@ def oracle_sql() -> dict[str, str]:
         "split_train": f"SELECT {_INTERACTION}, k FROM reference_split WHERE part = 'train'",
         "split_dev": f"SELECT {_INTERACTION}, k FROM reference_split WHERE part = 'dev'",
         "split_test": "SELECT DISTINCT user_id, content_list, k FROM reference_split WHERE part = 'test'",
-        "split_user_order": f"SELECT {_INTERACTION}, k, part FROM by_user_split WHERE part <> 'test'",
+        "split_user_order": f"""
+            SELECT {_INTERACTION}, k, part FROM by_user_split WHERE part <> 'test'
+            UNION ALL BY NAME
+            SELECT DISTINCT user_id, content_list AS "desc", k, part FROM by_user_split WHERE part = 'test'""",
         "preview": f"""
             SELECT {_INTERACTION} FROM rows_in_order ORDER BY block, user_id, created_at, id LIMIT 3000""",
         "tsv_roundtrip": "SELECT * REPLACE (" + ", ".join(

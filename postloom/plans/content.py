@@ -2,31 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from postloom.functions.labels import is_positive, labelled
-from postloom.operators.lists import ordered_lists
-from postloom.operators.ordering import HEAVY_ROWS
-from postloom.session import store
+from postloom.operators.lists import list_pieces, ordered_lists
 
 
-def post_users(capped_log: DataFrame, strict: bool = False) -> DataFrame:
+def post_users(capped_log: DataFrame, strict: bool = False, counts: Observation | None = None) -> DataFrame:
     """Each post with each user who engaged with it; rows without a post id count for id 0."""
     positive = capped_log.where(is_positive())
-    return labelled(positive, missing="zero", strict=strict).select("content_id", "user_id").distinct()
+    return labelled(positive, missing="zero", strict=strict, counts=counts).select("content_id", "user_id").distinct()
 
 
-def inter_list(capped_log: DataFrame, strict: bool = False, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Per post the users who engaged with it, by ascending id."""
-    pairs = store(post_users(capped_log, strict), "post-users")
-    lists = ordered_lists(pairs, "content_id", ["user_id"], "user_id", heavy_rows)
+def inter_list(pairs: DataFrame) -> DataFrame:
+    """Per post the users who engaged with it, by ascending id, from `post_users`."""
+    lists = ordered_lists(pairs, "content_id", ["user_id"], "user_id")
     return lists.select("content_id", F.col("list").alias("inter_list"))
 
 
-def content(raw: DataFrame, inter_lists: DataFrame) -> DataFrame:
-    """Content with its users. The list of id 0 stands for "no post" and is left out."""
-    known = inter_lists.where(F.col("content_id") != 0)
+def inter_list_pieces(pairs: DataFrame) -> DataFrame:
+    """The same lists in pieces, without a bound on the users of a post: content_id, part, inter_list, num."""
+    return list_pieces(pairs, "content_id", ["user_id"], "user_id").withColumnRenamed("list", "inter_list")
+
+
+def content(raw: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Content with its users, from `post_users`. Id 0 stands for "no post"; its list is not made."""
+    known = inter_list(pairs.where(F.col("content_id") != 0))
     return raw.join(known, "content_id", "left").select(*raw.columns, "inter_list")
 
 

@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from postloom.functions.labels import is_positive, labelled
 from postloom.functions.text import clean
-from postloom.operators.enrich import enriched_keys, with_text
-from postloom.operators.lists import ordered_lists
-from postloom.operators.ordering import HEAVY_ROWS
+from postloom.operators.enrich import post_table, topic_copies, with_last_topic, with_post, with_text, with_topic
+from postloom.operators.lists import list_pieces, ordered_lists
 from postloom.operators.repeats import engagements, last_per_text
-from postloom.operators.sampling import negatives, positives, sample_negatives
-from postloom.operators.splits import tier
+from postloom.operators.sampling import positives, sample_negatives
+from postloom.operators.splits import TIERS
 from postloom.schemas import INTERACTIONS, TIER
 from postloom.session import store
 
@@ -31,34 +30,44 @@ def first_engagements(engaged: DataFrame) -> DataFrame:
     )
 
 
-def content_lists(engaged: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def content_lists(engaged: DataFrame) -> DataFrame:
     """Per user the distinct posts in order of first engagement, and how many."""
-    firsts = store(first_engagements(engaged), "first-engagements")
-    lists = ordered_lists(firsts, "user_id", ["first_at", "first_id"], "content_id", heavy_rows)
+    lists = ordered_lists(first_engagements(engaged), "user_id", ["first_at", "first_id"], "content_id")
     return lists.select("user_id", F.col("list").alias("content_list"), F.col("num").alias("content_num"))
 
 
-def user_content_list(log: DataFrame, strict: bool = False, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def content_list_pieces(engaged: DataFrame) -> DataFrame:
+    """The same lists in pieces, without a bound on the posts of a user: user_id, part, content_list, num."""
+    pieces = list_pieces(first_engagements(engaged), "user_id", ["first_at", "first_id"], "content_id")
+    return pieces.withColumnRenamed("list", "content_list")
+
+
+def user_content_list(log: DataFrame, strict: bool = False) -> DataFrame:
     """`content_lists` straight from the log; reads the rows of positive events only."""
     positive = labelled(log.where(is_positive()), missing="drop", strict=strict)
-    return content_lists(engagements(positive), heavy_rows)
+    return content_lists(engagements(positive))
 
 
-def sampled_union(engaged: DataFrame, seed: int = 0, strict: bool = False, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def sampled_union(engaged: DataFrame, seed: int = 0, strict: bool = False) -> DataFrame:
     """All positives and the sampled negatives."""
-    return positives(engaged).unionByName(sample_negatives(engaged, seed, strict, heavy_rows))
+    return positives(engaged).unionByName(sample_negatives(engaged, seed, strict))
 
 
 def ordered_interactions(
-    engaged: DataFrame, posts: DataFrame, topics: DataFrame,
-    seed: int = 0, strict: bool = False, heavy_rows: int = HEAVY_ROWS,
+    engaged: DataFrame, posts: DataFrame, topics: DataFrame, seed: int = 0, strict: bool = False
 ) -> DataFrame:
-    """Interactions with the columns that order them: block (0 positives, 1 negatives) and log id."""
-    merged = last_per_text(enriched_keys(positives(engaged), posts, topics)).withColumn("block", F.lit(0))
-    sampled = enriched_keys(sample_negatives(engaged, seed, strict, heavy_rows), posts, topics)
-    both = merged.unionByName(sampled.select(*[c for c in merged.columns if c != "block"], F.lit(1).alias("block")))
+    """Interactions with the columns that order them: block (0 positives, 1 negatives) and log id.
+
+    Texts and introductions stay out of the merge of repeats: keys stand for texts, and topics are
+    looked up afterwards.
+    """
+    table = post_table(posts)
+    merged = last_per_text(topic_copies(with_post(positives(engaged), table), topics))
+    merged = with_last_topic(merged, topics).withColumn("block", F.lit(0))
+    sampled = with_topic(with_post(sample_negatives(engaged, seed, strict), table), topics)
+    both = store(merged.unionByName(sampled.select(*[c for c in merged.columns if c != "block"], F.lit(1).alias("block"))), "keyed-interactions")
     zero = F.lit(0).cast("long")
-    return with_text(both, posts).select(
+    return with_text(both, table).select(
         *[
             F.coalesce(c, zero).alias(c) if c in ("topic_id", "genre_id")
             else clean(F.col(c)).alias(c) if c == "introduction"
@@ -73,12 +82,9 @@ def public(rows: DataFrame, contract: dict[str, str] = INTERACTIONS) -> DataFram
     return rows.select(*contract)
 
 
-def interactions(
-    engaged: DataFrame, posts: DataFrame, topics: DataFrame,
-    seed: int = 0, strict: bool = False, heavy_rows: int = HEAVY_ROWS,
-) -> DataFrame:
+def interactions(engaged: DataFrame, posts: DataFrame, topics: DataFrame, seed: int = 0, strict: bool = False) -> DataFrame:
     """Labelled interactions: positives merged per text, and sampled negatives."""
-    return public(ordered_interactions(engaged, posts, topics, seed, strict, heavy_rows))
+    return public(ordered_interactions(engaged, posts, topics, seed, strict))
 
 
 def with_content_num(rows: DataFrame, lists: DataFrame) -> DataFrame:
@@ -87,10 +93,18 @@ def with_content_num(rows: DataFrame, lists: DataFrame) -> DataFrame:
     return joined.withColumn("content_num", F.coalesce("content_num", F.lit(0).cast("long")))
 
 
-def tier_rows(rows: DataFrame, lists: DataFrame, k: int) -> DataFrame:
-    """Tier `k` as written: each interaction together with the list of its user.
+def with_top_tier(rows: DataFrame, tiers: tuple[int, ...] = TIERS) -> DataFrame:
+    """The rows of any tier with `top`, their highest one: tier k is the rows with top >= k."""
+    top = F.greatest(*[F.when(F.col("content_num") > k, k) for k in tiers], F.lit(None).cast("int"))
+    return rows.withColumn("top", top).where(F.col("top").isNotNull())
+
+
+def wide_tiers(rows: DataFrame, lists: DataFrame, tiers: tuple[int, ...] = TIERS) -> DataFrame:
+    """All tiers as single tables have them, with tier `k`: each interaction with the list of its user.
 
-    The list is joined last, on the rows of the tier only, since it repeats on each of them.
+    The list repeats on each row of its user in each tier, so this form grows with the square of a
+    user's posts. One pass over the rows and one join make all tiers.
     """
-    kept = tier(rows, k).drop("content_num")
-    return public(kept.join(lists, "user_id", "left"), TIER)
+    each = F.explode(F.filter(F.array(*[F.lit(k) for k in tiers]), lambda k: F.col("content_num") > k))
+    tiers_of = rows.withColumn("k", each).drop("content_num")
+    return tiers_of.join(lists, "user_id", "left").select(*TIER, "k")

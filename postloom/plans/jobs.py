@@ -1,4 +1,8 @@
-"""The batch jobs: exports in, products out. Each returns its row counts."""
+"""The batch jobs: exports in, products out. Each returns its row counts.
+
+A job runs inside `scratch`, so its intermediate tables are gone when it ends. What a job reads more
+than once is read from a product it has written, or from an intermediate Parquet table.
+"""
 
 from __future__ import annotations
 
@@ -6,79 +10,132 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.operators import sampling, topics
-from postloom.operators.splits import TIERS, Splits, tier
+from postloom.operators.splits import ORDERS, TIERS, Splits, clustered
 from postloom.plans import content, interactions, users
 from postloom.schemas import CAPPED_LOG
-from postloom.session import store
+from postloom.session import scratch, store
 from postloom.sources import exports
 from postloom.sources.products import write_product
 
-_READERS = {
-    "log": exports.read_user_action,
-    "posts": exports.read_posts,
-    "topics": exports.read_topics,
-    "users": exports.read_users,
-}
+
+def _is_csv(path: str) -> bool:
+    return path.rstrip("/").endswith(".csv")
+
+
+def read_input(spark: SparkSession, kind: str, path: str, multiline: bool = True, lenient: bool = False) -> tuple[DataFrame, Observation | None]:
+    """An export, and the counts of its lines if lenient: a CSV path ends in .csv, all else is Parquet
+    with the same columns. Lines with too many fields raise; `lenient` leaves them out of posts and
+    topics."""
+    if not _is_csv(path):
+        return spark.read.parquet(path), None
+    if kind in ("posts", "topics"):
+        read = exports.read_posts if kind == "posts" else exports.read_topics
+        counts = Observation(kind) if lenient else None
+        return read(spark, path, not lenient, multiline, counts), counts
+    read = exports.read_user_action if kind == "log" else exports.read_users
+    return read(spark, path, multiline), None
 
 
-def read_input(spark: SparkSession, kind: str, path: str, **options: bool) -> DataFrame:
-    """An export: a CSV path ends in .csv, all else is Parquet with the same columns."""
-    if path.rstrip("/").endswith(".csv"):
-        return _READERS[kind](spark, path, **options)
-    return spark.read.parquet(path)
+def ingest(spark: SparkSession, kind: str, path: str, multiline: bool = True, lenient: bool = False) -> tuple[DataFrame, dict[str, int]]:
+    """An input as a Parquet table, and its counts: a CSV export is read once and stored."""
+    table, counts = read_input(spark, kind, path, multiline, lenient)
+    if not _is_csv(path):
+        return table, {}
+    table = store(table, kind)
+    return table, {f"{kind}_{name}": value for name, value in counts.get.items()} if counts else {}
 
 
-def user_job(user_table: DataFrame, out: str, form: str = "parquet") -> None:
-    write_product(users.user_dim(user_table), f"{out}/user", form)
+def _product(df: DataFrame, path: str, form: str, label: str) -> DataFrame:
+    """Write a product and return it for further use: read back, or for texts from a stored table."""
+    if form == "parquet":
+        write_product(df, path, form)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = store(df, label)
+    write_product(stored, path, form)
+    return stored
+
+
+def user_job(user_table: DataFrame, out: str, form: str = "parquet") -> dict[str, int]:
+    return {"users": _product(users.user_dim(user_table), f"{out}/user", form, "user").count()}
 
 
 def activity_job(
     log: DataFrame, out: str, form: str = "parquet", cap: int = 10_000, size: int = 5_000, seed: int = 0
-) -> None:
-    """The log without hyper-active users, and the same for a random cohort."""
-    write_product(sampling.capped_log(log, cap).select(*CAPPED_LOG), f"{out}/useract_all", form)
-    write_product(sampling.cohort_log(log, size, cap, seed, strict=True).select(*CAPPED_LOG), f"{out}/useract5k", form)
+) -> dict[str, int]:
+    """The log without hyper-active users, and the same for a random cohort.
+
+    The log is scanned twice, for the activity and for the rows; the cohort reads the capped log.
+    """
+    with scratch(log.sparkSession):
+        events = store(sampling.activity(log), "activity")
+        capped = _product(sampling.capped_rows(log, events, cap).select(*CAPPED_LOG), f"{out}/useract_all", form, "capped")
+        drawn = sampling.drawn_users(events, size, cap, seed, strict=True)
+        cohort = _product(capped.join(drawn, "user_id", "left_semi").select(*CAPPED_LOG), f"{out}/useract5k", form, "cohort")
+        over = events.agg(F.count("*").alias("users"), F.count_if(F.col("events") >= cap).alias("over"), F.sum("events").alias("rows")).first()
+        return {
+            "log_rows_with_user": over["rows"] or 0, "users": over["users"], "users_over_cap": over["over"],
+            "useract_all": capped.count(), "useract5k": cohort.count(),
+        }
 
 
 def content_job(
     log: DataFrame, posts: DataFrame, topic_table: DataFrame, out: str, form: str = "parquet",
-    cap: int = 10_000, strict: bool = False,
-) -> None:
-    """Content with topic counters and users, from the capped log; once more with the author."""
-    raw = store(topics.content_raw(posts, topic_table), "content-raw")
-    lists = store(content.inter_list(sampling.capped_log(log, cap), strict), "inter-list")
-    write_product(raw, f"{out}/content_raw", form)
-    write_product(lists, f"{out}/inter_list", form)
-    whole = store(content.content(raw, lists), "content")
-    write_product(whole, f"{out}/content", form)
-    write_product(content.content_with_author(whole, posts), f"{out}/content_with_author", form)
+    cap: int = 10_000, strict: bool = True, pieces: bool = False,
+) -> dict[str, int]:
+    """Content with topic counters and users, from the capped log; once more with the author.
+
+    `strict` raises on unusable payloads; otherwise they are counted and left out. `pieces` writes
+    the users of posts in pieces, without a bound on their number, in place of whole lists and of the
+    products that hold whole lists.
+    """
+    with scratch(log.sparkSession):
+        counts = Observation("log")
+        raw = _product(topics.content_raw(posts, topic_table), f"{out}/content_raw", form, "content-raw")
+        events = store(sampling.activity(log), "activity")
+        capped = sampling.capped_rows(log, events, cap)
+        pairs = store(content.post_users(capped, strict, counts), "post-users")
+        found = {"positive_rows": counts.get["log_rows"], "bad_json": counts.get["bad_json"], "content_raw": raw.count()}
+        if pieces:
+            lists = _product(content.inter_list_pieces(pairs), f"{out}/inter_list_pieces", form, "pieces")
+            return found | {"inter_list_pieces": lists.count()}
+        lists = _product(content.inter_list(pairs), f"{out}/inter_list", form, "inter-list")
+        whole = _product(content.content(raw, pairs), f"{out}/content", form, "content")
+        write_product(content.content_with_author(whole, posts), f"{out}/content_with_author", form)
+        return found | {"inter_list": lists.count(), "content": whole.count()}
 
 
 def interactions_job(
-    log: DataFrame, posts: DataFrame, topic_table: DataFrame, out: str, form: str = "parquet",
-    seed: int = 0, strict: bool = False, order: str = "reference", tiers: tuple[int, ...] = TIERS,
+    log: DataFrame, posts: DataFrame, topic_table: DataFrame, out: str, form: str = "parquet", seed: int = 0,
+    strict: bool = False, strict_quotas: bool = False, order: str = "reference", tiers: tuple[int, ...] = TIERS, wide: bool = False,
 ) -> dict[str, int]:
     """Lists per user, labelled interactions, activity tiers and their splits.
 
     The raw log is read once, into the engagements; interactions and lists are computed once and
-    stored, and tiers and splits are filters on them.
+    stored in the order of the splits. Tiers, splits and tests are one pass each: `bt` has a folder
+    per highest tier (`top`), `splits` and `test` one per tier (`k`). Rows of `bt` and `splits` are
+    sorted inside each file, and files follow the order. `wide` adds `bt_wide`, tiers with lists.
     """
-    counts = Observation("log")
-    engaged = interactions.stored_engagements(log, strict, counts)
-    lists = store(interactions.content_lists(engaged), "content-lists")
-    ordered = interactions.ordered_interactions(engaged, posts, topic_table, seed, strict)
-    rows = store(interactions.with_content_num(ordered, lists), "interactions")
-    write_product(lists, f"{out}/content_with_interlist", form)
-    write_product(interactions.public(rows), f"{out}/content_with_topiccnt", form)
-    splits = Splits(rows, order, tiers)
-    for k in tiers:
-        write_product(interactions.tier_rows(rows, lists, k), f"{out}/bt{k}_all", form)
-        write_product(interactions.public(splits.train(k)), f"{out}/bt{k}/train", form)
-        write_product(interactions.public(splits.dev(k)), f"{out}/bt{k}/dev", form)
-        write_product(splits.test(k, lists), f"{out}/bt{k}/test", form)
-    short = sampling.negative_quotas(engaged).where(F.col("quota") > F.col("negatives"))
-    return counts.get | {
-        "engagements": engaged.count(),
-        "interactions": rows.count(),
-        "users_short_of_negatives": short.count(),
-    } | {f"bt{k}": tier(rows, k).count() for k in tiers}
+    with scratch(log.sparkSession):
+        counts = Observation("log")
+        engaged = interactions.stored_engagements(log, strict, counts)
+        lists = _product(interactions.content_lists(engaged), f"{out}/content_with_interlist", form, "content-lists")
+        ordered = interactions.ordered_interactions(engaged, posts, topic_table, seed, strict_quotas)
+        rows = store(clustered(interactions.with_content_num(ordered, lists), order), "interactions")
+        write_product(interactions.public(rows), f"{out}/content_with_topiccnt", form)
+        by, inside = ORDERS[order]
+
+        def in_order(df: DataFrame, *folders: str) -> DataFrame:
+            placed = df.repartitionByRange(*by).sortWithinPartitions(*folders, *by, *inside)
+            return interactions.public(placed, {**dict.fromkeys(interactions.INTERACTIONS), **dict.fromkeys(folders)})
+
+        splits = Splits(rows, order, tiers)
+        write_product(in_order(interactions.with_top_tier(rows, tiers), "top"), f"{out}/bt", form, ["top"])
+        write_product(in_order(splits.parts(), "k", "part"), f"{out}/splits", form, ["k", "part"])
+        write_product(splits.tests(lists).select("user_id", "content_list", "k"), f"{out}/test", form, ["k"])
+        if wide:
+            write_product(interactions.wide_tiers(rows, lists, tiers), f"{out}/bt_wide", form, ["k"])
+        totals = rows.agg(F.count("*").alias("n"), *[F.count_if(F.col("content_num") > k).alias(f"bt{k}") for k in tiers]).first().asDict()
+        short = sampling.negative_quotas(engaged).where(F.col("quota") > F.col("negatives"))
+        return counts.get | {
+            "engagements": engaged.count(), "interactions": totals.pop("n"), "users_short_of_negatives": short.count(),
+        } | totals

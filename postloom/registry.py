@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property, reduce
+from functools import cached_property
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from postloom import fixtures
 from postloom.functions.labels import FLAGS, label, labelled, with_content_id
 from postloom.operators import enrich, repeats, sampling, topics
-from postloom.operators.splits import TIERS, Splits
+from postloom.operators.splits import Splits, clustered
 from postloom.plans import content, interactions, users
 from postloom.schemas import CAPPED_LOG, INTERACTIONS, POSTS
 from postloom.session import shared_folder, store
@@ -54,26 +54,34 @@ class _Inputs:
     def content_raw(self) -> DataFrame:
         return topics.content_raw(self.posts, self.topics)
 
+    def post_users(self) -> DataFrame:
+        return store(content.post_users(self.capped()), "post-users")
+
     def content(self) -> DataFrame:
-        return content.content(self.content_raw(), content.inter_list(self.capped()))
+        return content.content(self.content_raw(), self.post_users())
 
     def enriched(self) -> DataFrame:
         union = interactions.sampled_union(self.engaged()).select(*ENGAGEMENT)
         return enrich.enriched(union, self.posts, self.topics)
 
     def merged(self) -> DataFrame:
-        return repeats.merge_flags(self.enriched())
+        return repeats.merge_flags(store(self.enriched(), "enriched"))
 
     def rows_and_lists(self) -> tuple[DataFrame, DataFrame]:
         """The interactions with `content_num`, and the list of each user; both stored."""
         engaged = self.engaged()
         lists = store(interactions.content_lists(engaged), "content-lists")
         rows = interactions.ordered_interactions(engaged, self.posts, self.topics)
-        return store(interactions.with_content_num(rows, lists), "interactions"), lists
+        return store(clustered(interactions.with_content_num(rows, lists)), "interactions"), lists
 
 
-def _each_tier(make: Callable[[int], DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [make(k).withColumn("k", F.lit(k)) for k in TIERS])
+def _inter_list_pieces(i: _Inputs) -> DataFrame:
+    """The pieces of each list strung together, and the sum of their entries."""
+    pieces = content.inter_list_pieces(i.post_users())
+    whole = pieces.groupBy("content_id").agg(
+        F.sort_array(F.collect_list(F.struct("part", "inter_list"))).alias("pieces"), F.sum("num").alias("num")
+    )
+    return whole.select("content_id", F.array_join(F.transform("pieces", lambda p: p["inter_list"]), ",").alias("inter_list"), "num")
 
 
 def _label_distribution(i: _Inputs) -> DataFrame:
@@ -91,32 +99,29 @@ def _content_id_counts(i: _Inputs) -> DataFrame:
 
 
 def _bt_tiers(i: _Inputs) -> DataFrame:
-    rows, lists = i.rows_and_lists()
-    return _each_tier(lambda k: interactions.tier_rows(rows, lists, k))
+    return interactions.wide_tiers(*i.rows_and_lists())
 
 
-def _split_train(i: _Inputs) -> DataFrame:
-    splits = Splits(i.rows_and_lists()[0])
-    return _each_tier(lambda k: interactions.public(splits.train(k)))
-
-
-def _split_dev(i: _Inputs) -> DataFrame:
-    splits = Splits(i.rows_and_lists()[0])
-    return _each_tier(lambda k: interactions.public(splits.dev(k)))
+def _part(i: _Inputs, part: str) -> DataFrame:
+    parts = Splits(i.rows_and_lists()[0]).parts().where(F.col("part") == part)
+    return parts.select(*INTERACTIONS, "k")
 
 
 def _split_test(i: _Inputs) -> DataFrame:
     rows, lists = i.rows_and_lists()
-    splits = Splits(rows)
-    return _each_tier(lambda k: splits.test(k, lists))
+    return Splits(rows).tests(lists)
 
 
 def _split_user_order(i: _Inputs) -> DataFrame:
-    splits = Splits(i.rows_and_lists()[0], order="user")
-    return _each_tier(
-        lambda k: interactions.public(splits.train(k)).withColumn("part", F.lit("train"))
-        .unionByName(interactions.public(splits.dev(k)).withColumn("part", F.lit("dev")))
+    """Train and dev; the rows of test users with the list in place of the text."""
+    rows, lists = i.rows_and_lists()
+    splits = Splits(rows, order="user")
+    tests = splits.tests(lists).select(
+        "user_id",
+        *[F.lit(None).cast(kind).alias(c) if c != "desc" else F.col("content_list").alias(c) for c, kind in INTERACTIONS.items() if c != "user_id"],
+        "k", F.lit("test").alias("part"),
     )
+    return splits.parts().select(*INTERACTIONS, "k", "part").unionByName(tests)
 
 
 def _preview(i: _Inputs) -> DataFrame:
@@ -169,7 +174,8 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "post_topic": lambda i: topics.with_topic(i.posts, i.topics),
     "topic_counters": lambda i: topics.topic_counters(i.posts, i.topics),
     "content_raw": lambda i: i.content_raw(),
-    "inter_list": lambda i: content.inter_list(i.capped()),
+    "inter_list": lambda i: content.inter_list(i.post_users()),
+    "inter_list_pieces": _inter_list_pieces,
     "content": lambda i: i.content(),
     "content_author": lambda i: content.content_with_author(i.content(), i.posts),
     "user_content_list": lambda i: interactions.user_content_list(i.log),
@@ -184,8 +190,8 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "repeat_merge": lambda i: i.merged().select("user_id", "content_id", "follow", "rep", *FLAGS),
     "interactions": lambda i: interactions.interactions(i.engaged(), i.posts, i.topics),
     "bt_tiers": _bt_tiers,
-    "split_train": _split_train,
-    "split_dev": _split_dev,
+    "split_train": lambda i: _part(i, "train"),
+    "split_dev": lambda i: _part(i, "dev"),
     "split_test": _split_test,
     "split_user_order": _split_user_order,
     "preview": _preview,

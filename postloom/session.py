@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
+# The folder inside the shared one that the running job keeps its intermediate tables in.
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
 def session(app: str = "postloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -45,6 +50,19 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app].name
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside this block are deleted at its end."""
+    folder = f"{shared_folder(spark)}/job-{uuid.uuid4().hex}"
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once as Parquet in the shared folder and read it back.
 
@@ -52,6 +70,6 @@ def store(df: DataFrame, label: str) -> DataFrame:
     and gives Catalyst the true size for its choice of join.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_scratch.get() or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

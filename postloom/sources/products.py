@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,17 +13,18 @@ from postloom.schemas import PRODUCTS
 TSV_OPTIONS = {"header": "true", "sep": "\t", "encoding": "UTF-8", "escape": '"'}
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    df.write.options(
+def write_tsv(df: DataFrame, path: str, folders: Sequence[str] = ()) -> None:
+    df.write.partitionBy(*folders).options(
         **TSV_OPTIONS, emptyValue="", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
     ).csv(path)
 
 
-def write_product(df: DataFrame, path: str, form: str = "parquet") -> None:
+def write_product(df: DataFrame, path: str, form: str = "parquet", folders: Sequence[str] = ()) -> None:
+    """A product; `folders` are columns that become folders in place of columns."""
     if form == "tsv":
-        write_tsv(df, path)
+        write_tsv(df, path, folders)
     else:
-        df.write.parquet(path)
+        df.write.partitionBy(*folders).parquet(path)
 
 
 def read_tsv(spark: SparkSession, path: str, product: str, strict: bool = True) -> DataFrame:

@@ -116,8 +116,10 @@ def test_jobs_from_csv_to_tsv(spark, app, tmp_path, capsys):
     main(["user", f"--out={out}", "--form=tsv", f"--users={app}/users.csv"])
     main(["activity", f"--out={out}", "--form=tsv", "--cap=30", "--cohort=4", inputs[0]])
     main(["content", f"--out={out}", "--form=tsv", "--cap=30", *inputs])
-    main(["interactions", f"--out={out}", "--form=tsv", *inputs])
-    counts = dict(line.split() for line in capsys.readouterr().out.splitlines())
+    main(["content", f"--out={out}/cut", "--pieces", "--cap=30", *inputs])
+    main(["interactions", f"--out={out}", "--form=tsv", "--wide", *inputs])
+    printed = [line.split() for line in capsys.readouterr().out.splitlines()]
+    counts = dict(printed)
 
     def product(path, contract, strict=True):
         return read_tsv(spark, f"{out}/{path}", contract, strict)
@@ -128,21 +130,61 @@ def test_jobs_from_csv_to_tsv(spark, app, tmp_path, capsys):
     content = product("content", "content", strict=False)
     assert content.columns == list(PRODUCTS["content"]) and content.count() == 20
     assert product("content_with_author", "content_with_author", strict=False).where("user_id <> author_user_id").count() == 0
-    assert int(counts["log_rows"]) == sum(20 + u for u in range(12)) and counts["bad_json"] == "0"
+    n_rows = sum(20 + u for u in range(12))
+    assert int(counts["log_rows"]) == int(counts["log_rows_with_user"]) == n_rows and counts["bad_json"] == "0"
+    assert counts["users"] == "12" and counts["users_over_cap"] == "2" and ["users", "1"] in printed
+    lists = {r["content_id"]: r["inter_list"] for r in product("inter_list", "inter_list").collect()}
+    cut = spark.read.parquet(f"{out}/cut/inter_list_pieces").orderBy("content_id", "part").collect()
+    assert {i: ",".join(r["inter_list"] for r in cut if r["content_id"] == i) for i in {r["content_id"] for r in cut}} == lists
+    assert all(r["num"] == len(r["inter_list"].split(",")) for r in cut)
+    assert not (tmp_path / "cut" / "content").exists()
 
     whole = product("content_with_topiccnt", "content_with_topiccnt")
     assert whole.count() == int(counts["interactions"])
     for r in whole.collect():
         assert {r["comment"], r["forward"], r["thumb"], r["detail"], r["neg"]} <= {0, 1}
+    ordered = ["user_id", "created_at"]
+    tops = spark.read.options(header=True, sep="\t").csv(f"{out}/bt").select("user_id", "created_at", "neg", "top").collect()
     previous = None
     for k in range(1, 6):
-        tier = product(f"bt{k}_all", "bt").collect()
-        assert len(tier) == int(counts[f"bt{k}"])
+        tier = product(f"bt_wide/k={k}", "bt").collect()
+        assert len(tier) == int(counts[f"bt{k}"]) == sum(int(r["top"]) >= k for r in tops)
         assert all(r["content_num"] == len(r["content_list"].split(",")) > k for r in tier)
         keys = {(r["user_id"], r["created_at"], r["desc"], r["neg"]) for r in tier}
         assert previous is None or keys <= previous
         previous = keys
-        train, dev = product(f"bt{k}/train", "train"), product(f"bt{k}/dev", "dev")
-        test = product(f"bt{k}/test", "test").collect()
+        train, dev = product(f"splits/k={k}/part=train", "train"), product(f"splits/k={k}/part=dev", "dev")
+        test = product(f"test/k={k}", "test").collect()
         assert 0 < train.count() <= int(len(tier) * 0.8) and dev.count() <= int(len(tier) * 0.1)
         assert len({r["user_id"] for r in test}) == len(test)
+        for file in (tmp_path / "splits" / f"k={k}" / "part=train").glob("part-*"):
+            rows = pd.read_csv(file, sep="\t")[["neg", *ordered]]
+            assert rows.equals(rows.sort_values(["neg", *ordered], kind="stable"))
+
+
+def test_a_job_leaves_no_intermediate_tables(spark, app, tmp_path):
+    from pathlib import Path
+
+    from postloom.session import shared_folder
+
+    before = set(Path(shared_folder(spark)).iterdir())
+    main(["activity", f"--out={tmp_path}", "--cap=30", "--cohort=4", f"--log={app}/log.csv"])
+    assert set(Path(shared_folder(spark)).iterdir()) <= before
+    assert spark.read.parquet(f"{tmp_path}/useract5k").select("user_id").distinct().count() == 4
+
+
+def test_content_is_strict_unless_told(spark, app, tmp_path, capsys):
+    log = tmp_path / "log.csv"
+    log.write_text((app / "log.csv").read_text() + '900,d,1,254,"{""content_id"": 1",5\n901,d,1,254,"{""content_id"": 2}x",5\n')
+    inputs = [f"--log={log}", f"--posts={app}/posts.csv", f"--topics={app}/topics.csv"]
+    with pytest.raises(PySparkException):
+        main(["content", f"--out={tmp_path}/a", "--cap=99", *inputs])
+    main(["content", f"--out={tmp_path}/b", "--cap=99", "--payloads=lenient", *inputs])
+    assert "bad_json 1" in capsys.readouterr().out
+    posts = tmp_path / "posts.csv"
+    posts.write_text((app / "posts.csv").read_text().rstrip("\n") + "\n" + ",".join("7" * 13) + "\n")
+    inputs[1] = f"--posts={posts}"
+    with pytest.raises(PySparkException, match="too many fields"):
+        main(["content", f"--out={tmp_path}/c", "--cap=99", "--payloads=lenient", *inputs])
+    main(["content", f"--out={tmp_path}/d", "--cap=99", "--payloads=lenient", "--lenient-csv", *inputs])
+    assert "posts_lines_left_out 1" in capsys.readouterr().out

@@ -1,6 +1,7 @@
 """Properties of the plans that keep them usable at scale."""
 
 import re
+import sys
 
 import pytest
 
@@ -64,3 +65,58 @@ def test_text_stays_out_of_the_repeat_merge(spark):
     for line in plan_of(df).splitlines():
         if "Exchange hashpartitioning(user_id" in line or "SortAggregate(key=[user_id" in line:
             assert "desc#" not in line
+
+
+@pytest.fixture
+def stored_plans(spark, monkeypatch):
+    """Without broadcasts: the plan of every table that is stored, by label."""
+    from postloom import session
+
+    plans = {}
+
+    def spied(df, label):
+        plans.setdefault(label, []).append(plan_of(df))
+        return original(df, label)
+
+    original = session.store
+    for name, module in list(sys.modules.items()):
+        if name.startswith("postloom") and getattr(module, "store", None) is original:
+            monkeypatch.setattr(module, "store", spied)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield plans
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_interactions_without_broadcast(spark, stored_plans):
+    """Posts are scanned and hashed once; texts move once; topics stay out of the merge."""
+    posts, topics = fixtures.posts(spark, FOLDER), fixtures.topics(spark, FOLDER)
+    engaged = interactions.stored_engagements(fixtures.user_action(spark, FOLDER))
+    final = plan_of(interactions.ordered_interactions(engaged, posts, topics))
+    plans = [p for label in stored_plans for p in stored_plans[label]]
+    assert sum(p.count("sha2") for p in [*plans, final]) == 1
+    assert sum("documents.parquet" in line for p in [*plans, final] for line in p.splitlines()) == 1
+    keyed = stored_plans["keyed-interactions"][0]
+    assert "desc#" not in keyed
+    for line in keyed.splitlines():
+        if "Aggregate(key=[user_id" in line or "Exchange hashpartitioning(user_id" in line:
+            assert "introduction" not in line
+    # One shuffle for semi join, deduplication and join of the texts.
+    assert sum("FileScan" in line and "desc#" in line for line in final.splitlines()) == 1
+    assert final.count("Exchange hashpartitioning(content_id") == 3
+
+
+def test_repeat_merge_reads_its_input_once(spark, stored_plans):
+    contract.queries()["repeat_merge"](spark, FOLDER)
+    assert len(stored_plans["enriched"]) == 1
+
+
+def test_splits_are_few_passes_with_skipping(spark, stored_plans):
+    from postloom.registry import _Inputs
+    from postloom.operators.splits import Splits
+
+    rows, lists = _Inputs(spark, FOLDER).rows_and_lists()
+    splits = Splits(rows)
+    plan = plan_of(splits.parts())
+    assert plan.count("FileScan") == 1 + ("UNION" in plan.upper())
+    text = splits.train(1)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in text and "block" in text.split("PushedFilters")[1].split("]")[0]

@@ -7,14 +7,14 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from postloom.functions.labels import EVENT_LABELS, MERGED_FLAGS, is_positive, label, labelled, one_hot, with_content_id
-from postloom.functions.text import clean, known, list_length, text_key, to_long, to_long_or_zero
-from postloom.operators.enrich import enriched, enriched_keys, with_text
+from postloom.functions.text import clean, known, text_key, to_long, to_long_or_zero
+from postloom.operators.enrich import enriched, post_table, topic_copies, with_last_topic, with_post, with_text, with_topic
 from postloom.operators.lists import list_pieces, ordered_lists
 from postloom.operators.ordering import running_totals
 from postloom.operators.repeats import engagements, last_per_text, merge_flags
 from postloom.operators.sampling import capped_log, cohort_log, negative_quotas, pos_neg_ratio, sample_negatives
 from postloom.operators.topics import content_raw, topic_counters
-from postloom.plans.content import content, content_with_author, inter_list
+from postloom.plans.content import content, content_with_author, inter_list, post_users
 from postloom.plans.interactions import user_content_list
 from postloom.plans.users import user_dim
 from postloom.session import store
@@ -117,10 +117,10 @@ def test_incomplete_rows_are_dropped(spark):
 
 def test_text(spark):
     df = spark.createDataFrame([("a b\r\n\tc　d ",), (None,), ("",), ("NA",), ("nan",), ("x",)], "t string")
-    got = df.select(clean(F.col("t")), known(F.col("t")), text_key(F.col("t")).isNull(), list_length(F.col("t"))).collect()
+    got = df.select(clean(F.col("t")), known(F.col("t")), text_key(F.col("t")).isNull()).collect()
     assert [tuple(r) for r in got] == [
-        ("ab\tc　d", "a b\r\n\tc　d ", False, 1), (None, None, True, 0), ("", None, False, 1),
-        ("NA", None, False, 1), ("nan", None, False, 1), ("x", "x", False, 1),
+        ("ab\tc　d", "a b\r\n\tc　d ", False), (None, None, True), ("", None, False),
+        ("NA", None, False), ("nan", None, False), ("x", "x", False),
     ]
 
 
@@ -179,8 +179,8 @@ def test_topic_counters(spark, threshold):
 def test_content_with_lists_and_author(spark):
     posts = spark.createDataFrame([post(1, None), post(2, None), post(0, None)], POSTS)
     raw = content_raw(posts, spark.createDataFrame([], TOPICS))
-    lists = spark.createDataFrame([(1, "5,6"), (0, "7"), (3, "8")], "content_id long, inter_list string")
-    got = content_with_author(content(raw, lists), posts)
+    pairs = spark.createDataFrame([(1, 6), (1, 5), (0, 7), (3, 8)], "content_id long, user_id long")
+    got = content_with_author(content(raw, pairs), posts)
     assert rows_of(got.select("content_id", "inter_list", "user_id", "author_user_id")) == [
         (0, None, 9, 9), (1, "5,6", 9, 9), (2, None, 9, 9),
     ]
@@ -210,15 +210,15 @@ def random_items(seed, keys=5, n=300):
     return sorted({(0 if rng.random() < 0.33 else rng.randrange(keys), rng.randrange(20), rng.randrange(10**6)) for _ in range(n)})
 
 
-@pytest.mark.parametrize("heavy_rows", [1, 50, 10**6])
-def test_ordered_lists(spark, heavy_rows):
-    items = random_items(heavy_rows)
+@pytest.mark.parametrize("seed", range(3))
+def test_ordered_lists(spark, seed):
+    items = random_items(seed)
     df = store(spark.createDataFrame(items, "k long, at long, item long").repartition(7), "items")
     want = []
     for k in sorted({i[0] for i in items}):
         entries = [str(i[2]) for i in sorted(items) if i[0] == k]
         want.append((k, ",".join(entries), len(entries)))
-    assert sorted(tuple(r) for r in ordered_lists(df, "k", ["at"], "item", heavy_rows).collect()) == want
+    assert sorted(tuple(r) for r in ordered_lists(df, "k", ["at"], "item").collect()) == want
     pieces = {}
     for r in sorted(list_pieces(df, "k", ["at"], "item").collect(), key=lambda r: (r["k"], r["part"])):
         pieces.setdefault(r["k"], []).append(r["list"])
@@ -251,7 +251,7 @@ def test_lists_from_the_log(spark):
         LOG,
     )
     assert rows_of(user_content_list(log)) == [(12, "5,4", 2), (3, "5,0", 2)]
-    assert rows_of(inter_list(log)) == [(0, "3,12"), (4, "12"), (5, "3,12")]
+    assert rows_of(inter_list(post_users(log))) == [(0, "3,12"), (4, "12"), (5, "3,12")]
 
 
 def negatives_of(sizes, positives):
@@ -270,7 +270,7 @@ def test_negative_sample(spark, seed):
     sizes = {1: 90, 2: 31, 3: 17, 4: 1}
     engaged = store(spark.createDataFrame(negatives_of(sizes, 60), ENGAGED).repartition(6), "engaged")
     light = rows_of(sample_negatives(engaged, seed))
-    assert light == rows_of(sample_negatives(engaged, seed, heavy_rows=2)) == rows_of(sample_negatives(engaged, seed, heavy_rows=20))
+    assert light == rows_of(sample_negatives(engaged, seed, rows_per_piece=2)) == rows_of(sample_negatives(engaged, seed, rows_per_piece=20))
     drawn = {u: sum(r[0] == u for r in light) for u in sizes}
     assert drawn == {u: round(n * (60 / 139)) for u, n in sizes.items()}
     assert light != rows_of(sample_negatives(engaged, seed + 1))
@@ -324,9 +324,9 @@ def test_repeat_merge_against_loops(spark, seed):
     last = {}
     for r in sorted((w for w in want if w[2] != "neg"), key=lambda w: (w[3], w[4])):
         last[r[0], r[6]] = r
-    keyed = df.where("follow <> 'neg'").withColumn("desc_key", text_key(F.col("desc")))
-    got = last_per_text(keyed).select("user_id", "content_id", "created_at", "id", "topic_id", "genre_id", "introduction", *MERGED_FLAGS, "neg")
-    assert rows_of(got) == sorted(((r[0], r[1], r[3], r[4], r[5], r[7], r[8], *r[flags_at], 0) for r in last.values()), key=repr)
+    keyed = df.where("follow <> 'neg'").withColumn("desc_key", text_key(F.col("desc"))).withColumn("copies", F.lit(1).cast("long"))
+    got = last_per_text(keyed).select("user_id", "content_id", "created_at", "id", "topic_id", *MERGED_FLAGS, "neg")
+    assert rows_of(got) == sorted(((r[0], r[1], r[3], r[4], r[5], *r[flags_at], 0) for r in last.values()), key=repr)
 
 
 def test_lookups_by_key_and_by_text_agree(spark):
@@ -337,5 +337,20 @@ def test_lookups_by_key_and_by_text_agree(spark):
     # Post 3 is there twice, so its row is too; a row without a post has a null topic.
     assert whole.count() == 5
     assert {r["introduction"] for r in whole.where("content_id IN (2, 4)").collect()} == {"null topic"}
-    keyed = with_text(enriched_keys(rows, posts, topics), posts)
+    table = post_table(posts)
+    keyed = with_text(store(with_topic(with_post(rows, table), topics), "keyed"), table)
     assert rows_of(keyed.select(*whole.columns)) == rows_of(whole)
+
+
+def test_repeats_count_the_copies_that_topics_make(spark):
+    """A topic that is there twice makes its post a repeat of itself; the last of its rows stays."""
+    posts = spark.createDataFrame([post(1, 1, desc=None), post(2, 2, desc=None)], POSTS)
+    topics = spark.createDataFrame([(1, "t", "i", 4, 0), (1, "t", "k", 4, 0), (2, "t", None, None, 0)], TOPICS)
+    rows = spark.createDataFrame([(1, 1, "thumb", 5, 1), (2, 2, "thumb", 5, 2)], "user_id long, content_id long, follow string, created_at long, id long")
+    table = post_table(posts)
+    merged = with_last_topic(last_per_text(topic_copies(with_post(rows, table), topics)), topics)
+    got = rows_of(merged.select("user_id", "thumb", "genre_id", "introduction"))
+    assert got == [(1, 0, 4, "k"), (2, 1, None, None)]
+    # The same from whole rows.
+    flagged = merge_flags(store(enriched(rows, posts, topics), "enriched"))
+    assert rows_of(flagged.select("user_id", "thumb", "introduction")) == [(1, 0, "i"), (1, 0, "k"), (2, 1, None)]

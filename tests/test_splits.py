@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from postloom.operators.splits import Splits
+from postloom.operators.splits import Splits, clustered
 from postloom.session import store
 
 ROWS = "block int, user_id long, created_at long, id long, content_num long, note string"
@@ -47,14 +47,30 @@ CASES = {
 
 @pytest.mark.parametrize("order", ["reference", "user"])
 @pytest.mark.parametrize("name", list(CASES))
-@pytest.mark.parametrize("heavy_rows", [1, 10**6])
-def test_split(spark, name, order, heavy_rows):
+def test_split(spark, name, order):
     rows = CASES[name]
     df = store(spark.createDataFrame(rows, ROWS).repartition(5), "rows")
     lists = spark.createDataFrame([(u, f"list {u}") for u in range(30)], "user_id long, content_list string")
-    splits = Splits(df, order, tiers=(1, 3), heavy_rows=heavy_rows)
+    splits = Splits(df, order, tiers=(1, 3))
+    parts = [(r["k"], r["part"], tuple(r)[:6]) for r in splits.parts().collect()]
     for k in (1, 3):
         train, dev, test = reference_split(rows, k, order)
         assert sorted((tuple(r) for r in splits.train(k).collect()), key=repr) == train
         assert sorted((tuple(r) for r in splits.dev(k).collect()), key=repr) == dev
+        for part, rows_of_part in (("train", train), ("dev", dev)):
+            assert sorted((r for t, p, r in parts if (t, p) == (k, part)), key=repr) == rows_of_part
         assert sorted(tuple(r) for r in splits.test(k, lists).collect()) == [(u, f"list {u}") for u in test]
+
+
+@pytest.mark.parametrize("partitions", ["1", "4", "32"])
+def test_split_under_any_number_of_partitions(spark, partitions):
+    rows = CASES["one user with a third"]
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        splits = Splits(store(clustered(spark.createDataFrame(rows, ROWS)), "rows"), tiers=(1,))
+        train, dev, test = reference_split(rows, 1, "reference")
+        assert sorted((tuple(r) for r in splits.train(1).collect()), key=repr) == train
+        assert sorted((tuple(r) for r in splits.dev(1).collect()), key=repr) == dev
+        assert sorted(r["user_id"] for r in splits.test_users().collect()) == test
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
