@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import io
+import itertools
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import postloom
 from postloom.session import store
 
+ROWS_PER_FILE = 100_000
 # The archives handed to each application's file server; they must last as long as the driver.
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
@@ -68,6 +72,29 @@ def hash_sample(rows: DataFrame, stratum: str, identity: list[str], per_stratum:
     return one.select("_row.*")
 
 
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """The groups of batches that are sorted by whole-number keys, each in one batch."""
+    rest: pa.Table | None = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            new = pa.Table.from_batches([batch])
+            rest = new if rest is None else pa.concat_tables([rest, new])
+        if rest is None or not rest.num_rows:
+            continue
+        marks = np.stack([rest.column(k).to_numpy() for k in keys])
+        cuts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1).tolist()]
+        ends = [*cuts[1:], rest.num_rows]
+        # The last group may go on in the next batch.
+        for start, end in list(zip(cuts, ends))[: None if batch is None else -1]:
+            yield rest.slice(start, end - start).combine_chunks().to_batches()[0]
+        rest = rest.slice(cuts[-1])
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """`df` in as many partitions as about so many rows need: small results as few files."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
+
+
 _GOLDEN, _MUL_1, _MUL_2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 

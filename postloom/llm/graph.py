@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postloom.llm.common import few
 from postloom.session import store
 
 
@@ -18,21 +19,21 @@ def components(edges: DataFrame) -> DataFrame:
     """
     current = store(edges.where("a != b").select("a", "b").distinct(), "edges")
     moves: list[DataFrame] = []
-    while not current.isEmpty():
+    while rows := current.count():
         rank = lambda c: F.xxhash64(c, F.lit(len(moves)))  # noqa: B023, E731
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         best = both.groupBy("a").agg(F.min(F.struct(rank(F.col("b")).alias("rank"), F.col("b").alias("node"))).alias("best"))
         own = F.struct(rank(F.col("a")).alias("rank"), F.col("a").alias("node"))
-        move = store(best.select(F.col("a").alias("node"), F.least("best", own)["node"].alias("to")), "moves")
+        move = store(few(best.select(F.col("a").alias("node"), F.least("best", own)["node"].alias("to")), 2 * rows), "moves")
         moves.append(move)
         to_a = move.select(F.col("node").alias("a"), F.col("to").alias("to_a"))
         to_b = move.select(F.col("node").alias("b"), F.col("to").alias("to_b"))
         moved = current.join(to_a, "a").join(to_b, "b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b"))
-        current = store(moved.where("a != b").distinct(), "edges")
+        current = store(few(moved.where("a != b").distinct(), rows), "edges")
     if not moves:
         return store(current.select(F.col("a").alias("node"), F.col("b").alias("root")), "roots")
     found = moves[0].withColumnRenamed("to", "root")
     for move in moves[1:]:
         step = move.select(F.col("node").alias("root"), F.col("to"))
         found = found.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-    return store(found, "roots")
+    return store(few(found, moves[0].count()), "roots")

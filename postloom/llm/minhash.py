@@ -8,13 +8,14 @@ coordinates make the buckets; at a similarity of 0.8 a pair is missed with a pro
 
 Documents with equal sets are one class. Buckets name candidate pairs of classes, and a pair is
 linked when the full sets, as 64-bit hashes, have a Jaccard similarity of at least `percent` / 100,
-in whole numbers. Only components are asked for, so a bucket is not expanded into all its pairs:
-in each round a few members of a bucket are its pivots, and the members in other components than a
-pivot's are compared with it. Members that have been pivots leave the bucket, and buckets whose
-members are all in one component are done. Pivots per bucket double from round to round; the
-rounds end when no bucket is left, so no candidate pair is passed over. Every step is an aggregate
-that combines before its shuffle, a join, or a stream over sorted rows with one pivot's set in
-memory; pivots with many partners are dealt over tasks.
+in whole numbers. Only components are asked for, so buckets are not expanded into all their pairs.
+First, each class is verified against a few hubs: under each of HUBS random orders the first class it
+meets in any bucket. That joins nearly all that belongs together, a few pairs per class. Second, the
+buckets that still hold several components are searched for pairs across components, tile by tile
+(a pair of chunks of bounded size), in memory. Pairs whose signatures agree in too few places for the
+bound, by 5 standard deviations, are not similar (a chance of 3e-7 at the bound); all others are
+verified on their sets. A tile gives no more links than join its components. No pair of a bucket is
+passed over. Hubs with many partners are dealt over tasks.
 
 Null and empty texts have no words, and such documents are their own component. Ties of ids: rows
 that repeat an id are linked by their texts like any others, and a component's id is its smallest id
@@ -24,7 +25,6 @@ columns do not matter. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,13 +33,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.common import mix64
+from postloom.llm.common import grouped, mix64
 from postloom.llm.graph import components
 from postloom.session import store
 
 BANDS, ROWS = 40, 6
 PERCENT = 80
-FIRST_PIVOTS = 4
+HUBS = 3
+# Classes, and shingles of their sets, of a bucket that are compared with as many others in one task.
+CHUNK = 1_024
+CHUNK_SHINGLES = 1_000_000
+DEVIATIONS = 5
 # Partners of one pivot that are compared in one task.
 PARTNERS = 256
 
@@ -114,18 +118,20 @@ def _sketches(width: int, bands: int, rows: int):
     return run
 
 
-def _sets(width: int):
-    """Rows (node, digest, text) to (node, set) where the text has the digest."""
+def _sets(width: int, size: int):
+    """Rows (node, digest, text) to (node, set, sign) where the text has the digest; `sign` has 16 bits of
+    each coordinate of the signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sets = [], []
+            nodes, sets, signs = [], [], []
             for node, digest, text in zip(batch.column("node").to_pylist(), batch.column("digest").to_pylist(), batch.column("text")):
-                content = shingle_set(text.as_py(), width).tobytes()
-                if xxhash.xxh3_128_digest(content) == digest:
+                shingles = shingle_set(text.as_py(), width)
+                if xxhash.xxh3_128_digest(shingles.tobytes()) == digest:
                     nodes.append(node)
-                    sets.append(content)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "set"])
+                    sets.append(shingles.tobytes())
+                    signs.append(signature(shingles, size).astype(np.uint16).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary()), pa.array(signs, pa.binary())], names=["node", "set", "sign"])
 
     return run
 
@@ -165,56 +171,94 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     parts = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("parts"))
     members = pairs.join(parts, "pivot").select("pivot", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "node")
     pivots = parts.select("pivot", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("pivot").alias("node"))
-    filled = members.unionByName(pivots).join(sets, "node").select("pivot", "part", "node", "set")
+    filled = members.unionByName(pivots).join(sets.select("node", "set"), "node").select("pivot", "part", "node", "set")
     # False sorts first: the pivot itself.
     sorted_rows = filled.withColumn("other", F.col("node") != F.col("pivot")).repartition("pivot", "part").sortWithinPartitions("pivot", "part", "other")
     return store(sorted_rows.select("pivot", "part", "node", "set").mapInArrow(_verify(percent), "a long, b long"), "linked")
 
 
-def _grown(roots: DataFrame | None, edges: DataFrame) -> DataFrame:
-    """Components after further edges: (node, root); stored."""
-    if roots is None:
-        return components(edges)
-    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return components(known.unionByName(edges))
+def _hubs(buckets: DataFrame) -> DataFrame:
+    """(pivot, node): each class with the first class that it meets, under each of HUBS random orders."""
+    order = [F.struct(F.xxhash64("node", F.lit(i)).alias("rank"), F.col("node").alias("node")) for i in range(HUBS)]
+    firsts = buckets.groupBy("key").agg(*[F.min(o).alias(f"first_{i}") for i, o in enumerate(order)])
+    met = buckets.join(firsts, "key").groupBy("node").agg(*[F.min(f"first_{i}").alias(f"first_{i}") for i in range(HUBS)])
+    each = met.select("node", F.explode(F.array_distinct(F.array(*[f"first_{i}.node" for i in range(HUBS)]))).alias("pivot"))
+    return each.where("pivot != node").select("pivot", "node")
+
+
+def shared_with(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """The sizes of the intersections of a sorted set with other sets, none of them empty."""
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+    starts = np.cumsum([0, *map(len, others[:-1])])
+    return np.add.reduceat((own[at] == flat).astype(np.int64), starts)
+
+
+def _tile_links(tile: pa.RecordBatch, percent: int) -> tuple[list[int], list[int]]:
+    """Similar pairs that join the components of a tile: no more than join them."""
+    chunks, first = tile.column("chunk").to_numpy(), tile.column("t1")[0].as_py()
+    across = first != tile.column("t2")[0].as_py()
+    nodes = tile.column("node").to_numpy()
+    _, comps = np.unique(tile.column("comp").to_numpy(), return_inverse=True)
+    sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in tile.column("set")]
+    sizes = np.array([len(x) for x in sets])
+    signs = np.stack([np.frombuffer(x.as_buffer(), dtype=np.uint16) for x in tile.column("sign")])
+    share = percent / 100
+    needed = signs.shape[1] * share - DEVIATIONS * np.sqrt(signs.shape[1] * share * (1 - share))
+    one = np.flatnonzero(chunks == first) if across else np.arange(len(nodes))
+    other = np.flatnonzero(chunks != first) if across else one
+    left: list[int] = []
+    right: list[int] = []
+    for i in one.tolist():
+        rest = other if across else other[i + 1 :]
+        fits = 100 * np.minimum(sizes[rest], sizes[i]) >= percent * np.maximum(sizes[rest], sizes[i])
+        rest = rest[(comps[rest] != comps[i]) & fits]
+        rest = rest[(signs[rest] == signs[i]).sum(axis=1) >= needed]
+        if len(rest):
+            shared = shared_with(sets[i], [sets[j] for j in rest])
+            for j in rest[100 * shared >= percent * (sizes[rest] + sizes[i] - shared)].tolist():
+                if comps[j] != comps[i]:
+                    comps[comps == comps[j]] = comps[i]
+                    left.append(int(nodes[i]))
+                    right.append(int(nodes[j]))
+    return left, right
+
+
+def _tiles(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in grouped(batches, ["key", "t1", "t2"]):
+            left, right = _tile_links(tile, percent)
+            if left:
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+    return run
 
 
-def _in_components(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Buckets (key, node) with `comp`, without those that lie within one component."""
-    if roots is None:
-        return buckets.withColumn("comp", F.col("node"))
+def _across(buckets: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) between components whose classes share a bucket; stored."""
     placed = buckets.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp"))
-    open_keys = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("key")
-    return placed.join(open_keys, "key", "left_semi")
+    sized = placed.join(sets.select("node", F.expr("length(set) div 8").alias("size")), "node")
+    open_keys = sized.groupBy("key").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"),
+        F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("size") / CHUNK_SHINGLES)).cast("int").alias("chunks"),
+    )
+    rows = store(placed.join(open_keys.where("low != high").select("key", "chunks"), "key"), "open-buckets")
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    # Chunk i of a bucket meets every chunk j in the tile of (i, j).
+    dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+        "key", "node", "comp", "chunk", F.least("chunk", "other").alias("t1"), F.greatest("chunk", "other").alias("t2")
+    )
+    tiles = dealt.join(sets, "node").repartition("key", "t1", "t2").sortWithinPartitions("key", "t1", "t2")
+    return store(tiles.select("key", "t1", "t2", "chunk", "node", "comp", "set", "sign").mapInArrow(_tiles(percent), "a long, b long").distinct(), "linked")
 
 
-def _link_classes(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+def _link_classes(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Components (node, root) over all similar pairs that share a bucket."""
-    # First, each class with the smallest class it meets anywhere: one pair per class.
-    lows = buckets.groupBy("key").agg(F.min("node").alias("low"))
-    first = buckets.join(lows, "key").groupBy("node").agg(F.min("low").alias("pivot")).where("pivot != node")
-    tested = store(first.select("pivot", "node"), "pairs")
-    edges = _linked(tested, sets, percent)
-    roots = None if edges.isEmpty() else _grown(None, edges)
-    left = store(_in_components(buckets, roots), "buckets")
-    pivots = FIRST_PIVOTS
-    while not left.isEmpty():
-        bins = left.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(pivots)).alias("bin")).agg(F.min(F.struct("node", "comp")).alias("pivot"))
-        chosen = store(bins.select("key", F.col("pivot.node").alias("pivot"), F.col("pivot.comp").alias("pivot_comp")), "pivots")
-        met = left.join(chosen, "key").where("comp != pivot_comp").select(
-            F.least("pivot", "node").alias("pivot"), F.greatest("pivot", "node").alias("node")
-        )
-        pairs = store(met.distinct().join(tested, ["pivot", "node"], "left_anti"), "pairs")
-        tested = tested.unionByName(pairs)
-        edges = _linked(pairs, sets, percent)
-        if not edges.isEmpty():
-            roots = _grown(roots, edges)
-        rest = left.select("key", "node").join(chosen.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
-        # A pivot has met all others; of a bucket with one member left nothing is open.
-        several = rest.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-        left = store(_in_components(rest.join(several, "key", "left_semi"), roots), "buckets")
-        pivots *= 2
-    return roots
+    roots = components(_linked(store(_hubs(buckets), "pairs"), sets, percent))
+    further = _across(buckets, sets, roots, percent)
+    if further.isEmpty():
+        return roots
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(further))
 
 
 def _row(key: Column, text: Column) -> Column:
@@ -241,15 +285,12 @@ def find_components(
     buckets = store(members.join(shared, "key", "left_semi").select("key", "node"), "buckets")
     named = buckets.select("node").distinct().join(classes.select("node", "digest", F.col("row").alias("of_row")), "node")
     texts = inputs.select("row", "text").join(named, F.col("row") == F.col("of_row")).select("node", "digest", "text")
-    sets = store(texts.mapInArrow(_sets(width), "node long, set binary"), "sets")
+    sets = store(texts.mapInArrow(_sets(width, bands * rows), "node long, set binary, sign binary"), "sets")
     # Rows that repeat an id and text give their set again.
-    sets = sets.groupBy("node").agg(F.first("set").alias("set")) if _repeats(sets) else sets
+    sets = sets.groupBy("node").agg(F.first("set").alias("set"), F.first("sign").alias("sign")) if _repeats(sets) else sets
     roots = _link_classes(buckets, sets, percent)
     placed = sketched.select("id", "row", "size", "digest").join(classes.select("digest", "node"), "digest", "left")
-    if roots is not None:
-        placed = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    else:
-        placed = placed.withColumn("root", F.col("node"))
+    placed = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = store(placed.select("id", "row", "size", "root"), "placed")
     smallest = placed.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("id").alias("least"))
     return placed.join(smallest, "root", "left").select(
