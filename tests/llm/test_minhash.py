@@ -85,13 +85,15 @@ def test_chains_groups_and_bounds(documents, width):
     check(found, [(r[0], r[1]) for r in rows], width)
 
 
-def test_residual_rounds_find_links_that_pivots_miss(shipped, monkeypatch):
-    """Two clusters that share every bucket: links inside the second one need further pivots."""
+def test_links_that_no_hub_has_are_found(shipped, monkeypatch):
+    """Seven clusters that share a bucket: links inside most of them are not with a hub."""
+    monkeypatch.setattr(minhash, "CHUNK", 8)  # the bucket is cut into tiles
     sets = {i: np.arange(100, dtype=np.uint64) + np.uint64(1000 * (i % 7)) for i in range(28)}
     buckets = shipped.createDataFrame([(5, i) for i in sets], "key long, node long")
-    table = shipped.createDataFrame([(i, bytearray(s.tobytes())) for i, s in sets.items()], "node long, set binary")
+    rows = [(i, bytearray(s.tobytes()), bytearray(minhash.signature(s, 240).astype(np.uint16).tobytes())) for i, s in sets.items()]
+    table = shipped.createDataFrame(rows, "node long, set binary, sign binary")
     roots = {r["node"]: r["root"] for r in minhash._link_classes(buckets, table, 80).collect()}
-    assert all((roots[i] == roots[j]) == (i % 7 == j % 7) for i in sets for j in sets)
+    assert all((roots.get(i, i) == roots.get(j, j)) == (i % 7 == j % 7) for i in sets for j in sets)
 
 
 def test_signature_estimates_the_similarity():
