@@ -218,17 +218,24 @@ _INTERACTION = _quoted(INTERACTIONS)
 _CONTENT_TEXTS = ("content_title", "desc", "topic_title", "introduction")
 
 
+def _text_of(table: str, columns: tuple[str, ...], without: str = "") -> str:
+    """The table after a trip through text: texts that stand for missing values are null."""
+    texts = ", ".join(f'CASE WHEN "{c}" NOT IN ({_TOKENS}) THEN "{c}" END AS "{c}"' for c in columns)
+    return f"SELECT * {f'EXCLUDE ({without}) ' if without else ''}REPLACE ({texts}) FROM {table}"
+
+
 def oracle_sql() -> dict[str, str]:
+    finals_user = """
+            SELECT coalesce(CAST(id AS BIGINT), 0) AS id, coalesce(CAST(sex AS BIGINT), 0) AS sex,
+                   coalesce(CAST(trunc(CAST(zan_count AS DECIMAL(38, 9))) AS BIGINT), 0) AS zan_count
+            FROM users"""
     finals = {
         "label_distribution": f"""
             SELECT CASE {_LABEL_CASES} ELSE 'neg' END AS follow, count(*) AS events FROM user_action GROUP BY 1""",
         "payload_counts": "SELECT count(*) AS log_rows, count(*) FILTER (bad_json) AS bad_json FROM judged",
         "content_id_counts": """
             SELECT coalesce(content_id, 0) AS content_id, count(*) AS events FROM parsed GROUP BY 1""",
-        "user_dim": """
-            SELECT coalesce(CAST(id AS BIGINT), 0) AS id, coalesce(CAST(sex AS BIGINT), 0) AS sex,
-                   coalesce(CAST(trunc(CAST(zan_count AS DECIMAL(38, 9))) AS BIGINT), 0) AS zan_count
-            FROM users""",
+        "user_dim": finals_user,
         "activity": "SELECT * FROM activity",
         "capped_log": """
             SELECT user_id, CAST(event_id AS BIGINT) AS event_id, event_data, created_at FROM capped""",
@@ -268,13 +275,31 @@ def oracle_sql() -> dict[str, str]:
             SELECT DISTINCT user_id, content_list AS "desc", k, part FROM by_user_split WHERE part = 'test'""",
         "preview": f"""
             SELECT {_INTERACTION} FROM rows_in_order ORDER BY block, user_id, created_at, id LIMIT 3000""",
-        "tsv_roundtrip": "SELECT * REPLACE (" + ", ".join(
-            f'CASE WHEN "{c}" NOT IN ({_TOKENS}) THEN "{c}" END AS "{c}"' for c in _CONTENT_TEXTS
-        ) + ") FROM content_raw",
-        "lenient_csv": f"""
-            SELECT id, CASE WHEN title NOT IN ({_TOKENS}) THEN title END AS title,
-                   CASE WHEN id % 5 <> 2 THEN subject_id END AS subject_id,
-                   CASE WHEN id % 5 <> 2 THEN create_time END AS create_time
-            FROM posts WHERE id % 5 NOT IN (1, 4)""",
+        "tsv_roundtrip": _text_of("content_raw", _CONTENT_TEXTS),
+        "tsv_log": "SELECT user_id, CAST(event_id AS BIGINT) AS event_id, event_data, created_at FROM capped",
+        "tsv_user": finals_user,
+        "tsv_inter_list": "SELECT * FROM inter_lists",
+        "tsv_content": _text_of("content", _CONTENT_TEXTS),
+        "tsv_content_author": _text_of(
+            "content c LEFT JOIN (SELECT id, user_id AS author_user_id FROM posts) p ON c.content_id = p.id", _CONTENT_TEXTS, "id"
+        ),
+        "tsv_user_lists": "SELECT * FROM content_lists",
+        "tsv_interactions": _text_of(f"(SELECT {_INTERACTION} FROM rows_in_order)", ("desc", "introduction")),
+        "tsv_tier": _text_of(f"(SELECT {_INTERACTION}, content_list, content_num FROM tiers WHERE k = 1)", ("desc", "introduction")),
+        "tsv_test": "SELECT DISTINCT user_id, content_list FROM reference_split WHERE part = 'test' AND k = 1",
+        "fan_out_tiers": f"SELECT {_INTERACTION}, max(k) AS top FROM tiers GROUP BY {_INTERACTION}, id, block",
+        "fan_out_splits": f"SELECT {_INTERACTION}, k, part FROM reference_split WHERE part <> 'test'",
+        "log_csv": """
+            SELECT id, user_id, CAST(event_id AS BIGINT) AS event_id, event_data, created_at FROM user_action""",
+        "user_csv": "SELECT * FROM users",
+        "user_without_sex": finals_user.replace("coalesce(CAST(sex AS BIGINT), 0) AS sex", "CAST(0 AS BIGINT) AS sex"),
+        "strict_csv": _text_of("posts", ("title", "desc")),
+        "lenient_csv": _text_of(
+            """(SELECT id, user_id, title,""" + ", ".join(
+                f'CASE WHEN id % 5 <> 2 THEN "{c}" END AS "{c}"'
+                for c in ("subject_id", "desc", "praise_count", "reply_count", "forward_count", "star_count", "share_count", "create_time")
+            ) + " FROM posts WHERE id % 5 NOT IN (1, 4))", ("title", "desc")
+        ),
+        "left_out_lines": "SELECT count(*) AS lines, count(*) FILTER (id % 5 = 1) AS lines_left_out FROM posts",
     }
     return {name: _query(final) for name, final in finals.items()}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import cached_property
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postloom import fixtures
@@ -14,7 +14,7 @@ from postloom.functions.labels import FLAGS, label, labelled, with_content_id
 from postloom.operators import enrich, repeats, sampling, topics
 from postloom.operators.splits import Splits, clustered
 from postloom.plans import content, interactions, users
-from postloom.schemas import CAPPED_LOG, INTERACTIONS, POSTS
+from postloom.schemas import CAPPED_LOG, INTERACTIONS, POSTS, PRODUCTS, USER_ACTION, USERS
 from postloom.session import shared_folder, store
 from postloom.sources import exports, products
 
@@ -129,38 +129,110 @@ def _preview(i: _Inputs) -> DataFrame:
     return interactions.public(products.preview(rows, ["block", "user_id", "created_at", "id"]))
 
 
-def _tsv_roundtrip(i: _Inputs) -> DataFrame:
-    path = f"{shared_folder(i.spark)}/content-raw-{uuid4().hex}"
-    products.write_tsv(i.content_raw(), path)
-    return products.read_tsv(i.spark, path, "content_raw", strict=False)
+def _folder(i: _Inputs, label: str) -> str:
+    return f"{shared_folder(i.spark)}/{label}-{uuid4().hex}"
+
+
+def _tsv(product: str, make: Callable[[_Inputs], DataFrame], strict: bool = True) -> Callable[[_Inputs], DataFrame]:
+    """A product written as text and read back by its contract."""
+
+    def query(i: _Inputs) -> DataFrame:
+        path = _folder(i, product)
+        products.write_product(make(i).select(*PRODUCTS[product]), path, "tsv")
+        return products.read_tsv(i.spark, path, product, strict)
+
+    return query
+
+
+def _cell(name: str, kind: str) -> Column:
+    text = F.coalesce(F.col(name).cast("string"), F.lit(""))
+    return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"')) if kind == "string" else text
+
+
+def _write_csv(rows: DataFrame, columns: list[str], path: str, line: Column | None = None) -> None:
+    """Rows as CSV files, each with its header; `line` in place of the plain line."""
+    kinds = dict(rows.dtypes)
+    plain = F.concat_ws(",", *[_cell(c, kinds[c]) for c in columns])
+    header = ",".join(columns) + "\n"
+    # Each file starts with the header line: the low 33 bits count the rows of a partition.
+    first = F.monotonically_increasing_id().bitwiseAND(2**33 - 1) == 0
+    lines = rows.repartition(3).select((plain if line is None else line).alias("value"))
+    lines.select(F.when(first, F.concat(F.lit(header), "value")).otherwise(F.col("value"))).write.mode("append").text(path)
+
+
+def _two_headers(rows: DataFrame, columns: list[str], path: str) -> None:
+    """A folder of files of two makes: their columns stand in opposite order."""
+    _write_csv(rows.where("id % 2 = 0"), columns, path)
+    _write_csv(rows.where("id % 2 = 1"), ["other", *columns[::-1]], path)
+
+
+def _log_csv(i: _Inputs) -> DataFrame:
+    path = _folder(i, "log")
+    _two_headers(i.log.withColumn("other", F.lit("x, y")), list(USER_ACTION), path)
+    return exports.read_user_action(i.spark, path)
+
+
+def _user_csv(i: _Inputs) -> DataFrame:
+    path = _folder(i, "users")
+    _two_headers(i.users.withColumn("other", F.lit(1)), list(USERS), path)
+    return exports.read_users(i.spark, path)
+
+
+def _user_without_sex(i: _Inputs) -> DataFrame:
+    path = _folder(i, "users")
+    _write_csv(i.users, ["zan_count", "id"], path)
+    return users.user_dim(exports.read_users(i.spark, path))
+
+
+def _strict_csv(i: _Inputs) -> DataFrame:
+    path = _folder(i, "posts")
+    _two_headers(i.posts.withColumn("other", F.lit(1)), list(POSTS), path)
+    return exports.read_posts(i.spark, path, strict=True)
 
 
 def _lenient_csv(i: _Inputs) -> DataFrame:
     """The posts as a CSV export with faults: lines with one and two fields too many, the last one
     empty, and lines cut off after the title."""
-
-    def field(name: str, kind: str) -> F.Column:
-        text = F.coalesce(F.col(name).cast("string"), F.lit(""))
-        return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"')) if kind == "string" else text
-
-    cells = [field(c, kind) for c, kind in POSTS.items()]
-    title_end = list(POSTS).index("title") + 1
-    lines = i.posts.select(
-        F.when(F.col("id") % 5 == 2, F.concat_ws(",", field("id", "long"), field("user_id", "long"), F.lit(""), cells[title_end - 1]))
-        .when(F.col("id") % 5 == 1, F.concat(F.concat_ws(",", *cells), F.lit(",extra")))
-        .when(F.col("id") % 5 == 4, F.concat(F.concat_ws(",", *cells), F.lit(",extra,")))
-        .otherwise(F.concat_ws(",", *cells))
-        .alias("value"),
-        "id",
+    cells = [_cell(c, kind if kind == "string" else "bigint") for c, kind in POSTS.items()]
+    whole = F.concat_ws(",", *cells)
+    line = (
+        F.when(F.col("id") % 5 == 2, F.concat_ws(",", cells[0], cells[1], F.lit(""), cells[list(POSTS).index("title")]))
+        .when(F.col("id") % 5 == 1, F.concat(whole, F.lit(",extra")))
+        .when(F.col("id") % 5 == 4, F.concat(whole, F.lit(",extra,")))
+        .otherwise(whole)
     )
-    path = f"{shared_folder(i.spark)}/posts-{uuid4().hex}"
-    header = ",".join(POSTS) + "\n"
-    # Each file starts with the header line: the low 33 bits count the rows of a partition.
-    first = F.monotonically_increasing_id().bitwiseAND(2**33 - 1) == 0
-    lines.repartition("id").select(
-        F.when(first, F.concat(F.lit(header), "value")).otherwise(F.col("value"))
-    ).write.text(path)
-    return exports.read_posts(i.spark, path).select("id", "title", "subject_id", "create_time")
+    path = _folder(i, "posts")
+    _write_csv(i.posts, list(POSTS), path, line)
+    return exports.read_posts(i.spark, path)
+
+
+def _left_out(i: _Inputs) -> DataFrame:
+    """How many lines of that export there are, and how many a lenient scan leaves out."""
+    counts = Observation("posts")
+    cells = F.concat_ws(",", *[_cell(c, kind if kind == "string" else "bigint") for c, kind in POSTS.items()])
+    path = _folder(i, "posts")
+    _write_csv(i.posts, list(POSTS), path, F.when(F.col("id") % 5 == 1, F.concat(cells, F.lit(",extra"))).otherwise(cells))
+    store(exports.read_posts(i.spark, path, counts=counts), "posts")
+    return i.spark.createDataFrame([(counts.get["lines"], counts.get["lines_left_out"])], "lines long, lines_left_out long")
+
+
+def _fan_out(i: _Inputs, rows: DataFrame, folders: list[str]) -> DataFrame:
+    """Rows in one folder per tier, or tier and part, written in one pass and read back."""
+    path = _folder(i, "tiers")
+    products.write_product(rows.select(*INTERACTIONS, *folders), path, folders=folders)
+    return i.spark.read.parquet(path)
+
+
+def _fan_out_tiers(i: _Inputs) -> DataFrame:
+    return _fan_out(i, interactions.with_top_tier(i.rows_and_lists()[0]), ["top"])
+
+
+def _fan_out_splits(i: _Inputs) -> DataFrame:
+    return _fan_out(i, Splits(i.rows_and_lists()[0]).parts(), ["k", "part"])
+
+
+def _first_tier(i: _Inputs) -> DataFrame:
+    return interactions.wide_tiers(*i.rows_and_lists(), tiers=(1,))
 
 
 _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
@@ -195,8 +267,24 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "split_test": _split_test,
     "split_user_order": _split_user_order,
     "preview": _preview,
-    "tsv_roundtrip": _tsv_roundtrip,
+    "tsv_roundtrip": _tsv("content_raw", lambda i: i.content_raw(), strict=False),
+    "tsv_log": _tsv("useract_all", lambda i: i.capped()),
+    "tsv_user": _tsv("user", lambda i: users.user_dim(i.users)),
+    "tsv_inter_list": _tsv("inter_list", lambda i: content.inter_list(i.post_users())),
+    "tsv_content": _tsv("content", lambda i: i.content(), strict=False),
+    "tsv_content_author": _tsv("content_with_author", lambda i: content.content_with_author(i.content(), i.posts), strict=False),
+    "tsv_user_lists": _tsv("content_with_interlist", lambda i: interactions.user_content_list(i.log)),
+    "tsv_interactions": _tsv("content_with_topiccnt", lambda i: interactions.interactions(i.engaged(), i.posts, i.topics)),
+    "tsv_tier": _tsv("bt", _first_tier),
+    "tsv_test": _tsv("test", lambda i: Splits((found := i.rows_and_lists())[0], tiers=(1,)).tests(found[1])),
+    "fan_out_tiers": _fan_out_tiers,
+    "fan_out_splits": _fan_out_splits,
+    "log_csv": _log_csv,
+    "user_csv": _user_csv,
+    "user_without_sex": _user_without_sex,
+    "strict_csv": _strict_csv,
     "lenient_csv": _lenient_csv,
+    "left_out_lines": _left_out,
 }
 
 
