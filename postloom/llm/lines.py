@@ -1,14 +1,17 @@
-"""Substring deduplication by hashing lines, and inside lines their sentences.
-
-A text is cut after line breaks and after runs of ".", "!" or "?" that white space follows. Each unit
-is normalised (lower case, white space as single spaces) and, with MIN_WORDS words or more, has a
-128-bit digest. Over all documents the occurrence of a digest that ranks first, by document id (null
-last) and then by offset, is kept and every other one is removed. Shorter units are too common to
-tell copies from chance: one goes only when all its neighbours in the line up to the next longer
-unit, on both sides, go too. Removed spans keep their offsets in the original text, in characters.
-
-A whole line that repeats is one or more repeated units; a passage inside a line is found sentence
-by sentence. Null and empty texts have no units and come back as they are. Rows that repeat an id and
+"""Substring deduplication by hashing lines, in pieces where they are long.
+
+A text is cut after line breaks and after sentences (words that end in ".", "!" or "?"). Longer ones
+are cut further, after a comma, semicolon, colon or a word that its own hash picks (one in eight), as
+soon as MIN_WORDS words have gathered: these places depend on what is near, so the units of a passage
+fall into step wherever the passage starts. Each unit is normalised (lower case, white space as single
+spaces) and, with MIN_WORDS words or more, has a 128-bit digest. Over all documents the occurrence of
+a digest that ranks first, by document id (null last) and then by offset, is kept and every other one
+is removed. Shorter units are too common to tell copies from chance: one goes only when its neighbours
+in the line, up to the next longer unit on both sides, go too. Removed spans keep their offsets in the
+original text, in characters.
+
+A whole line that repeats is one or more repeated units; of a passage inside a line the first and
+last few words can stay, joined to foreign ones. Null and empty texts have no units and come back as they are. Rows that repeat an id and
 its text are one document: their units keep or lose alike. Rows without an id rank last, by a hash of
 their text. Further columns are passed on. A unit that any number of documents share is one group of
 one combining aggregate; no group is gathered anywhere.
@@ -16,12 +19,13 @@ one combining aggregate; no group is gathered anywhere.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,13 +33,20 @@ from pyspark.sql import functions as F
 from postloom.session import store
 
 MIN_WORDS = 8
-_ENDS = regex.compile(r"\n|[.!?]+(?=\s)")
+_WORDS = re.compile(r"\n|\S+")
 _UNITS = "id long, row long, unit int, high long, low long"
 
 
-def cut(text: str) -> list[tuple[int, int]]:
+def cut(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
     """The units as offsets; they cover the text."""
-    ends = [found.end() for found in _ENDS.finditer(text)]
+    ends, words = [], 0
+    for found in _WORDS.finditer(text):
+        word = found[0]
+        last = word[-1]
+        words += 1
+        if last in ".!?\n" or words >= min_words and (last in ",;:" or not crc32(word.lower().encode("utf-8", "surrogatepass")) & 7):
+            ends.append(found.end())
+            words = 0
     if not ends or ends[-1] < len(text):
         ends.append(len(text))
     return list(zip([0, *ends], ends))
@@ -52,7 +63,7 @@ def _digests(min_words: int):
             ids, rows, numbers, digests = [], [], [], []
             for key, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 text = text.as_py()
-                for number, (start, end) in enumerate(cut(text) if text else ()):
+                for number, (start, end) in enumerate(cut(text, min_words) if text else ()):
                     found = digest(text[start:end], min_words)
                     if found is not None:
                         ids.append(key)
@@ -70,7 +81,7 @@ def _digests(min_words: int):
 
 def removed_spans(text: str, gone: set[int], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
     """Spans of the removed units, and of the short ones that only have removed neighbours in their line."""
-    units = cut(text)
+    units = cut(text, min_words)
     out = [number in gone for number in range(len(units))]
     line: list[int] = []
 
