@@ -13,7 +13,7 @@ value. Popping a node, a prefix and the pieces that must not follow, draws one p
 path takes the node's value. What the node leaves unexplored becomes new nodes: at each piece of the
 path, the siblings of that piece, with a Gumbel value of their mass cut off at the parent's value. A
 heap pops the node of the largest value next. The value left on top at the end is the threshold that
-gives the inclusion probabilities. Only noise over 48 below the best place of a path is not drawn:
+gives the inclusion probabilities. Noise is not drawn for places over 42 below the best place of a path:
 the generator cannot reach that far.
 
 Noise is a function of the row's key, the draw and the place, so a rerun gives the same samples.
@@ -45,10 +45,10 @@ DEFAULT_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SAMPLES = 2
 SHARPNESS = 1.0
 # Bytes of text whose lattices are built together.
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 2_000_000
 SPACE = "▁"
 _BITS = 30  # probabilities are drawn in steps of 2 ** -_BITS
-_REACH = 48.0
+_REACH = 42.0  # more than the largest Gumbel value of 53 random bits lies above the smallest
 _LOOK = 256  # pieces of a path that are searched for places in reach at first
 _UNITS = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -71,6 +71,9 @@ class Vocabulary:
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 pieces[piece] = i
                 self.bytes_of[i] = piece.replace(SPACE, " ").encode()
+        self.byte_count = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
+        self.byte_start = np.cumsum(self.byte_count) - self.byte_count
+        self.blob = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
         if any(SPACE in piece.lstrip(SPACE) for piece in pieces):
             raise ValueError("a piece runs on over a space")
         self.weight = np.array([-sharpness * np.log(2 - model.get_score(i)) for i in range(size)])
@@ -124,6 +127,17 @@ class Vocabulary:
             open_rows = open_rows[~hit & (held >= 0)]
         return out
 
+    def decode_many(self, ids: list[np.ndarray]) -> list[bytes]:
+        """The bytes of several segmentations, with the space before the text."""
+        flat = np.concatenate(ids) if ids else np.empty(0, dtype=np.int32)
+        sizes = self.byte_count[flat]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        # Byte j of a piece stands j places after the piece's first byte in `blob`.
+        joined = self.blob[np.arange(total) + np.repeat(self.byte_start[flat] - (ends - sizes), sizes)].tobytes()
+        cuts = np.concatenate([[0], ends])[np.cumsum([0, *map(len, ids)])].tolist()
+        return [joined[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+
     def decode(self, ids) -> str:
         """The text of a segmentation; the space put before every text is taken off again."""
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -193,6 +207,8 @@ class Lattice:
         by_bytes = np.flatnonzero(self.piece < 0)
         code = self.code[self.a[by_bytes]]
         weight[by_bytes] = vocab.byte_weight * (1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))
+        # Characters of one byte are one byte piece; only longer ones keep -1 and are spelled in `ids`.
+        self.piece[by_bytes] = np.where(code < 0x80, vocab.byte_ids[code & 0x7F], -1)
         # Backward sums: places in order of their distance to the end of their unit.
         mass = np.zeros(places + 1)
         distance = to_end[self.a]
@@ -345,7 +361,7 @@ class Sampler:
             noise = _gumbel(mix64(seeds + at.astype(np.uint64)))
             limit = np.array([p.value for p in paths])[owner]
             values = -np.logaddexp(-limit, -(mass[at_row, at] + noise))
-            order = np.lexsort((at, -values, at_row))
+            order = np.lexsort((-values, at_row))
             place = np.arange(len(order)) - np.searchsorted(at_row[order], at_row[order])
             # More than k nodes of one path can never be popped.
             for i in order[place < self.k].tolist():
@@ -466,7 +482,7 @@ def _encoder(k: int, path: str, sharpness: float):
 
 
 def _encoded(vocab: Vocabulary, keys: pa.Array, texts: list[str], seeds: np.ndarray, k: int) -> pa.RecordBatch:
-    of, numbers, ids, log_probs, values, inclusions, same = [], [], [], [], [], [], []
+    of, numbers, ids, log_probs, values, inclusions = [], [], [], [], [], []
     for t, number, pieces, log_prob, value, inclusion in sample_texts(vocab, texts, seeds, k):
         of.append(t)
         numbers.append(number)
@@ -474,7 +490,8 @@ def _encoded(vocab: Vocabulary, keys: pa.Array, texts: list[str], seeds: np.ndar
         log_probs.append(log_prob)
         values.append(value)
         inclusions.append(inclusion)
-        same.append(vocab.decode(pieces.tolist()) == texts[t].replace(SPACE, " "))
+    given = [(" " + t.replace(SPACE, " ")).encode() if t else b"" for t in texts]
+    same = [decoded == given[t] for decoded, t in zip(vocab.decode_many(ids), of)]
     flat = pa.array(np.concatenate(ids).astype(np.int32) if ids else np.empty(0, dtype=np.int32))
     ends = np.concatenate([[0], np.cumsum([len(p) for p in ids])]).astype(np.int32)
     return pa.RecordBatch.from_arrays(
