@@ -13,7 +13,7 @@ value. Popping a node, a prefix and the pieces that must not follow, draws one p
 path takes the node's value. What the node leaves unexplored becomes new nodes: at each piece of the
 path, the siblings of that piece, with a Gumbel value of their mass cut off at the parent's value. A
 heap pops the node of the largest value next. The value left on top at the end is the threshold that
-gives the inclusion probabilities. Noise is not drawn for places over 42 below the best place of a path:
+gives the inclusion probabilities. Noise is not drawn for places over 27 below the best place of a path:
 the generator cannot reach that far.
 
 Noise is a function of the row's key, the draw and the place, so a rerun gives the same samples.
@@ -23,11 +23,12 @@ give them all. Rows that repeat a key and text repeat its samples. Further colum
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable, Iterator
+from copy import copy
 from dataclasses import dataclass
 from heapq import heappop, heappush
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pandas as pd
@@ -48,8 +49,11 @@ SHARPNESS = 1.0
 CHUNK_BYTES = 2_000_000
 SPACE = "▁"
 _BITS = 30  # probabilities are drawn in steps of 2 ** -_BITS
-_REACH = 42.0  # more than the largest Gumbel value of 53 random bits lies above the smallest
-_LOOK = 256  # pieces of a path that are searched for places in reach at first
+_REACH = 27.0  # more than the largest Gumbel value of 32 random bits lies above the smallest
+_LOOK = 128  # pieces of a path that are searched for places in reach at first
+# Each Python worker keeps the lattices of units that two or more of its first chunks have.
+WARM_UP_CHUNKS = 6
+KEPT_UNITS = 150_000
 _UNITS = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -144,7 +148,9 @@ class Vocabulary:
         return text[1:] if text.startswith(" ") else text
 
 
+# What a Python worker keeps, by model file and sharpness.
 _vocabularies: dict[tuple[str, float], Vocabulary] = {}
+_common: dict[tuple[str, float], Common] = {}
 
 
 def vocabulary(path: str, sharpness: float) -> Vocabulary:
@@ -163,7 +169,7 @@ class Lattice:
         # Each unit has one place more than characters: its end.
         self.start = np.cumsum(lengths + 1) - lengths - 1
         self.end = self.start + lengths
-        places = int(lengths.sum() + len(units))
+        self.places = places = int(lengths.sum() + len(units))
         char_place = (np.arange(len(codes)) + np.repeat(np.arange(len(units)), lengths)).astype(np.int32)
         letter = np.zeros(places + 1, dtype=np.int32)
         letter[char_place] = vocab.letter[codes]
@@ -244,6 +250,18 @@ class Lattice:
             self.rest[edges] += total[:n]
             total[:n] += p[edges]
 
+    def and_more(self, other: Lattice) -> Lattice:
+        """The units of both, the other's after these."""
+        both = copy(self)
+        both.places = self.places + other.places
+        edges = len(self.a)
+        for name, shift in (("start", self.places), ("end", self.places), ("a", self.places), ("b", self.places), ("piece", 0), ("log_p", 0), ("rest", 0), ("cut", 0)):
+            new = getattr(other, name)
+            setattr(both, name, np.concatenate([getattr(self, name), new + new.dtype.type(shift) if shift else new]))
+        both.first = np.concatenate([self.first[: self.places], other.first + edges])
+        both.code = np.concatenate([self.code[: self.places], other.code])
+        return both
+
     def draw(self, places: np.ndarray, noise: np.ndarray) -> np.ndarray:
         """An edge of each place by its probability."""
         target = (noise >> np.uint64(64 - _BITS)).astype(np.int32)
@@ -255,6 +273,25 @@ class Lattice:
         return edge
 
 
+class Common:
+    """The units that a worker meets again and again, with their lattices."""
+
+    def __init__(self, vocab: Vocabulary):
+        self.vocab, self.number, self.lattice = vocab, {}, None
+        self._chunks, self._seen = 0, Counter()
+
+    def meet(self, units: Iterable[str]) -> None:
+        """Learn from the units of a chunk, while there is something to learn."""
+        if self.lattice is None:
+            self._seen.update(units)
+            self._chunks += 1
+            if self._chunks == WARM_UP_CHUNKS:
+                kept = [unit for unit, times in self._seen.most_common(KEPT_UNITS) if times > 1]
+                self.number = {unit: i for i, unit in enumerate(kept)}
+                self.lattice = Lattice(self.vocab, [SPACE + unit for unit in kept]) if kept else None
+                self._seen.clear()
+
+
 @dataclass
 class Path:
     """A sampled segmentation: its edges, their units' numbers in the text, and its value."""
@@ -265,17 +302,18 @@ class Path:
 
 
 def _gumbel(noise: np.ndarray) -> np.ndarray:
-    chance = ((noise >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    chance = ((noise >> np.uint64(32)).astype(np.float64) + 0.5) * 2.0**-32
     return -np.log(-np.log(chance))
 
 
 class Sampler:
     """Samples for the texts of one chunk, all together step by step."""
 
-    def __init__(self, vocab: Vocabulary, texts: list[str], keys: np.ndarray, k: int):
+    def __init__(self, vocab: Vocabulary, texts: list[str], keys: np.ndarray, k: int, common: Common | None = None):
         self.vocab, self.k = vocab, k
         # Units by number; a unit without its space in front is known by the rest.
-        number: dict[str, int] = defaultdict(count().__next__)
+        known = common.number if common else {}
+        number: dict[str, int] = defaultdict(count(len(known)).__next__, known)
         units, self.size = [], []
         for text in texts:
             cut = text.split(" ") if text else []
@@ -288,7 +326,13 @@ class Sampler:
         # A seed for each text, draw and kind of noise.
         kinds = np.arange(4 * k, dtype=np.uint64).reshape(1, k, 4) * _ODD
         self.noise = mix64(mix64(keys.astype(np.int64).view(np.uint64))[:, None, None] + kinds)
-        self.lattice = Lattice(vocab, [SPACE + unit for unit in number]) if number else None
+        self.lattice = common.lattice if common else None
+        new = list(islice(number, len(known), None))
+        if new:
+            own = Lattice(vocab, [SPACE + unit for unit in new])
+            self.lattice = self.lattice.and_more(own) if self.lattice else own
+        if common:
+            common.meet(new)
 
 
     def _extend(self, texts: list[int], draw: int, begin: list[int], place: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -436,9 +480,11 @@ def log_inclusion(log_prob: float, threshold: float) -> float:
 
 
 
-def sample_texts(vocab: Vocabulary, texts: list[str], keys: np.ndarray, k: int) -> Iterator[tuple[int, int, np.ndarray, float, float, float]]:
+def sample_texts(
+    vocab: Vocabulary, texts: list[str], keys: np.ndarray, k: int, common: Common | None = None
+) -> Iterator[tuple[int, int, np.ndarray, float, float, float]]:
     """(number of the text, sample, ids, log-probability, perturbed value, log inclusion probability)."""
-    sampler = Sampler(vocab, texts, keys, k)
+    sampler = Sampler(vocab, texts, keys, k, common)
     for t, samples in enumerate(sampler.run()):
         for number, (path, threshold) in enumerate(samples, 1):
             log_prob = float(sampler.lattice.log_p[path.edges].sum()) if len(path.edges) else 0.0
@@ -461,7 +507,7 @@ _ENCODED = "doc_id long, sample int, ids array<int>, log_prob double, value doub
 
 def _encoder(k: int, path: str, sharpness: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(path, sharpness)
+        common = _common.setdefault((path, sharpness), Common(vocabulary(path, sharpness)))
         for batch in batches:
             batch = batch.filter(batch.column("text").is_valid())
             keys = batch.column("doc_id")
@@ -475,15 +521,15 @@ def _encoder(k: int, path: str, sharpness: float):
                     size += sizes[end]
                     end += 1
                 part = batch.slice(begin, end - begin)
-                yield _encoded(vocab, part.column("doc_id"), part.column("text").to_pylist(), seeds[begin:end], k)
+                yield _encoded(common, part.column("doc_id"), part.column("text").to_pylist(), seeds[begin:end], k)
                 begin = end
 
     return run
 
 
-def _encoded(vocab: Vocabulary, keys: pa.Array, texts: list[str], seeds: np.ndarray, k: int) -> pa.RecordBatch:
+def _encoded(common: Common, keys: pa.Array, texts: list[str], seeds: np.ndarray, k: int) -> pa.RecordBatch:
     of, numbers, ids, log_probs, values, inclusions = [], [], [], [], [], []
-    for t, number, pieces, log_prob, value, inclusion in sample_texts(vocab, texts, seeds, k):
+    for t, number, pieces, log_prob, value, inclusion in sample_texts(common.vocab, texts, seeds, k, common):
         of.append(t)
         numbers.append(number)
         ids.append(pieces)
@@ -491,7 +537,7 @@ def _encoded(vocab: Vocabulary, keys: pa.Array, texts: list[str], seeds: np.ndar
         values.append(value)
         inclusions.append(inclusion)
     given = [(" " + t.replace(SPACE, " ")).encode() if t else b"" for t in texts]
-    same = [decoded == given[t] for decoded, t in zip(vocab.decode_many(ids), of)]
+    same = [decoded == given[t] for decoded, t in zip(common.vocab.decode_many(ids), of)]
     flat = pa.array(np.concatenate(ids).astype(np.int32) if ids else np.empty(0, dtype=np.int32))
     ends = np.concatenate([[0], np.cumsum([len(p) for p in ids])]).astype(np.int32)
     return pa.RecordBatch.from_arrays(
