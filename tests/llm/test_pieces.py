@@ -86,6 +86,14 @@ def test_a_row_has_the_same_samples_in_any_batch(vocab):
     for i in range(30):
         assert sample(vocab, texts[i : i + 1], [i], 3)[0] == together[i]
     assert sample(vocab, texts[10:25], range(10, 25), 3)[4] == together[14]
+    # With lattices kept from earlier chunks.
+    common = pieces.Common(vocab)
+    for at in [0, 3, 0, 6, 9, 3, 0, 15, 20, 0]:
+        found = {}
+        for t, _, ids, *scores in pieces.sample_texts(vocab, texts[at : at + 10], np.arange(at, at + 10), 3, common):
+            found.setdefault(t, []).append((ids.tolist(), *scores))
+        assert all(found[t] == together[at + t] for t in range(10))
+    assert common.lattice is not None
 
 
 def test_whole_table(shipped):
