@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.common import mix64
+from postloom.llm.common import grouped, mix64
 from postloom.llm.graph import components
 from postloom.session import store
 
@@ -184,10 +184,9 @@ def _counted_here(key: int, left: np.ndarray, right: np.ndarray, step: int = 4_0
     return here
 
 
-def _compare(group: pa.Table, lattices: dict[int, Lattice], min_cosine: float) -> pa.RecordBatch | None:
+def _compare(batch: pa.RecordBatch, lattices: dict[int, Lattice], min_cosine: float) -> pa.RecordBatch | None:
     """The links of one tile: per class its links counted and its representative."""
-    key = group.column("key")[0].as_py()
-    batch = group.combine_chunks().to_batches()[0]
+    key = batch.column("key")[0].as_py()
     chunks, firsts = batch.column("chunk").to_numpy(), batch.column("t1")[0].as_py()
     across = firsts != batch.column("t2")[0].as_py()
     copies, labels, classes = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("copies", "label", "cls"))
@@ -234,23 +233,10 @@ def _tiles(min_cosine: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattices: dict[int, Lattice] = {}
-        rest: pa.Table | None = None
-        for batch in itertools.chain(batches, [None]):
-            if batch is not None:
-                new = pa.Table.from_batches([batch])
-                rest = new if rest is None else pa.concat_tables([rest, new])
-            if rest is None or not rest.num_rows:
-                continue
-            marks = np.stack([rest.column(c).to_numpy() for c in ("key", "t1", "t2")])
-            cuts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1).tolist()]
-            ends = [*cuts[1:], rest.num_rows]
-            # The last tile may go on in the next batch.
-            for start, end in list(zip(cuts, ends))[: None if batch is None else -1]:
-                if end - start > 1:
-                    found = _compare(rest.slice(start, end - start), lattices, min_cosine)
-                    if found is not None:
-                        yield found
-            rest = rest.slice(cuts[-1])
+        for tile in grouped(batches, ["key", "t1", "t2"]):
+            found = _compare(tile, lattices, min_cosine) if tile.num_rows > 1 else None
+            if found is not None:
+                yield found
 
     return run
 
