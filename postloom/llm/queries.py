@@ -74,4 +74,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_nearest": op10_nearest,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Components by reachability; `nodes` has (id), `links` has (a, b) in both directions.
+_COMPONENTS = """
+    reached AS (
+        SELECT id AS a, id AS b FROM nodes
+        UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+    ),
+    components AS (SELECT a AS id, min(b) AS component_id FROM reached GROUP BY a)"""
+
+ORACLE_SQL: dict[str, str] = {
+    # All pairs that share a shingle, and their exact similarity.
+    "op1_minhash_dedup": rf"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w]
+                ELSE list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3]) END) AS shingle
+            FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+            FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM common JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+            WHERE 100 * shared >= 80 * (s.n + t.n - shared)),
+        nodes AS (SELECT doc_id AS id FROM documents), {_COMPONENTS}
+        SELECT id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, id = component_id AS kept
+        FROM components LEFT JOIN sizes ON doc_id = id""",
+    # The article of each page of these tables, cut at its blocks.
+    "op7_html_text": r"""
+        WITH articles AS (SELECT page_id, url, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS article FROM pages),
+        plain AS (
+            SELECT page_id, url, list_transform(string_split_regex(replace(article, '<br>', ' '), '</?(?:p|h1)>'),
+                lambda x: replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')) AS b
+            FROM articles),
+        texts AS (
+            SELECT page_id, url, array_to_string(
+                list_filter(list_transform(b, lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text
+            FROM plain)
+        SELECT *, CAST(length(text) AS BIGINT) AS n_chars FROM texts""",
+    # All pairs of a label.
+    "op9_embedding_dedup": f"""
+        WITH RECURSIVE vectors AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        links AS (
+            SELECT x.id AS a, y.id AS b FROM vectors x JOIN vectors y ON x.label = y.label AND x.id <> y.id
+            WHERE list_cosine_similarity(x.v, y.v) >= 0.93),
+        nodes AS (SELECT id FROM vectors), {_COMPONENTS}
+        SELECT id AS vec_id, (SELECT count(*) FROM links WHERE a = id) AS n_links, component_id, id = component_id AS kept
+        FROM components""",
+}
