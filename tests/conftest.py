@@ -1,18 +1,19 @@
-import os
 import sys
+from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from postloom.session import session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     spark = session(
         "tests", "local[4]",
         **{
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
