@@ -44,3 +44,15 @@ def test_query_matches_statement(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["interactions", "inter_list", "user_content_list", "neg_sample", "content_raw"])
+def test_results_do_not_depend_on_partitions(spark, name):
+    def rows(partitions):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            return Counter(tuple(r) for r in registry.queries()[name](spark, "/root/testdata/sf0.001").collect())
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+    assert rows("1") == rows("4") == rows("32")
