@@ -46,14 +46,14 @@ DEFAULT_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SAMPLES = 2
 SHARPNESS = 1.0
 # Bytes of text whose lattices are built together.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 SPACE = "▁"
 _BITS = 30  # probabilities are drawn in steps of 2 ** -_BITS
 _REACH = 27.0  # more than the largest Gumbel value of 32 random bits lies above the smallest
 _LOOK = 128  # pieces of a path that are searched for places in reach at first
 # Each Python worker keeps the lattices of units that two or more of its first chunks have.
-WARM_UP_CHUNKS = 6
-KEPT_UNITS = 150_000
+WARM_UP_CHUNKS = 8
+KEPT_UNITS = 60_000
 _UNITS = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
