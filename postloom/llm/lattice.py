@@ -276,7 +276,8 @@ def link(vectors: DataFrame, embedding: str = "embedding", label: str = "label",
         "cls", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "cls").alias("root")
     )
     placed = store(named.select("vec_id", "cls").join(counted, "cls", "left"), "placed")
-    smallest = placed.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("vec_id").alias("component_id"))
+    # Stored apart from the join with it, so that Spark can split the join at a large component.
+    smallest = store(placed.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("vec_id").alias("component_id")), "smallest")
     out = placed.join(smallest, "root", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("root").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).cast("long").alias("component_id"),

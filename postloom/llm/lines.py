@@ -160,21 +160,24 @@ def repeated_units(docs: DataFrame, text: str = "text", key: str = "doc_id", min
     return again.groupBy("row").agg(F.collect_set("unit").alias("gone"))
 
 
+def _cut_texts(docs: DataFrame, text: str, key: str, min_words: int) -> DataFrame:
+    """The documents with `_line_cut`: the text without repeats, and the spans removed."""
+    gone = repeated_units(docs, text, key, min_words).select(F.col("row").alias("_line_row"), F.col("gone").alias("_line_gone"))
+    keyed = docs.withColumn("_line_key", _row(F.col(key), F.col(text)))
+    joined = keyed.join(gone, F.col("_line_key") == F.col("_line_row"), "left")
+    return joined.withColumn("_line_cut", _without(min_words)(F.col(text), F.col("_line_gone")))
+
+
 def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
     """All columns with the text cut, and `removed`, the spans taken out of the original text.
 
     A column of the input that is called `removed` is replaced.
     """
-    gone = repeated_units(docs, text, key, min_words).select(F.col("row").alias("_line_row"), F.col("gone").alias("_line_gone"))
-    keyed = docs.withColumn("_line_key", _row(F.col(key), F.col(text)))
-    joined = keyed.join(gone, keyed["_line_key"] == gone["_line_row"], "left")
-    cut_texts = joined.withColumn("_line_cut", _without(min_words)(F.col(text), F.col("_line_gone")))
-    return cut_texts.select(
-        *[F.col("_line_cut.text").alias(c) if c == text else keyed[c] for c in docs.columns if c != "removed"],
-        F.col("_line_cut.removed").alias("removed"),
-    )
+    kept = [F.col("_line_cut.text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c != "removed"]
+    return _cut_texts(docs, text, key, min_words).select(*kept, F.col("_line_cut.removed").alias("removed"))
 
 
-def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The documents with their columns, repeated passages cut from the texts."""
-    return deduplicate(docs.drop("removed"), text, key).select(*docs.columns) if "removed" not in docs.columns else deduplicate(docs, text, key)
+def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
+    """The documents with their columns as they were, repeated passages cut from the texts."""
+    kept = [F.col("_line_cut.text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    return _cut_texts(docs, text, key, min_words).select(*kept)

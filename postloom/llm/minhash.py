@@ -292,7 +292,8 @@ def find_components(
     placed = sketched.select("id", "row", "size", "digest").join(classes.select("digest", "node"), "digest", "left")
     placed = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = store(placed.select("id", "row", "size", "root"), "placed")
-    smallest = placed.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("id").alias("least"))
+    # Stored apart from the join with it, so that Spark can split the join at a large component.
+    smallest = store(placed.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("id").alias("least")), "smallest")
     return placed.join(smallest, "root", "left").select(
         "id", "row", "size", F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component")
     )
