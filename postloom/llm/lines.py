@@ -3,15 +3,17 @@
 A text is cut after line breaks and after sentences (words that end in ".", "!" or "?"). Longer ones
 are cut further, after a comma, semicolon, colon or a word that its own hash picks (one in eight), as
 soon as MIN_WORDS words have gathered: these places depend on what is near, so the units of a passage
-fall into step wherever the passage starts. Each unit is normalised (lower case, white space as single
-spaces) and, with MIN_WORDS words or more, has a 128-bit digest. Over all documents the occurrence of
-a digest that ranks first, by document id (null last) and then by offset, is kept and every other one
-is removed. Shorter units are too common to tell copies from chance: one goes only when its neighbours
-in the line, up to the next longer unit on both sides, go too. Removed spans keep their offsets in the
-original text, in characters.
-
-A whole line that repeats is one or more repeated units; of a passage inside a line the first and
-last few words can stay, joined to foreign ones. Null and empty texts have no units and come back as they are. Rows that repeat an id and
+fall into step wherever the passage starts. Shorter sentences of a line that follow each other are one
+unit, as soon as together they have MIN_WORDS words. Each unit is normalised (lower case, white space
+as single spaces) and has a 128-bit digest when it has MIN_WORDS words or is a whole line of any
+length. Over all documents the occurrence of a digest that ranks first, by document id (null last) and
+then by offset, is kept and every other one is removed. Short parts of a line are too common to tell
+copies from chance: one goes only when its neighbours in the line, up to the next unit with a digest
+on both sides, go too. Removed spans keep their offsets in the original text, in characters.
+
+A whole line that repeats, of any length and sentence structure, is removed whole, and so is a
+paragraph, line by line; of a passage inside a line the first and last few words can stay, joined to
+foreign ones. Null and empty texts have no units and come back as they are. Rows that repeat an id and
 its text are one document: their units keep or lose alike. Rows without an id rank last, by a hash of
 their text. Further columns are passed on. A unit that any number of documents share is one group of
 one combining aggregate; no group is gathered anywhere.
@@ -38,23 +40,62 @@ _UNITS = "id long, row long, unit int, high long, low long"
 
 
 def cut(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """The units as offsets; they cover the text."""
-    ends, words = [], 0
+    """The units as offsets; they cover the text.
+
+    White space tells a short part of a line from a whole line: a part has some at its start, or at
+    its end when it begins the line; a whole line has none but its line break.
+    """
+    ends: list[int] = []
+    line: list[tuple[int, int]] = []  # ends and words of the pieces of the line
+    words = 0
     for found in _WORDS.finditer(text):
         word = found[0]
+        if word == "\n":
+            _close(text, line, words, found.end(), ends, min_words)
+            line, words = [], 0
+            continue
         last = word[-1]
         words += 1
-        if last in ".!?\n" or words >= min_words and (last in ",;:" or not crc32(word.lower().encode("utf-8", "surrogatepass")) & 7):
-            ends.append(found.end())
+        if last in ".!?" or words >= min_words and (last in ",;:" or not crc32(word.lower().encode("utf-8", "surrogatepass")) & 7):
+            line.append((found.end(), words))
             words = 0
     if not ends or ends[-1] < len(text):
-        ends.append(len(text))
+        _close(text, line, words, len(text), ends, min_words)
     return list(zip([0, *ends], ends))
 
 
+def _close(text: str, line: list[tuple[int, int]], words: int, end: int, ends: list[int], min_words: int) -> None:
+    """Adds the ends of the units of a line, from its pieces and the words after them."""
+    start = ends[-1] if ends else 0
+    pieces = [*line, (end, words)] if words or not line else [*line[:-1], (end, line[-1][1])]
+    units: list[tuple[int, int]] = []
+    for at, n in pieces:
+        if units and units[-1][1] < min_words and n < min_words:
+            units[-1] = (at, units[-1][1] + n)
+        else:
+            units.append((at, n))
+    if units[0][1] < min_words:
+        if len(units) > 1:
+            first = units[0][0]
+            ends.append(first + len(text[first:end]) - len(text[first:end].lstrip()))
+            units = units[1:]
+        elif units[0][1]:
+            content = text[start:end]
+            if content[0].isspace():
+                ends.append(start + len(content) - len(content.lstrip()))
+            if content[-1] != "\n" and content[-1].isspace():
+                ends.append(start + len(content.rstrip()))
+    ends.extend(at for at, _ in units)
+
+
+def _hashed(unit: str, words: int, min_words: int) -> bool:
+    """Whether a unit of so many words has a digest: a long one, or a whole line (see `cut`)."""
+    return words >= min_words or words > 0 and not unit[0].isspace() and (unit[-1] == "\n" or not unit[-1].isspace())
+
+
 def digest(unit: str, min_words: int = MIN_WORDS) -> bytes | None:
     words = unit.lower().split()
-    return xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass")) if len(words) >= min_words else None
+    return xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass")) if _hashed(unit, len(words), min_words) else None
 
 
 def _digests(min_words: int):
@@ -86,7 +127,8 @@ def removed_spans(text: str, gone: set[int], min_words: int = MIN_WORDS) -> list
     line: list[int] = []
 
     def close() -> None:
-        short = [i not in gone and len(text[units[i][0] : units[i][1]].split()) < min_words for i in line]
+        parts = [text[units[i][0] : units[i][1]] for i in line]
+        short = [i not in gone and not _hashed(part, len(part.split()), min_words) for i, part in zip(line, parts)]
         at = 0
         while at < len(line):
             end = at

@@ -106,3 +106,28 @@ def test_odd_rows(odd_documents, empty_documents):
     assert (2, None) in by_id and (3, "") in by_id and by_id.count((1, docs[0]["text"])) == 2
     assert lines.without_repeats(odd_documents.drop("removed")).columns == odd_documents.drop("removed").columns
     assert lines.without_repeats(empty_documents).count() == 0
+
+
+def test_repeated_lines_of_short_sentences_and_short_lines_go_whole(documents):
+    repeated = ["Home | About | Contact", "Yes. No. Of course not. Go on. And so it went. Then.", "  Read more  ", "One. Two three."]
+    rows = [(i, f"foreign words {i}\n" + "\n".join(repeated) + f"\nlast words {i}\nThe end", "en", "s") for i in range(5)]
+    rows += [(10, "Well. home | about | CONTACT", "en", "s"), (11, "The end", "en", "s")]
+    found = {r["doc_id"]: r["text"] for r in lines.deduplicate(documents(rows)).collect()}
+    assert found[0] == rows[0][1] and found[11] == ""
+    assert all(found[i] == f"foreign words {i}\nlast words {i}\n" for i in range(1, 5))
+    assert found[10] == rows[5][1]  # a short part of a line is no line
+
+
+def test_passages_of_short_sentences_inside_lines_go(documents):
+    passage = " ".join(f"Short one {i}." for i in range(20))
+    rows = [(i, f"Foreign start number {i} goes before the passage of this test. {passage} Other end {i}.", "en", "s") for i in range(4)]
+    found = {r["doc_id"]: r["text"] for r in lines.deduplicate(documents(rows)).collect()}
+    assert found[0] == rows[0][1]
+    assert all(len(found[i].split()) <= len(rows[i][1].split()) - 50 for i in range(1, 4))
+
+
+def test_a_short_part_of_a_line_is_told_from_a_whole_line():
+    for text in ["Yes. a b c d e f g h.", "a b c d e f g h. Yes.", "a b c d e f g h. Yes.\nx", " Yes. a b c d e f g h."]:
+        assert sum(lines.digest(text[s:e]) is not None for s, e in lines.cut(text)) == 1 + text.endswith("x")
+    for text in ["Yes.", " Yes.", "Yes. ", "\tYes.\r\n", "Yes. "]:
+        assert [lines.digest(text[s:e]) for s, e in lines.cut(text) if text[s:e].strip()] == [lines.digest("yes.")]
