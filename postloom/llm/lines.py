@@ -6,7 +6,10 @@ soon as MIN_WORDS words have gathered: these places depend on what is near, so t
 fall into step wherever the passage starts. Shorter sentences of a line that follow each other are one
 unit, as soon as together they have MIN_WORDS words. Each unit is normalised (lower case, white space
 as single spaces) and has a 128-bit digest when it has MIN_WORDS words or is a whole line of any
-length. Over all documents the occurrence of a digest that ranks first, by document id (null last) and
+length. In scripts written without spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese, Tibetan) a
+text can be cut at each character (one in sixteen is picked), their own marks end sentences, and
+WORD_CHARS characters are as long as a word; runs of LONG_RUN characters of other scripts count by
+their characters too. Over all documents the occurrence of a digest that ranks first, by document id (null last) and
 then by offset, is kept and every other one is removed. Short parts of a line are too common to tell
 copies from chance: one goes only when its neighbours in the line, up to the next unit with a digest
 on both sides, go too. Removed spans keep their offsets in the original text, in characters.
@@ -35,46 +38,81 @@ from pyspark.sql import functions as F
 from postloom.session import store
 
 MIN_WORDS = 8
-_WORDS = re.compile(r"\n|\S+")
+# So many characters without spaces are as long as a word; runs of other scripts from LONG_RUN characters on.
+WORD_CHARS = 3
+LONG_RUN = 40
+_UNSPACED = (
+    "\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3001-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\uff01-\uff9f\U00020000-\U0003ffff"
+)
+_WORDS = re.compile(rf"\n|([{_UNSPACED}])|[^\s{_UNSPACED}]+")
+_WITHOUT_SPACES = re.compile(rf"[{_UNSPACED}]")
+_SENTENCE_ENDS = frozenset(".!?。．！？｡")
+_PAUSES = frozenset(",;:，、；：､")
 _UNITS = "id long, row long, unit int, high long, low long"
 
 
+def _length(found: re.Match[str]) -> int:
+    """Of a match of `_WORDS`, in characters; ordinary words count as WORD_CHARS each."""
+    if found.lastindex:
+        return 1
+    n = found.end() - found.start()
+    return n if n >= LONG_RUN else WORD_CHARS
+
+
+def _size(unit: str, words: list[str]) -> int:
+    """The sum of `_length` over a unit, which has these words between its spaces."""
+    if (unit.isascii() or not _WITHOUT_SPACES.search(unit)) and all(len(w) < LONG_RUN for w in words):
+        return WORD_CHARS * len(words)
+    return sum(_length(found) for found in _WORDS.finditer(unit) if found[0] != "\n")
+
+
 def cut(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
     """The units as offsets; they cover the text.
 
     White space tells a short part of a line from a whole line: a part has some at its start, or at
     its end when it begins the line; a whole line has none but its line break.
     """
+    least = min_words * WORD_CHARS
     ends: list[int] = []
-    line: list[tuple[int, int]] = []  # ends and words of the pieces of the line
-    words = 0
+    line: list[tuple[int, int]] = []  # ends and sizes of the pieces of the line
+    size = 0
     for found in _WORDS.finditer(text):
         word = found[0]
         if word == "\n":
-            _close(text, line, words, found.end(), ends, min_words)
-            line, words = [], 0
+            _close(text, line, size, found.end(), ends, least)
+            line, size = [], 0
             continue
         last = word[-1]
-        words += 1
-        if last in ".!?" or words >= min_words and (last in ",;:" or not crc32(word.lower().encode("utf-8", "surrogatepass")) & 7):
-            line.append((found.end(), words))
-            words = 0
+        size += _length(found)
+        if last in _SENTENCE_ENDS or size >= least and (
+            last in _PAUSES or not crc32(word.lower().encode("utf-8", "surrogatepass")) & (15 if found.lastindex else 7)
+        ):
+            line.append((found.end(), size))
+            size = 0
     if not ends or ends[-1] < len(text):
-        _close(text, line, words, len(text), ends, min_words)
+        _close(text, line, size, len(text), ends, least)
     return list(zip([0, *ends], ends))
 
 
-def _close(text: str, line: list[tuple[int, int]], words: int, end: int, ends: list[int], min_words: int) -> None:
-    """Adds the ends of the units of a line, from its pieces and the words after them."""
+def _close(text: str, line: list[tuple[int, int]], size: int, end: int, ends: list[int], least: int) -> None:
+    """Adds the ends of the units of a line, from its pieces and the size of the words after them."""
     start = ends[-1] if ends else 0
-    pieces = [*line, (end, words)] if words or not line else [*line[:-1], (end, line[-1][1])]
-    units: list[tuple[int, int]] = []
+    pieces = [*line, (end, size)] if size or not line else [*line[:-1], (end, line[-1][1])]
+    runs: list[tuple[int, int]] = []
     for at, n in pieces:
-        if units and units[-1][1] < min_words and n < min_words:
+        if runs and runs[-1][1] < least and n < least:
+            runs[-1] = (at, runs[-1][1] + n)
+        else:
+            runs.append((at, n))
+    # Where no space parts a short piece from its neighbour, they are one unit.
+    units: list[tuple[int, int]] = []
+    for at, n in runs:
+        if units and min(n, units[-1][1] if len(units) == 1 else n) < least and not text[units[-1][0]].isspace():
             units[-1] = (at, units[-1][1] + n)
         else:
             units.append((at, n))
-    if units[0][1] < min_words:
+    if units[0][1] < least:
         if len(units) > 1:
             first = units[0][0]
             ends.append(first + len(text[first:end]) - len(text[first:end].lstrip()))
@@ -88,14 +126,15 @@ def _close(text: str, line: list[tuple[int, int]], words: int, end: int, ends: l
     ends.extend(at for at, _ in units)
 
 
-def _hashed(unit: str, words: int, min_words: int) -> bool:
-    """Whether a unit of so many words has a digest: a long one, or a whole line (see `cut`)."""
-    return words >= min_words or words > 0 and not unit[0].isspace() and (unit[-1] == "\n" or not unit[-1].isspace())
+def _hashed(unit: str, words: list[str], min_words: int) -> bool:
+    """Whether a unit of these words has a digest: a long one, or a whole line (see `cut`)."""
+    whole = bool(words) and not unit[0].isspace() and (unit[-1] == "\n" or not unit[-1].isspace())
+    return whole or _size(unit, words) >= min_words * WORD_CHARS
 
 
 def digest(unit: str, min_words: int = MIN_WORDS) -> bytes | None:
     words = unit.lower().split()
-    return xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass")) if _hashed(unit, len(words), min_words) else None
+    return xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass")) if _hashed(unit, words, min_words) else None
 
 
 def _digests(min_words: int):
@@ -128,7 +167,7 @@ def removed_spans(text: str, gone: set[int], min_words: int = MIN_WORDS) -> list
 
     def close() -> None:
         parts = [text[units[i][0] : units[i][1]] for i in line]
-        short = [i not in gone and not _hashed(part, len(part.split()), min_words) for i, part in zip(line, parts)]
+        short = [i not in gone and not _hashed(part, part.split(), min_words) for i, part in zip(line, parts)]
         at = 0
         while at < len(line):
             end = at

@@ -131,3 +131,30 @@ def test_a_short_part_of_a_line_is_told_from_a_whole_line():
         assert sum(lines.digest(text[s:e]) is not None for s, e in lines.cut(text)) == 1 + text.endswith("x")
     for text in ["Yes.", " Yes.", "Yes. ", "\tYes.\r\n", "Yes. "]:
         assert [lines.digest(text[s:e]) for s, e in lines.cut(text) if text[s:e].strip()] == [lines.digest("yes.")]
+
+
+def test_text_without_spaces(documents):
+    draw = random.Random(4)
+
+    def characters(n, low=0x4E00, high=0x5200):
+        return "".join(chr(draw.randrange(low, high)) for _ in range(n))
+
+    repeated = [characters(240), characters(12), "".join(characters(9) + "。" for _ in range(8)), characters(90, 0x0E01, 0x0E2F), "QUJD" * 60]
+    passage = characters(240)
+    rows = [(i, characters(20) + "\n" + "\n".join(repeated) + "\n" + characters(30), "zh", "s") for i in range(4)]
+    inside = [(10 + i, characters(30 + 7 * i) + passage + characters(40), "zh", "s") for i in range(8)]
+    given = {r[0]: r[1] for r in rows + inside}
+    found = {r["doc_id"]: r["text"] for r in lines.deduplicate(documents(rows + inside)).collect()}
+    assert found[0] == given[0] and found[10] == given[10]
+    for i in range(1, 4):
+        first, *_, last = given[i].split("\n")
+        assert found[i] == first + "\n" + last
+    left = [len(found[10 + i]) - (len(given[10 + i]) - len(passage)) for i in range(1, 8)]
+    assert max(left) < len(passage) and sum(left) <= 7 * 0.5 * len(passage)
+
+
+def test_short_parts_without_spaces_join_a_neighbour():
+    text = "好。" + "今天天气很好我们去" * 6 + "。" + "是。" + "明天下雨他们在家里" * 6 + "。对。"
+    units = lines.cut(text)
+    assert "".join(text[s:e] for s, e in units) == text and len(units) > 1
+    assert all(lines.digest(text[s:e]) for s, e in units)
