@@ -232,10 +232,12 @@ def repeated_units(docs: DataFrame, text: str = "text", key: str = "doc_id", min
         .where(F.col("times") > 1)
         .select(F.col("high").alias("h"), F.col("low").alias("l"), F.col("first.row").alias("first_row"), F.col("first.unit").alias("first_unit"))
     )
+    # Stored apart from the join with it, so that Spark can split the join at a unit that very many share.
+    firsts = store(firsts, "firsts")
     again = units.join(firsts, (units["high"] == firsts["h"]) & (units["low"] == firsts["l"])).where(
         (F.col("row") != F.col("first_row")) | (F.col("unit") != F.col("first_unit"))
     )
-    # Stored apart from the next aggregate, so that Spark can split the join at a unit that very many share.
+    # Stored apart from the next aggregate for the same reason.
     again = store(again.select("row", "unit"), "repeats")
     # Rows that repeat a document give its units again; a set holds each once.
     return again.groupBy("row").agg(F.collect_set("unit").alias("gone"))
