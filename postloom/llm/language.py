@@ -5,8 +5,9 @@ runs of other characters than letters become one space, and it is compressed in
 dictionary of each language. The language that gives the fewest bytes over the whole text is
 predicted; ties go to the language with more sampled text, then by name. The margin is the share of
 bytes saved against the runner-up. Where it is under `narrow`, as for texts of a few words, the
-further dictionaries of all languages are added to the sums; a prediction whose margin is narrow
-even then is marked as rejected.
+further dictionaries of each language are added and the mean sizes over its dictionaries compared, so
+that a language with few documents, and so fewer dictionaries, changes nothing for the others; a
+prediction whose margin is narrow even then is marked as rejected.
 
 Null texts and texts without any letter are `und` with score 0 and rejected. With no learned
 language every text is `und`. Repeated rows are scored alike; further columns do not matter.
@@ -87,12 +88,13 @@ class Classifier:
     def __init__(self, dictionaries: Dictionaries, narrow: float = NARROW):
         self.narrow = narrow
         self.compress = {lang: [_compressor(content) for content in contents] for lang, contents in dictionaries.items()}
-        # Languages are compared over as many dictionaries as all of them have.
-        self.more = min(map(len, self.compress.values()), default=0)
+        self.more = any(len(each) > 1 for each in self.compress.values())
 
-    def _sizes(self, blocks: list[bytes], first: int, last: int) -> dict[str, int]:
+    def _sizes(self, blocks: list[bytes], last: int) -> dict[str, float]:
+        """By language the mean number of bytes over its first dictionaries, up to `last`."""
         return {
-            lang: sum(len(compress(block)) for compress in each[first:last] for block in blocks) for lang, each in self.compress.items()
+            lang: sum(len(compress(block)) for compress in each[:last] for block in blocks) / len(each[:last])
+            for lang, each in self.compress.items()
         }
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
@@ -101,9 +103,9 @@ class Classifier:
             return UNKNOWN, 0.0, True
         content = normalise(text)
         blocks = [content[at : at + BLOCK_BYTES] for at in range(0, len(content), BLOCK_BYTES)]
-        best, margin = _best(self._sizes(blocks, 0, 1))
-        if margin < self.narrow and self.more > 1:
-            best, margin = _best(self._sizes(blocks, 0, self.more))
+        best, margin = _best(self._sizes(blocks, 1))
+        if margin < self.narrow and self.more:
+            best, margin = _best(self._sizes(blocks, DICTIONARIES))
         # Half at no margin; 1 from a tenth of the bytes on.
         return best, min(1.0, 0.5 + 5 * margin), margin < self.narrow
 
@@ -116,7 +118,7 @@ def _compressor(content: bytes) -> Callable[[bytes], bytes]:
     ).compress
 
 
-def _best(sizes: dict[str, int]) -> tuple[str, float]:
+def _best(sizes: dict[str, float]) -> tuple[str, float]:
     """The language of the fewest bytes, and the share it saves against the next one."""
     best, *others = sorted(sizes, key=sizes.get)
     return best, 1 - sizes[best] / max(sizes[others[0]], 1) if others else 1.0

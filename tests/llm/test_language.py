@@ -64,3 +64,18 @@ def test_odd_rows(odd_documents, empty_documents):
     assert all(not r["held_out"] for r in rows if r["doc_id"] is None)
     assert language.identify(empty_documents, language.learn(empty_documents)).count() == 0
     assert language.keep_identified(empty_documents).columns == empty_documents.columns
+
+
+def test_a_language_of_one_document_does_not_change_the_others(shipped):
+    """Texts whose margin is narrow over the first dictionaries are decided by the further ones all the same."""
+    docs = shipped.read.parquet(f"{FOLDER}/documents.parquet")
+    known = language.learn(docs)
+    stray = known | {"zz": [b"qxzzkw vvjqx zzkq xwvj " * 4]}
+    without, among = language.Classifier(known), language.Classifier(stray)
+    texts = [" ".join(r["text"].split()[:n]) for r in docs.limit(300).collect() for n in (1, 2, 3)]
+    first_only = [language.Classifier({lang: each[:1] for lang, each in known.items()}).predict(text) for text in texts[:300]]
+    given = [without.predict(text) for text in texts]
+    assert [among.predict(text)[0] for text in texts] == [g[0] for g in given]
+    # A stray language can be the runner-up, so margins may shrink, but texts that were decided stay so.
+    assert sum(among.predict(text)[2] for text in texts) <= sum(g[2] for g in given) + 0.01 * len(texts)
+    assert sum(g[2] for g in given[:300]) < sum(f[2] for f in first_only)
