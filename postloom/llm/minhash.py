@@ -269,8 +269,8 @@ def _row(key: Column, text: Column) -> Column:
 def find_components(
     docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 4, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """(id, row, size, component): per row of the input its id, a hash of id and text, the size of its
-    set and the smallest id of its component."""
+    """(id, row, size, root, component): per row of the input its id, a hash of id and text, the size of
+    its set, a number of its component (null without words) and the component's smallest id."""
     inputs = docs.select(F.col(key).cast("long").alias("id"), _row(F.col(key).cast("long"), F.col(text)).alias("row"), F.col(text).cast("binary").alias("text"))
     sketched = store(inputs.mapInArrow(_sketches(width, bands, rows), "id long, row long, size long, digest binary, keys array<long>"), "sketches")
     # The number of a class is fixed by the stored table, whatever task writes it.
@@ -295,7 +295,7 @@ def find_components(
     # Stored apart from the join with it, so that Spark can split the join at a large component.
     smallest = store(placed.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("id").alias("least")), "smallest")
     return placed.join(smallest, "root", "left").select(
-        "id", "row", "size", F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component")
+        "id", "row", "size", "root", F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component")
     )
 
 
@@ -313,8 +313,26 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
 
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, percent: int = PERCENT) -> DataFrame:
-    """The document of the smallest id of each component, all columns as they were."""
+    """One row of each component, all columns as they were: that of the smallest id.
+
+    Of several texts under that id, and of a component without ids, the row of the smallest hash of id
+    and text stays; of rows that repeat an id and its text, one does.
+    """
     found = find_components(docs, text, key, width, percent)
-    gone = found.where(~F.col("id").eqNullSafe(F.col("component"))).select(F.col("row").alias("_minhash_row")).distinct()
+    # Stored apart from the aggregates, so that Spark can split the join before them at a large component.
+    least = store(found.where(F.col("id").eqNullSafe(F.col("component"))).select("row", "root"), "least")
+    rivals = least.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("row").alias("first"), F.max("row").alias("last"))
+    rivals = store(rivals.where("first <> last").select("root", "first"), "rivals")
+    gone = found.where(~F.col("id").eqNullSafe(F.col("component"))).select("row")
+    gone = gone.union(least.join(rivals, "root").where(F.col("row") != F.col("first")).select("row"))
+    gone = gone.select(F.col("row").alias("_minhash_row")).distinct()
     keyed = docs.withColumn("_minhash_key", _row(F.col(key).cast("long"), F.col(text)))
-    return keyed.join(gone, F.col("_minhash_key") == F.col("_minhash_row"), "left_anti").select(*docs.columns)
+    kept = keyed.join(gone, F.col("_minhash_key") == F.col("_minhash_row"), "left_anti")
+    copies = least.groupBy(F.col("row").alias("_minhash_row")).agg(F.count("*").alias("n")).where("n > 1").select("_minhash_row")
+    copies = store(copies, "copies")
+    if copies.isEmpty():
+        return kept.select(*docs.columns)
+    # Only the rows that are there more than once are moved to meet their copies.
+    single = kept.join(copies, F.col("_minhash_key") == F.col("_minhash_row"), "left_anti")
+    repeated = kept.join(copies, F.col("_minhash_key") == F.col("_minhash_row"), "left_semi").dropDuplicates(["_minhash_key"])
+    return single.union(repeated).select(*docs.columns)

@@ -112,3 +112,16 @@ def test_odd_rows(odd_documents, empty_documents):
     assert kept.columns == odd_documents.columns
     assert {r["doc_id"] for r in kept.collect()} == {1, 2, 3, 4, 5, 6, 7, 9, None}
     assert minhash.one_of_each(empty_documents).count() == 0
+
+
+def test_one_physical_row_of_each_component_stays(documents):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    other = "red orange yellow green blue indigo violet black white grey brown pink"
+    rows = [(1, text, "en", "s"), (1, text, "en", "s"), (4, text, "en", "s"), (4, text, "en", "s"), (1, text.upper(), "en", "s")]
+    rows += [(None, other, "en", "s"), (None, other, "en", "s"), (None, other.upper(), "en", "s")]
+    rows += [(7, None, "en", "s"), (7, None, "en", "s"), (8, None, "en", "s"), (9, "", "en", "s"), (10, "single", "en", "s")]
+    frame = documents(rows)
+    kept = minhash.one_of_each(frame)
+    assert kept.columns == frame.columns
+    found = sorted(((r["doc_id"], (r["text"] or "").lower()) for r in kept.collect()), key=key)
+    assert found == sorted([(1, text), (None, other), (7, ""), (8, ""), (9, ""), (10, "single")], key=key)
