@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import html, language, lattice, lines, minhash, mixing, multi_index, pieces, tokens, urls
+from postloom.llm import hard_negatives, html, language, lattice, lines, minhash, mixing, multi_index, pieces, tokens, urls
 from postloom.llm.common import table
 
 
@@ -61,6 +61,13 @@ def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return multi_index.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten negatives for each of five positives of every row whose id is divisible by 100."""
+    vectors = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0, label=label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -72,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_nearest": op10_nearest,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 # Components by reachability; `nodes` has (id), `links` has (a, b) in both directions.
@@ -124,4 +132,24 @@ ORACLE_SQL: dict[str, str] = {
         nodes AS (SELECT id FROM vectors), {_COMPONENTS}
         SELECT id AS vec_id, (SELECT count(*) FROM links WHERE a = id) AS n_links, component_id, id = component_id AS kept
         FROM components""",
+    # Every anchor's scores with all rows.
+    "op11_hard_negatives": """
+        WITH whole AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scores AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+            FROM whole a JOIN whole b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id,
+            CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+            vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scores USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10""",
 }
