@@ -9,13 +9,14 @@ shrinking bracket, solve all sources at once; each step is one aggregate over th
 
 Rates are then rounded into whole copies: totals per class follow the running sum of the rates, and
 what a source still lacks or has too much is made good with the largest class that fits, again and
-again. Within a class the documents of the smallest key hash get the extra copies.
+again. Within a class the documents of the smallest hash of id, then of text, get the extra copies; of rows
+equal in both as many as are due get one, whichever.
 
 Sources are ordered by code point, null last, and weigh 5, 2, 1, 5, 2, 1, ... They share all words;
 a target stops at MOST_COPIES times the words of its source and the excess goes to the others by
 weight. Null texts have size 0 and documents without words one copy and nothing taken. A source that
-is too small for its target in whole documents takes the nearest number. Repeated rows of one id
-share their copies. An empty table gives an empty result. Columns other than the three named are
+is too small for its target in whole documents takes the nearest number. Rows that repeat an id, and rows
+without one, are documents of their own. An empty table gives an empty result. Columns other than the three named are
 only passed on.
 """
 
@@ -163,54 +164,80 @@ def round_classes(classes: DataFrame, duals: DataFrame, most: int = MOST_COPIES)
 
 
 def plan_copies(slim: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES) -> tuple[DataFrame, DataFrame]:
-    """From stored rows (source, size, order): targets per source; and per class its rate, the `base`
-    copies of each document and `last`, the highest order that gets one copy more."""
+    """From stored rows (source, size, order, mark): targets per source; and per class its rate, the
+    `base` copies of each document, and who gets one copy more: all rows before (last_order, last_mark)
+    and the first `first_n` of the `equals` rows there."""
     classes = store(slim.groupBy("source", "size").agg(F.count("*").alias("docs")), "classes")
     targets = source_targets(classes, weights, most)
     rounded = round_classes(classes, solve(classes, targets, most), most).select(
         "source", "size", "docs", "rate",
         F.expr("copies div greatest(docs, 1)").alias("base"), F.expr("copies % greatest(docs, 1)").alias("extra"),
     )
-    # The position of a document in its class, from positions in the order of all documents.
-    some = _with(slim.select("source", "size", "order"), rounded.where(F.col("extra") > 0), ["source", "size"], ["extra"], "inner")
-    placed = running_totals(some.withColumn("unnamed", F.col("source").isNull()), ["unnamed", "source", "size", "order"], {"place": "1"})
+    # The position of equal rows in their class, from positions in the order of all documents.
+    some = _with(slim, rounded.where(F.col("extra") > 0), ["source", "size"], ["extra"], "inner")
+    some = some.groupBy("source", "size", "order", "mark", "extra").agg(F.count("*").alias("equals"))
+    placed = running_totals(some.withColumn("unnamed", F.col("source").isNull()), ["unnamed", "source", "size", "order", "mark"], {"place": "equals"})
+    placed = store(placed, "positions")
     starts = placed.groupBy("source", "size").agg(F.min("place").alias("start"))
-    inside = _with(placed, starts, ["source", "size"], ["start"]).where(F.col("place") - F.col("start") < F.col("extra"))
-    cuts = inside.groupBy("source", "size").agg(F.max("order").alias("last"))
-    final = _with(rounded, cuts, ["source", "size"], ["last"])
-    return targets, store(final.select("source", "size", "rate", "base", "last"), "copies")
+    left = _with(placed, starts, ["source", "size"], ["start"]).withColumn("first_n", F.expr("extra - (place - start)"))
+    # One row per class: where its last extra copy goes.
+    cuts = left.where("first_n > 0 AND first_n <= equals").withColumnsRenamed({"order": "last_order", "mark": "last_mark"})
+    final = _with(rounded, cuts, ["source", "size"], ["last_order", "last_mark", "first_n", "equals"])
+    return targets, store(final.select("source", "size", "rate", "base", "last_order", "last_mark", "first_n", "equals"), "copies")
 
 
-def _keyed(docs: DataFrame, text: str, source: str, key: str, names: tuple[str, str, str]) -> DataFrame:
-    size, src, order = names
-    return docs.withColumns({src: F.col(source).cast("string"), size: size_of(F.col(text)), order: F.xxhash64(F.col(key), F.lit(11))})
+_PLAN = ("rate", "base", "last_order", "last_mark", "first_n", "equals")
+
+
+def _keyed(docs: DataFrame, text: str, source: str, key: str, prefix: str = "") -> DataFrame:
+    """`docs` with what the plan goes by: source and size, and the order of a document in its class, by
+    the hash of its id and then of its text."""
+    return docs.withColumns({
+        f"{prefix}source": F.col(source).cast("string"), f"{prefix}size": size_of(F.col(text)),
+        f"{prefix}order": F.xxhash64(F.col(key), F.lit(11)), f"{prefix}mark": F.xxhash64(F.col(text), F.lit(13)),
+    })
+
+
+def _with_copies(planned: DataFrame, plan: DataFrame, prefix: str = "") -> DataFrame:
+    """Add the column `copies` (with the prefix) to rows that have the plan's columns.
+
+    Rows equal in id and text of which only some get a copy more are numbered, as stored; no other row is.
+    """
+    of = lambda c: F.col(f"{prefix}{c}")
+    same = (of("order") == of("last_order")) & (of("mark") == of("last_mark"))
+    before = (of("order") < of("last_order")) | ((of("order") == of("last_order")) & (of("mark") < of("last_mark")))
+    undecided = F.coalesce(same & (of("first_n") < of("equals")), F.lit(False))
+    more = F.coalesce((before | same).cast("int"), F.lit(0))
+    decided = planned.withColumn(f"{prefix}copies", of("base") + more)
+    if plan.where("first_n < equals").isEmpty():
+        return decided
+    tie, place = f"{prefix}tie", f"{prefix}place"
+    tied = store(planned.where(undecided).withColumns({f"{prefix}unnamed": of("source").isNull(), tie: F.monotonically_increasing_id()}), "ties")
+    tied = store(running_totals(tied, [f"{prefix}unnamed", f"{prefix}source", f"{prefix}size", tie], {place: "1"}), "numbered")
+    starts = tied.groupBy(of("source").alias("_s"), of("size").alias("_n")).agg(F.min(place).alias("_start"))
+    tied = tied.join(starts, of("source").eqNullSafe(F.col("_s")) & (of("size") == F.col("_n")))
+    tied = tied.withColumn(f"{prefix}copies", of("base") + (F.col(place) - F.col("_start") < of("first_n")).cast("int"))
+    return decided.where(~undecided).unionByName(tied.select(*decided.columns))
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
     """doc_id, size, source_size, target, taken, copies and rate of every document."""
-    slim = store(
-        _keyed(docs.select(F.col(key).alias("doc_id"), F.col(source).alias("src"), F.col(text).alias("text")), "text", "src", "doc_id", ("size", "source", "order"))
-        .select("doc_id", "source", "size", "order"),
-        "sizes",
-    )
-    targets, plan = plan_copies(slim)
-    planned = _with(slim, plan, ["source", "size"], ["rate", "base", "last"])
-    copies = F.col("base") + F.when(F.col("order") <= F.col("last"), 1).otherwise(0)
-    return _with(planned.withColumn("copies", copies), targets, ["source"], ["source_size", "target"]).select(
+    named = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"))
+    slim = store(_keyed(named, "text", "source", "doc_id").drop("text"), "sizes")
+    targets, plan = plan_copies(slim.drop("doc_id"))
+    planned = _with_copies(_with(slim, plan, ["source", "size"], list(_PLAN)), plan)
+    return _with(planned, targets, ["source"], ["source_size", "target"]).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate"
     )
 
 
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
     """The documents themselves, each as often as the mix takes it; all columns as they were."""
-    names = ("_mix_size", "_mix_source", "_mix_order")
-    keyed = _keyed(docs, text, source, key, names)
-    slim = store(keyed.select(*[F.col(n).alias(a) for n, a in zip(names, ("size", "source", "order"))]), "sizes")
+    keyed = _keyed(docs, text, source, key, "_mix_")
+    slim = store(keyed.select(*[F.col(f"_mix_{c}").alias(c) for c in ("source", "size", "order", "mark")]), "sizes")
     _, plan = plan_copies(slim)
-    plan = plan.select(*[F.col(c).alias(f"_mix_{c}_") for c in plan.columns])
-    found = keyed.join(
-        plan, keyed["_mix_source"].eqNullSafe(plan["_mix_source_"]) & (keyed["_mix_size"] == plan["_mix_size_"])
-    )
-    times = F.col("_mix_base_") + F.when(F.col("_mix_order") <= F.col("_mix_last_"), 1).otherwise(0)
-    copies = found.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(times, F.lit(1).cast("long")))))
-    return copies.where(times > 0).select(*[keyed[c] for c in docs.columns])
+    named = plan.select(F.col("source").alias("_mix_s"), F.col("size").alias("_mix_n"), *[F.col(c).alias(f"_mix_{c}") for c in _PLAN])
+    found = keyed.join(named, keyed["_mix_source"].eqNullSafe(named["_mix_s"]) & (keyed["_mix_size"] == named["_mix_n"])).drop("_mix_s", "_mix_n")
+    times = _with_copies(found, plan, "_mix_").where(F.col("_mix_copies") > 0)
+    copies = times.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies").cast("long"))))
+    return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
