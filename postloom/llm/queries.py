@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import hard_negatives, html, language, lattice, lines, minhash, mixing, multi_index, pieces, tokens, urls
+from postloom.llm import collocations, hard_negatives, html, language, lattice, lines, minhash, mixing, multi_index, pieces, tokens, toxicity, urls
 from postloom.llm.common import table
 
 
@@ -68,6 +68,15 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0, label=label)
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.judge(docs, toxicity.learn(docs, table(spark, folder, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -80,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_nearest": op10_nearest,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_collocations": op12_collocations,
+    "op13_toxicity": op13_toxicity,
 }
 
 # Components by reachability; `nodes` has (id), `links` has (a, b) in both directions.
@@ -152,4 +163,35 @@ ORACLE_SQL: dict[str, str] = {
         FROM positives JOIN scores USING (anchor_id)
         WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
         QUALIFY rank <= 10""",
+    # All n-grams counted.
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        numbered AS (SELECT lang, row_number() OVER () AS p, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        words AS (SELECT lang, p, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM numbered),
+        runs AS (
+            SELECT lang, word, lead(word) OVER following AS next, lead(word, 2) OVER following AS third
+            FROM words WINDOW following AS (PARTITION BY p ORDER BY i)),
+        grams AS (
+            SELECT lang, 1 AS size, word AS phrase FROM runs
+            UNION ALL SELECT lang, 2, word || ' ' || next FROM runs WHERE next IS NOT NULL
+            UNION ALL SELECT lang, 3, word || ' ' || next || ' ' || third FROM runs WHERE third IS NOT NULL),
+        counts AS (SELECT lang, size, phrase, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+        totals AS (SELECT lang, count(*) AS n FROM grams WHERE size = 1 GROUP BY lang),
+        candidates AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size >= 2),
+        cuts AS (
+            SELECT c.lang, c.phrase, c.a, cut, l.f AS l, r.f AS r, 1000000 * c.a * c.a // (l.f * r.f) AS score
+            FROM candidates c JOIN (VALUES (1), (2)) AS places (cut) ON cut < c.size
+            JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:cut], ' ')
+            JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(w[cut + 1:], ' ')),
+        lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        held AS (
+            SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS most
+            FROM candidates, (VALUES (1), (2)) AS places (i) WHERE size = 3 GROUP BY ALL)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+            CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+        FROM lowest LEFT JOIN held USING (lang, phrase) JOIN totals USING (lang)
+        WHERE most IS NULL OR 100 * most < 50 * a QUALIFY rank <= 2000""",
 }
