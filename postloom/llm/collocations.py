@@ -7,7 +7,9 @@ are added, and when there are more than the capacity, all give up the largest co
 What counters gave up in all is the error; the capacity doubles before the error could pass half the
 threshold, so it always exceeds the mass over the error, and no n-gram that occurs `least` times is lost,
 whatever the data. A summary holds a bounded part of the mass, as the number of partitions follows the
-number of bytes. The second pass counts the survivors exactly, by their text: hashes only choose.
+number of bytes. Each hash partition marks its survivors in its own bits of a map of bounded size, and the
+second pass counts exactly, by their text, all n-grams at marked places: hashes only choose, and where the
+map is crowded by larger data it lets more through, which are counted and then dropped.
 
 The words of a frequent phrase and its parts are as frequent, so the counts of all cuts are at hand. A
 phrase's score is that of its lowest-scoring cut; the smallest cut at a tie. Phrases that a longer
@@ -28,6 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,12 +39,13 @@ from postloom.operators.ordering import running_totals
 from postloom.session import store
 
 LONGEST = 3
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 MASS_PER_PART = 4_000_000  # occurrences of n-grams in a hash partition, about
 BYTES_PER_GRAM = 2  # of text, about: a word of five letters and a space begins three n-grams
 COUNTERS = 1 << 18  # the capacity a summary begins with
-MERGED = 1 << 21  # n-grams a task combines before it sends them
-MOST_SENT = 1 << 20  # survivors that go to every task; beyond that they are joined
+MERGED = 1 << 20  # n-grams a task combines before it sends them
+PART_BITS = 1 << 20  # of the map, for a hash partition
+MAP_BITS = 1 << 29  # of the map in all, 64 MB
 
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[list(b" \t")] = 1
@@ -229,13 +233,25 @@ class Summary:
         return self.keys[self.counts + self.error >= self.least]
 
 
-def _summarise(least: int) -> Callable:
-    """Rows sorted by hash partition: the addresses that survive in the summary of each."""
+def bits_per_part(parts: int) -> int:
+    """A power of two, so that the map has MAP_BITS bits at most."""
+    return 1 << int(np.log2(max(8, min(PART_BITS, MAP_BITS / parts))))
+
+
+def _places(addresses: np.ndarray, bits: int) -> np.ndarray:
+    """The bit of each address in a map with so many bits for each part."""
+    inside = (addresses & np.uint64(0xFFFFFFFF)) * np.uint64(bits) >> np.uint64(32)
+    return (addresses >> np.uint64(32)) * np.uint64(bits) + inside
+
+
+def _summarise(least: int, bits: int) -> Callable:
+    """Rows sorted by hash partition: the part of the map that marks the survivors of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def told(part: int, summary: Summary) -> pa.RecordBatch:
-            found = summary.survivors().astype(np.int64) | (part << 32)
-            return pa.RecordBatch.from_arrays([pa.array(found)], names=["address"])
+            marked = np.zeros(bits, dtype=bool)
+            marked[_places(summary.survivors().astype(np.uint64), bits).astype(np.int64)] = True
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([np.packbits(marked, bitorder="little").tobytes()])], names=["part", "bits"])
 
         current, summary = None, Summary(least)
         for batch in batches:
@@ -251,27 +267,21 @@ def _summarise(least: int) -> Callable:
     return run
 
 
-def _count(parts: int, wanted: np.ndarray | None) -> Callable:
-    """Second pass: the exact counts (lang, size, phrase, n) of the n-grams at wanted addresses, with
-    their address where no list of them is given; and the number of words as size 0."""
-    seen = None
-    if wanted is not None:
-        seen = np.zeros(1 << 24, dtype=bool)
-        seen[(wanted & 0xFFFFFF).astype(np.int64)] = True
+def _count(parts: int, bits: int, marked: Broadcast) -> Callable:
+    """Second pass: the exact counts (lang, size, phrase, n) of the n-grams at marked places, and the
+    number of words as size 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names_out = ["lang", "size", "phrase", "n"]
         for batch in batches:
             for grams, names in chunks(batch):
-                one, two = grams.hashes
-                at = _addresses(one, parts)
-                which = np.arange(len(one))
-                if wanted is not None:
-                    which = np.flatnonzero(seen[(at & np.uint64(0xFFFFFF)).astype(np.int64)])
-                    place = np.searchsorted(wanted, at[which].view(np.int64))
-                    which = which[wanted[np.minimum(place, len(wanted) - 1)] == at[which].view(np.int64)] if len(wanted) else which[:0]
-                one, two = one[which], two[which]
-                order = np.argsort(one)
-                if len(order):
+                place = _places(_addresses(grams.hashes[0], parts), bits)
+                byte = marked.value[(place >> np.uint64(3)).astype(np.int64)]
+                which = np.flatnonzero(byte >> (place & np.uint64(7)).astype(np.uint8) & 1)
+                one, two = grams.hashes[0][which], grams.hashes[1][which]
+                counts = np.zeros(0, dtype=np.int64)
+                if len(which):
+                    order = np.argsort(one)
                     same = one[order[1:]] == one[order[:-1]]
                     if (same & (two[order[1:]] != two[order[:-1]])).any():  # one hash, two phrases
                         order = np.lexsort((two, one))
@@ -279,18 +289,11 @@ def _count(parts: int, wanted: np.ndarray | None) -> Callable:
                     first = np.flatnonzero(np.concatenate([[True], ~same]))
                     counts = np.diff(np.append(first, len(order)))
                     which = which[order[first]]
-                else:
-                    counts = np.zeros(0, dtype=np.int64)
                 langs = pa.DictionaryArray.from_arrays(pa.array(grams.code[grams.first[which]]), pa.array(names, pa.string())).dictionary_decode()
-                yield pa.RecordBatch.from_arrays(
-                    [langs, pa.array(grams.size[which], pa.int32()), grams.phrases(which), pa.array(counts, pa.int64()), pa.array(at[which].view(np.int64))],
-                    names=["lang", "size", "phrase", "n", "address"],
-                )
+                yield pa.RecordBatch.from_arrays([langs, pa.array(grams.size[which], pa.int32()), grams.phrases(which), pa.array(counts, pa.int64())], names=names_out)
                 words = np.bincount(grams.code, minlength=len(names))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.string()), pa.array([0] * len(names), pa.int32()), pa.array([""] * len(names)), pa.array(words, pa.int64()), pa.array([-1] * len(names), pa.int64())],
-                    names=["lang", "size", "phrase", "n", "address"],
-                )
+                none = [pa.array([0] * len(names), pa.int32()), pa.array([""] * len(names))]
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *none, pa.array(words, pa.int64())], names=names_out)
 
     return run
 
@@ -301,17 +304,16 @@ def frequent(docs: DataFrame, least: int = 10, text: str = "text", lang: str = "
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // (BYTES_PER_GRAM * MASS_PER_PART)))
+    bits = bits_per_part(parts)
     sent = rows.mapInArrow(_send(parts), "part long, keys binary, counts binary")
     dealt = sent.repartition("part").sortWithinPartitions("part")
-    survivors = store(dealt.mapInArrow(_summarise(least), "address long"), "survivors")
-    counted = "lang string, size int, phrase string, n long, address long"
-    if survivors.count() <= MOST_SENT:
-        wanted = np.sort(survivors.toArrow().column("address").to_numpy())
-        found = rows.mapInArrow(_count(parts, wanted), counted)
-    else:
-        every = rows.mapInArrow(_count(parts, None), counted)
-        words = every.where("size = 0")
-        found = every.where("size > 0").join(survivors, "address", "left_semi").unionByName(words)
+    found = dealt.mapInArrow(_summarise(least, bits), "part long, bits binary").toArrow()
+    marked = np.zeros(parts * bits // 8, dtype=np.uint8)
+    for part, own in zip(found.column("part").to_pylist(), found.column("bits")):
+        marked[part * bits // 8 : (part + 1) * bits // 8] = np.frombuffer(own.as_buffer(), dtype=np.uint8)
+    # MAP_BITS at most, whatever the data.
+    sent_map = docs.sparkSession.sparkContext.broadcast(marked)
+    found = rows.mapInArrow(_count(parts, bits, sent_map), "lang string, size int, phrase string, n long")
     totals = found.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f"))
     return store(totals.where((F.col("size") == 0) | (F.col("f") >= least)), "frequent")
 

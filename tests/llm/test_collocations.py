@@ -1,5 +1,6 @@
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -64,8 +65,9 @@ def test_small_tables(documents, texts):
     assert check(documents, []) == []
 
 
-def test_small_chunks_summaries_and_joined_survivors(documents, texts, monkeypatch):
-    """The same result with texts cut in chunks, summaries that must give up counts, and survivors joined."""
+@pytest.mark.parametrize("map_bits", [8, 1 << 20])
+def test_small_chunks_summaries_and_maps(documents, texts, monkeypatch, map_bits):
+    """The same result with texts cut in chunks, summaries that must give up counts, and a crowded map."""
     long = " ".join(f"w{i % 97} v{i % 89}" + "." * (i % 5 == 0) for i in range(3_000))
     rows = [*texts, (long, "en"), (long.replace(".", ""), "de")]
     wanted = plain(rows)
@@ -73,7 +75,7 @@ def test_small_chunks_summaries_and_joined_survivors(documents, texts, monkeypat
     monkeypatch.setattr(co, "MERGED", 500)
     monkeypatch.setattr(co, "MASS_PER_PART", 2_000)
     monkeypatch.setattr(co, "COUNTERS", 60)
-    monkeypatch.setattr(co, "MOST_SENT", 0)
+    monkeypatch.setattr(co, "MAP_BITS", map_bits)
     docs = documents([(i, t, lang, "s") for i, (t, lang) in enumerate(rows)])
     batch = pa.RecordBatch.from_pylist([{"lang": lang, "text": t} for t, lang in rows])
     assert sum(len(g.first) for g, _ in co.chunks(batch)) == sum(
@@ -104,6 +106,7 @@ def test_equal_first_hashes_are_told_apart(monkeypatch):
         grams.hashes[0][:] = np.uint64(1)
         return grams
     monkeypatch.setattr(co, "split", blind)
-    rows = [r for b in co._count(1, None)(iter([texts])) for r in b.to_pylist()]
+    everything = SimpleNamespace(value=np.full(1, 255, dtype=np.uint8))
+    rows = [r for b in co._count(1, 8, everything)(iter([texts])) for r in b.to_pylist()]
     assert {r["phrase"]: r["n"] for r in rows if r["size"] == 1} == {"a": 2, "b": 2, "c": 1}
     assert {r["phrase"]: r["n"] for r in rows if r["size"] == 2} == {"a b": 2, "b a": 1, "b c": 1}
