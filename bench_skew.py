@@ -15,10 +15,12 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from postloom.operators.sampling import sample_negatives  # noqa: E402
-from postloom.operators.splits import Splits, clustered  # noqa: E402
+from postloom.operators.splits import Splits  # noqa: E402
 from postloom.plans import interactions  # noqa: E402
+from postloom.plans.jobs import fan_out  # noqa: E402
 from postloom.session import scratch, session, store  # noqa: E402
 
 
@@ -57,11 +59,15 @@ def main() -> None:
         engaged = timed("log to engagements", lambda: interactions.stored_engagements(log))
         lists = timed("lists per user", lambda: store(interactions.content_lists(engaged), "lists"))
         timed("negative sample", lambda: store(sample_negatives(engaged), "sample"))
-        stored = timed("interactions", lambda: store(clustered(interactions.with_content_num(interactions.ordered_interactions(engaged, posts, topics), lists)), "rows"))
+        stored = timed("interactions", lambda: store(interactions.with_content_num(interactions.ordered_interactions(engaged, posts, topics), lists), "rows"))
         splits = timed("cut points", lambda: Splits(stored))
-        timed("train and dev of all tiers", lambda: store(splits.parts(), "parts"))
+        out = f"{shared.name}/out"
+        timed("interactions, tiers, train and dev in order", lambda: fan_out(splits, out))
         timed("test of all tiers", lambda: store(splits.tests(lists), "tests"))
-    print(json.dumps({"metric": "skewed log, seconds per step", "rows": rows, "seconds": times}))
+        files = spark.read.parquet(f"{out}/content_with_topiccnt").groupBy(F.input_file_name()).count().select("count").collect()
+        sizes = sorted(r[0] for r in files)
+    parts = {"parts": len(sizes), "least": sizes[0], "median": sizes[len(sizes) // 2], "most": sizes[-1]}
+    print(json.dumps({"metric": "skewed log, seconds per step", "rows": rows, "seconds": times, "rows_per_part": parts}))
 
 
 if __name__ == "__main__":

@@ -19,7 +19,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="postloom")
     parser.add_argument("job", choices=list(INPUTS))
     parser.add_argument("--out", required=True)
-    parser.add_argument("--form", choices=("parquet", "tsv"), default="parquet")
+    parser.add_argument("--form", choices=("parquet", "tsv", "lines"), default="parquet", help="lines: text with one line per row, which Spark can split")
     parser.add_argument("--cap", type=int, default=10_000, help="events from which a user counts as hyper-active")
     parser.add_argument("--cohort", type=int, default=5_000, help="users in the cohort")
     parser.add_argument("--seed", type=int, default=0)
@@ -30,7 +30,7 @@ def main(arguments: list[str] | None = None) -> None:
         help="raise on unusable payloads, or count and leave them out; strict for content, lenient for interactions unless given",
     )
     parser.add_argument("--strict-quotas", action="store_true", help="raise when a user has fewer negatives than are to be drawn")
-    parser.add_argument("--pieces", action="store_true", help="content: write the users of posts in pieces, without a bound on their number")
+    parser.add_argument("--pieces", action="store_true", help="content, interactions: write lists in pieces, without a bound on their length")
     parser.add_argument("--wide", action="store_true", help="interactions: also write tiers with the list of the user on each row")
     parser.add_argument("--single-line", action="store_true", help="no CSV cell holds a line break")
     for name in sorted({name for names in INPUTS.values() for name in names}):
@@ -55,7 +55,7 @@ def main(arguments: list[str] | None = None) -> None:
             counts |= jobs.content_job(*inputs, args.out, args.form, args.cap, args.payloads != "lenient", args.pieces)
         else:
             counts |= jobs.interactions_job(
-                *inputs, args.out, args.form, args.seed, args.payloads == "strict", args.strict_quotas, args.order, wide=args.wide
+                *inputs, args.out, args.form, args.seed, args.payloads == "strict", args.strict_quotas, args.order, wide=args.wide, pieces=args.pieces
             )
     for name, value in counts.items():
         print(name, value)

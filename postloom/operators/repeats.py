@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions.labels import MERGED_FLAGS
+from postloom.functions.moments import first_of, moment, second_of
 from postloom.functions.text import text_key
 
 
@@ -14,14 +15,14 @@ def engagements(labelled: DataFrame) -> DataFrame:
 
     Everything downstream of the log derives from this table, so the log is read and shuffled once.
     """
-    moment = F.struct("created_at", "id")
+    at = moment(F.col("created_at"), F.col("id"))
+    first, last = F.col("first"), F.col("last")
     return (
         labelled.groupBy("user_id", "content_id", "follow")
-        .agg(F.min(moment).alias("first"), F.max(moment).alias("last"))
+        .agg(F.min(at).alias("first"), F.max(at).alias("last"))
         .select(
             "user_id", "content_id", "follow",
-            F.col("first.created_at").alias("first_at"), F.col("first.id").alias("first_id"),
-            F.col("last.created_at").alias("created_at"), F.col("last.id").alias("id"),
+            first_of(first).alias("first_at"), second_of(first).alias("first_id"), first_of(last).alias("created_at"), second_of(last).alias("id"),
         )
     )
 
@@ -64,25 +65,23 @@ def merge_flags(enriched: DataFrame) -> DataFrame:
     return merged.select(*enriched.columns, "rep")
 
 
-# What the last row of a repeated text brings along; time and log id lead, so "last" means latest.
-LAST_COLUMNS = ("created_at", "id", "content_id", "topic_id")
-
-
 def last_per_text(positives: DataFrame) -> DataFrame:
     """Positives merged to one row per user and text: merged flags, all else from the last row.
 
-    The same result as `merge_flags` followed by "keep the last row", in a single aggregation.
+    The same result as `merge_flags` followed by "keep the last row". Time and log id lead, so "last"
+    means latest; rows of one time and log id become one first, with the largest post and topic.
     `copies` says how many rows a row stands for, which counts when repeats are told from single rows.
     """
-    merged = positives.groupBy("user_id", "desc_key").agg(
-        F.sum("copies").alias("n"),
-        *[F.max(flag).alias(flag) for flag in MERGED_FLAGS],
-        F.max(F.struct(*LAST_COLUMNS)).alias("last"),
-    )
+    keys = ["user_id", "desc_key"]
+    keyed = positives.withColumns({"at": moment(F.col("created_at"), F.col("id")), "post": moment(F.col("content_id"), F.col("topic_id"))})
+    flags = [F.max(flag).alias(flag) for flag in MERGED_FLAGS]
+    single = keyed.groupBy(*keys, "at").agg(F.sum("copies").alias("n"), *flags, F.max("post").alias("post"))
+    merged = single.groupBy(*keys).agg(F.sum("n").alias("n"), *flags, F.max_by("post", "at").alias("post"), F.max("at").alias("at"))
     no_text = (F.col("n") > 1) & F.col("desc_key").isNull()
+    at, post = F.col("at"), F.col("post")
     return merged.select(
-        "user_id", "desc_key",
+        *keys,
         *[F.when(no_text, F.lit(0)).otherwise(F.col(flag)).alias(flag) for flag in MERGED_FLAGS],
         F.lit(0).alias("neg"),
-        "last.*",
+        first_of(at).alias("created_at"), second_of(at).alias("id"), first_of(post).alias("content_id"), second_of(post).alias("topic_id"),
     )

@@ -43,25 +43,39 @@ def seeded(seed: int, *columns: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in columns]))
 
 
-def drawn_users(events: DataFrame, size: int = 5_000, cap: int = 10_000, seed: int = 0, strict: bool = False) -> DataFrame:
-    """`size` users under the cap, drawn without replacement from an `activity`. `strict` raises if
-    there are fewer."""
-    drawn = (
-        events.where(F.col("events") < cap)
-        .orderBy(seeded(seed, "user_id"), "user_id")
-        .limit(size)
-        .select("user_id")
-    )
-    # Stored, so that the users are drawn once and Spark knows how many they are.
-    drawn = store(drawn, "cohort")
-    if strict and drawn.count() < size:
+def drawn_users(
+    events: DataFrame, size: int = 5_000, cap: int = 10_000, seed: int = 0, strict: bool = False, rows_per_piece: int = ROWS_PER_PIECE
+) -> DataFrame:
+    """`size` users under the cap, drawn without replacement from a stored `activity`: those of the
+    smallest seeded digests. `strict` raises if there are fewer.
+
+    The users are counted by the leading digits of their digests, as many digits as bring a bin to
+    about `rows_per_piece` users. All users of the bins before the one in which the cohort ends are
+    in it; only that bin is put in order. So no task meets the cohort, of whatever size.
+    """
+    draw = events.where(F.col("events") < cap).select("user_id").withColumn("draw", seeded(seed, "user_id"))
+    users = draw.count()
+    if strict and users < size:
         raise ValueError(f"fewer than {size} users are under the cap of {cap} events")
-    return drawn
+    digits = 0
+    while 16**digits * rows_per_piece < users:
+        digits += 1
+    prefix = F.substring("draw", 1, digits)
+    # One row per bin: some 16 for each `rows_per_piece` users at most.
+    bins = draw.groupBy(prefix.alias("bin")).agg(F.count("*").alias("n"))
+    ends = store(bins.withColumn("before", F.expr("sum(n) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")), "bins")
+    last = ends.where((F.coalesce("before", F.lit(0)) < size) & (F.coalesce("before", F.lit(0)) + F.col("n") >= size)).first()
+    if last is None:  # fewer users than are wanted, or none wanted
+        return store(draw.select("user_id") if size else draw.select("user_id").where("false"), "cohort")
+    whole = draw.where(prefix < last["bin"]).select("user_id")
+    rest = draw.where(prefix == last["bin"]).orderBy("draw", "user_id").limit(size - (last["before"] or 0)).select("user_id")
+    # Stored, so that the users are drawn once and Spark knows how many they are.
+    return store(whole.unionByName(rest), "cohort")
 
 
 def cohort_log(log: DataFrame, size: int = 5_000, cap: int = 10_000, seed: int = 0, strict: bool = False) -> DataFrame:
     """Complete log rows of a cohort."""
-    users = drawn_users(activity(log), size, cap, seed, strict)
+    users = drawn_users(store(activity(log), "activity"), size, cap, seed, strict)
     return _typed_log(log).join(users, "user_id", "left_semi")
 
 
@@ -143,3 +157,13 @@ def sample_negatives(
         .where(F.col("rank") <= F.col("left"))
         .select(*engagements.columns)
     )
+
+
+def short_of_negatives(engagements: DataFrame, sample: DataFrame) -> int:
+    """How many users have fewer negatives than their quota, told from the sample: they gave all they
+    have and the quota, a rounded share of it, is larger, which needs a ratio above 1."""
+    ratio = pos_neg_ratio(engagements).select("ratio").first()[0]
+    if ratio <= 1:
+        return 0
+    given = sample.groupBy("user_id").agg(F.count("*").alias("n"))
+    return given.where(_quota(F.col("n"), F.lit(ratio)) > F.col("n")).count()

@@ -28,9 +28,13 @@ def tier(rows: DataFrame, k: int) -> DataFrame:
 
 def clustered(rows: DataFrame, order: str = "reference") -> DataFrame:
     """Rows range-partitioned and sorted in the order of a split: stored like this, a filter on groups
-    of rows skips most of the files and row groups."""
+    of rows skips most of the files and row groups.
+
+    The bounds of the ranges run through a group, so one of any size is spread over as many files as
+    its rows need.
+    """
     by, inside = ORDERS[order]
-    return rows.repartitionByRange(*by).sortWithinPartitions(*by, *inside)
+    return rows.repartitionByRange(*by, *inside).sortWithinPartitions(*by, *inside)
 
 
 class Cut(NamedTuple):
@@ -130,8 +134,12 @@ class Splits:
         starts = placed.groupBy(*self.by).agg(F.min("place").alias("start"))
         return store(placed.join(starts, self.by).selectExpr(*rows.columns, "place - start AS position"), "cut-rows")
 
-    def parts(self) -> DataFrame:
-        """Train and dev of all tiers: the rows with tier `k` and `part`, from one pass over the rows."""
+    def placed(self) -> DataFrame:
+        """The rows with `places`, the train and dev parts they are in: structs of tier `k` and `part`.
+
+        The rows of a group that dev ends in come a second time, with the places that their position
+        gives them and `whole` false.
+        """
         choices, cuts = [], []
         for k in self.tiers:
             dev, after, left = self._dev(k)
@@ -143,11 +151,15 @@ class Splits:
                 inside = f"content_num > {k} AND {_group(self.by, after.group)} AND position < {left}"
                 cuts.append(f"CASE WHEN {inside} THEN struct({k} AS k, 'dev' AS part) END")
 
-        def chosen(rows: DataFrame, cases: list[str]) -> DataFrame:
-            return rows.selectExpr(*self.rows.columns, f"inline(filter(array({', '.join(cases)}), x -> x IS NOT NULL))")
+        def chosen(rows: DataFrame, cases: list[str], whole: str) -> DataFrame:
+            return rows.selectExpr(*self.rows.columns, f"filter(array({', '.join(cases)}), x -> x IS NOT NULL) AS places", f"{whole} AS whole")
 
-        whole = chosen(self.rows, choices)
-        return whole.unionByName(chosen(self._cut_rows, cuts)) if cuts else whole
+        found = chosen(self.rows, choices, "true")
+        return found.unionByName(chosen(self._cut_rows, cuts, "false")) if cuts else found
+
+    def parts(self) -> DataFrame:
+        """Train and dev of all tiers: the rows with tier `k` and `part`, from one pass over the rows."""
+        return self.placed().selectExpr(*self.rows.columns, "inline(places)")
 
     def train(self, k: int) -> DataFrame:
         return tier(self.rows, k).where(self._train(k))
@@ -177,5 +189,12 @@ class Splits:
         """The test parts as ground truth: `k`, and each user with the list of posts."""
         return self.test_users().join(lists.select("user_id", "content_list"), "user_id", "left")
 
+    def test_pieces(self, pieces: DataFrame) -> DataFrame:
+        """The same from lists in pieces: `k`, user_id, part, content_list and num; no whole list is made.
+
+        A user without posts has one row without a piece.
+        """
+        return self.test_users().join(pieces, "user_id", "left").select("k", "user_id", "part", "content_list", "num")
+
     def test(self, k: int, lists: DataFrame) -> DataFrame:
         return self.tests(lists).where(F.col("k") == k).drop("k")

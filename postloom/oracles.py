@@ -253,7 +253,12 @@ def oracle_sql() -> dict[str, str]:
         "content_author": """
             SELECT c.*, p.user_id AS author_user_id
             FROM content c LEFT JOIN posts p ON c.content_id = p.id""",
+        "no_post_users": "SELECT CAST(unnest(string_split(inter_list, ',')) AS BIGINT) AS user_id FROM inter_lists WHERE content_id = 0",
+        "content_rewrite": """
+            SELECT c.*, p.user_id AS author_user_id
+            FROM content c LEFT JOIN posts p ON c.content_id = p.id""",
         "user_content_list": "SELECT * FROM content_lists",
+        "user_list_pieces": "SELECT * FROM content_lists",
         "pos_dedupe": "SELECT * FROM pos",
         "neg_dedupe": "SELECT * FROM neg",
         "pos_neg_ratio": "SELECT * FROM ratio",
@@ -269,6 +274,9 @@ def oracle_sql() -> dict[str, str]:
         "split_train": f"SELECT {_INTERACTION}, k FROM reference_split WHERE part = 'train'",
         "split_dev": f"SELECT {_INTERACTION}, k FROM reference_split WHERE part = 'dev'",
         "split_test": "SELECT DISTINCT user_id, content_list, k FROM reference_split WHERE part = 'test'",
+        "split_test_pieces": """
+            SELECT DISTINCT s.user_id, s.content_list, l.content_num, k
+            FROM reference_split s LEFT JOIN content_lists l USING (user_id) WHERE part = 'test'""",
         "split_user_order": f"""
             SELECT {_INTERACTION}, k, part FROM by_user_split WHERE part <> 'test'
             UNION ALL BY NAME
@@ -285,8 +293,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "tsv_user_lists": "SELECT * FROM content_lists",
         "tsv_interactions": _text_of(f"(SELECT {_INTERACTION} FROM rows_in_order)", ("desc", "introduction")),
-        "tsv_tier": _text_of(f"(SELECT {_INTERACTION}, content_list, content_num FROM tiers WHERE k = 1)", ("desc", "introduction")),
-        "tsv_test": "SELECT DISTINCT user_id, content_list FROM reference_split WHERE part = 'test' AND k = 1",
+        "tsv_tier": _text_of(f"(SELECT {_INTERACTION}, content_list, content_num FROM tiers)", ("desc", "introduction")),
+        "tsv_test": "SELECT user_id, content_list FROM (SELECT DISTINCT user_id, content_list, k FROM reference_split WHERE part = 'test')",
+        "tsv_quoted": _text_of("content_raw", _CONTENT_TEXTS),
+        "fan_out_rows": f"SELECT {_INTERACTION} FROM rows_in_order",
         "fan_out_tiers": f"SELECT {_INTERACTION}, max(k) AS top FROM tiers GROUP BY {_INTERACTION}, id, block",
         "fan_out_splits": f"SELECT {_INTERACTION}, k, part FROM reference_split WHERE part <> 'test'",
         "log_csv": """

@@ -21,6 +21,11 @@ def inter_list(pairs: DataFrame) -> DataFrame:
     return lists.select("content_id", F.col("list").alias("inter_list"))
 
 
+def no_post_users(pairs: DataFrame) -> DataFrame:
+    """The users of id 0, "no post": one row each, in order over range partitions, so in any number."""
+    return pairs.where(F.col("content_id") == 0).select("user_id").repartitionByRange("user_id").sortWithinPartitions("user_id")
+
+
 def inter_list_pieces(pairs: DataFrame) -> DataFrame:
     """The same lists in pieces, without a bound on the users of a post: content_id, part, inter_list, num."""
     return list_pieces(pairs, "content_id", ["user_id"], "user_id").withColumnRenamed("list", "inter_list")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from postloom.functions.labels import is_positive, labelled
+from postloom.functions.moments import first_of, moment, second_of
 from postloom.functions.text import clean
 from postloom.operators.enrich import post_table, topic_copies, with_last_topic, with_post, with_text, with_topic
 from postloom.operators.lists import list_pieces, ordered_lists
@@ -25,8 +26,8 @@ def first_engagements(engaged: DataFrame) -> DataFrame:
     return (
         positives(engaged)
         .groupBy("user_id", "content_id")
-        .agg(F.min(F.struct("first_at", "first_id")).alias("first"))
-        .select("user_id", "content_id", "first.first_at", "first.first_id")
+        .agg(F.min(moment(F.col("first_at"), F.col("first_id"))).alias("first"))
+        .select("user_id", "content_id", first_of(F.col("first")).alias("first_at"), second_of(F.col("first")).alias("first_id"))
     )
 
 
@@ -42,6 +43,11 @@ def content_list_pieces(engaged: DataFrame) -> DataFrame:
     return pieces.withColumnRenamed("list", "content_list")
 
 
+def piece_counts(pieces: DataFrame) -> DataFrame:
+    """Per user how many posts its pieces hold: content_num."""
+    return pieces.groupBy("user_id").agg(F.sum("num").alias("content_num"))
+
+
 def user_content_list(log: DataFrame, strict: bool = False) -> DataFrame:
     """`content_lists` straight from the log; reads the rows of positive events only."""
     positive = labelled(log.where(is_positive()), missing="drop", strict=strict)
@@ -54,17 +60,18 @@ def sampled_union(engaged: DataFrame, seed: int = 0, strict: bool = False) -> Da
 
 
 def ordered_interactions(
-    engaged: DataFrame, posts: DataFrame, topics: DataFrame, seed: int = 0, strict: bool = False
+    engaged: DataFrame, posts: DataFrame, topics: DataFrame, seed: int = 0, strict: bool = False, sample: DataFrame | None = None
 ) -> DataFrame:
     """Interactions with the columns that order them: block (0 positives, 1 negatives) and log id.
 
-    Texts and introductions stay out of the merge of repeats: keys stand for texts, and topics are
+    The negatives are drawn unless a stored `sample` of them is given. Texts and introductions stay out of the merge of repeats: keys stand for texts, and topics are
     looked up afterwards.
     """
     table = post_table(posts)
     merged = last_per_text(topic_copies(with_post(positives(engaged), table), topics))
     merged = with_last_topic(merged, topics).withColumn("block", F.lit(0))
-    sampled = with_topic(with_post(sample_negatives(engaged, seed, strict), table), topics)
+    drawn = sample_negatives(engaged, seed, strict) if sample is None else sample
+    sampled = with_topic(with_post(drawn, table), topics)
     both = store(merged.unionByName(sampled.select(*[c for c in merged.columns if c != "block"], F.lit(1).alias("block"))), "keyed-interactions")
     zero = F.lit(0).cast("long")
     return with_text(both, table).select(
@@ -93,10 +100,14 @@ def with_content_num(rows: DataFrame, lists: DataFrame) -> DataFrame:
     return joined.withColumn("content_num", F.coalesce("content_num", F.lit(0).cast("long")))
 
 
+def top_tier(tiers: tuple[int, ...] = TIERS) -> Column:
+    """A row's highest tier, null without any."""
+    return F.greatest(*[F.when(F.col("content_num") > k, k) for k in tiers], F.lit(None).cast("int"))
+
+
 def with_top_tier(rows: DataFrame, tiers: tuple[int, ...] = TIERS) -> DataFrame:
     """The rows of any tier with `top`, their highest one: tier k is the rows with top >= k."""
-    top = F.greatest(*[F.when(F.col("content_num") > k, k) for k in tiers], F.lit(None).cast("int"))
-    return rows.withColumn("top", top).where(F.col("top").isNotNull())
+    return rows.withColumn("top", top_tier(tiers)).where(F.col("top").isNotNull())
 
 
 def wide_tiers(rows: DataFrame, lists: DataFrame, tiers: tuple[int, ...] = TIERS) -> DataFrame:

@@ -6,16 +6,18 @@ than once is read from a product it has written, or from an intermediate Parquet
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.operators import sampling, topics
-from postloom.operators.splits import ORDERS, TIERS, Splits, clustered
+from postloom.operators.splits import TIERS, Splits
 from postloom.plans import content, interactions, users
-from postloom.schemas import CAPPED_LOG
-from postloom.session import scratch, store
+from postloom.schemas import CAPPED_LOG, INTERACTIONS
+from postloom.session import delete, exists, move, scratch, store
 from postloom.sources import exports
-from postloom.sources.products import write_product
+from postloom.sources.products import replace_product, write_product
 
 
 def _is_csv(path: str) -> bool:
@@ -98,44 +100,94 @@ def content_job(
         if pieces:
             lists = _product(content.inter_list_pieces(pairs), f"{out}/inter_list_pieces", form, "pieces")
             return found | {"inter_list_pieces": lists.count()}
-        lists = _product(content.inter_list(pairs), f"{out}/inter_list", form, "inter-list")
+        # The users of "no post" may be nearly all there are: rows in order, not a cell.
+        without_post = _product(content.no_post_users(pairs), f"{out}/inter_list_no_post", form, "no-post")
+        lists = _product(content.inter_list(pairs.where("content_id <> 0")), f"{out}/inter_list", form, "inter-list")
         whole = _product(content.content(raw, pairs), f"{out}/content", form, "content")
-        write_product(content.content_with_author(whole, posts), f"{out}/content_with_author", form)
-        return found | {"inter_list": lists.count(), "content": whole.count()}
+        author_job(whole, posts, f"{out}/content_with_author", form)
+        return found | {"inter_list": lists.count(), "inter_list_no_post": without_post.count(), "content": whole.count()}
+
+
+def author_job(content_table: DataFrame, posts: DataFrame, path: str, form: str = "parquet") -> None:
+    """Rewrite the content with the author of each post; a product that is at `path` is replaced at once."""
+    replace_product(content.content_with_author(content_table, posts), path, form)
+
+
+# The products of one fan-out, and the columns that become their folders.
+_FANNED = {"content_with_topiccnt": (), "bt": ("top",), "splits": ("k", "part")}
+
+
+def fan_out(splits: Splits, out: str, form: str = "parquet") -> None:
+    """All interactions, their tiers and the parts of their splits, in one pass and one shuffle.
+
+    Rows are range-partitioned once, each with the names of the folders it goes to. The bounds run
+    through users, so files follow the order and no user, however active, makes one file large. What
+    is written goes to its places by renames at the end, so a job that fails leaves no product behind.
+    """
+    spark, staged = splits.rows.sparkSession, f"{out}/_fan-out-{uuid4().hex}"
+    for product in _FANNED:
+        if exists(spark, f"{out}/{product}"):
+            raise FileExistsError(f"{out}/{product} is already there")
+    place = "struct({} AS product, {} AS k, {} AS part)"
+    every = F.expr("array(" + place.format("'content_with_topiccnt'", "0", "'all'") + ")")
+    top = F.array(F.struct(F.lit("bt").alias("product"), interactions.top_tier(splits.tiers).alias("k"), F.lit("all").alias("part")))
+    parts = F.transform("places", lambda p: F.struct(F.lit("splits").alias("product"), p["k"].alias("k"), p["part"].alias("part")))
+    of_row = F.filter(F.concat(every, top), lambda p: p["k"].isNotNull())
+    places = F.concat(F.when(F.col("whole"), of_row).otherwise(F.array().cast("array<struct<product: string, k: int, part: string>>")), parts)
+    order = [*splits.by, *splits.inside]
+    rows = splits.placed().withColumn("places", places).drop("whole").repartitionByRange(*order)
+    each = rows.select(*dict.fromkeys([*INTERACTIONS, *order]), F.inline("places"))
+    folders = ["product", "k", "part"]
+    write_product(each.sortWithinPartitions(*folders, *order).select(*INTERACTIONS, *folders), staged, form, folders)
+    for tier in splits.tiers:
+        if exists(spark, f"{staged}/product=bt/k={tier}"):
+            move(spark, f"{staged}/product=bt/k={tier}/part=all", f"{out}/bt/top={tier}")
+    if exists(spark, f"{staged}/product=splits"):
+        move(spark, f"{staged}/product=splits", f"{out}/splits")
+    if exists(spark, f"{staged}/product=content_with_topiccnt"):
+        move(spark, f"{staged}/product=content_with_topiccnt/k=0/part=all", f"{out}/content_with_topiccnt")
+    delete(spark, staged)
+    for product, named in _FANNED.items():
+        if not exists(spark, f"{out}/{product}"):  # without a row
+            empty = interactions.public(splits.rows).where("false").select("*", *[F.lit("").alias(c) for c in named])
+            write_product(empty, f"{out}/{product}", form, named)
 
 
 def interactions_job(
     log: DataFrame, posts: DataFrame, topic_table: DataFrame, out: str, form: str = "parquet", seed: int = 0,
     strict: bool = False, strict_quotas: bool = False, order: str = "reference", tiers: tuple[int, ...] = TIERS, wide: bool = False,
+    pieces: bool = False,
 ) -> dict[str, int]:
     """Lists per user, labelled interactions, activity tiers and their splits.
 
-    The raw log is read once, into the engagements; interactions and lists are computed once and
-    stored in the order of the splits. Tiers, splits and tests are one pass each: `bt` has a folder
-    per highest tier (`top`), `splits` and `test` one per tier (`k`). Rows of `bt` and `splits` are
-    sorted inside each file, and files follow the order. `wide` adds `bt_wide`, tiers with lists.
+    The raw log is read once, into the engagements; interactions and lists are computed once and stored.
+    Interactions, tiers and splits are written in one pass (`fan_out`): `bt` has a folder per highest
+    tier (`top`), `splits` and `test` one per tier (`k`). Rows are sorted inside each file, and files
+    follow the order. `wide` adds `bt_wide`, tiers with lists. `pieces` writes the lists of users and the
+    ground truth in pieces, without a bound on the posts of a user, and makes no whole list.
     """
+    if wide and pieces:
+        raise ValueError("wide tiers hold whole lists")
     with scratch(log.sparkSession):
         counts = Observation("log")
         engaged = interactions.stored_engagements(log, strict, counts)
-        lists = _product(interactions.content_lists(engaged), f"{out}/content_with_interlist", form, "content-lists")
-        ordered = interactions.ordered_interactions(engaged, posts, topic_table, seed, strict_quotas)
-        rows = store(clustered(interactions.with_content_num(ordered, lists), order), "interactions")
-        write_product(interactions.public(rows), f"{out}/content_with_topiccnt", form)
-        by, inside = ORDERS[order]
-
-        def in_order(df: DataFrame, *folders: str) -> DataFrame:
-            placed = df.repartitionByRange(*by).sortWithinPartitions(*folders, *by, *inside)
-            return interactions.public(placed, {**dict.fromkeys(interactions.INTERACTIONS), **dict.fromkeys(folders)})
-
+        if pieces:
+            lists = _product(interactions.content_list_pieces(engaged), f"{out}/content_with_interlist_pieces", form, "content-lists")
+            nums = store(interactions.piece_counts(lists), "content-nums")
+        else:
+            nums = lists = _product(interactions.content_lists(engaged), f"{out}/content_with_interlist", form, "content-lists")
+        sample = store(sampling.sample_negatives(engaged, seed, strict_quotas), "negatives")
+        ordered = interactions.ordered_interactions(engaged, posts, topic_table, seed, strict_quotas, sample)
+        rows = store(interactions.with_content_num(ordered, nums), "interactions")
         splits = Splits(rows, order, tiers)
-        write_product(in_order(interactions.with_top_tier(rows, tiers), "top"), f"{out}/bt", form, ["top"])
-        write_product(in_order(splits.parts(), "k", "part"), f"{out}/splits", form, ["k", "part"])
-        write_product(splits.tests(lists).select("user_id", "content_list", "k"), f"{out}/test", form, ["k"])
+        fan_out(splits, out, form)
+        if pieces:
+            write_product(splits.test_pieces(lists), f"{out}/test_pieces", form, ["k"])
+        else:
+            write_product(splits.tests(lists).select("user_id", "content_list", "k"), f"{out}/test", form, ["k"])
         if wide:
             write_product(interactions.wide_tiers(rows, lists, tiers), f"{out}/bt_wide", form, ["k"])
         totals = rows.agg(F.count("*").alias("n"), *[F.count_if(F.col("content_num") > k).alias(f"bt{k}") for k in tiers]).first().asDict()
-        short = sampling.negative_quotas(engaged).where(F.col("quota") > F.col("negatives"))
         return counts.get | {
-            "engagements": engaged.count(), "interactions": totals.pop("n"), "users_short_of_negatives": short.count(),
+            "engagements": engaged.count(), "interactions": totals.pop("n"), "users_short_of_negatives": sampling.short_of_negatives(engaged, sample),
         } | totals

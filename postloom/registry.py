@@ -13,7 +13,7 @@ from postloom import fixtures
 from postloom.functions.labels import FLAGS, label, labelled, with_content_id
 from postloom.operators import enrich, repeats, sampling, topics
 from postloom.operators.splits import Splits, clustered
-from postloom.plans import content, interactions, users
+from postloom.plans import content, interactions, jobs, users
 from postloom.schemas import CAPPED_LOG, INTERACTIONS, POSTS, PRODUCTS, USER_ACTION, USERS
 from postloom.session import shared_folder, store
 from postloom.sources import exports, products
@@ -133,13 +133,14 @@ def _folder(i: _Inputs, label: str) -> str:
     return f"{shared_folder(i.spark)}/{label}-{uuid4().hex}"
 
 
-def _tsv(product: str, make: Callable[[_Inputs], DataFrame], strict: bool = True) -> Callable[[_Inputs], DataFrame]:
+def _tsv(product: str, make: Callable[[_Inputs], DataFrame], strict: bool = True, form: str = "lines") -> Callable[[_Inputs], DataFrame]:
     """A product written as text and read back by its contract."""
+    read = {"lines": products.read_lines, "tsv": products.read_tsv}[form]
 
     def query(i: _Inputs) -> DataFrame:
         path = _folder(i, product)
-        products.write_product(make(i).select(*PRODUCTS[product]), path, "tsv")
-        return products.read_tsv(i.spark, path, product, strict)
+        products.write_product(make(i).select(*PRODUCTS[product]), path, form)
+        return read(i.spark, path, product, strict)
 
     return query
 
@@ -216,23 +217,38 @@ def _left_out(i: _Inputs) -> DataFrame:
     return i.spark.createDataFrame([(counts.get["lines"], counts.get["lines_left_out"])], "lines long, lines_left_out long")
 
 
-def _fan_out(i: _Inputs, rows: DataFrame, folders: list[str]) -> DataFrame:
-    """Rows in one folder per tier, or tier and part, written in one pass and read back."""
-    path = _folder(i, "tiers")
-    products.write_product(rows.select(*INTERACTIONS, *folders), path, folders=folders)
-    return i.spark.read.parquet(path)
+def _fan_out(i: _Inputs, product: str) -> DataFrame:
+    """Interactions, tiers and splits written in one pass; one of these read back."""
+    out = _folder(i, "fan-out")
+    jobs.fan_out(Splits(i.rows_and_lists()[0]), out)
+    return i.spark.read.parquet(f"{out}/{product}")
+
 
+def _strung(pieces: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """The pieces of each list strung together, and the sum of their entries."""
+    whole = pieces.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("part", text))).alias("pieces"), F.sum("num").alias("content_num"))
+    return whole.select(*keys, F.when(F.size("pieces") > 0, F.array_join(F.transform("pieces", lambda p: p[text]), ",")).alias(text), "content_num")
 
-def _fan_out_tiers(i: _Inputs) -> DataFrame:
-    return _fan_out(i, interactions.with_top_tier(i.rows_and_lists()[0]), ["top"])
 
+def _user_list_pieces(i: _Inputs) -> DataFrame:
+    return _strung(interactions.content_list_pieces(i.engaged()), ["user_id"], "content_list")
 
-def _fan_out_splits(i: _Inputs) -> DataFrame:
-    return _fan_out(i, Splits(i.rows_and_lists()[0]).parts(), ["k", "part"])
 
+def _split_test_pieces(i: _Inputs) -> DataFrame:
+    engaged = i.engaged()
+    pieces = store(interactions.content_list_pieces(engaged), "pieces")
+    rows = interactions.ordered_interactions(engaged, i.posts, i.topics)
+    rows = store(interactions.with_content_num(rows, interactions.piece_counts(pieces)), "interactions")
+    return _strung(Splits(rows).test_pieces(pieces), ["k", "user_id"], "content_list")
 
-def _first_tier(i: _Inputs) -> DataFrame:
-    return interactions.wide_tiers(*i.rows_and_lists(), tiers=(1,))
+
+def _content_rewrite(i: _Inputs) -> DataFrame:
+    """Content as a product, rewritten with its author to a new path, twice: the second replaces the first."""
+    whole, path = _folder(i, "content"), _folder(i, "rewritten")
+    products.write_product(i.content().select(*PRODUCTS["content"]), whole)
+    for _ in range(2):
+        jobs.author_job(i.spark.read.parquet(whole), i.posts, path)
+    return i.spark.read.parquet(path)
 
 
 _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
@@ -249,8 +265,11 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "inter_list": lambda i: content.inter_list(i.post_users()),
     "inter_list_pieces": _inter_list_pieces,
     "content": lambda i: i.content(),
+    "no_post_users": lambda i: content.no_post_users(i.post_users()),
+    "content_rewrite": _content_rewrite,
     "content_author": lambda i: content.content_with_author(i.content(), i.posts),
     "user_content_list": lambda i: interactions.user_content_list(i.log),
+    "user_list_pieces": _user_list_pieces,
     "pos_dedupe": lambda i: sampling.positives(repeats.engagements(labelled(i.log, "drop"))).select(*ENGAGEMENT),
     "neg_dedupe": lambda i: sampling.negatives(repeats.engagements(labelled(i.log, "drop"))).select(*ENGAGEMENT),
     "pos_neg_ratio": lambda i: sampling.pos_neg_ratio(repeats.engagements(labelled(i.log, "drop"))),
@@ -265,6 +284,7 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "split_train": lambda i: _part(i, "train"),
     "split_dev": lambda i: _part(i, "dev"),
     "split_test": _split_test,
+    "split_test_pieces": _split_test_pieces,
     "split_user_order": _split_user_order,
     "preview": _preview,
     "tsv_roundtrip": _tsv("content_raw", lambda i: i.content_raw(), strict=False),
@@ -275,10 +295,12 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "tsv_content_author": _tsv("content_with_author", lambda i: content.content_with_author(i.content(), i.posts), strict=False),
     "tsv_user_lists": _tsv("content_with_interlist", lambda i: interactions.user_content_list(i.log)),
     "tsv_interactions": _tsv("content_with_topiccnt", lambda i: interactions.interactions(i.engaged(), i.posts, i.topics)),
-    "tsv_tier": _tsv("bt", _first_tier),
-    "tsv_test": _tsv("test", lambda i: Splits((found := i.rows_and_lists())[0], tiers=(1,)).tests(found[1])),
-    "fan_out_tiers": _fan_out_tiers,
-    "fan_out_splits": _fan_out_splits,
+    "tsv_tier": _tsv("bt", _bt_tiers),
+    "tsv_test": _tsv("test", _split_test),
+    "tsv_quoted": _tsv("content_raw", lambda i: i.content_raw(), strict=False, form="tsv"),
+    "fan_out_rows": lambda i: _fan_out(i, "content_with_topiccnt"),
+    "fan_out_tiers": lambda i: _fan_out(i, "bt"),
+    "fan_out_splits": lambda i: _fan_out(i, "splits"),
     "log_csv": _log_csv,
     "user_csv": _user_csv,
     "user_without_sex": _user_without_sex,

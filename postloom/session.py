@@ -50,6 +50,23 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app].name
 
 
+@contextmanager
+def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """SQL settings, dots written as "__", that hold inside this block only."""
+    names = {name.replace("__", "."): value for name, value in conf.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables stored inside this block are deleted at its end."""
@@ -59,8 +76,32 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scratch.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, folder)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """A path and its file system, as Spark itself sees them."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path, files = _hadoop(spark, folder)
+    files.delete(path, True)
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    path, files = _hadoop(spark, folder)
+    return files.exists(path)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder inside one file system; the target must not exist, its parents may not either."""
+    path, files = _hadoop(spark, source)
+    to, _ = _hadoop(spark, target)
+    files.mkdirs(to.getParent())
+    if files.exists(to) or not files.rename(path, to):
+        raise FileExistsError(f"cannot move {source} to {target}")
 
 
 def store(df: DataFrame, label: str) -> DataFrame:

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import re
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.functions.text import known, to_long
 from postloom.schemas import POSTS, TOPICS, USER_ACTION, USERS
+from postloom.session import settings
 
 CSV_OPTIONS = {"header": "true", "sep": ",", "encoding": "UTF-8", "escape": '"'}
 _END = "\u0001"
-# Header lines that are looked up at a time.
-_LOOKUPS = 16
 
 
 def typed(df: DataFrame, contract: dict[str, str]) -> DataFrame:
@@ -27,19 +29,66 @@ def typed(df: DataFrame, contract: dict[str, str]) -> DataFrame:
     return df.select(*[column(name, kind) for name, kind in contract.items()])
 
 
-def _files_by_header(spark: SparkSession, path: str, multiline: bool) -> dict[tuple[str, ...], list[str]]:
-    """The files of `path`, together where their header lines agree. One line of each file is read."""
+def _first_records(batches: Iterator[pa.RecordBatch], only_one: bool) -> Iterator[pa.RecordBatch]:
+    """From lines in file order, the first record of each file: it ends where its quotes are closed.
+
+    With `only_one` the task ends there, whatever else the file holds.
+    """
+    open_records: dict[str, list[str]] = {}
+    found: dict[str, str] = {}
+    for batch in batches:
+        for file, line in zip(batch.column("file").to_pylist(), batch.column("value").to_pylist()):
+            if file in found or not (line.strip() or file in open_records):
+                continue
+            record = open_records.setdefault(file, [])
+            record.append(line)
+            if sum(part.count('"') for part in record) % 2 == 0:
+                found[file] = "\n".join(open_records.pop(file))
+        if only_one and found:
+            break
+    for file, record in open_records.items():
+        found[file] = "\n".join(record)
+    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.string())], names=["file", "header"])
+
+
+def _plain(uri: str) -> str:
+    """A file's path as it is spelt. Spark writes both "file:/a%20b" and "file:///a%20b"."""
+    return re.sub(r"^file:/+", "file:///", unquote(uri))
+
+
+def _literal(path: str) -> str:
+    """A path whose characters stand for themselves, not for a pattern."""
+    return re.sub(r"([][{}*?\\])", r"\\\1", path)
+
+
+def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of `path`, together where their header lines agree.
+
+    One job reads the first record of all files, a task each and no further than that; Spark's reader
+    then names the columns of each kind of record. What comes to the driver is a line per file.
+    """
 
-    def header(file: str) -> tuple[str, ...]:
-        return tuple(spark.read.options(**CSV_OPTIONS, multiLine=multiline).csv(file).columns)
 
-    files = spark.read.options(**CSV_OPTIONS, multiLine=multiline).csv(path).inputFiles()
-    with ThreadPoolExecutor(_LOOKUPS) as lookups:
-        headers = list(lookups.map(header, files))
+    def first_records(paths: str | list[str], only_one: bool) -> dict[str, str]:
+        lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
+        heads = lines.mapInArrow(lambda batches: _first_records(batches, only_one), "file string, header string").collect()
+        return {_plain(row["file"]): row["header"] for row in heads}
+
+    files = [_plain(f) for f in spark.read.text(path).inputFiles()]
+    whole = str(1 << 50)  # no file is cut, none shares a task
+    with settings(spark, spark__sql__files__maxPartitionBytes=whole, spark__sql__files__openCostInBytes=whole):
+        headers = first_records(path, True)
+    # Empty files, and files that shared a task all the same.
+    if missing := [f for f in files if f not in headers]:
+        headers |= first_records([_literal(f) for f in missing], False)
+    files_of: dict[str, list[str]] = {}
+    for file in files:
+        if file in headers:
+            files_of.setdefault(headers[file], []).append(file)
     groups: dict[tuple[str, ...], list[str]] = {}
-    for names, file in zip(headers, files):
-        if names:  # an empty file has none
-            groups.setdefault(names, []).append(file)
+    for header, files in files_of.items():
+        names = tuple(spark.read.options(**CSV_OPTIONS).csv(spark.sparkContext.parallelize([header], 1)).columns)
+        groups.setdefault(names, []).extend(map(_literal, files))
     return groups
 
 
@@ -73,7 +122,7 @@ def read_export(
     how many lines there were (`lines`) and how many were left out (`lines_left_out`). A column that
     a file lacks raises; an `optional` contract takes it as missing, or leaves it out if no file has it.
     """
-    groups = _files_by_header(spark, path, multiline)
+    groups = _files_by_header(spark, path)
     if not groups:
         raise ValueError(f"no header line in {path}")
     known_names = {n for names in groups for n in names}

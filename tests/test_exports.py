@@ -50,3 +50,36 @@ def test_left_out_lines_are_counted(spark, tmp_path):
     counts = Observation("topics")
     assert [r["id"] for r in exports.read_topics(spark, path, counts=counts).collect()] == [1]
     assert counts.get == {"lines": 3, "lines_left_out": 2}
+
+
+def test_headers_of_many_files_are_one_job(spark, tmp_path):
+    """500 files of three makes, one with a line break in its header and one with blank lines before it."""
+    heads = ["id,sex,zan_count", '"a\nname ""x"", y",zan_count,id,sex', "\n\nsex,id,other,zan_count"]
+    cells = [lambda i: f"{i},1,{2 * i}", lambda i: f'"z\nz",{2 * i},{i},1', lambda i: f"1,{i},o,{2 * i}"]
+
+    def jobs_for(files):
+        folder = tmp_path / str(files)
+        folder.mkdir()
+        for i in range(files):
+            (folder / f"part {i} [a]%20.csv").write_text(f"{heads[i % 3]}\n{cells[i % 3](i)}\n", encoding="utf-8")
+        spark.sparkContext.setJobGroup(f"headers-{files}", "headers")
+        try:
+            groups = exports._files_by_header(spark, str(folder))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert sorted(map(len, groups.values())) == sorted(len(range(i, files, 3)) for i in range(3))
+        if files < 10:
+            rows = {tuple(r) for r in exports.read_users(spark, str(folder)).collect()}
+            assert rows == {(str(i), "1", str(2 * i)) for i in range(files)}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"headers-{files}"))
+
+    assert jobs_for(500) == jobs_for(6)
+
+
+def test_headers_where_files_share_a_task(spark, tmp_path, monkeypatch):
+    """Without the settings that give each file a task of its own, no file is lost."""
+    from contextlib import nullcontext
+
+    monkeypatch.setattr(exports, "settings", lambda *_, **__: nullcontext())
+    path = folder_of(tmp_path, {f"{i}.csv": f"{'id,sex' if i % 2 else 'sex,id'}\n{i},{i}\n" for i in range(9)} | {"empty.csv": "", "blank.csv": "\n\n"})
+    assert sorted(map(len, exports._files_by_header(spark, path).values())) == [4, 5]

@@ -9,7 +9,10 @@ from pyspark.errors import PySparkException
 from postloom.__main__ import main
 from postloom.schemas import POSTS, PRODUCTS
 from postloom.sources import exports
-from postloom.sources.products import preview, read_tsv, write_tsv
+from postloom.operators.splits import Splits
+from postloom.plans import jobs
+from postloom.session import store
+from postloom.sources.products import preview, read_lines, read_tsv, replace_product, write_lines, write_tsv
 
 LINES = [
     "extra_before,id,user_id,subject_id,title,desc,praise_count,reply_count,forward_count,star_count,share_count,create_time",
@@ -72,6 +75,81 @@ def test_tsv_round_trip(spark, tmp_path):
     assert [(int(r[0]), plain(r[1])) for r in in_pandas.itertuples(index=False)] == want
 
 
+def test_lines_round_trip_and_split(spark, tmp_path):
+    rows = [
+        (1, ' "quoted"\ttab\nbreak\r\n '), (2, ""), (3, None), (4, "NA"), (5, 'back\\slash \\" quote \\n'), (6, "  blanks  "),
+        (7, ","), (8, '"'), (9, "帖子"), (10, "100% %0A %250A%"), (11, "nul \0 end"), (12, "#x"), (13, "\u2028\x0b\x85"),
+    ]
+    path = str(tmp_path / "lists")
+    write_lines(spark.createDataFrame(rows, "content_id long, inter_list string").coalesce(1), path)
+    want = [(i, None if t in ("", "NA") else t) for i, t in rows]
+    assert sorted((tuple(r) for r in read_lines(spark, path, "inter_list").collect()), key=lambda r: r[0]) == want
+    many = spark.range(20_000).selectExpr("id AS content_id", "concat('a\nb', id, '\t') AS inter_list")
+    write_lines(many.coalesce(1), f"{path}-large")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        large = read_lines(spark, f"{path}-large", "inter_list")
+        assert len(large.inputFiles()) == 1 and large.rdd.getNumPartitions() >= 2
+        assert large.exceptAll(many).isEmpty() and large.count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_product_is_replaced_by_renames(spark, tmp_path):
+    path = str(tmp_path / "product")
+    replace_product(spark.range(5), path)
+    # The new product may be made of the old one.
+    replace_product(spark.read.parquet(path).selectExpr("id + 10 AS id"), path)
+    assert sorted(r[0] for r in spark.read.parquet(path).collect()) == [10, 11, 12, 13, 14]
+    with pytest.raises(PySparkException):
+        replace_product(spark.read.parquet(path).selectExpr("raise_error('no') AS id"), path)
+    assert spark.read.parquet(path).count() == 5
+    replace_product(spark.range(3), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def fanned(spark, rows, out, **options):
+    contract = "user_id long, topic_id long, desc string, genre_id long, introduction string, comment int, forward int, thumb int, detail int, neg int, created_at long"
+    frame = spark.createDataFrame(rows, f"{contract}, block int, id long, content_num long")
+    jobs.fan_out(Splits(store(frame, "rows"), **options), out)
+
+
+def test_fan_out_spreads_a_hot_user(spark, tmp_path):
+    """A third of the rows in one user: no file holds far more rows than the others, and files follow the order."""
+    rows = []
+    for i in range(9_000):
+        user, block = (50 if i % 3 == 0 else i % 100), i % 2
+        rows.append((user, 1, f"text {i}", 1, "i", 0, 0, 1 - block, 0, block, 1_000 + (i * 7) % 977, block, i, user % 4))
+    out = str(tmp_path / "out")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        fanned(spark, rows, out, tiers=(1, 2))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted((tmp_path / "out" / "content_with_topiccnt").glob("part-*"))
+    found = [pd.read_parquet(f)[["neg", "user_id", "created_at"]].values.tolist() for f in files]
+    sizes = sorted(len(f) for f in found)
+    assert len(files) == 8 and sizes[-1] < 2 * sizes[4]
+    assert sum(found, []) == sorted([r[9], r[0], r[10]] for r in rows)
+    tiers = spark.read.parquet(f"{out}/bt")
+    assert {r["top"]: r["count"] for r in tiers.groupBy("top").count().collect()} == {2: sum(r[13] > 2 for r in rows), 1: sum(r[13] == 2 for r in rows)}
+    parts = spark.read.parquet(f"{out}/splits")
+    assert {(r["k"], r["part"]) for r in parts.select("k", "part").distinct().collect()} == {(k, p) for k in (1, 2) for p in ("train", "dev")}
+    assert not list((tmp_path / "out").glob("_fan*"))
+    with pytest.raises(FileExistsError):
+        fanned(spark, rows, out)
+
+
+def test_fan_out_of_nothing(spark, tmp_path):
+    fanned(spark, [], str(tmp_path / "out"))
+    assert spark.read.parquet(f"{tmp_path}/out/content_with_topiccnt").count() == 0
+    fanned(spark, [(1, 1, "t", 1, "i", 0, 0, 1, 0, 0, 5, 0, 1, 0)], str(tmp_path / "one"))
+    assert spark.read.parquet(f"{tmp_path}/one/content_with_topiccnt").count() == 1
+    assert (tmp_path / "one" / "bt").is_dir() and (tmp_path / "one" / "splits").is_dir()
+
+
 def test_typed_read_is_strict_on_missing_numbers(spark, tmp_path):
     path = str(tmp_path / "log")
     write_tsv(spark.createDataFrame([(1, None, "{}", 5)], "user_id long, event_id long, event_data string, created_at long"), path)
@@ -118,6 +196,7 @@ def test_jobs_from_csv_to_tsv(spark, app, tmp_path, capsys):
     main(["content", f"--out={out}", "--form=tsv", "--cap=30", *inputs])
     main(["content", f"--out={out}/cut", "--pieces", "--cap=30", *inputs])
     main(["interactions", f"--out={out}", "--form=tsv", "--wide", *inputs])
+    main(["interactions", f"--out={out}/cut", "--pieces", *inputs])
     printed = [line.split() for line in capsys.readouterr().out.splitlines()]
     counts = dict(printed)
 
@@ -134,6 +213,10 @@ def test_jobs_from_csv_to_tsv(spark, app, tmp_path, capsys):
     assert int(counts["log_rows"]) == int(counts["log_rows_with_user"]) == n_rows and counts["bad_json"] == "0"
     assert counts["users"] == "12" and counts["users_over_cap"] == "2" and ["users", "1"] in printed
     lists = {r["content_id"]: r["inter_list"] for r in product("inter_list", "inter_list").collect()}
+    assert 0 not in lists
+    without_post = [r[0] for r in spark.read.options(header=True).csv(f"{out}/inter_list_no_post").collect()]
+    assert without_post == sorted(without_post, key=int)
+    lists[0] = ",".join(without_post)
     cut = spark.read.parquet(f"{out}/cut/inter_list_pieces").orderBy("content_id", "part").collect()
     assert {i: ",".join(r["inter_list"] for r in cut if r["content_id"] == i) for i in {r["content_id"] for r in cut}} == lists
     assert all(r["num"] == len(r["inter_list"].split(",")) for r in cut)
@@ -162,6 +245,16 @@ def test_jobs_from_csv_to_tsv(spark, app, tmp_path, capsys):
             assert rows.equals(rows.sort_values(["neg", *ordered], kind="stable"))
 
 
+    whole_lists = {r["user_id"]: r["content_list"] for r in product("content_with_interlist", "content_with_interlist").collect()}
+    cut = spark.read.parquet(f"{out}/cut/content_with_interlist_pieces").orderBy("user_id", "part").collect()
+    assert {u: ",".join(r["content_list"] for r in cut if r["user_id"] == u) for u in {r["user_id"] for r in cut}} == whole_lists
+    truth = spark.read.parquet(f"{out}/cut/test_pieces").orderBy("k", "user_id", "part").collect()
+    for k in range(1, 6):
+        test = {r["user_id"]: r["content_list"] for r in product(f"test/k={k}", "test").collect()}
+        assert {u: ",".join(r["content_list"] for r in truth if (r["k"], r["user_id"]) == (k, u)) for u in {r["user_id"] for r in truth if r["k"] == k}} == test
+    assert not (tmp_path / "cut" / "content_with_interlist").exists()
+
+
 def test_a_job_leaves_no_intermediate_tables(spark, app, tmp_path):
     from pathlib import Path
 

@@ -120,3 +120,18 @@ def test_splits_are_few_passes_with_skipping(spark, stored_plans):
     assert plan.count("FileScan") == 1 + ("UNION" in plan.upper())
     text = splits.train(1)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in text and "block" in text.split("PushedFilters")[1].split("]")[0]
+
+
+def test_moments_are_hash_aggregates(spark):
+    """No aggregate over the log or the engagements sorts its rows."""
+    from postloom.functions.labels import labelled
+    from postloom.operators.enrich import post_table, topic_copies, with_post
+    from postloom.operators.repeats import engagements, last_per_text
+    from postloom.operators.sampling import positives
+
+    log = fixtures.user_action(spark, FOLDER)
+    engaged = interactions.stored_engagements(log)
+    table = post_table(fixtures.posts(spark, FOLDER))
+    merged = last_per_text(topic_copies(with_post(positives(engaged), table), fixtures.topics(spark, FOLDER)))
+    for df in (engagements(labelled(log, "drop")), interactions.first_engagements(engaged), merged):
+        assert "SortAggregate" not in plan_of(df) and "HashAggregate" in plan_of(df)

@@ -354,3 +354,31 @@ def test_repeats_count_the_copies_that_topics_make(spark):
     # The same from whole rows.
     flagged = merge_flags(store(enriched(rows, posts, topics), "enriched"))
     assert rows_of(flagged.select("user_id", "thumb", "introduction")) == [(1, 0, "i"), (1, 0, "k"), (2, 1, None)]
+
+
+def test_moments_order_as_pairs(spark):
+    """Pairs of longs as one decimal: the same order, and the same pairs back."""
+    from postloom.functions.moments import first_of, moment, second_of
+
+    numbers = [None, -(2**63), -1, 0, 1, 2**63 - 1]
+    epochs = [None, -5_399_999_999_999_999_999, -7, 0, 1_700_000_000, 1_700_000_000_000_000_000, 5_399_999_999_999_999_999]
+    pairs = [(a, b) for a in epochs for b in numbers]
+    df = spark.createDataFrame(pairs, "a long, b long").withColumn("m", moment(F.col("a"), F.col("b")))
+    rows = df.select("a", "b", "m", first_of(F.col("m")).alias("x"), second_of(F.col("m")).alias("y")).collect()
+    assert all((r["a"], r["b"]) == (r["x"], r["y"]) for r in rows)
+    low = lambda v: -(2**70) if v is None else v
+    by_pair = sorted(rows, key=lambda r: (low(r["a"]), low(r["b"])))
+    assert by_pair == sorted(rows, key=lambda r: r["m"]) and len({r["m"] for r in rows}) == len(pairs)
+
+
+def test_cohort_by_bins_is_the_cohort_by_order(spark):
+    from postloom.operators.sampling import drawn_users, seeded
+
+    events = spark.range(1_000).selectExpr("id * 7 AS user_id", "id % 20 AS events")
+    for size in (0, 1, 37, 500, 949, 950, 2_000):
+        want = events.where("events < 19").orderBy(seeded(3, "user_id"), "user_id").limit(size)
+        for rows_per_piece in (10**6, 100, 3):
+            got = drawn_users(events, size, 19, 3, rows_per_piece=rows_per_piece)
+            assert sorted(r[0] for r in got.collect()) == sorted(r[0] for r in want.collect())
+    with pytest.raises(ValueError):
+        drawn_users(events, 951, 19, 3, strict=True)
