@@ -12,7 +12,8 @@ in whole numbers. Only components are asked for, so buckets are not expanded int
 First, each class is verified against a few hubs: under each of HUBS random orders the first class it
 meets in any bucket. That joins nearly all that belongs together, a few pairs per class. Second, the
 buckets that still hold several components are searched for pairs across components, tile by tile
-(a pair of chunks of bounded size), in memory. Pairs whose signatures agree in too few places for the
+(a pair of chunks of bounded size), in memory: by signatures first, then on the sets of the classes
+that these leave. Pairs whose signatures agree in too few places for the
 bound, by 5 standard deviations, are not similar (a chance of 3e-7 at the bound); all others are
 verified on their sets. A tile gives no more links than join its components. No pair of a bucket is
 passed over. Hubs with many partners are dealt over tasks.
@@ -41,7 +42,7 @@ BANDS, ROWS = 40, 6
 PERCENT = 80
 HUBS = 3
 # Classes, and shingles of their sets, of a bucket that are compared with as many others in one task.
-CHUNK = 1_024
+CHUNK = 256
 CHUNK_SHINGLES = 1_000_000
 DEVIATIONS = 5
 # Partners of one pivot that are compared in one task.
@@ -111,8 +112,8 @@ def _sketches(width: int, bands: int, rows: int):
                 digests.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
                 keys.append(band_keys(signature(shingles, bands * rows), bands) if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("row"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["id", "row", "size", "digest", "keys"],
+                [*[batch.column(c) for c in ("id", "row", "rest")], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["id", "row", "rest", "size", "digest", "keys"],
             )
 
     return run
@@ -194,26 +195,50 @@ def shared_with(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     return np.add.reduceat((own[at] == flat).astype(np.int64), starts)
 
 
-def _tile_links(tile: pa.RecordBatch, percent: int) -> tuple[list[int], list[int]]:
-    """Similar pairs that join the components of a tile: no more than join them."""
+def _partners(tile: pa.RecordBatch, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of the tile's first chunk with the rows it meets that may be similar to it: their sizes
+    fit and their signatures agree in enough places."""
     chunks, first = tile.column("chunk").to_numpy(), tile.column("t1")[0].as_py()
     across = first != tile.column("t2")[0].as_py()
-    nodes = tile.column("node").to_numpy()
-    _, comps = np.unique(tile.column("comp").to_numpy(), return_inverse=True)
-    sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in tile.column("set")]
-    sizes = np.array([len(x) for x in sets])
+    sizes = tile.column("size").to_numpy()
     signs = np.stack([np.frombuffer(x.as_buffer(), dtype=np.uint16) for x in tile.column("sign")])
     share = percent / 100
     needed = signs.shape[1] * share - DEVIATIONS * np.sqrt(signs.shape[1] * share * (1 - share))
-    one = np.flatnonzero(chunks == first) if across else np.arange(len(nodes))
+    one = np.flatnonzero(chunks == first) if across else np.arange(len(sizes))
     other = np.flatnonzero(chunks != first) if across else one
-    left: list[int] = []
-    right: list[int] = []
     for i in one.tolist():
         rest = other if across else other[i + 1 :]
-        fits = 100 * np.minimum(sizes[rest], sizes[i]) >= percent * np.maximum(sizes[rest], sizes[i])
-        rest = rest[(comps[rest] != comps[i]) & fits]
-        rest = rest[(signs[rest] == signs[i]).sum(axis=1) >= needed]
+        rest = rest[100 * np.minimum(sizes[rest], sizes[i]) >= percent * np.maximum(sizes[rest], sizes[i])]
+        yield i, rest[(signs[rest] == signs[i]).sum(axis=1) >= needed]
+
+
+def _candidates(percent: int):
+    """The rows of each tile that may be similar to one of another component there; no pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in grouped(batches, ["key", "t1", "t2"]):
+            comps = tile.column("comp").to_numpy()
+            found = np.zeros(tile.num_rows, dtype=bool)
+            for i, rest in _partners(tile, percent):
+                rest = rest[comps[rest] != comps[i]]
+                found[rest] = True
+                found[i] |= len(rest) > 0
+            if found.any():
+                yield tile.select(["key", "t1", "t2", "chunk", "node", "comp"]).filter(pa.array(found))
+
+    return run
+
+
+def _tile_links(tile: pa.RecordBatch, percent: int) -> tuple[list[int], list[int]]:
+    """Similar pairs that join the components of a tile: no more than join them."""
+    nodes = tile.column("node").to_numpy()
+    _, comps = np.unique(tile.column("comp").to_numpy(), return_inverse=True)
+    sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in tile.column("set")]
+    sizes = tile.column("size").to_numpy()
+    left: list[int] = []
+    right: list[int] = []
+    for i, rest in _partners(tile, percent):
+        rest = rest[comps[rest] != comps[i]]
         if len(rest):
             shared = shared_with(sets[i], [sets[j] for j in rest])
             for j in rest[100 * shared >= percent * (sizes[rest] + sizes[i] - shared)].tolist():
@@ -237,7 +262,8 @@ def _tiles(percent: int):
 def _across(buckets: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) between components whose classes share a bucket; stored."""
     placed = buckets.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp"))
-    sized = placed.join(sets.select("node", F.expr("length(set) div 8").alias("size")), "node")
+    signs = store(sets.select("node", F.expr("length(set) div 8").alias("size"), "sign"), "signs")
+    sized = placed.join(signs.select("node", "size"), "node")
     open_keys = sized.groupBy("key").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"),
         F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("size") / CHUNK_SHINGLES)).cast("int").alias("chunks"),
@@ -248,8 +274,15 @@ def _across(buckets: DataFrame, sets: DataFrame, roots: DataFrame, percent: int)
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
         "key", "node", "comp", "chunk", F.least("chunk", "other").alias("t1"), F.greatest("chunk", "other").alias("t2")
     )
-    tiles = dealt.join(sets, "node").repartition("key", "t1", "t2").sortWithinPartitions("key", "t1", "t2")
-    return store(tiles.select("key", "t1", "t2", "chunk", "node", "comp", "set", "sign").mapInArrow(_tiles(percent), "a long, b long").distinct(), "linked")
+
+    def tiles(members: DataFrame) -> DataFrame:
+        return members.repartition("key", "t1", "t2").sortWithinPartitions("key", "t1", "t2")
+
+    # Signatures first: only the sets of classes that may be linked are moved to their tiles.
+    kept = tiles(dealt.join(signs, "node")).mapInArrow(_candidates(percent), "key long, t1 int, t2 int, chunk int, node long, comp long")
+    full = store(kept, "candidates").join(sets.select("node", F.expr("length(set) div 8").alias("size"), "set", "sign"), "node")
+    found = tiles(full).select("key", "t1", "t2", "chunk", "node", "comp", "size", "set", "sign").mapInArrow(_tiles(percent), "a long, b long")
+    return store(found.distinct(), "linked")
 
 
 def _link_classes(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -261,18 +294,20 @@ def _link_classes(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFram
     return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(further))
 
 
-def _row(key: Column, text: Column) -> Column:
-    """Stands for a document: its id and text."""
-    return F.xxhash64(key, text)
+def _row(key: Column, text: Column) -> tuple[Column, Column]:
+    """Two hashes that together stand for a document: its id and text. The seed comes first, so that
+    they do not depend on each other."""
+    return F.xxhash64(F.lit(1), key, text), F.xxhash64(F.lit(2), key, text)
 
 
 def find_components(
     docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 4, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """(id, row, size, root, component): per row of the input its id, a hash of id and text, the size of
-    its set, a number of its component (null without words) and the component's smallest id."""
-    inputs = docs.select(F.col(key).cast("long").alias("id"), _row(F.col(key).cast("long"), F.col(text)).alias("row"), F.col(text).cast("binary").alias("text"))
-    sketched = store(inputs.mapInArrow(_sketches(width, bands, rows), "id long, row long, size long, digest binary, keys array<long>"), "sketches")
+    """(id, row, rest, size, root, component): per row of the input its id, two hashes of id and text, the
+    size of its set, a number of its component (null without words) and the component's smallest id."""
+    row, rest = _row(F.col(key).cast("long"), F.col(text))
+    inputs = docs.select(F.col(key).cast("long").alias("id"), row.alias("row"), rest.alias("rest"), F.col(text).cast("binary").alias("text"))
+    sketched = store(inputs.mapInArrow(_sketches(width, bands, rows), "id long, row long, rest long, size long, digest binary, keys array<long>"), "sketches")
     # The number of a class is fixed by the stored table, whatever task writes it.
     classes = store(
         sketched.where(F.col("digest").isNotNull()).groupBy("digest")
@@ -289,13 +324,13 @@ def find_components(
     # Rows that repeat an id and text give their set again.
     sets = sets.groupBy("node").agg(F.first("set").alias("set"), F.first("sign").alias("sign")) if _repeats(sets) else sets
     roots = _link_classes(buckets, sets, percent)
-    placed = sketched.select("id", "row", "size", "digest").join(classes.select("digest", "node"), "digest", "left")
+    placed = sketched.select("id", "row", "rest", "size", "digest").join(classes.select("digest", "node"), "digest", "left")
     placed = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = store(placed.select("id", "row", "size", "root"), "placed")
+    placed = store(placed.select("id", "row", "rest", "size", "root"), "placed")
     # Stored apart from the join with it, so that Spark can split the join at a large component.
     smallest = store(placed.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("id").alias("least")), "smallest")
     return placed.join(smallest, "root", "left").select(
-        "id", "row", "size", "root", F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component")
+        "id", "row", "rest", "size", "root", F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component")
     )
 
 
@@ -320,19 +355,23 @@ def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", width:
     """
     found = find_components(docs, text, key, width, percent)
     # Stored apart from the aggregates, so that Spark can split the join before them at a large component.
-    least = store(found.where(F.col("id").eqNullSafe(F.col("component"))).select("row", "root"), "least")
-    rivals = least.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("row").alias("first"), F.max("row").alias("last"))
-    rivals = store(rivals.where("first <> last").select("root", "first"), "rivals")
-    gone = found.where(~F.col("id").eqNullSafe(F.col("component"))).select("row")
-    gone = gone.union(least.join(rivals, "root").where(F.col("row") != F.col("first")).select("row"))
-    gone = gone.select(F.col("row").alias("_minhash_row")).distinct()
-    keyed = docs.withColumn("_minhash_key", _row(F.col(key).cast("long"), F.col(text)))
-    kept = keyed.join(gone, F.col("_minhash_key") == F.col("_minhash_row"), "left_anti")
-    copies = least.groupBy(F.col("row").alias("_minhash_row")).agg(F.count("*").alias("n")).where("n > 1").select("_minhash_row")
+    least = store(found.where(F.col("id").eqNullSafe(F.col("component"))).select("row", "rest", "root"), "least")
+    document = F.struct("row", "rest")
+    rivals = least.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(document).alias("first"), F.max(document).alias("last"))
+    rivals = store(rivals.where("first <> last").select("root", F.col("first.row").alias("r"), F.col("first.rest").alias("s")), "rivals")
+    gone = found.where(~F.col("id").eqNullSafe(F.col("component"))).select("row", "rest")
+    gone = gone.union(least.join(rivals, "root").where((F.col("row") != F.col("r")) | (F.col("rest") != F.col("s"))).select("row", "rest"))
+    names = [F.col("row").alias("_minhash_row"), F.col("rest").alias("_minhash_rest")]
+    gone = gone.select(*names).distinct()
+    row, rest = _row(F.col(key).cast("long"), F.col(text))
+    keyed = docs.withColumns({"_minhash_key": row, "_minhash_key_rest": rest})
+    same = (F.col("_minhash_key") == F.col("_minhash_row")) & (F.col("_minhash_key_rest") == F.col("_minhash_rest"))
+    kept = keyed.join(gone, same, "left_anti")
+    copies = least.groupBy(*names).agg(F.count("*").alias("n")).where("n > 1").select("_minhash_row", "_minhash_rest")
     copies = store(copies, "copies")
     if copies.isEmpty():
         return kept.select(*docs.columns)
     # Only the rows that are there more than once are moved to meet their copies.
-    single = kept.join(copies, F.col("_minhash_key") == F.col("_minhash_row"), "left_anti")
-    repeated = kept.join(copies, F.col("_minhash_key") == F.col("_minhash_row"), "left_semi").dropDuplicates(["_minhash_key"])
+    single = kept.join(copies, same, "left_anti")
+    repeated = kept.join(copies, same, "left_semi").dropDuplicates(["_minhash_key", "_minhash_key_rest"])
     return single.union(repeated).select(*docs.columns)
