@@ -14,8 +14,9 @@ then by offset, is kept and every other one is removed. Short parts of a line ar
 copies from chance: one goes only when its neighbours in the line, up to the next unit with a digest
 on both sides, go too. Removed spans keep their offsets in the original text, in characters.
 
-A whole line that repeats, of any length and sentence structure, is removed whole, and so is a
-paragraph, line by line; of a passage inside a line the first and last few words can stay, joined to
+A whole line that repeats, of any sentence structure, is removed whole, and so is a paragraph, line by
+line. Lines of one to three words are too common to be copies by themselves: they are compared, but go
+only when, with the lines next to them that go as well, at least LINE_WORDS words go. Of a passage inside a line the first and last few words can stay, joined to
 foreign ones. Null and empty texts have no units and come back as they are. Rows that repeat an id and
 its text are one document: their units keep or lose alike. Rows without an id rank last, by a hash of
 their text. Further columns are passed on. A unit that any number of documents share is one group of
@@ -38,6 +39,8 @@ from pyspark.sql import functions as F
 from postloom.session import store
 
 MIN_WORDS = 8
+# Repeated whole lines with fewer words go only where they are next to others that go.
+LINE_WORDS = 4
 # So many characters without spaces are as long as a word; runs of other scripts from LONG_RUN characters on.
 WORD_CHARS = 3
 LONG_RUN = 40
@@ -49,7 +52,7 @@ _WORDS = re.compile(rf"\n|([{_UNSPACED}])|[^\s{_UNSPACED}]+")
 _WITHOUT_SPACES = re.compile(rf"[{_UNSPACED}]")
 _SENTENCE_ENDS = frozenset(".!?。．！？｡")
 _PAUSES = frozenset(",;:，、；：､")
-_UNITS = "id long, row long, unit int, high long, low long"
+_UNITS = "id long, row long, rest long, unit int, high long, low long"
 
 
 def _length(found: re.Match[str]) -> int:
@@ -140,27 +143,30 @@ def digest(unit: str, min_words: int = MIN_WORDS) -> bytes | None:
 def _digests(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, rows, numbers, digests = [], [], [], []
-            for key, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            places, numbers, digests = [], [], []
+            for place, text in enumerate(batch.column("text")):
                 text = text.as_py()
                 for number, (start, end) in enumerate(cut(text, min_words) if text else ()):
                     found = digest(text[start:end], min_words)
                     if found is not None:
-                        ids.append(key)
-                        rows.append(row)
+                        places.append(place)
                         numbers.append(number)
                         digests.append(found)
             halves = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
+            of = [batch.column(c).take(pa.array(places, pa.int64())) for c in ("id", "row", "rest")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(numbers, pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1])],
-                names=["id", "row", "unit", "high", "low"],
+                [*of, pa.array(numbers, pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1])],
+                names=["id", "row", "rest", "unit", "high", "low"],
             )
 
     return run
 
 
 def removed_spans(text: str, gone: set[int], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """Spans of the removed units, and of the short ones that only have removed neighbours in their line."""
+    """Spans of the removed units, and of the short ones that only have removed neighbours in their line.
+
+    Runs of removed units that hold less than LINE_WORDS words together stay.
+    """
     units = cut(text, min_words)
     out = [number in gone for number in range(len(units))]
     line: list[int] = []
@@ -193,7 +199,8 @@ def removed_spans(text: str, gone: set[int], min_words: int = MIN_WORDS) -> list
             spans[-1] = (spans[-1][0], end)
         elif removed:
             spans.append((start, end))
-    return spans
+    least = min(LINE_WORDS, min_words) * WORD_CHARS
+    return [(start, end) for start, end in spans if end - start > 400 or _size(text[start:end], text[start:end].split()) >= least]
 
 
 def _without(min_words: int):
@@ -217,37 +224,41 @@ def _without(min_words: int):
     return run
 
 
-def _row(key: Column, text: Column) -> Column:
-    """Stands for a document: its id and text."""
-    return F.xxhash64(key, text)
+def _row(key: Column, text: Column) -> tuple[Column, Column]:
+    """Two hashes that together stand for a document: its id and text. The seed comes first, so that
+    they do not depend on each other."""
+    return F.xxhash64(F.lit(1), key, text), F.xxhash64(F.lit(2), key, text)
 
 
 def repeated_units(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """Per document (`row`) the numbers of the units to remove (`gone`)."""
-    rows = docs.select(F.col(key).cast("long").alias("id"), _row(F.col(key), F.col(text)).alias("row"), F.col(text).alias("text"))
+    """Per document (`row`, `rest`) the numbers of the units to remove (`gone`)."""
+    row, rest = _row(F.col(key), F.col(text))
+    rows = docs.select(F.col(key).cast("long").alias("id"), row.alias("row"), rest.alias("rest"), F.col(text).alias("text"))
     units = store(rows.where(F.length("text") > 0).mapInArrow(_digests(min_words), _UNITS), "units")
-    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "row", "unit")
+    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "row", "rest", "unit")
     firsts = (
         units.groupBy("high", "low").agg(F.min(place).alias("first"), F.count("*").alias("times"))
         .where(F.col("times") > 1)
-        .select(F.col("high").alias("h"), F.col("low").alias("l"), F.col("first.row").alias("first_row"), F.col("first.unit").alias("first_unit"))
+        .select(F.col("high").alias("h"), F.col("low").alias("l"), F.col("first.row").alias("first_row"), F.col("first.rest").alias("first_rest"), F.col("first.unit").alias("first_unit"))
     )
     # Stored apart from the join with it, so that Spark can split the join at a unit that very many share.
     firsts = store(firsts, "firsts")
     again = units.join(firsts, (units["high"] == firsts["h"]) & (units["low"] == firsts["l"])).where(
-        (F.col("row") != F.col("first_row")) | (F.col("unit") != F.col("first_unit"))
+        (F.col("row") != F.col("first_row")) | (F.col("rest") != F.col("first_rest")) | (F.col("unit") != F.col("first_unit"))
     )
     # Stored apart from the next aggregate for the same reason.
-    again = store(again.select("row", "unit"), "repeats")
+    again = store(again.select("row", "rest", "unit"), "repeats")
     # Rows that repeat a document give its units again; a set holds each once.
-    return again.groupBy("row").agg(F.collect_set("unit").alias("gone"))
+    return again.groupBy("row", "rest").agg(F.collect_set("unit").alias("gone"))
 
 
 def _cut_texts(docs: DataFrame, text: str, key: str, min_words: int) -> DataFrame:
     """The documents with `_line_cut`: the text without repeats, and the spans removed."""
-    gone = repeated_units(docs, text, key, min_words).select(F.col("row").alias("_line_row"), F.col("gone").alias("_line_gone"))
-    keyed = docs.withColumn("_line_key", _row(F.col(key), F.col(text)))
-    joined = keyed.join(gone, F.col("_line_key") == F.col("_line_row"), "left")
+    gone = repeated_units(docs, text, key, min_words)
+    gone = gone.select(F.col("row").alias("_line_row"), F.col("rest").alias("_line_rest"), F.col("gone").alias("_line_gone"))
+    row, rest = _row(F.col(key), F.col(text))
+    keyed = docs.withColumns({"_line_key": row, "_line_key_rest": rest})
+    joined = keyed.join(gone, (F.col("_line_key") == F.col("_line_row")) & (F.col("_line_key_rest") == F.col("_line_rest")), "left")
     return joined.withColumn("_line_cut", _without(min_words)(F.col(text), F.col("_line_gone")))
 
 

@@ -113,11 +113,22 @@ def test_repeated_lines_of_short_sentences_and_short_lines_go_whole(documents):
     rows = [(i, f"foreign words {i}\n" + "\n".join(repeated) + f"\nlast words {i}\nThe end", "en", "s") for i in range(5)]
     rows += [(10, "Well. home | about | CONTACT", "en", "s"), (11, "The end", "en", "s")]
     found = {r["doc_id"]: r["text"] for r in lines.deduplicate(documents(rows)).collect()}
-    assert found[0] == rows[0][1] and found[11] == ""
-    assert all(found[i] == f"foreign words {i}\nlast words {i}\n" for i in range(1, 5))
+    assert found[0] == rows[0][1]
+    # Two words by themselves are no copy; next to lines that go they go too.
+    assert found[11] == "The end"
+    assert all(found[i] == f"foreign words {i}\nlast words {i}\nThe end" for i in range(1, 5))
     assert found[10] == rows[5][1]  # a short part of a line is no line
 
 
+def test_short_lines_go_with_their_neighbours():
+    text = "Of.\nthe whole line of four\nOf.\nto stay here\nOf.\nAnd.\nyes\nno\nx y z\n"
+    units = [text[a:b] for a, b in lines.cut(text)]
+    gone = {n for n, u in enumerate(units) if u not in ("to stay here\n", "x y z\n")}
+    spans = [text[a:b] for a, b in lines.removed_spans(text, gone)]
+    assert spans == ["Of.\nthe whole line of four\nOf.\n", "Of.\nAnd.\nyes\nno\n"]
+    assert lines.removed_spans(text, {2}) == [] and lines.removed_spans(text, {4, 5, 6}) == []
+
+
 def test_passages_of_short_sentences_inside_lines_go(documents):
     passage = " ".join(f"Short one {i}." for i in range(20))
     rows = [(i, f"Foreign start number {i} goes before the passage of this test. {passage} Other end {i}.", "en", "s") for i in range(4)]
