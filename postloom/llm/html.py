@@ -21,7 +21,7 @@ from __future__ import annotations
 import html as references
 import random
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -47,7 +47,7 @@ TABLES = frozenset("table thead tbody tfoot tr td th caption".split())
 PLAIN = frozenset("div section center figure figcaption details summary fieldset hr address html body hgroup".split())
 MAIN = frozenset("article main".split())
 ASIDE = frozenset("nav aside header footer form menu dialog button select option label legend".split())
-SKIPPED = frozenset("script style noscript template iframe svg head title textarea object canvas math audio video".split())
+SKIPPED = frozenset("script style noscript template iframe svg head title textarea".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTROLS = frozenset("input button select textarea option".split())
 # Words in class, id and role.
@@ -59,18 +59,23 @@ BAD_WORDS = frozenset(
     "skip skyscraper social sponsor sponsored sponsors subscribe subscription taboola tags teaser toolbar topbar warning widget".split()
 )
 GOOD_WORDS = frozenset("article articlebody body content entry main maincontent page post prose story text".split())
+# Words that turn the next one round ("no-sidebar"), and the one before ("ad-free").
+WITHOUT, FREE = frozenset("no non not without has with hide".split()), frozenset("free less".split())
 
 _BLOCKS = HEADINGS | PROSE | LISTS | TABLES | PLAIN | MAIN | ASIDE
-_GROUPS = (HEADINGS, PROSE, LISTS, TABLES, PLAIN, MAIN, ASIDE)
+_GROUPS = (frozenset({"h1"}), HEADINGS - {"h1"}, PROSE, LISTS, TABLES, PLAIN, MAIN, ASIDE)
 # What a start tag ends when it is still open, and what it cannot reach beyond.
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}),
     "option": ({"option"}, {"select"}),
 }
-_TAG = re.compile(r"<(?:!--(?:.*?-->|.*)|([!?])[^>]*>|(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)(?:>|\Z))", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)(?:>|\Z)", re.S)
+# Characters of a tag that are read at first; beyond them, a tag whose quotes do not close is read once.
+_TAG_LENGTH, _SHORT_TAG = 1 << 14, 1 << 8
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in SKIPPED}
 
 
@@ -89,11 +94,16 @@ class Node:
 
 
 def words_of(attributes: str) -> tuple[int, int]:
-    """Good and bad words in class, id and role."""
+    """Good and bad words in class, id and role; "ad-free" and "no-sidebar" hold none."""
     if "=" not in attributes:
         return 0, 0
-    tokens = {t.lower() for found in _NAMED.findall(attributes) for t in _TOKEN.findall(" ".join(found))}
-    return len(tokens & GOOD_WORDS), len(tokens & BAD_WORDS)
+    found: set[str] = set()
+    for name in " ".join(" ".join(x) for x in _NAMED.findall(attributes)).split():
+        tokens = [t.lower() for t in _TOKEN.findall(name)]
+        for before, token, after in zip(["", *tokens], tokens, [*tokens[1:], ""]):
+            if before not in WITHOUT and after not in FREE:
+                found.add(token)
+    return len(found & GOOD_WORDS), len(found & BAD_WORDS)
 
 
 def parse(page: str) -> list[Node]:
@@ -102,6 +112,10 @@ def parse(page: str) -> list[Node]:
     stack = [0]
     pieces: list[str] = []
     linked = links = 0
+    places: dict[str, list[int]] = {}  # of the open elements of each name in the stack
+    endless: set[str] = set()  # elements to skip whose end tag is not in the rest of the page
+    broken = False
+    size, bracket = len(page), -1  # bracket: the next ">", once looked for
 
     def end_run() -> None:
         nonlocal linked, links
@@ -117,18 +131,39 @@ def parse(page: str) -> list[Node]:
         nodes[node.parent].children.append(len(nodes) - 1)
         return len(nodes) - 1
 
-    def close(names: set[str] | frozenset[str], beyond: set[str] | frozenset[str] = frozenset()) -> None:
-        """Close the innermost open element of these names, and all inside it."""
-        for at in range(len(stack) - 1, 0, -1):
-            tag = nodes[stack[at]].tag
-            if tag in names:
-                end_run()
-                del stack[at:]
-                return
-            if tag in beyond:
-                return
-
-    at, size = 0, len(page)
+    def close_from(at: int) -> None:
+        """Close the open element at this place of the stack, and all inside it."""
+        end_run()
+        for i in stack[at:]:
+            places[nodes[i].tag].pop()
+        del stack[at:]
+
+    def innermost(names: Iterable[str]) -> int:
+        """The place of the innermost open element of these names; 0 without any."""
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
+    def close(names: Iterable[str], beyond: Iterable[str] = ()) -> None:
+        """Close the innermost open element of these names, unless one of `beyond` is inside it."""
+        at = innermost(names)
+        if at and at > innermost(beyond):
+            close_from(at)
+
+    def read_tag(start: int) -> re.Match[str] | None:
+        """The tag at `start`. One that is long, or seems so as its quotes do not close, is read as a whole,
+        until that fails once: then quotes mean nothing in the page's longer tags."""
+        nonlocal broken
+        end = start + (_SHORT_TAG if broken else _TAG_LENGTH)
+        found = _TAG.match(page, start, end)
+        if found is None or end >= size:
+            return found
+        odd = found[3].count('"') % 2 or found[3].count("'") % 2
+        if found.end() == end or odd:
+            whole = _TAG.match(page, start) if not broken else _PLAIN_TAG.match(page, start)
+            broken = broken or bool(odd) and whole is not None and whole.end() == found.end()
+            return whole
+        return found
+
+    at = 0
     while at < size:
         start = page.find("<", at)
         if start < 0:
@@ -140,19 +175,28 @@ def parse(page: str) -> list[Node]:
                 linked += len(piece)
         if start == size:
             break
-        found = _TAG.match(page, start)
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = size if end < 0 else end + 3
+            continue
+        if page.startswith(("<!", "<?"), start):
+            if bracket < start:
+                bracket = page.find(">", start)
+                bracket = size if bracket < 0 else bracket
+            if bracket == size:
+                pieces.append("<")
+            at = start + 1 if bracket == size else bracket + 1
+            continue
+        found = read_tag(start)
         if not found:
             pieces.append("<")
             at = start + 1
             continue
         at = found.end()
-        name = found[3]
-        if not name:
-            continue
-        name = name.lower()
-        if found[2]:
+        name = found[2].lower()
+        if found[1]:
             if name in _BLOCKS:
-                close({name}, frozenset() if name not in ("p", "li") else MAIN)
+                close((name,), () if name not in ("p", "li") else MAIN)
                 links = 0
             elif name == "a":
                 links = 0
@@ -161,7 +205,9 @@ def parse(page: str) -> list[Node]:
         if name in CONTROLS:
             nodes[stack[-1]].controls += 1
         if name in SKIPPED:
-            end = _RAW_END[name].search(page, at) if not found[4].endswith("/") else None
+            end = _RAW_END[name].search(page, at) if not found[3].endswith("/") and name not in endless else None
+            if end is None and not found[3].endswith("/"):
+                endless.add(name)
             at = end.end() if end else (size if name in ("script", "style") else at)
             pieces.append(" ")
         elif name in _BLOCKS:
@@ -169,9 +215,11 @@ def parse(page: str) -> list[Node]:
             links = 0
             if name in _ENDS:
                 close(*_ENDS[name])
-            close({"p"}, _BLOCKS - {"p"})
+            if nodes[stack[-1]].tag == "p":
+                close_from(len(stack) - 1)
             if name not in VOID:
-                good, bad = words_of(found[4])
+                good, bad = words_of(found[3])
+                places.setdefault(name, []).append(len(stack))
                 stack.append(add(Node(name, stack[-1], nodes[stack[-1]].depth + 1, good, bad)))
         elif name == "br":
             pieces.append(" ")
@@ -181,7 +229,6 @@ def parse(page: str) -> list[Node]:
     return nodes
 
 
-N_FEATURES = 29
 _MARK = re.compile(r"[.!?…。]")
 
 
@@ -229,7 +276,7 @@ def features(nodes: list[Node]) -> np.ndarray:
     return np.column_stack([
         np.log1p(chars), linked / text, np.log1p(tags), np.log1p(chars / (tags + 1)), np.log1p(chars / np.maximum(runs, 1)), np.log1p(controls),
         100 * marks / text, np.minimum([node.depth for node in nodes], 30), index / siblings, np.log1p(siblings), alike, before / total,
-        chars / total, np.minimum(own, 3), np.minimum(above, 3), group,
+        chars / total, np.minimum(own, 3), np.minimum(above, 3), group, np.full(n, own[:, 2].any()),
     ])
 
 
@@ -266,8 +313,10 @@ def layouts(nodes: list[Node], count: int, seed: int) -> Iterator[str]:
     longs = [t for t in rest if len(t) >= 60] or [body[-1][0][:200]]
 
     def links(low: int, high: int) -> str:
-        items = [f'<li><a href="/x">{_escape(draw.choice(shorts)[:40])}</a></li>' for _ in range(draw.randint(low, high))]
-        return "<ul>" + "".join(items) + "</ul>"
+        items = [f'<a href="/x">{_escape(draw.choice(shorts)[:40])}</a>' for _ in range(draw.randint(low, high))]
+        if draw.random() < 0.3:
+            return draw.choice([" ", " | ", "<br>"]).join(items)
+        return "<ul>" + "".join(f"<li>{item}</li>" for item in items) + "</ul>"
 
     def prose(most: int) -> str:
         """Words as in the article, where only the place and the names tell them apart."""
@@ -280,7 +329,7 @@ def layouts(nodes: list[Node], count: int, seed: int) -> Iterator[str]:
         return f"<{tag}{name}>{content}</{tag}>"
 
     def menu() -> str:
-        return wrapped(links(3, 9), "nav", "div.menu", "div#navigation", "ul.navbar", "div.main-nav", "nav.breadcrumbs")
+        return wrapped(links(3, 9), "nav", "div.menu", "div#navigation", "ul.navbar", "div.main-nav", "nav.breadcrumbs", "div", "div")
 
     def head() -> str:
         return wrapped(f"<p>{_escape(draw.choice(shorts))}</p>" + (links(2, 5) if draw.random() < 0.5 else ""), "header", "div.header", "div#masthead", "div.topbar")
@@ -300,6 +349,11 @@ def layouts(nodes: list[Node], count: int, seed: int) -> Iterator[str]:
     def form() -> str:
         return wrapped(f"<label>{_escape(draw.choice(shorts))}</label><input name=q><p>{_escape(draw.choice(longs))}</p><button>Go</button>", "form", "form.search", "form#newsletter", "div.subscribe-form")
 
+    def plain_comments() -> str:
+        """Comments that no name tells apart, only that they follow the article element."""
+        each = "".join(f"<div>{wrapped(_escape(draw.choice(shorts)[:20]), 'p', 'div', 'b')}{prose(2)}</div>" for _ in range(draw.randint(1, 4)))
+        return wrapped(f"<h2>{_escape(draw.choice(shorts)[:20])}</h2>" + each, "div", "section")
+
     def comments() -> str:
         each = "".join(wrapped(f"<p>{_escape(draw.choice(shorts)[:20])}</p>" + prose(2), "div.comment", "li.comment", "div.reply") for _ in range(draw.randint(1, 5)))
         return wrapped(f"<h3>{_escape(draw.choice(shorts)[:20])}</h3>" + each, "section.comments", "div#comments", "div.discussion", "ol.comment-list", "section#responses")
@@ -317,6 +371,8 @@ def layouts(nodes: list[Node], count: int, seed: int) -> Iterator[str]:
         if draw.random() < 0.3:
             article = wrapped(article + (comments() if draw.random() < 0.3 else ""), "main", "div.page", "div", "div#content", "section")
         above = [make() for make in (head, menu, notice, advert) if draw.random() < 0.6]
+        if article.startswith(("<article", "<main")) and draw.random() < 0.25:
+            article += plain_comments()
         below = [make() for make in (side, comments, advert, form, menu, notice) if draw.random() < 0.45] + ([foot()] if draw.random() < 0.9 else [])
         draw.shuffle(above)
         inner_page = "".join([*above, article, *below])

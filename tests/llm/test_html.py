@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -107,3 +108,33 @@ def test_odd_rows(shipped):
     assert len(found) == 5
     assert all(r["text"] == "" and r["n_chars"] == 0 for r in found if r["page_id"] in (1, 2))
     assert html.extract(pages.where("false")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 100_000 + "</section>" * 100_000, "<svg>" * 200_000, "<p>x" + "</li>" * 200_000, "<li><main>" + "<div>" * 50_000 + "</li>" * 50_000,
+        '<a ">" ' * 200_000 + '"', "<!x " * 300_000, "<!-- " * 200_000, "<ul><li>" * 100_000, "<td>" * 200_000, "<p " * 300_000, "</svg" * 200_000 + "<svg>" * 10_000,
+        "<img alt='" + "a > b " * 100_000 + "'>after", '<b x="' * 200_000,
+    ],
+    ids=range(13),
+)
+def test_parsing_takes_time_in_proportion(page):
+    start = time.perf_counter()
+    nodes = html.parse(page)
+    assert time.perf_counter() - start < 10
+    if page.endswith("after"):
+        assert [node.text for node in nodes if node.text] == ["after"]
+
+
+def test_names_menus_and_comments_of_another_make(forest):
+    page = """<html><body><div><a href=a>Home</a> <a href=b>News</a></div><article><h1>The title of it</h1>
+    <p>One paragraph of the text is here. It has two sentences.</p><div class="ad-free-article"><p>Another paragraph of the text, which is as long. And it has more.</p></div>
+    <p>By the way: <math><mi>x</mi> = 2</math> and <object>a fallback text</object> stay.</p></article>
+    <div><h2>Reader says</h2><div><p>I liked this article very much. Thanks a lot for it!</p></div></div><div><a href=c>More</a></div></body></html>"""
+    assert text_of(forest, page) == (
+        "The title of it\nOne paragraph of the text is here. It has two sentences.\n"
+        "Another paragraph of the text, which is as long. And it has more.\nBy the way: x = 2 and a fallback text stay."
+    )
+    assert html.words_of(' class="ad-free-article no-sidebar"') == (1, 0)
+    assert html.words_of(" id=main-content class='side-bar'") == (2, 2)
