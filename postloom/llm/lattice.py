@@ -11,7 +11,7 @@ into tiles, pairs of chunks of at most about CHUNK classes, so a cell of any siz
 tasks. A tile gives one row per class: its links counted, and a representative of its group there.
 A pair that shares several cells is counted in the one with the smallest key.
 
-Rows with a null label, and vectors that are null, empty, zero or hold null or non-finite numbers,
+Labels of any type are compared as they are. Rows with a null label, and vectors that are null, empty, zero or hold null or non-finite numbers,
 have no links and are their own component. Vectors of different lengths are never compared. Rows
 that repeat an id, its label and vector are one vector; a null id takes part, and a component's id is
 its smallest id that is not null. An empty table gives an empty result.
@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postloom.llm.common import grouped, mix64
 from postloom.llm.graph import components
@@ -241,11 +242,22 @@ def _tiles(min_cosine: float):
     return run
 
 
+def _with_numbers(rows: DataFrame) -> DataFrame:
+    """`rows` with a whole number for each label: whole labels as they are, others by a stored list of them."""
+    if isinstance(rows.schema["label"].dataType, T.IntegralType):
+        return rows.withColumn("label", F.col("label").cast("long"))
+    labels = store(rows.select(F.col("label").alias("named")).where("named IS NOT NULL").distinct(), "labels")
+    numbered = store(labels.withColumn("number", F.monotonically_increasing_id()), "label-numbers")
+    return rows.join(numbered, F.col("label") == F.col("named"), "left").select("vec_id", F.col("number").alias("label"), "embedding")
+
+
 def link(vectors: DataFrame, embedding: str = "embedding", label: str = "label", key: str = "vec_id", min_cosine: float = MIN_COSINE) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row."""
-    rows = vectors.select(F.col(key).alias("vec_id"), F.col(label).cast("long").alias("label"), F.col(embedding).cast("array<double>").alias("embedding"))
+    rows = vectors.select(F.col(key).alias("vec_id"), F.col(label).alias("label"), F.col(embedding).cast("array<double>").alias("embedding"))
+    rows = _with_numbers(rows)
     fit = F.col("label").isNotNull() & usable(F.col("embedding"))
-    digest = F.unhex(F.concat(*[F.lpad(F.hex(F.xxhash64("label", "embedding", F.lit(s))), 16, "0") for s in (1, 2)]))
+    # The seed comes first, so that the two hashes do not depend on each other.
+    digest = F.unhex(F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(s), "label", "embedding")), 16, "0") for s in (1, 2)]))
     named = store(rows.select("vec_id", "label", "embedding", F.when(fit, digest).alias("cls")), "vectors")
     members = named.where(F.col("cls").isNotNull()).select("vec_id", "cls").distinct()
     classes = members.groupBy("cls").agg(F.count("*").alias("copies")).join(
