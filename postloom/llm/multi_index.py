@@ -11,9 +11,9 @@ All entries of visited cells are reranked by their exact inner product in double
 No list is cut: cells with many entries, or many queries, are dealt over tasks in blocks. Queries and
 entries meet by first centroid.
 
-Vectors that are null, empty, zero or hold null or non-finite numbers, rows without an id, and
-vectors of another length than the most common one (the longer at a tie) take no part. Rows that
-repeat an id count once, with the smallest of their vectors. A query's own id is never its neighbour;
+Vectors are compared with those of their own length; each length that LEAST_INDEXED rows have gets its
+own index, and vectors of rarer lengths are compared with all of theirs. Vectors that are null, empty,
+zero or hold null or non-finite numbers, and rows without an id, take no part. Rows that repeat an id count once, with the smallest of their vectors. A query's own id is never its neighbour;
 ties go to the smaller id; with fewer candidates than k a query gets all that there are.
 """
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -41,6 +42,9 @@ REACH = 3.3
 # Sizes of the blocks that meet in one task.
 ROWS_PER_BLOCK = 8_192
 QUERIES_PER_BLOCK = 2_048
+QUERIES_PER_TASK = 4_096
+# Vectors of a length that fewer have are all compared.
+LEAST_INDEXED = 256
 _NEAR = 1e-9  # more than a matrix product can differ from a plain sum, for vectors of about unit length
 
 
@@ -103,7 +107,7 @@ def build(rows: DataFrame) -> tuple[DataFrame, Codebook, np.ndarray, np.ndarray,
     """
     k = centroids_for(rows.count())
     picked = hash_sample(rows.withColumn("all", F.lit(0)), "all", ["vec_id"], SAMPLED_VECTORS).orderBy("vec_id")
-    sample = np.array([r["vector"] for r in picked.select("vector").collect()], dtype=np.float64)
+    sample = np.array(picked.select("vector").toArrow().column("vector").to_pylist(), dtype=np.float64)
     cut = (sample.shape[1] + 1) // 2
     book = Codebook(learn_centroids(sample[:, :cut], k), learn_centroids(sample[:, cut:], k))
 
@@ -201,12 +205,10 @@ def _rerank(k: int):
 
 def _leg(queries: DataFrame, entries: DataFrame, visits, row_blocks: list[int], k: int) -> DataFrame:
     """The k best entries per query and block, over the cells that one leg visits."""
-    wanted = store(
-        queries.select("query_id", "vector", "floor").mapInPandas(
-            visits, "query_id long, vector array<double>, floor double, i int, js array<int>"
-        ),
-        "visits",
-    )
+    # So many parts that all cores search, and none for long.
+    parts = max(2 * queries.sparkSession.sparkContext.defaultParallelism, -(-queries.count() // QUERIES_PER_TASK))
+    spread = queries.select("query_id", "vector", "floor").repartition(parts, "query_id")
+    wanted = store(spread.mapInPandas(visits, "query_id long, vector array<double>, floor double, i int, js array<int>"), "visits")
     # Blocks per first centroid: one number for each of at most MOST_CENTROIDS of them.
     per_list = {r["i"]: r["n"] for r in wanted.groupBy("i").agg(F.count("*").alias("n")).collect()}
     query_blocks = [-(-per_list.get(i, 0) // QUERIES_PER_BLOCK) or 1 for i in range(len(row_blocks))]
@@ -232,6 +234,15 @@ def _top(found: DataFrame, k: int) -> DataFrame:
     return found.where(F.col("rank") <= k)
 
 
+def _search_all(rows: DataFrame, queries: Column, k: int) -> DataFrame:
+    """The k best for each query by a comparison with every row of its length; for lengths of few rows."""
+    asked = rows.where(queries).select(F.col("vec_id").alias("query_id"), "vector", F.lit(float("nan")).alias("floor"), F.size("vector").alias("of"))
+    asked = asked.withColumn("js", F.array(F.lit(0)))
+    held = rows.select("vec_id", "vector", F.size("vector").alias("size"), F.lit(0).alias("j"))
+    found = asked.groupBy("of").cogroup(held.groupBy("size")).applyInPandas(_rerank(k), "query_id long, vec_id long, score double")
+    return _top(found, k).select("query_id", "rank", "vec_id", "score")
+
+
 def search(
     vectors: DataFrame, queries: Column, k: int = 20, embedding: str = "embedding", key: str = "vec_id",
     first_entries: int = FIRST_ENTRIES, reach: float = REACH,
@@ -240,13 +251,18 @@ def search(
     on the column `vec_id`, selects."""
     rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("vector"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
-    rows = rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    lengths = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.col("count").desc(), F.col("size").desc()).first()
-    if lengths is None:
-        return rows.select(
-            F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")
-        ).where(F.lit(False))
-    rows = store(rows.where(F.size("vector") == lengths["size"]), "indexed")
+    rows = store(rows.groupBy("vec_id").agg(F.min("vector").alias("vector")), "indexed")
+    # A row per length; those with an index of their own have LEAST_INDEXED rows or more.
+    lengths = {r["size"]: r["n"] for r in rows.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n")).collect()}
+    large = sorted(size for size, n in lengths.items() if n >= LEAST_INDEXED)
+    found = [_search_length(rows if len(lengths) == 1 else rows.where(F.size("vector") == size), queries, k, first_entries, reach) for size in large]
+    if len(large) < len(lengths) or not lengths:
+        found.append(_search_all(rows.where(~F.size("vector").isin(large)), queries, k))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _search_length(rows: DataFrame, queries: Column, k: int, first_entries: int, reach: float) -> DataFrame:
+    """The search among vectors of one length."""
     entries, book, counts, spread_i, spread_j = build(rows)
     row_blocks = [-(-int(n) // ROWS_PER_BLOCK) or 1 for n in counts.sum(axis=1)]
     visits = _visits(book, counts, spread_i, spread_j, max(first_entries, 4 * k), reach)

@@ -177,3 +177,31 @@ def test_pairs_come_by_sum():
     found = list(multi_index.pairs_by_sum(a, b))
     assert sorted((i, j) for _, i, j in found) == [(i, j) for i in range(9) for j in range(7)]
     assert [s for s, _, _ in found] == sorted((s for s, _, _ in found), reverse=True)
+
+
+def test_labels_of_any_type(shipped):
+    v = [1.0, 2.0, 3.0, 4.0]
+    for labels, kind in (([1.2, 1.7, 1.2, None, float("nan"), float("nan")], "double"), (["a", "b", "a", None, "", ""], "string")):
+        rows = [(i, v, label) for i, label in enumerate(labels)]
+        found = lattice.link(shipped.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")).collect()
+        assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == {0: (1, 0), 1: (0, 1), 2: (1, 0), 3: (0, 3), 4: (1, 4), 5: (1, 4)}
+
+
+def test_search_among_every_length(shipped, monkeypatch):
+    """Lengths with an index of their own and rarer ones: each vector finds those of its length."""
+    draw = np.random.default_rng(6)
+    sizes = [8] * 400 + [5] * 300 + [3] * 40 + [1] * 3
+    rows = [(i, draw.normal(size=n).tolist()) for i, n in enumerate(sizes)]
+    found = multi_index.search(shipped.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 10 == 0, k=7).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    hits = total = 0
+    for i, v in rows[::10]:
+        scores = sorted((-float(np.dot(v, w)), j) for j, w in rows if j != i and len(w) == len(v))[:7]
+        hits += len({j for _, j in scores} & set(got.get(i, [])))
+        total += len(scores)
+        assert len(got.get(i, [])) == len(scores)
+        if len(v) < 5:
+            assert got[i] == [j for _, j in scores]
+    assert hits >= 0.97 * total
