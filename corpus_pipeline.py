@@ -6,12 +6,14 @@ as Parquet and read again. All stages but the last return the columns of `docume
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.llm import language, lines, minhash, mixing, pieces
 from postloom.llm.common import ship_code, table
-from postloom.session import store
+from postloom.session import delete, scratch, shared_folder
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -61,7 +63,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
+    """The rows of the last stage. Of the tables the stages store only the last stage's input stays."""
+    docs, before = table(spark, folder, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, folder), f"stage-{name}")
+        path = f"{shared_folder(spark)}/stage-{name}-{uuid4().hex}"
+        with scratch(spark):
+            kept = stage(spark, docs, folder)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, folder)
