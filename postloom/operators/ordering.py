@@ -32,9 +32,12 @@ def running_totals(df: DataFrame, order: list[str], weights: dict[str, str]) ->
     """Add one column per weight, an SQL expression: its sum over all rows that come earlier in `order`.
 
     Parts in order are summed on their own; only the sums, one row per part, meet in one window.
-    The parts are stored, so that both steps see the same ones.
+    The parts are stored, so that both steps see the same ones. Rows of equal order come one after the
+    other, as their numbers say, so that any number of them is spread over parts as well.
     """
-    parts = store(range_parts(df.selectExpr("*", *[f"bigint({w}) AS _{n}" for n, w in weights.items()]), order), "parts")
+    weighed = df.selectExpr("*", *[f"bigint({w}) AS _{n}" for n, w in weights.items()], "monotonically_increasing_id() AS _tie")
+    order = [*order, "_tie"]
+    parts = store(range_parts(weighed, order), "parts")
     earlier = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     offsets = (
         parts.groupBy("part")

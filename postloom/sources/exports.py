@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from postloom.functions.text import known, to_long
 from postloom.schemas import POSTS, TOPICS, USER_ACTION, USERS
 from postloom.session import settings
+from postloom.sources.records import records
 
 CSV_OPTIONS = {"header": "true", "sep": ",", "encoding": "UTF-8", "escape": '"'}
 _END = "\u0001"
@@ -100,9 +101,12 @@ def _checked(spark: SparkSession, files: list[str], names: tuple[str, ...], mult
     when the line is too long.
     """
     schema = ", ".join(f"`{n}` string" for n in [*names, "_marked"])
-    df = spark.read.options(
-        **CSV_OPTIONS, multiLine=multiline, mode="PERMISSIVE", columnNameOfCorruptRecord="_marked"
-    ).schema(schema).csv(files)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_marked"}
+    if multiline:
+        parsed = F.from_csv("record", F.lit(schema), {"escape": '"', "multiLine": "true", **options})
+        df = records(spark, files).select(parsed.alias("_parsed")).select("_parsed.*")
+    else:
+        df = spark.read.options(**CSV_OPTIONS, **options).schema(schema).csv(files)
     wider = ", ".join(f"f{i} string" for i in range(len(names) + 1))
     again = F.from_csv(F.concat("_marked", F.lit("," + _END)), F.lit(wider), {"escape": '"', "multiLine": "true"})
     fits = F.array_contains(F.array(*[again[f"f{i}"] for i in range(len(names) + 1)]), _END)
@@ -145,8 +149,8 @@ def read_export(
 
 
 def read_user_action(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """The event log; a line with too many fields raises. Set `multiline=False` when no cell holds a
-    line break: Spark can then split large files, which it cannot do otherwise."""
+    """The event log; a line with too many fields raises. Cells may hold line breaks, and large files are
+    split all the same; `multiline=False`, where no cell does, saves the passes that takes."""
     return read_export(spark, path, USER_ACTION, True, multiline)
 
 

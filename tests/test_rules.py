@@ -382,3 +382,21 @@ def test_cohort_by_bins_is_the_cohort_by_order(spark):
             assert sorted(r[0] for r in got.collect()) == sorted(r[0] for r in want.collect())
     with pytest.raises(ValueError):
         drawn_users(events, 951, 19, 3, strict=True)
+
+
+def test_running_totals_of_equal_rows(spark):
+    """Rows of one order value are spread over parts and each has a position of its own."""
+    from postloom.operators import ordering
+
+    rows = spark.range(3_000).selectExpr("if(id < 2500, 7, id % 5) AS x", "id AS v")
+    placed = running_totals(rows, ["x"], {"place": "1"})
+    found = placed.collect()
+    assert placed.columns == ["x", "v", "place"] and sorted(r["place"] for r in found) == list(range(3_000))
+    assert [r["x"] for r in sorted(found, key=lambda r: r["place"])] == sorted(r["x"] for r in found)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = ordering.range_parts(rows.selectExpr("*", "monotonically_increasing_id() AS t"), ["x", "t"])
+        sizes = [r["count"] for r in parts.groupBy("part").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(sizes) < 1_500
