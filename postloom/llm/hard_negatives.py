@@ -6,8 +6,8 @@ equal size, whatever values repeat. Inside a page the recursion goes on over fur
 to leaves of LEAF rows. Every node has the box of its rows, and a box gives each coordinate's product
 with an anchor an interval, and so the score as a whole.
 
-An anchor meets the boxes of all pages first, in blocks, and then only the pages that can matter to it.
-In a page a best-first queue opens nodes by their highest possible score within a window; nodes outside
+An anchor meets the boxes of all pages first, in blocks, and then only the pages that can matter to it,
+some at a time. Over these a best-first queue opens nodes by their highest possible score within a window; nodes outside
 the window, or strictly below the k-th best so far, are never opened. All pruning is exact: the result
 is that of a comparison with every row. Positives are a search among the anchor's own label without a
 window, that starts in the anchor's own page; negatives one among the other labels with one window for
@@ -41,7 +41,9 @@ MOST = 1 << 24  # components are held between -MOST and MOST
 PAGE_NUMBERS = 1 << 17  # numbers in a page: 2,048 vectors of 64
 LEAF = 32
 FANOUT = 16
-ANCHORS_PER_BLOCK = 1_024
+# Anchors, pages and their boxes that meet in one task.
+ANCHORS_PER_BLOCK = 4_096
+PAGES_PER_GROUP, GROUPS_PER_CORE = 16, 4
 PAGES_PER_BLOCK = 2_048
 _EXACT = float(1 << 53)
 
@@ -79,27 +81,35 @@ def str_order(vectors: np.ndarray, ids: np.ndarray, leaf: int = LEAF) -> np.ndar
 
 
 class Tree:
-    """The R-tree of one page: leaves are runs of LEAF rows, nodes runs of FANOUT below them."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
-        starts = np.arange(0, len(ids), LEAF)
-        boxes = [(np.minimum.reduceat(vectors, starts, axis=0), np.maximum.reduceat(vectors, starts, axis=0))]
-        while len(boxes[-1][0]) > 1:
-            starts = np.arange(0, len(boxes[-1][0]), FANOUT)
-            boxes.append((np.minimum.reduceat(boxes[-1][0], starts, axis=0), np.maximum.reduceat(boxes[-1][1], starts, axis=0)))
-        # Node numbers run level by level from the leaves up; the last one is the root.
-        self.low, self.high = np.concatenate([b[0] for b in boxes]), np.concatenate([b[1] for b in boxes])
-        self.leaves = len(boxes[0][0])
-        self.children: list[range] = [range(0)] * self.leaves
-        below = 0
-        for level in boxes[:-1]:
-            size = len(level[0])
-            self.children += [range(below + at, below + min(at + FANOUT, size)) for at in range(0, size, FANOUT)]
-            below += size
-
-    def search(self, anchor: np.ndarray, lowest: list[int], highest: list[int], windows: list[tuple[int, int]], k: int, without: int) -> list[list[tuple[int, int]]]:
-        """For each window the k best (score, id) inside it, without the anchor's own id.
+    """The R-trees of some pages: leaves are runs of LEAF rows, nodes runs of FANOUT below them."""
+
+    def __init__(self, pages: list[tuple[np.ndarray, np.ndarray]]):
+        self.pages, self.roots = pages, []
+        self.leaves: dict[int, tuple[int, slice]] = {}  # node -> page and rows
+        self.children: dict[int, range] = {}
+        lows, highs, size = [], [], 0
+        for number, (ids, vectors) in enumerate(pages):
+            below, low, high = range(0), vectors, vectors
+            while not below or len(below) > 1:
+                width = FANOUT if below else LEAF
+                starts = np.arange(0, len(low), width)
+                low, high = np.minimum.reduceat(low, starts, axis=0), np.maximum.reduceat(high, starts, axis=0)
+                for node, at in enumerate(starts.tolist(), size):
+                    if below:
+                        self.children[node] = below[at : at + width]
+                    else:
+                        self.leaves[node] = number, slice(at, at + width)
+                lows.append(low)
+                highs.append(high)
+                below = range(size, size + len(starts))
+                size += len(starts)
+            self.roots.append(size - 1)
+        self.low, self.high = np.concatenate(lows), np.concatenate(highs)
+
+    def search(
+        self, anchor: np.ndarray, lowest: list[int], highest: list[int], windows: list[tuple[int, int]], k: int, without: int, roots: list[int]
+    ) -> list[list[tuple[int, int]]]:
+        """For each window the k best (score, id) inside it, without the anchor's own id, below these roots.
 
         `lowest` and `highest` are the anchor's bounds of all nodes.
         """
@@ -107,23 +117,23 @@ class Tree:
         found = []
         for low, high in windows:
             best: list[tuple[int, int]] = []  # a heap of (score, -id): the worst kept one is first
-            root = len(self.low) - 1
-            queue = [(-min(highest[root], high), root)]
+            queue = [(-min(highest[root], high), root) for root in roots if highest[root] >= low and lowest[root] <= high]
+            heapq.heapify(queue)
             while queue:
                 bound, node = heapq.heappop(queue)
-                if len(best) == k and -bound < best[0][0]:
+                floor = max(low, best[0][0]) if len(best) == k else low
+                if -bound < floor:
                     break
-                if node >= self.leaves:
-                    floor = best[0][0] if len(best) == k else low
+                if node in self.children:
                     for child in self.children[node]:
-                        if highest[child] >= floor and highest[child] >= low and lowest[child] <= high:
+                        if highest[child] >= floor and lowest[child] <= high:
                             heapq.heappush(queue, (-min(highest[child], high), child))
                     continue
                 if node not in scored:
-                    rows = slice(node * LEAF, (node + 1) * LEAF)
-                    scored[node] = _dot(self.vectors[rows], anchor), self.ids[rows]
+                    page, rows = self.leaves[node]
+                    ids, vectors = self.pages[page]
+                    scored[node] = _dot(vectors[rows], anchor), ids[rows]
                 scores, ids = scored[node]
-                floor = max(low, best[0][0]) if len(best) == k else low
                 fits = (scores >= floor) & (scores <= high) & (ids != without)
                 for score, i in zip(scores[fits].tolist(), ids[fits].tolist()):
                     if len(best) < k:
@@ -139,11 +149,15 @@ class Index:
     """`rows` (vec_id, tribe, page, numbers) and `pages` (page, tribe, size, low, high, ids, vectors).
 
     A tribe is the rows of one label and length; tribes and pages are known by the position of their
-    first row.
+    first row. Pages are searched in so many `groups`, each by one task for a block of anchors.
     """
 
     rows: DataFrame
     pages: DataFrame
+    groups: int
+
+    def group(self, page: str) -> Column:
+        return F.pmod(F.xxhash64(page), F.lit(self.groups)).cast("int")
 
 
 def _matrix(cells: pd.Series, kind: str, rows: int | None = None) -> np.ndarray:
@@ -203,15 +217,18 @@ def build(rows: DataFrame, page_numbers: int = PAGE_NUMBERS) -> Index:
     trees = full.repartition("page").sortWithinPartitions("page").mapInArrow(
         _pack, "page long, tribe long, size int, low binary, high binary, ids binary, vectors binary"
     )
-    return Index(full, store(trees, "pages"))
+    pages = store(trees, "pages")
+    count = pages.count()
+    together = max(1, min(PAGES_PER_GROUP, count // (GROUPS_PER_CORE * pages.sparkSession.sparkContext.defaultParallelism)))
+    return Index(full, pages, max(1, -(-count // together)))
 
 
 def _wanted(same: bool):
-    """Per block of anchors and of boxes: the pages that can hold a row inside one of the windows."""
+    """Per block of anchors and of boxes: the pages that can hold a row inside one of the windows, by group."""
 
     def run(anchors: pd.DataFrame, pages: pd.DataFrame) -> pd.DataFrame:
         if not len(anchors) or not len(pages):
-            return pd.DataFrame({"anchor_id": [], "page": []}, dtype="int64")
+            return pd.DataFrame({"anchor_id": [], "grp": [], "pages": []})
         low, high = _matrix(pages["low"], "<i4"), _matrix(pages["high"], "<i4")
         lowest, highest = bounds(_matrix(anchors["numbers"], "<i4"), low, high)
         open_to = (anchors["tribe"].to_numpy()[:, None] == pages["tribe"].to_numpy()) == same
@@ -223,26 +240,31 @@ def _wanted(same: bool):
             highs = np.array([x[w] if w < len(x) else 0 for x in anchors["highs"]], dtype=np.int64)
             meets |= has[:, None] & (highest >= lows[:, None]) & (lowest <= highs[:, None])
         a, p = np.nonzero(open_to & meets)
-        ids = anchors["anchor_id"].to_numpy()[a]
-        return pd.DataFrame({"anchor_id": ids, "page": pages["page"].to_numpy()[p]})
+        pairs = pd.DataFrame({"anchor_id": anchors["anchor_id"].to_numpy()[a], "grp": pages["grp"].to_numpy()[p], "pages": pages["page"].to_numpy()[p]})
+        return pairs.groupby(["anchor_id", "grp"])["pages"].agg(list).reset_index() if len(pairs) else pairs.astype(object)
 
     return run
 
 
 def _visit(k: int):
-    """A page and the anchors of one block that want it: (anchor_id, low, high, vec_id, score)."""
+    """The pages of one group and the anchors of one block that want some of them: the k best of each
+    anchor and window (anchor_id, low, high, vec_id, score)."""
 
     def run(anchors: pd.DataFrame, pages: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, ...]] = []
-        if len(anchors) and len(pages):
-            page = pages.iloc[0]
-            ids = np.frombuffer(page["ids"], dtype="<i8")
-            tree = Tree(ids, np.frombuffer(page["vectors"], dtype="<i4").reshape(len(ids), page["size"]))
-            vectors = _matrix(anchors["numbers"], "<i4")
+        of_size = dict(list(pages.groupby("size")))
+        for size, asked in anchors.groupby("size"):
+            held = of_size.get(size)
+            if held is None:
+                continue
+            ids = [np.frombuffer(x, dtype="<i8") for x in held["ids"]]
+            tree = Tree([(i, np.frombuffer(x, dtype="<i4").reshape(len(i), size)) for i, x in zip(ids, held["vectors"])])
+            root_of = dict(zip(held["of"], tree.roots))
+            vectors = _matrix(asked["numbers"], "<i4")
             lowest, highest = bounds(vectors, tree.low, tree.high)
-            for i, (anchor, lows, highs) in enumerate(zip(anchors["anchor_id"], anchors["lows"], anchors["highs"])):
+            for i, (anchor, lows, highs, wanted) in enumerate(zip(asked["anchor_id"], asked["lows"], asked["highs"], asked["pages"])):
                 windows = list(zip((int(x) for x in lows), (int(x) for x in highs)))
-                found = tree.search(vectors[i], lowest[i].tolist(), highest[i].tolist(), windows, k, anchor)
+                found = tree.search(vectors[i], lowest[i].tolist(), highest[i].tolist(), windows, k, anchor, [root_of[p] for p in wanted])
                 out += [(anchor, *window, vec_id, score) for window, best in zip(windows, found) for score, vec_id in best]
         return pd.DataFrame(out, columns=["anchor_id", "low", "high", "vec_id", "score"])
 
@@ -253,17 +275,19 @@ _FOUND = "anchor_id long, low long, high long, vec_id long, score long"
 
 
 def _search(wants: DataFrame, index: Index, k: int) -> DataFrame:
-    """The k best of each anchor, window and page; `wants` has an anchor once for each page.
+    """The k best of each anchor, window and group of pages; `wants` has an anchor once for each group,
+    with the `pages` of it that can matter.
 
-    A page goes once to each block of anchors that wants it, so no page meets them all in one task.
+    A group goes once to each block of anchors that wants it, so no page meets them all in one task.
     """
-    blocks = wants.select(F.col("page").alias("to"), F.col("block").alias("anchors")).distinct()
-    pages = index.pages.select(F.col("page").alias("of"), "size", "ids", "vectors").join(blocks, F.col("of") == F.col("to"))
-    return wants.groupBy("page", "block").cogroup(pages.groupBy("to", "anchors")).applyInPandas(_visit(k), _FOUND)
+    blocks = wants.select(F.col("grp").alias("to"), F.col("block").alias("anchors")).distinct()
+    pages = index.pages.select(F.col("page").alias("of"), index.group("page").alias("in"), "size", "ids", "vectors")
+    pages = pages.join(blocks, F.col("in") == F.col("to"))
+    return wants.groupBy("grp", "block").cogroup(pages.groupBy("to", "anchors")).applyInPandas(_visit(k), _FOUND)
 
 
 def _pages_for(anchors: DataFrame, index: Index, same: bool) -> DataFrame:
-    """`anchors`, once for each page of the own label (`same`) or of the others that can matter."""
+    """`anchors`, once for each group with `pages` of the own label (`same`), or of others, that can matter."""
     sizes = index.pages.groupBy("size").agg(F.ceil(F.count("*") / PAGES_PER_BLOCK).cast("int").alias("pages"))
     blocks = store(sizes, "page-blocks")
     asked = anchors.join(blocks, "size").withColumn("pb", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
@@ -271,8 +295,8 @@ def _pages_for(anchors: DataFrame, index: Index, same: bool) -> DataFrame:
     boxes = index.pages.select("page", "tribe", "size", "low", "high").join(blocks, "size").join(anchor_blocks, "size")
     boxes = boxes.withColumn("pb", F.pmod(F.xxhash64("page"), F.col("pages")).cast("int")).withColumn("block", F.explode("blocks"))
     keys = ["size", "block", "pb"]
-    boxes = boxes.select(*keys, "page", "tribe", "low", "high")
-    pairs = asked.groupBy(*keys).cogroup(boxes.groupBy(*keys)).applyInPandas(_wanted(same), "anchor_id long, page long")
+    boxes = boxes.select(*keys, "page", index.group("page").alias("grp"), "tribe", "low", "high")
+    pairs = asked.groupBy(*keys).cogroup(boxes.groupBy(*keys)).applyInPandas(_wanted(same), "anchor_id long, grp int, pages array<long>")
     return store(pairs, "wanted").join(anchors, "anchor_id")
 
 
@@ -304,15 +328,17 @@ def mine(
     asked = store(asked.select("anchor_id", "tribe", "page", "size", "numbers", block), "anchors")
     no_window = [F.array(F.lit(x).cast("long")) for x in (-(2**62), 2**62)]
     # The best of the anchor's own page are a floor for all other pages.
-    home = _search(asked.withColumns({"lows": no_window[0], "highs": no_window[1]}), index, positives)
+    at_home = asked.withColumns({"lows": no_window[0], "highs": no_window[1], "grp": index.group("page"), "pages": F.array("page")})
+    home = _search(at_home, index, positives)
     home = store(home, "home").select("anchor_id", "vec_id", "score")
     floors = home.groupBy("anchor_id").agg(F.min("score").alias("floor"), F.count("*").alias("held"))
     floor = F.when(F.col("held") == positives, F.col("floor")).otherwise(F.lit(-(2**62)))
     onward = store(
-        asked.withColumnRenamed("page", "home").join(floors, "anchor_id", "left").withColumns({"lows": F.array(F.coalesce(floor, F.lit(-(2**62)))), "highs": no_window[1]}),
+        asked.join(floors, "anchor_id", "left").withColumns({"lows": F.array(F.coalesce(floor, F.lit(-(2**62)))), "highs": no_window[1]}),
         "onward",
     ).drop("floor", "held")
-    others = _pages_for(onward, index, True).where("page != home").drop("home")
+    others = _pages_for(onward.withColumnRenamed("page", "home"), index, True)
+    others = others.withColumn("pages", F.array_remove("pages", F.col("home"))).where(F.size("pages") > 0).drop("home")
     near = store(_best(home.unionByName(_search(others, index, positives).drop("low", "high")), ["anchor_id"], positives), "positives")
     near = near.select("anchor_id", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))
     near = near.withColumns({

@@ -43,6 +43,8 @@ def small_pages(monkeypatch):
     monkeypatch.setattr(hn, "PAGE_NUMBERS", 8 * 40)
     monkeypatch.setattr(hn.build, "__defaults__", (8 * 40,))
     monkeypatch.setattr(hn, "ANCHORS_PER_BLOCK", 16)
+    monkeypatch.setattr(hn, "PAGES_PER_GROUP", 3)
+    monkeypatch.setattr(hn, "GROUPS_PER_CORE", 1)
     monkeypatch.setattr(hn, "PAGES_PER_BLOCK", 4)
 
 
@@ -83,13 +85,19 @@ def test_boxes_bound_scores():
     ids, vectors = np.arange(500), draw.integers(-300, 300, size=(500, 6)).astype("<i4")
     order = hn.str_order(vectors, ids)
     assert sorted(order) == list(range(500))
-    tree = hn.Tree(ids[order], vectors[order])
+    pages = [(ids[order][a:b], vectors[order][a:b]) for a, b in ((0, 400), (400, 430), (430, 500))]
+    tree = hn.Tree(pages)
     anchors = draw.integers(-300, 300, size=(4, 6))
     low, high = hn.bounds(anchors, tree.low, tree.high)
-    scores = anchors @ tree.vectors.T
-    for leaf in range(tree.leaves):
-        part = scores[:, leaf * hn.LEAF : (leaf + 1) * hn.LEAF]
+    for leaf, (page, rows) in tree.leaves.items():
+        part = anchors @ pages[page][1][rows].T
         assert (part.min(axis=1) >= low[:, leaf]).all() and (part.max(axis=1) <= high[:, leaf]).all()
-    assert (low[:, -1] <= scores.min(axis=1)).all() and (high[:, -1] >= scores.max(axis=1)).all()
+    for root, (_, own) in zip(tree.roots, pages):
+        scores = anchors @ own.T
+        assert (low[:, root] <= scores.min(axis=1)).all() and (high[:, root] >= scores.max(axis=1)).all()
+    assert sorted(i for page, rows in tree.leaves.values() for i in pages[page][0][rows]) == list(range(500))
+    every = sorted((-int(s), int(i)) for s, i in zip(anchors[0] @ vectors.T, ids) if s <= 5_000 and i != 3)[:9]
+    found = tree.search(anchors[0], low[0].tolist(), high[0].tolist(), [(-(2**62), 5_000)], 9, 3, tree.roots)
+    assert sorted((-s, i) for s, i in found[0]) == every
     huge = np.array([[1 << 24] * 5000], dtype=np.int64)
     assert hn._dot(huge, huge.T)[0, 0] == 5000 << 48
