@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from functools import reduce
 from urllib.parse import unquote
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,9 @@ from postloom.schemas import POSTS, TOPICS, USER_ACTION, USERS
 from postloom.session import settings
 from postloom.sources.records import records
 
+# Tasks get the functions themselves: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CSV_OPTIONS = {"header": "true", "sep": ",", "encoding": "UTF-8", "escape": '"'}
 _END = "\u0001"
 

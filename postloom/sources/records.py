@@ -11,14 +11,19 @@ pieces of a block, is joined to whole records by an aggregate over these pieces
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.session import store
 
+# Tasks get the functions themselves: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OUTSIDE, INSIDE = 0, 1
 # A quoted cell with what follows up to the separator, or a plain one, in which quotes mean nothing.
 _CELL = r'(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|(?!")[^,]*+)'
