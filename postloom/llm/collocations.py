@@ -39,7 +39,7 @@ from postloom.operators.ordering import running_totals
 from postloom.session import store
 
 LONGEST = 3
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 MASS_PER_PART = 4_000_000  # occurrences of n-grams in a hash partition, about
 BYTES_PER_GRAM = 2  # of text, about: a word of five letters and a space begins three n-grams
 COUNTERS = 1 << 18  # the capacity a summary begins with
