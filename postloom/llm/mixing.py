@@ -174,7 +174,8 @@ def plan_copies(slim: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
         F.expr("copies div greatest(docs, 1)").alias("base"), F.expr("copies % greatest(docs, 1)").alias("extra"),
     )
     # The position of equal rows in their class, from positions in the order of all documents.
-    some = _with(slim, rounded.where(F.col("extra") > 0), ["source", "size"], ["extra"], "inner")
+    # Stored apart from the aggregate, so that Spark can split the join at a class of many documents.
+    some = store(_with(slim, rounded.where(F.col("extra") > 0), ["source", "size"], ["extra"], "inner"), "some")
     some = some.groupBy("source", "size", "order", "mark", "extra").agg(F.count("*").alias("equals"))
     placed = running_totals(some.withColumn("unnamed", F.col("source").isNull()), ["unnamed", "source", "size", "order", "mark"], {"place": "equals"})
     placed = store(placed, "positions")
