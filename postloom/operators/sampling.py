@@ -60,16 +60,18 @@ def drawn_users(
     digits = 0
     while 16**digits * rows_per_piece < users:
         digits += 1
+    if not digits:
+        return store(draw.orderBy("draw", "user_id").limit(size).select("user_id"), "cohort")
     prefix = F.substring("draw", 1, digits)
     # One row per bin: some 16 for each `rows_per_piece` users at most.
     bins = draw.groupBy(prefix.alias("bin")).agg(F.count("*").alias("n"))
     ends = store(bins.withColumn("before", F.expr("sum(n) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")), "bins")
     last = ends.where((F.coalesce("before", F.lit(0)) < size) & (F.coalesce("before", F.lit(0)) + F.col("n") >= size)).first()
+    # Stored, so that the users are drawn once and Spark knows how many they are.
     if last is None:  # fewer users than are wanted, or none wanted
         return store(draw.select("user_id") if size else draw.select("user_id").where("false"), "cohort")
     whole = draw.where(prefix < last["bin"]).select("user_id")
     rest = draw.where(prefix == last["bin"]).orderBy("draw", "user_id").limit(size - (last["before"] or 0)).select("user_id")
-    # Stored, so that the users are drawn once and Spark knows how many they are.
     return store(whole.unionByName(rest), "cohort")
 
 
