@@ -181,8 +181,9 @@ def plan_copies(slim: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
     placed = store(placed, "positions")
     starts = placed.groupBy("source", "size").agg(F.min("place").alias("start"))
     left = _with(placed, starts, ["source", "size"], ["start"]).withColumn("first_n", F.expr("extra - (place - start)"))
-    # One row per class: where its last extra copy goes.
-    cuts = left.where("first_n > 0 AND first_n <= equals").withColumnsRenamed({"order": "last_order", "mark": "last_mark"})
+    # One row per class: where its last extra copy goes. Stored apart from the next join by class, so that
+    # Spark can split this one at a class of many documents.
+    cuts = store(left.where("first_n > 0 AND first_n <= equals"), "cuts").withColumnsRenamed({"order": "last_order", "mark": "last_mark"})
     final = _with(rounded, cuts, ["source", "size"], ["last_order", "last_mark", "first_n", "equals"])
     return targets, store(final.select("source", "size", "rate", "base", "last_order", "last_mark", "first_n", "equals"), "copies")
 
