@@ -43,7 +43,7 @@ def skewed_posts(spark: SparkSession, rows: int) -> DataFrame:
 def main() -> None:
     rows, cpus = int(os.environ.get("SKEW_ROWS", "10000000")), os.environ.get("BENCH_CPUS", "8")
     shared = tempfile.TemporaryDirectory(prefix="skew-")
-    spark = session("skew", f"local[{cpus}]", **{"spark.checkpoint.dir": shared.name, "spark.sql.shuffle.partitions": "32", "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
+    spark = session("skew", f"local[{cpus}]", **{"spark.checkpoint.dir": shared.name, "spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
 
