@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import time
 import zlib
@@ -168,3 +169,29 @@ def test_calibration_takes_the_best_cut():
     assert urls.calibrate([(-2, False), (-1, False), (1, True), (3, True)]) == 0
     assert urls.calibrate([(1, False), (2, False), (5, True)]) == 3.5
     assert urls.calibrate([(1, True)]) == 0
+
+
+def test_contexts_out_of_memory_count_as_well(shipped, monkeypatch):
+    """With few contexts in memory and the scores ranked in Spark, scores are the same as with all in memory."""
+    given = [f"http://{c}{i % 7}.{'com' if i % 3 else 'net/fr'}/{i * i % 89}é😀" for i, c in enumerate("abcdefgh" * 40)]
+    given += [f"http://{c}.org/{i * 7 % 97}" for i, c in enumerate("abcdefgh" * 10)] + ["", None, "\x02a", "http://x.org/" + "ab1/" * 9]
+    pages = shipped.createDataFrame([(i, u) for i, u in enumerate(given * 2)], "page_id long, url string")
+    want = {r["page_id"]: r for r in urls.filter_urls(pages).collect()}
+    monkeypatch.setattr(urls, "MOST_CONTEXTS", 5)
+    monkeypatch.setattr(urls, "SAMPLED_URLS", 3)
+    monkeypatch.setattr(urls, "_STRETCH", 7)
+    got = {r["page_id"]: r for r in urls.filter_urls(pages).collect()}
+    assert got.keys() == want.keys()
+    for key, row in got.items():
+        assert row["score"] == pytest.approx(want[key]["score"], abs=1e-9) and row["verdict"] == want[key]["verdict"]
+
+
+def test_the_threshold_comes_from_all_scores(shipped, monkeypatch):
+    draw = random.Random(5)
+    for size in (1, 40, 3_000):
+        scored = [(draw.choice([draw.gauss(0, 1), draw.randrange(-3, 3) / 2]), draw.random() < 0.4) for _ in range(size)]
+        monkeypatch.setattr(urls, "SAMPLED_URLS", size)
+        few = shipped.createDataFrame(scored, "difference double, allowed boolean")
+        assert urls.threshold(few) == urls.calibrate(scored)
+        monkeypatch.setattr(urls, "SAMPLED_URLS", 0)
+        assert urls.threshold(few) == urls.calibrate(scored)
