@@ -151,13 +151,13 @@ def _cell(name: str, kind: str) -> Column:
 
 
 def _write_csv(rows: DataFrame, columns: list[str], path: str, line: Column | None = None) -> None:
-    """Rows as CSV files, each with its header; `line` in place of the plain line."""
+    """Rows as CSV files, each with its header, as many as `rows` has parts; `line` in place of the plain line."""
     kinds = dict(rows.dtypes)
     plain = F.concat_ws(",", *[_cell(c, kinds[c]) for c in columns])
     header = ",".join(columns) + "\n"
     # Each file starts with the header line: the low 33 bits count the rows of a partition.
     first = F.monotonically_increasing_id().bitwiseAND(2**33 - 1) == 0
-    lines = rows.repartition(3).select((plain if line is None else line).alias("value"))
+    lines = rows.select((plain if line is None else line).alias("value"))
     lines.select(F.when(first, F.concat(F.lit(header), "value")).otherwise(F.col("value"))).write.mode("append").text(path)
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import Observation
 
+from postloom import registry
 from postloom.sources import exports
 
 
@@ -83,3 +84,13 @@ def test_headers_where_files_share_a_task(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(exports, "settings", lambda *_, **__: nullcontext())
     path = folder_of(tmp_path, {f"{i}.csv": f"{'id,sex' if i % 2 else 'sex,id'}\n{i},{i}\n" for i in range(9)} | {"empty.csv": "", "blank.csv": "\n\n"})
     assert sorted(map(len, exports._files_by_header(spark, path).values())) == [4, 5]
+
+
+def test_an_export_has_as_many_files_as_its_table_has_parts(spark, tmp_path):
+    """So no task writes a fixed share of the table, whatever its size; each file has its header."""
+    path = tmp_path / "users"
+    rows = spark.range(0, 900, 1, 9).selectExpr("string(id) AS id", "'1' AS sex", "string(2 * id) AS zan_count")
+    registry._write_csv(rows, ["zan_count", "id", "sex"], str(path))
+    files = list(path.glob("part-*"))
+    assert len(files) == 9 and all(f.read_text().startswith("zan_count,id,sex\n") for f in files)
+    assert sorted(tuple(r) for r in exports.read_users(spark, str(path)).collect()) == sorted((str(i), "1", str(2 * i)) for i in range(900))
