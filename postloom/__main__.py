@@ -19,7 +19,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="postloom")
     parser.add_argument("job", choices=list(INPUTS))
     parser.add_argument("--out", required=True)
-    parser.add_argument("--form", choices=("parquet", "tsv", "lines"), default="parquet", help="lines: text with one line per row, which Spark can split")
+    parser.add_argument("--form", choices=("parquet", "tsv", "lines", "packed"), default="parquet", help="lines: text with one line per row, which Spark can split; packed: the same in gzip files")
     parser.add_argument("--cap", type=int, default=10_000, help="events from which a user counts as hyper-active")
     parser.add_argument("--cohort", type=int, default=5_000, help="users in the cohort")
     parser.add_argument("--seed", type=int, default=0)

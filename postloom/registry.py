@@ -135,7 +135,7 @@ def _folder(i: _Inputs, label: str) -> str:
 
 def _tsv(product: str, make: Callable[[_Inputs], DataFrame], strict: bool = True, form: str = "lines") -> Callable[[_Inputs], DataFrame]:
     """A product written as text and read back by its contract."""
-    read = {"lines": products.read_lines, "tsv": products.read_tsv}[form]
+    read = products.read_tsv if form == "tsv" else products.read_lines
 
     def query(i: _Inputs) -> DataFrame:
         path = _folder(i, product)
@@ -295,7 +295,7 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "tsv_content_author": _tsv("content_with_author", lambda i: content.content_with_author(i.content(), i.posts), strict=False),
     "tsv_user_lists": _tsv("content_with_interlist", lambda i: interactions.user_content_list(i.log)),
     "tsv_interactions": _tsv("content_with_topiccnt", lambda i: interactions.interactions(i.engaged(), i.posts, i.topics)),
-    "tsv_tier": _tsv("bt", _bt_tiers),
+    "tsv_tier": _tsv("bt", _bt_tiers, form="packed"),
     "tsv_test": _tsv("test", _split_test),
     "tsv_quoted": _tsv("content_raw", lambda i: i.content_raw(), strict=False, form="tsv"),
     "fan_out_rows": lambda i: _fan_out(i, "content_with_topiccnt"),

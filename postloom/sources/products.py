@@ -15,6 +15,8 @@ from postloom.session import delete, exists, move
 TSV_OPTIONS = {"header": "true", "sep": "\t", "encoding": "UTF-8", "escape": '"'}
 # Cells without line breaks, tabs or quotation: one line is one row, so Spark can split a file anywhere.
 LINE_OPTIONS = {"header": "true", "sep": "\t", "encoding": "UTF-8", "quote": "", "escape": "\u0000"}
+# Spark cannot split a packed file: one task reads so many rows of it at most.
+ROWS_PER_PACKED_FILE = 100_000
 _ESCAPES = {"%": "%25", "\n": "%0A", "\r": "%0D", "\t": "%09", "\0": "%00"}
 
 
@@ -37,24 +39,29 @@ def write_tsv(df: DataFrame, path: str, folders: Sequence[str] = ()) -> None:
     ).csv(path)
 
 
-def write_lines(df: DataFrame, path: str, folders: Sequence[str] = ()) -> None:
+def write_lines(df: DataFrame, path: str, folders: Sequence[str] = (), **options: str | int) -> None:
     """Text with one line per row: tabs, line ends, NUL and "%" in cells are written as "%" and two
     hexadecimal digits, and nothing is quoted."""
     cells = [_escaped(F.col(f"`{c}`")).alias(c) if kind == "string" and c not in folders else F.col(f"`{c}`") for c, kind in df.dtypes]
     df.select(*cells).write.partitionBy(*folders).options(
-        **LINE_OPTIONS, emptyValue="", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+        **LINE_OPTIONS, emptyValue="", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", **options
     ).csv(path)
 
 
+def write_packed(df: DataFrame, path: str, folders: Sequence[str] = ()) -> None:
+    """The same lines in gzip files of a bounded number of rows, for products whose rows repeat long texts."""
+    write_lines(df, path, folders, compression="gzip", maxRecordsPerFile=ROWS_PER_PACKED_FILE)
+
+
 def write_product(df: DataFrame, path: str, form: str = "parquet", folders: Sequence[str] = ()) -> None:
     """A product; `folders` are columns that become folders in place of columns.
 
-    Forms: "parquet"; "tsv", quoted text; "lines", text that Spark can split.
+    Forms: "parquet"; "tsv", quoted text; "lines", text that Spark can split; "packed", lines in gzip files.
     """
     if form == "parquet":
         df.write.partitionBy(*folders).parquet(path)
     else:
-        {"tsv": write_tsv, "lines": write_lines}[form](df, path, folders)
+        {"tsv": write_tsv, "lines": write_lines, "packed": write_packed}[form](df, path, folders)
 
 
 def replace_product(df: DataFrame, path: str, form: str = "parquet", folders: Sequence[str] = ()) -> None:
@@ -97,7 +104,7 @@ def read_tsv(spark: SparkSession, path: str, product: str, strict: bool = True)
 
 
 def read_lines(spark: SparkSession, path: str, product: str, strict: bool = True) -> DataFrame:
-    """A product written by `write_lines`, by its contract; a large file is read by many tasks."""
+    """A product written by `write_lines` or `write_packed`, by its contract; a large file of lines is read by many tasks."""
     return _read_text(spark.read.options(**LINE_OPTIONS).csv(path), product, strict, True)
 
 

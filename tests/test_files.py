@@ -6,13 +6,14 @@ import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 
+from postloom import registry
 from postloom.__main__ import main
 from postloom.schemas import POSTS, PRODUCTS
-from postloom.sources import exports
+from postloom.sources import exports, products
 from postloom.operators.splits import Splits
 from postloom.plans import jobs
 from postloom.session import store
-from postloom.sources.products import preview, read_lines, read_tsv, replace_product, write_lines, write_tsv
+from postloom.sources.products import preview, read_lines, read_tsv, replace_product, write_lines, write_packed, write_tsv
 
 LINES = [
     "extra_before,id,user_id,subject_id,title,desc,praise_count,reply_count,forward_count,star_count,share_count,create_time",
@@ -95,6 +96,22 @@ def test_lines_round_trip_and_split(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_packed_lines_are_small_and_in_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    """What `tsv_tier` writes: rows that repeat their text take a fraction of the lines' bytes."""
+    monkeypatch.setattr(products, "ROWS_PER_PACKED_FILE", 300)
+    rows = spark.range(1_000).selectExpr("id AS content_id", "concat(repeat('a\nb \t%', 200), id) AS inter_list").coalesce(1)
+    write_lines(rows, f"{tmp_path}/plain")
+    write_packed(rows, f"{tmp_path}/packed")
+    size = {name: sum(f.stat().st_size for f in (tmp_path / name).glob("part-*")) for name in ("plain", "packed")}
+    assert size["packed"] < size["plain"] / 10 and len(list((tmp_path / "packed").glob("part-*.gz"))) == 4
+    found = read_lines(spark, f"{tmp_path}/packed", "inter_list")
+    assert found.exceptAll(rows).isEmpty() and found.count() == 1_000
+    written = []
+    monkeypatch.setattr(products, "write_packed", lambda *a: written.append(a) or write_packed(*a))
+    registry.queries()["tsv_tier"](spark, "/root/testdata/sf0.001")
+    assert len(written) == 1
+
+
 def test_a_product_is_replaced_by_renames(spark, tmp_path):
     path = str(tmp_path / "product")
     replace_product(spark.range(5), path)
