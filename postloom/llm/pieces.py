@@ -45,8 +45,8 @@ from postloom.llm.common import mix64
 DEFAULT_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SAMPLES = 2
 SHARPNESS = 1.0
-# Bytes of text whose lattices are built together.
-CHUNK_BYTES = 500_000
+# Bytes of text whose lattices are built together: a worker's memory grows with them, samples do not depend on them.
+CHUNK_BYTES = 125_000
 SPACE = "▁"
 _BITS = 30  # probabilities are drawn in steps of 2 ** -_BITS
 _REACH = 27.0  # more than the largest Gumbel value of 32 random bits lies above the smallest

@@ -3,6 +3,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -113,3 +114,20 @@ def test_odd_rows(odd_documents, empty_documents):
     assert all(r["ids"] == [] for r in rows if r["doc_id"] == 3)
     assert len({(tuple(r["ids"]), r["value"]) for r in rows if r["doc_id"] == 1}) == 2
     assert pieces.encode(empty_documents).count() == 0
+
+
+def test_chunks_are_small_and_do_not_change_samples(monkeypatch):
+    """At most 128 KB of text, or one text, at a time; the same rows come of larger chunks."""
+    texts = [f"text {i} of some words " * 400 for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+
+    def rows():
+        pieces._common.clear()
+        return [found.to_pylist() for found in pieces._encoder(2, pieces.DEFAULT_MODEL, 1.0)(iter([batch]))]
+
+    small = rows()
+    sizes = [sum(len(texts[i]) for i in {r["doc_id"] for r in part}) for part in small]
+    assert max(sizes) <= 1 << 17 and sum(sizes) == sum(map(len, texts))
+    monkeypatch.setattr(pieces, "CHUNK_BYTES", 1 << 24)
+    (whole,) = rows()
+    assert sum(small, []) == whole
